@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 # the next comma) or a quoted token, each optionally followed by one comma.
 TOKEN_PATTERN = '(([^"][^,]*)|"([^"]*)"),?'
 # Integer text accepted by a strict integer parse: optional sign, digits only.
-INTEGER_PATTERN = "^[+-]?[0-9]+$"
+INTEGER_PATTERN = "^[+-]?[0-9]+\\z"
 
 
 def _col(c) -> Column:

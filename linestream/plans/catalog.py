@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import bursts as B
+from ..operators import parse as P
 from ..sources import tables as T
 from . import oracle_base as O
 
@@ -84,4 +85,139 @@ lf AS (select *, (cut_ms is null or ms < cut_ms or (ms = cut_ms and event_id < c
 from lf group by topic, burst""", _ROW_BURSTS, _LATENCY_ROWS))
 def burst_latency(spark, sf_dir):
     return B.burst_latency(T.latency_lines(spark, sf_dir), GAP_MS)
+
+
+# --------------------------------------------------------------------------
+# Parsing (PRJ-1..6, FLT-3)
+# --------------------------------------------------------------------------
+
+_INT_RE = "'[+-]?[0-9]+'"
+
+
+def _sql_parse_cte(name: str, src: str, tokens_sql: str, fields, finite) -> str:
+    """DuckDB CTE: typed fields + error for a token list (1-based lists)."""
+    raws = ", ".join(f"t[{i + 1}] as r{i}" for i in range(len(fields)))
+    typed = []
+    reason = ["when value is null then 'null_line'"]
+    for i, (fname, kind) in enumerate(fields):
+        r = f"r{i}"
+        if kind == "long":
+            expr = f"case when regexp_full_match({r}, {_INT_RE}) then try_cast({r} as bigint) end"
+        elif kind == "int":
+            expr = f"case when regexp_full_match({r}, {_INT_RE}) then try_cast({r} as integer) end"
+        elif kind == "double":
+            expr = f"try_cast({r} as double)"
+        else:
+            expr = r
+        typed.append(f"{expr} as p_{fname}")
+        reason.append(f"when {r} is null then 'missing_field'")
+        if kind != "string":
+            reason.append(f"when p_{fname} is null then 'bad_{fname}'")
+    for fname in finite:
+        reason.append(f"when isnan(p_{fname}) or isinf(p_{fname}) then 'non_finite'")
+    out = ", ".join(f"case when error is null then p_{f} end as {f}" for f, _ in fields)
+    return f"""{name}_t AS (select event_id, value, {tokens_sql.format(v='value')} as t from {src}),
+{name}_r AS (select event_id, value, {raws} from {name}_t),
+{name}_p AS (select *, {", ".join(typed)} from {name}_r),
+{name}_e AS (select *, case {" ".join(reason)} end as error from {name}_p),
+{name} AS (select event_id, {out}, error from {name}_e)"""
+
+
+_SPLIT_TOKENS = "string_split(regexp_replace({v}, ',+$', ''), ',')"
+
+_SF_PARSE = _sql_parse_cte("sfp", "simfile_lines", O.TOKENS_SQL, P.SIMFILE_FIELDS,
+                           ["lon", "lat", "spd", "brg"])
+_SPLIT_PARSE = _sql_parse_cte("ssp", "simfile_lines", _SPLIT_TOKENS, P.SPLIT_FIELDS,
+                              ["lon", "lat", "speed", "bearing"])
+_FAA_PARSE = f"""faa_t AS (select event_id, value, {O.TOKENS_SQL.format(v='value')} as t from faa_lines),
+faa_r AS (select event_id, value, t[3] as r2, t[4] as r3, t[5] as r4, t[6] as r5 from faa_t),
+faa_p AS (select *, case when regexp_full_match(r3, '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}} [0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}( [AaPp][Mm])?')
+      then epoch_ms(try_strptime(substr(r3, 1, 19), '%m/%d/%Y %H:%M:%S')) end as p_ts,
+    try_cast(r4 as double) as p_lon, try_cast(r5 as double) as p_lat from faa_r),
+faa_e AS (select *, case when value is null then 'null_line'
+    when r2 is null or r3 is null then 'missing_field' when p_ts is null then 'bad_date'
+    when r4 is null then 'missing_field' when p_lon is null then 'bad_lon'
+    when r5 is null then 'missing_field' when p_lat is null then 'bad_lat'
+    when isnan(p_lon) or isnan(p_lat) or isinf(p_lon) or isinf(p_lat) then 'non_finite' end as error
+  from faa_p),
+faap AS (select event_id, case when error is null then r2 end as tn,
+    case when error is null then p_ts end as timestamp, case when error is null then p_lon end as lon,
+    case when error is null then p_lat end as lat, error from faa_e)"""
+
+
+@query("tokenize", O.with_views("""select 'simfile' as format, event_id, pos, token from (
+  select event_id, unnest(range(len(t))) as pos, unnest(t) as token from sfp_t)
+union all
+select 'faa' as format, event_id, pos, token from (
+  select event_id, unnest(range(len(t))) as pos, unnest(t) as token from faa_t)""", _SF_PARSE, _FAA_PARSE))
+def tokenize(spark, sf_dir):
+    sf = P.tokens_exploded(T.simfile_lines(spark, sf_dir)).select(F.lit("simfile").alias("format"), "*")
+    fa = P.tokens_exploded(T.faa_lines(spark, sf_dir)).select(F.lit("faa").alias("format"), "*")
+    return sf.unionByName(fa)
+
+
+@query("simfile_parse", O.with_views(
+    "select event_id, tm, id, dtg, rt, lon, lat, spd, brg from sfp where error is null", _SF_PARSE))
+def simfile_parse(spark, sf_dir):
+    return P.simfile_typed(T.simfile_lines(spark, sf_dir)).where("error is null").drop("error")
+
+
+@query("simfile_split_parse", O.with_views("select * from ssp", _SPLIT_PARSE))
+def simfile_split_parse(spark, sf_dir):
+    return P.simfile_split_typed(T.simfile_lines(spark, sf_dir))
+
+
+@query("faa_parse", O.with_views(
+    "select event_id, tn, timestamp, lon, lat from faap where error is null", _FAA_PARSE))
+def faa_parse(spark, sf_dir):
+    return P.faa_typed(T.faa_lines(spark, sf_dir)).where("error is null").drop("error")
+
+
+@query("parse_errors", O.with_views("""select 'simfile' as format, event_id, error from sfp where error is not null
+union all select 'faa' as format, event_id, error from faap where error is not null""", _SF_PARSE, _FAA_PARSE))
+def parse_errors(spark, sf_dir):
+    sf = (P.simfile_typed(T.simfile_lines(spark, sf_dir)).where("error is not null")
+          .select(F.lit("simfile").alias("format"), "event_id", "error"))
+    fa = (P.faa_typed(T.faa_lines(spark, sf_dir)).where("error is not null")
+          .select(F.lit("faa").alias("format"), "event_id", "error"))
+    return sf.unionByName(fa)
+
+
+def _reparsed(docs: DataFrame, attr_types) -> DataFrame:
+    """Read a document column back as JSON and flatten it."""
+    d = docs.select("event_id", F.from_json("doc", P.doc_schema(attr_types)).alias("d"))
+    return d.select("event_id", *[F.col(f"d.attr.{n}").alias(n) for n, _ in attr_types],
+                    F.col("d.geom.x").alias("x"), F.col("d.geom.y").alias("y"),
+                    F.col("d.geom.spatialReference.wkid").alias("wkid"), F.col("d.error").alias("error"))
+
+
+_SF_ATTR_TYPES = [("tm", "bigint"), ("id", "int"), ("dtg", "string"), ("rt", "string"),
+                  ("spd", "double"), ("brg", "double")]
+_FAA_ATTR_TYPES = [("tn", "string"), ("timestamp", "bigint")]
+
+
+@query("simfile_to_doc", O.with_views("""select event_id, tm, id, dtg, rt, spd, brg, lon as x, lat as y,
+  case when error is null then 4326 end as wkid, error from sfp""", _SF_PARSE))
+def simfile_to_doc(spark, sf_dir):
+    typed = P.simfile_typed(T.simfile_lines(spark, sf_dir))
+    return _reparsed(typed.select("event_id", P.document(typed, P.SIMFILE_ATTRS).alias("doc")),
+                     _SF_ATTR_TYPES)
+
+
+@query("faa_to_doc", O.with_views("""select event_id, tn, timestamp, lon as x, lat as y,
+  case when error is null then 4326 end as wkid, error from faap""", _FAA_PARSE))
+def faa_to_doc(spark, sf_dir):
+    typed = P.faa_typed(T.faa_lines(spark, sf_dir))
+    return _reparsed(typed.select("event_id", P.document(typed, P.FAA_ATTRS).alias("doc")),
+                     _FAA_ATTR_TYPES)
+
+
+@query("point_export", O.with_views(
+    "select event_id, lon as x, lat as y, 4326 as wkid from sfp where error is null", _SF_PARSE))
+def point_export(spark, sf_dir):
+    from ..functions.geometry import point_struct
+    typed = P.simfile_typed(T.simfile_lines(spark, sf_dir)).where("error is null")
+    g = typed.select("event_id", F.to_json(point_struct(F.col("lon"), F.col("lat"))).alias("g"))
+    p = g.select("event_id", F.from_json("g", "x double, y double, spatialReference struct<wkid: int>").alias("p"))
+    return p.select("event_id", "p.x", "p.y", F.col("p.spatialReference.wkid").alias("wkid"))
 FLAGSHIP = "burst_latency"

@@ -44,7 +44,7 @@ from nation)"""
 
 # Tokens of a line in DuckDB (same pattern; group 1, outer quotes cut).
 TOKENS_SQL = """list_transform(regexp_extract_all({v}, '(([^"][^,]*)|"([^"]*)"),?', 1),
-  t -> case when starts_with(t, '"') then substr(t, 2, length(t) - 2) else t end)"""
+  lambda t: case when starts_with(t, '"') then substr(t, 2, length(t) - 2) else t end)"""
 
 
 def with_views(body: str, *extra: str) -> str:
