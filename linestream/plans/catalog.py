@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..operators import bursts as B
 from ..operators import parse as P
+from ..operators import geotag as G
+from ..sources import fences as FS
 from ..sources import tables as T
 from . import oracle_base as O
 
@@ -220,4 +222,66 @@ def point_export(spark, sf_dir):
     g = typed.select("event_id", F.to_json(point_struct(F.col("lon"), F.col("lat"))).alias("g"))
     p = g.select("event_id", F.from_json("g", "x double, y double, spatialReference struct<wkid: int>").alias("p"))
     return p.select("event_id", "p.x", "p.y", F.col("p.spatialReference.wkid").alias("wkid"))
-FLAGSHIP = "burst_latency"
+
+
+# --------------------------------------------------------------------------
+# Fences and the point-in-fence join (SRC-6, JOIN-1, JOIN-2, AGG-5, FLT-2)
+# --------------------------------------------------------------------------
+
+_FENCE_BOX = """cast(cx - 30 as double) as minx, cast(cy - 30 as double) as miny,
+  cast(cx + 30 as double) as maxx, cast(cy + 30 as double) as maxy"""
+
+
+def _fence_summary(f: DataFrame) -> DataFrame:
+    from ..functions.geometry import rings_bbox
+    b = rings_bbox(F.col("rings"))
+    return f.select("pos", "name", F.size("rings").alias("n_rings"), b.minx.alias("minx"),
+                    b.miny.alias("miny"), b.maxx.alias("maxx"), b.maxy.alias("maxy"))
+
+
+@query("load_fences", O.with_views(
+    f"select cast(k as bigint) as pos, name, 1 + k % 2 as n_rings, {_FENCE_BOX} from fences"))
+def load_fences(spark, sf_dir):
+    path = FS.fence_document_path(spark, FS.nation_fences(spark, sf_dir))
+    good, _errors = G.load_fences(spark, path, FS.FIELD_NAME)
+    return _fence_summary(good)
+
+
+@query("fence_dedupe", O.with_views(f"""select cast(case when f.k % 5 = 0 then (select count(*) from nation) + f.k // 5 else f.k end as bigint) as pos,
+  f.name, 1 + w.k % 2 as n_rings, {_FENCE_BOX.replace('cx', 'w.cx').replace('cy', 'w.cy')}
+from fences f join fences w on w.k = case when f.k % 5 = 0 then f.k + 2 else f.k end"""))
+def fence_dedupe(spark, sf_dir):
+    fences = FS.with_repeated_names(FS.nation_fences(spark, sf_dir))
+    path = FS.fence_document_path(spark, fences)
+    good, _errors = G.load_fences(spark, path, FS.FIELD_NAME)
+    return _fence_summary(G.dedupe_fences(good))
+
+
+_PAIRS = """pairs AS (select p.event_id, f.name from sfp p join fences f
+  on abs(p.lon - f.cx) + abs(p.lat - f.cy) < 30
+  and not (f.k % 2 = 1 and abs(p.lon - f.cx) + abs(p.lat - f.cy) <= 4)
+  where p.error is null),
+tags AS (select p.event_id, coalesce(string_agg(q.name, ',' order by q.name), '') as geotag
+  from sfp p left join pairs q on p.event_id = q.event_id where p.error is null group by p.event_id)"""
+
+
+def _valid_points(spark, sf_dir) -> DataFrame:
+    return P.simfile_typed(T.simfile_lines(spark, sf_dir)).where("error is null")
+
+
+@query("point_in_fence_pairs", O.with_views("select event_id, name from pairs", _SF_PARSE, _PAIRS))
+def point_in_fence_pairs(spark, sf_dir):
+    return G.point_in_fence_pairs(_valid_points(spark, sf_dir), FS.nation_fences(spark, sf_dir), ["event_id"])
+
+
+@query("geotag", O.with_views("select event_id, geotag from tags", _SF_PARSE, _PAIRS))
+def geotag(spark, sf_dir):
+    pts = _valid_points(spark, sf_dir).select("event_id", "lon", "lat")
+    return G.geotag(pts, FS.nation_fences(spark, sf_dir)).select("event_id", "geotag")
+
+
+@query("geotag_filtered", O.with_views("select event_id, geotag from tags where geotag <> ''", _SF_PARSE, _PAIRS))
+def geotag_filtered(spark, sf_dir):
+    return geotag(spark, sf_dir).where(F.col("geotag") != "")
+
+FLAGSHIP = "geotag"
