@@ -105,17 +105,14 @@ def burst_positions(rows: DataFrame, gap_ms: int, by: list[str] | None = None) -
     """Every row with ``burst`` (start bucket) and ``idx``: its 0-based
     position inside the burst in arrival order ``(ms, event_id)``.
 
-    Positions come from a range-partitioned global numbering, so a burst or
-    a bucket holding a third of all rows is still spread over many tasks.
+    Positions are numbered per (burst, time slice) with slice offsets, so a
+    burst or a bucket holding a third of all rows is spread over many tasks.
     """
     by = ["topic"] if by is None else by
     bmap, _ = checked_broadcast(burst_buckets(rows, gap_ms, by).select(*by, "bucket", "burst"))
     tagged = (rows.withColumn("bucket", bucket_of(gap_ms))
               .join(bmap, [*by, "bucket"]).drop("bucket"))
-    seq = with_sequence(tagged, [*by, "ms", "event_id"], name="_seq")
-    firsts = seq.groupBy(*by, "burst").agg(F.min("_seq").alias("_first"))
-    return (seq.join(firsts, [*by, "burst"])
-            .withColumn("idx", F.col("_seq") - F.col("_first")).drop("_seq", "_first"))
+    return with_sequence(tagged, ["ms", "event_id"], name="idx", group_cols=[*by, "burst"])
 
 
 def every_nth(rows: DataFrame, n_th: int, gap_ms: int, by: list[str] | None = None) -> DataFrame:

@@ -1,60 +1,74 @@
 """Exact row positions and islands without a single-task window.
 
-A window with an ORDER BY but no PARTITION BY moves every row into one task.
-Here the rows are range-partitioned on the order key instead (Spark samples
-the key, so a hot key value is spread by the tie-breaking columns), each
-partition numbers its rows locally, and a table with one row per partition
-(bounded by the partition count) supplies the offsets.
+A window with an ORDER BY but no PARTITION BY (or with a hot partition key)
+moves a whole group into one task. Here the leading numeric order column is
+cut into slices at approximate quantiles (one sketch pass; the bounds become
+literals, so every later evaluation of the plan slices identically). Then
+
+* ``row_number()`` runs per ``(group, slice)`` — each slice holds about
+  ``1 / slices`` of the rows, even when one group holds a third of them;
+* a table with one row per ``(group, slice)`` gives each slice its offset
+  (a running sum over at most ``slices`` rows per group).
+
+The position is exact; only the balance of the slices is approximate.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | row in partition
 
+def _slice_expr(x: Column, bounds: list) -> Column:
+    """Index of the slice holding ``x``: the number of bounds ``<= x``,
+    as a balanced tree of comparisons (depth log2 of the slice count)."""
+    def tree(lo: int, hi: int) -> Column:  # bounds[lo:hi], answer offset lo
+        if lo >= hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(x < F.lit(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+    return tree(0, len(bounds))
 
-def with_sequence(df: DataFrame, order_cols: list[str], name: str = "seq",
-                  num_partitions: int | None = None) -> DataFrame:
-    """Add ``name``: the 0-based position of each row in ``order_cols`` order.
 
-    ``order_cols`` must identify a row uniquely (add a tie-breaking id);
-    then the numbering is deterministic and exact.
-    """
+def quantile_bounds(df: DataFrame, col: str, slices: int) -> list:
+    if slices <= 1:
+        return []
+    probs = [i / slices for i in range(1, slices)]
+    qs = df.approxQuantile(col, probs, 1.0 / (4 * slices))
+    return sorted(set(q for q in qs if q is not None))
+
+
+def with_sequence(df: DataFrame, order_cols: list[str], name: str = "seq",
+                  group_cols: list[str] | None = None, slices: int | None = None) -> DataFrame:
+    """Add ``name``: the 0-based position of each row within ``group_cols``
+    in ``order_cols`` order. ``order_cols[0]`` must be numeric and the
+    order columns must identify a row within its group."""
+    group_cols = group_cols or []
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (
-        df.repartitionByRange(n, *order_cols)
-        .sortWithinPartitions(*order_cols)
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
-        .withColumn("_local", F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1))
-    )
-    sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition: the window below is over `n` rows, not the data.
-    offsets = sizes.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0))
-         - F.col("_n")).alias("_off"),
-    )
-    return (
-        tagged.join(F.broadcast(offsets), "_pid")
-        .withColumn(name, F.col("_off") + F.col("_local"))
-        .drop("_mid", "_pid", "_local", "_off")
-    )
+    n = slices or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    bounds = quantile_bounds(df, order_cols[0], n)
+    sliced = df.withColumn("_slice", _slice_expr(F.col(order_cols[0]), bounds))
+    keys = [*group_cols, "_slice"]
+    rn = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)) - 1
+    counts = sliced.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    spec = (Window.partitionBy(*group_cols) if group_cols else Window).orderBy("_slice") \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    # one row per non-empty (group, slice): at most `slices` rows per group
+    offsets = counts.select(*keys, (F.sum("_n").over(spec) - F.col("_n")).alias("_off"))
+    return (sliced.withColumn("_rn", rn)
+            .join(offsets, keys)
+            .withColumn(name, F.col("_off") + F.col("_rn"))
+            .drop("_slice", "_rn", "_off"))
 
 
 def consecutive_islands(df: DataFrame, key_col: str, group_cols: list[str] | None = None,
                         name: str = "island") -> DataFrame:
     """Group runs of consecutive integers in ``key_col`` (unique per group).
 
-    Classic gaps-and-islands: ``key - position`` is constant along a run.
-    The position comes from `with_sequence`, so no single task sees all rows.
-    Within one group the position grows by one per row, so ``(group, key -
-    position)`` is constant along a run and differs between runs; no
-    per-group offset is needed.
+    Classic gaps-and-islands: within a group ``key - position`` is constant
+    along a run and grows from one run to the next. The position comes from
+    `with_sequence`, so no single task sees all rows.
     """
     group_cols = group_cols or []
-    seq = with_sequence(df, group_cols + [key_col], name="_pos")
+    seq = with_sequence(df, [key_col], name="_pos", group_cols=group_cols)
     return seq.withColumn(name, F.col(key_col) - F.col("_pos")).drop("_pos")

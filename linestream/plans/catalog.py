@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import bursts as B
+from ..operators import batches as BA
 from ..operators import parse as P
 from ..operators import geotag as G
 from ..sources import fences as FS
@@ -41,7 +42,12 @@ def query(name: str, oracle: str | None = None):
 # Bursts (AGG-1..4)
 # --------------------------------------------------------------------------
 
-_ROW_BURSTS = f"""lr AS (select topic, ms, event_id, value from latency_lines),
+def _row_bursts(src: str) -> str:
+    """Row-level burst ids in DuckDB: lag islands per topic."""
+    return _ROW_BURSTS_LATENCY.replace("from latency_lines", f"from {src}")
+
+
+_ROW_BURSTS_LATENCY = f"""lr AS (select topic, ms, event_id, key, value from latency_lines),
 lg AS (select *, case when lag(ms) over w is null or ms - lag(ms) over w > {GAP_MS} then 1 else 0 end as s
        from lr window w as (partition by topic order by ms, event_id)),
 lb AS (select *, sum(s) over (partition by topic order by ms, event_id rows unbounded preceding) as burst
@@ -58,14 +64,14 @@ def record_count(spark, sf_dir):
 
 @query("burst_count", O.with_views(
     "select topic, min(ms) as start_ms, max(ms) as end_ms, count(*) as n from lb group by topic, burst",
-    _ROW_BURSTS))
+    _ROW_BURSTS_LATENCY))
 def burst_count(spark, sf_dir):
     return B.bursts(T.latency_lines(spark, sf_dir), GAP_MS)
 
 
 @query("burst_rate", O.with_views(
     f"select topic, min(ms) as start_ms, max(ms) as end_ms, count(*) as n, {_RATE_SQL} as rate "
-    "from lb group by topic, burst", _ROW_BURSTS))
+    "from lb group by topic, burst", _ROW_BURSTS_LATENCY))
 def burst_rate(spark, sf_dir):
     return B.burst_rates(T.latency_lines(spark, sf_dir), GAP_MS)
 
@@ -84,7 +90,7 @@ lf AS (select *, (cut_ms is null or ms < cut_ms or (ms = cut_ms and event_id < c
     f"""select topic, min(ms) as start_ms, max(ms) as end_ms, count(*) as n, {_RATE_SQL} as rate,
   cast(coalesce(sum(case when ok then ms - sent end), 0) as double) / cast(count(*) as double) as avg_latency,
   count(case when ok then 1 end) as valid_n
-from lf group by topic, burst""", _ROW_BURSTS, _LATENCY_ROWS))
+from lf group by topic, burst""", _ROW_BURSTS_LATENCY, _LATENCY_ROWS))
 def burst_latency(spark, sf_dir):
     return B.burst_latency(T.latency_lines(spark, sf_dir), GAP_MS)
 
@@ -284,4 +290,72 @@ def geotag(spark, sf_dir):
 def geotag_filtered(spark, sf_dir):
     return geotag(spark, sf_dir).where(F.col("geotag") != "")
 
+
+# --------------------------------------------------------------------------
+# Sampling and batch statistics (FLT-4, SNK-5, AGG-7..10)
+# --------------------------------------------------------------------------
+
+_IDX = """li AS (select *, row_number() over (partition by topic, burst order by ms, event_id) - 1 as idx from lb)"""
+
+
+@query("every_nth", O.with_views(
+    f"select topic, event_id, idx from li where idx % {EVERY_NTH} = 0",
+    _row_bursts("simfile_lines"), _IDX))
+def every_nth(spark, sf_dir):
+    lines = T.simfile_lines(spark, sf_dir)
+    return B.every_nth(lines, EVERY_NTH, GAP_MS).select("topic", "event_id", "idx")
+
+
+@query("console_sample", O.with_views(
+    f"""select event_id, idx, concat(cast(idx as varchar), '>> ', coalesce(key, 'null'), ':', value) as line
+from li where idx % {EVERY_NTH} = 0 and length(value) > 0""", _row_bursts("simfile_lines"), _IDX))
+def console_sample(spark, sf_dir):
+    """SNK-5 as a table: ``idx>> key:line`` for sampled, non-empty lines."""
+    lines = T.simfile_lines(spark, sf_dir)
+    s = B.every_nth(lines, EVERY_NTH, GAP_MS).where(F.length("value") > 0)
+    return s.select("event_id", "idx", F.concat(F.col("idx").cast("string"), F.lit(">> "),
+                                                 F.coalesce(F.col("key"), F.lit("null")), F.lit(":"),
+                                                 F.col("value")).alias("line"))
+
+
+_RATE_I = f"cast(1000 as double) * count(*) / cast({INTERVAL_MS} as double)"
+
+
+@query("batch_stats", O.with_views(f"""select (ms // {INTERVAL_MS}) * {INTERVAL_MS} as window_start_ms,
+  (ms // {INTERVAL_MS} + 1) * {INTERVAL_MS} as window_end_ms, count(*) as n, {_RATE_I} as rate
+from latency_lines group by ms // {INTERVAL_MS}"""))
+def batch_stats(spark, sf_dir):
+    return BA.batch_stats(T.latency_lines(spark, sf_dir), INTERVAL_MS)
+
+
+_BATCH_RUNS = f"""bw AS (select ms // {INTERVAL_MS} as w, count(*) as n from latency_lines group by 1),
+bi AS (select *, w - row_number() over (order by w) as run from bw)"""
+
+
+@query("run_stats", O.with_views(f"""select min(w) * {INTERVAL_MS} as start_ms, (max(w) + 1) * {INTERVAL_MS} as end_ms,
+  cast(sum(n) as bigint) as n, count(*) as batches,
+  round(avg(cast(1000 as double) * n / cast({INTERVAL_MS} as double)), 6) as avg_rate
+from bi group by run""", _BATCH_RUNS))
+def run_stats(spark, sf_dir):
+    return BA.run_stats(T.latency_lines(spark, sf_dir), INTERVAL_MS)
+
+
+@query("microbatch_burst", O.with_views(f"""select (min(w) + 1) * {INTERVAL_MS} as start_ms, (max(w) + 1) * {INTERVAL_MS} as end_ms,
+  cast(sum(n) as bigint) as n,
+  case when max(w) > min(w) then cast(1000 as double) * cast(sum(n) as double)
+       / cast((max(w) - min(w)) * {INTERVAL_MS} as double) end as rate
+from bi group by run""", _BATCH_RUNS))
+def microbatch_burst(spark, sf_dir):
+    return BA.microbatch_burst(T.latency_lines(spark, sf_dir), INTERVAL_MS)
+
+
+@query("running_burst_count", O.with_views(f"""select topic, (w + 1) * {INTERVAL_MS} as batch_ms, n,
+  cast(sum(n) over (partition by topic, burst order by w rows unbounded preceding) as bigint) as running_n
+from (select *, sum(s) over (partition by topic order by w rows unbounded preceding) as burst
+  from (select *, case when lag(w) over (partition by topic order by w) is null
+          or (w - lag(w) over (partition by topic order by w)) * {INTERVAL_MS} > {GAP_MS} then 1 else 0 end as s
+        from (select topic, ms // {INTERVAL_MS} as w, count(*) as n from latency_lines group by all)))"""))
+def running_burst_count(spark, sf_dir):
+    return BA.running_burst_count(T.latency_lines(spark, sf_dir), INTERVAL_MS, GAP_MS)
+
 FLAGSHIP = "geotag"
