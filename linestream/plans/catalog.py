@@ -17,6 +17,11 @@ from ..operators import batches as BA
 from ..operators import parse as P
 from ..operators import geotag as G
 from ..sources import fences as FS
+from ..sources import kafka as K
+from ..operators import registry as R
+from ..sinks import writers as W
+from ..streaming import runner as RUN
+from ..session import fresh_path
 from ..sources import tables as T
 from . import oracle_base as O
 
@@ -358,4 +363,222 @@ from (select *, sum(s) over (partition by topic order by w rows unbounded preced
 def running_burst_count(spark, sf_dir):
     return BA.running_burst_count(T.latency_lines(spark, sf_dir), INTERVAL_MS, GAP_MS)
 
+
+# --------------------------------------------------------------------------
+# Sources (SRC-1..5)
+# --------------------------------------------------------------------------
+
+STREAM_CHUNKS = 5
+SUBSCRIPTION = ["click", "view"]
+PREVIEW_LINES = 1000
+BULK_SIZE = 500
+
+
+def _line_stream(spark, lines: DataFrame, what: str) -> DataFrame:
+    """A line view replayed as a stream of time-ordered files."""
+    path = RUN.write_stream_files(lines, "event_id", STREAM_CHUNKS)
+    return RUN.file_stream(spark, path, lines.schema)
+
+
+@query("line_source", O.with_views(
+    "select topic, partition_id as partition, event_id as offset, key, value from simfile_lines"))
+def line_source(spark, sf_dir):
+    """SRC-1 / PRJ-7: every record of every topic, through a stream."""
+    st = _line_stream(spark, T.simfile_lines(spark, sf_dir), "line-source")
+    rec = K.lines_as_records(st).select("topic", "partition", "offset", "key", "value")
+    return RUN.run_to_files(rec, "line-source")
+
+
+@query("multi_topic_source", O.with_views(
+    "select topic, partition_id as partition, event_id as offset, key, value from simfile_lines "
+    f"where topic in ({', '.join(repr(t) for t in SUBSCRIPTION)})"))
+def multi_topic_source(spark, sf_dir):
+    """SRC-2: a comma-separated topic list."""
+    st = _line_stream(spark, T.simfile_lines(spark, sf_dir), "multi-topic")
+    rec = K.subscribe(K.lines_as_records(st), ",".join(SUBSCRIPTION))
+    return RUN.run_to_files(rec.select("topic", "partition", "offset", "key", "value"), "multi-topic")
+
+
+@query("bounded_partition_count", O.with_views(
+    "select topic, count(*) as n from latency_lines where partition_id = 0 group by topic"))
+def bounded_partition_count(spark, sf_dir):
+    """SRC-3 + AGG-6: a bounded read of partition 0, counted."""
+    rec = K.lines_as_records(T.latency_lines(spark, sf_dir))
+    return rec.where(F.col("partition") == 0).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("key_value_dump", O.with_views(
+    "select event_id, concat(coalesce(key, 'null'), ':', value) as line from simfile_lines"))
+def key_value_dump(spark, sf_dir):
+    """SRC-4: ``key:value`` for every record."""
+    rec = T.simfile_lines(spark, sf_dir)
+    return rec.select("event_id", F.concat(F.coalesce("key", F.lit("null")), F.lit(":"), "value").alias("line"))
+
+
+@query("file_preview", O.with_views(f"""select f.value as line, t.geotag, s.error from
+  (select event_id, value from simfile_lines order by event_id limit {PREVIEW_LINES}) f
+  join sfp s on s.event_id = f.event_id left join tags t on t.event_id = f.event_id
+where s.error is not null or t.geotag <> ''""", _SF_PARSE, _PAIRS))
+def file_preview(spark, sf_dir):
+    """SRC-5 + LIM-1: a text file of lines; the first 1,000 input lines (the
+    limit comes before the transform) go through the geotag transform and
+    lines with non-empty output are shown with their output."""
+    path = fresh_path(spark, "preview")
+    (T.simfile_lines(spark, sf_dir).orderBy("event_id").select("value")
+     .coalesce(1).write.text(path))
+    first = spark.read.text(path).limit(PREVIEW_LINES)
+    first = first.withColumn("line", F.col("value"))
+    typed = P.simfile_typed(first, keep=["line"])
+    tagged = G.geotag(typed, FS.nation_fences(spark, sf_dir), row_key="line")
+    shown = tagged.where(F.col("error").isNotNull() | (F.col("geotag") != ""))
+    return shown.select("line", F.when(F.col("error").isNull(), F.col("geotag")).alias("geotag"), "error")
+
+
+# --------------------------------------------------------------------------
+# Transforms, forwarding and index sinks (UDF-1, PRJ-8, SNK-1..4, FLT-1)
+# --------------------------------------------------------------------------
+
+@query("noop_transform", O.with_views("select event_id, 'NOOP' as name, value from simfile_lines"))
+def noop_transform(spark, sf_dir):
+    out = R.apply("NOOP", T.simfile_lines(spark, sf_dir))
+    return out.select("event_id", F.lit("NOOP").alias("name"), "value")
+
+
+@query("transform_registry", O.with_views("""select l.event_id, 'noop' as name, 'line' as status, cast(null as bigint) as tm
+  from simfile_lines l
+union all
+select event_id, 'SimFile' as name, case when error is null then 'doc' else 'error' end as status, tm from sfp""", _SF_PARSE))
+def transform_registry(spark, sf_dir):
+    """Two transforms picked by name (case ignored), results side by side."""
+    lines = T.simfile_lines(spark, sf_dir).select("event_id", "value")
+    outs = []
+    for name in ["noop", "SimFile"]:
+        o = R.apply(name, lines)
+        is_doc = F.col("value").startswith('{"attr"')
+        status = (F.when(F.lit(name.lower() == "noop"), F.lit("line"))
+                  .when(is_doc, F.lit("doc")).otherwise(F.lit("error")))
+        tm = F.when(F.lit(name.lower() != "noop") & is_doc,
+                    F.get_json_object("value", "$.attr.tm").cast("long"))
+        outs.append(o.select("event_id", F.lit(name).alias("name"), status.alias("status"), tm.alias("tm")))
+    return outs[0].unionByName(outs[1])
+
+
+_FORWARD_SCHEMA = ("attr struct<tm: bigint, id: int, dtg: string, rt: string, spd: double, brg: double, "
+                   "geotag: string>, error string")
+
+
+@query("transform_forward", O.with_views("""select l.event_id, l.key, s.tm, t.geotag, s.error
+from simfile_lines l join sfp s on s.event_id = l.event_id left join tags t on t.event_id = l.event_id
+where s.error is not null or t.geotag <> ''""", _SF_PARSE, _PAIRS))
+def transform_forward(spark, sf_dir):
+    """SNK-1: geotag transform with filter, empties dropped, input key kept,
+    written to the topic stand-in and read back."""
+    rec = K.lines_as_records(T.simfile_lines(spark, sf_dir))
+    out = R.drop_empty(R.apply("geotag", rec, fences=FS.nation_fences(spark, sf_dir), filter=True,
+                               row_key="offset"))
+    path = W.kafka_stand_in_write(out.select("key", "value", "topic", "partition", "offset"),
+                                  fresh_path(spark, "topic-out"))
+    back = spark.read.parquet(path)
+    d = back.select("offset", "key", F.from_json("value", _FORWARD_SCHEMA).alias("d"))
+    return d.select(F.col("offset").alias("event_id"), "key", F.col("d.attr.tm").alias("tm"),
+                    F.col("d.attr.geotag").alias("geotag"), F.col("d.error").alias("error"))
+
+
+_SOURCE_SCHEMA = ("attr: struct<tm: bigint, id: int, dtg: string, rt: string, spd: double, brg: double>, "
+                  "geom: struct<x: double, y: double, spatialReference: struct<wkid: int>>, error: string")
+_INDEX_ORACLE = O.with_views("""select concat_ws('-', l.topic, cast(l.partition_id as varchar), cast(l.event_id as varchar)) as doc_id,
+  s.tm, s.id, s.rt, s.lon as x, s.lat as y, s.error
+from simfile_lines l join sfp s on s.event_id = l.event_id""", _SF_PARSE)
+
+
+def _index_back(spark, path) -> DataFrame:
+    b = W.index_read(spark, path, _SOURCE_SCHEMA)
+    return b.select(F.col("_id").alias("doc_id"), F.col("_source.attr.tm").alias("tm"),
+                    F.col("_source.attr.id").alias("id"), F.col("_source.attr.rt").alias("rt"),
+                    F.col("_source.geom.x").alias("x"), F.col("_source.geom.y").alias("y"),
+                    F.col("_source.error").alias("error"))
+
+
+@query("index_json_bulk", _INDEX_ORACLE)
+def index_json_bulk(spark, sf_dir):
+    """SNK-2: JSON documents into the bulk index layout, read back."""
+    rec = K.lines_as_records(T.simfile_lines(spark, sf_dir))
+    docs = R.apply("simfile", rec).select(W.doc_id().alias("doc_id"), F.col("value").alias("doc"))
+    path = W.index_write(docs, fresh_path(spark, "index"), "simulator", "simfile", BULK_SIZE)
+    return _index_back(spark, path)
+
+
+@query("index_json_microbatch", _INDEX_ORACLE)
+def index_json_microbatch(spark, sf_dir):
+    """SNK-3: the same writer called once per micro-batch of a stream."""
+    st = K.lines_as_records(_line_stream(spark, T.simfile_lines(spark, sf_dir), "index-mb"))
+    root = fresh_path(spark, "index-mb")
+    target = {}
+
+    def each(batch: DataFrame, batch_id: int):
+        docs = R.apply("simfile", batch).select(W.doc_id().alias("doc_id"), F.col("value").alias("doc"))
+        target["path"] = W.index_write(docs, root, "simulator", "simfile", BULK_SIZE)
+
+    RUN.run_foreach_batch(st, "index-mb", each)
+    return _index_back(spark, f"{root}/index=simulator/type=simfile")
+
+
+@query("index_csv_typed", O.with_views("""select concat_ws('-', l.topic, cast(l.partition_id as varchar), cast(l.event_id as varchar)) as doc_id,
+  s.tm, s.id, s.dtg, s.rt, s.lon, s.lat, s.speed, s.bearing
+from simfile_lines l join ssp s on s.event_id = l.event_id where s.error is null""", _SPLIT_PARSE))
+def index_csv_typed(spark, sf_dir):
+    """SNK-4: plain-split typed records as documents; bad rows go to a
+    dead-letter layout instead of failing the batch."""
+    rec = K.lines_as_records(T.simfile_lines(spark, sf_dir))
+    typed = P.simfile_split_typed(rec, keep=["topic", "partition", "offset"])
+    fields = [n for n, _ in P.SPLIT_FIELDS]
+    root = fresh_path(spark, "index-csv")
+    good = typed.where("error is null").select(
+        W.doc_id().alias("doc_id"), F.to_json(F.struct(*fields)).alias("doc"))
+    path = W.index_write(good, root, "sink", "simfile", BULK_SIZE)
+    bad = typed.where("error is not null").select(
+        W.doc_id().alias("doc_id"), F.to_json(F.struct("error")).alias("doc"))
+    W.index_write(bad, root, "sink", "simfile_errors", BULK_SIZE)
+    schema = ", ".join(f"{n}: {t}" for n, t in [("tm", "bigint"), ("id", "string"), ("dtg", "string"),
+                                                  ("rt", "string"), ("lon", "double"), ("lat", "double"),
+                                                  ("speed", "double"), ("bearing", "double")])
+    b = W.index_read(spark, path, schema)
+    return b.select(F.col("_id").alias("doc_id"), *[F.col(f"_source.{n}").alias(n) for n in fields])
+
+
+# --------------------------------------------------------------------------
+# Metrics table and history (SNK-6, AGG-11)
+# --------------------------------------------------------------------------
+
+_METRICS_SQL = f"""ml AS (select topic, max(ms) + {GAP_MS} as closed_ms, count(*) as count, {_RATE_SQL} as rate,
+  cast(coalesce(sum(case when ok then ms - sent end), 0) as double) / cast(count(*) as double) as latency
+from lf group by topic, burst)"""
+
+
+def _metrics_table(spark, sf_dir) -> DataFrame:
+    bursts = B.burst_latency(T.latency_lines(spark, sf_dir), GAP_MS)
+    path = W.metrics_append(bursts, fresh_path(spark, "metrics"), GAP_MS)
+    return spark.read.parquet(path)
+
+
+@query("burst_metrics_table", O.with_views("select * from ml", _ROW_BURSTS_LATENCY, _LATENCY_ROWS, _METRICS_SQL))
+def burst_metrics_table(spark, sf_dir):
+    return _metrics_table(spark, sf_dir)
+
+
+@query("metrics_history", O.with_views("""select topic, list(count order by closed_ms) as counts,
+  list(rate order by closed_ms) as rates, list(latency order by closed_ms) as latencies,
+  max(closed_ms) as last_closed_ms
+from ml group by topic""", _ROW_BURSTS_LATENCY, _LATENCY_ROWS, _METRICS_SQL))
+def metrics_history(spark, sf_dir):
+    """AGG-11: per topic, the history lists in close order plus the last
+    close time (the payload of the original's count page)."""
+    m = _metrics_table(spark, sf_dir)
+    h = m.groupBy("topic").agg(
+        F.array_sort(F.collect_list(F.struct("closed_ms", "count", "rate", "latency"))).alias("h"),
+        F.max("closed_ms").alias("last_closed_ms"))
+    return h.select("topic", F.transform("h", lambda x: x["count"]).alias("counts"),
+                    F.transform("h", lambda x: x["rate"]).alias("rates"),
+                    F.transform("h", lambda x: x["latency"]).alias("latencies"), "last_closed_ms")
+
 FLAGSHIP = "geotag"
