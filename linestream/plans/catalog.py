@@ -21,6 +21,7 @@ from ..sources import kafka as K
 from ..operators import registry as R
 from ..sinks import writers as W
 from ..streaming import runner as RUN
+from ..streaming import streams as S
 from ..session import fresh_path
 from ..sources import tables as T
 from . import oracle_base as O
@@ -581,4 +582,38 @@ def metrics_history(spark, sf_dir):
                     F.transform("h", lambda x: x["rate"]).alias("rates"),
                     F.transform("h", lambda x: x["latency"]).alias("latencies"), "last_closed_ms")
 
+
+# --------------------------------------------------------------------------
+# Streams (STR-2, STR-3, STR-6, STR-7)
+# --------------------------------------------------------------------------
+
+@query("stream_transform", ORACLES["simfile_to_doc"])
+def stream_transform(spark, sf_dir):
+    st = _line_stream(spark, T.simfile_lines(spark, sf_dir), "stream-transform")
+    out = RUN.run_to_files(S.stream_documents(st), "stream-transform")
+    return _reparsed(out, _SF_ATTR_TYPES)
+
+
+@query("stream_geotag", ORACLES["geotag"])
+def stream_geotag(spark, sf_dir):
+    st = _line_stream(spark, T.simfile_lines(spark, sf_dir), "stream-geotag")
+    return RUN.run_to_files(S.stream_geotag(st, FS.nation_fences(spark, sf_dir)), "stream-geotag")
+
+
+@query("stream_burst_count", O.with_views(
+    "select topic, min(ms) as start_ms, max(ms) as end_ms, count(*) as n from lb group by topic, burst "
+    f"having max(ms) + {GAP_MS} <= (select max(ms) from latency_lines)", _ROW_BURSTS_LATENCY))
+def stream_burst_count(spark, sf_dir):
+    st = _line_stream(spark, T.latency_lines(spark, sf_dir).select("event_id", "ms", "topic"), "stream-bursts")
+    return RUN.run_to_files(S.stream_bursts(st, GAP_MS), "stream-bursts")
+
+
+@query("stream_batch_stats", O.with_views(f"""select (ms // {INTERVAL_MS}) * {INTERVAL_MS} as window_start_ms,
+  (ms // {INTERVAL_MS} + 1) * {INTERVAL_MS} as window_end_ms, count(*) as n, {_RATE_I} as rate
+from latency_lines group by ms // {INTERVAL_MS}
+having (ms // {INTERVAL_MS} + 1) * {INTERVAL_MS} <= (select max(ms) from latency_lines)"""))
+def stream_batch_stats(spark, sf_dir):
+    st = _line_stream(spark, T.latency_lines(spark, sf_dir).select("event_id", "ms"), "stream-batches")
+    return RUN.run_to_files(S.stream_batch_stats(st, INTERVAL_MS), "stream-batches")
+
 FLAGSHIP = "geotag"
