@@ -41,21 +41,41 @@ def _typed(raw: Column, kind: str) -> Column:
 
 def _parse_fields(df: DataFrame, tokens: Column, fields, keep: list[str],
                   finite: list[str]) -> DataFrame:
-    """Typed columns + ``error`` from an array of tokens."""
-    tok = df.select(*keep, F.col("value"), tokens.alias("_t"))
-    typed = [(name, kind, X.token(F.col("_t"), i)) for i, (name, kind) in enumerate(fields)]
+    """Typed columns + ``error`` from an array of tokens.
+
+    Three projections: raw tokens, then each field parsed once, then the
+    reason; the optimizer keeps them apart because the parsed values are
+    referenced many times, so nothing is evaluated twice per row."""
+    n = len(fields)
+    raw = df.select(*keep, F.col("value"), tokens.alias("_t")).select(
+        *keep, F.col("value"), *[X.token(F.col("_t"), i).alias(f"_r{i}") for i in range(n)])
+    parsed = raw.select(*keep, F.col("value"), *[F.col(f"_r{i}") for i in range(n)],
+                        *[_typed(F.col(f"_r{i}"), kind).alias(f"_p{i}")
+                          for i, (_, kind) in enumerate(fields)])
     reason = F.when(F.col("value").isNull(), F.lit(R_NULL_LINE))
-    for name, kind, raw in typed:
-        reason = reason.when(raw.isNull(), F.lit(R_MISSING))
+    for i, (name, kind) in enumerate(fields):
+        reason = reason.when(F.col(f"_r{i}").isNull(), F.lit(R_MISSING))
         if kind != "string":
-            reason = reason.when(_typed(raw, kind).isNull(), F.lit(f"bad_{name}"))
+            reason = reason.when(F.col(f"_p{i}").isNull(), F.lit(f"bad_{name}"))
+    names = [nm for nm, _ in fields]
     for name in finite:
-        idx = [n for n, _, _ in typed].index(name)
-        v = _typed(typed[idx][2], "double")
+        v = F.col(f"_p{names.index(name)}")
         reason = reason.when(F.isnan(v) | (F.abs(v) == float("inf")), F.lit(R_NON_FINITE))
-    ok = reason.isNull()
-    cols = [F.when(ok, _typed(raw, kind)).alias(name) for name, kind, raw in typed]
-    return tok.select(*keep, *cols, reason.alias("error"))
+    judged = parsed.select(*keep, *[F.col(f"_p{i}") for i in range(n)], reason.alias("error"))
+    ok = F.col("error").isNull()
+    return _emit(judged, [*keep, *[F.when(ok, F.col(f"_p{i}")).alias(name) for i, name in enumerate(names)],
+                          F.col("error")])
+
+
+def _emit(df: DataFrame, cols: list) -> DataFrame:
+    """Emit the parsed row through a generator (one row in, one row out).
+
+    A later filter on ``error`` (or on a parsed value) then stays above the
+    parse: the optimizer does not push predicates on generator output below
+    the generator, so it cannot copy the whole parse expression into a
+    filter next to the scan and evaluate it twice per row."""
+    cols = [F.col(c) if isinstance(c, str) else c for c in cols]
+    return df.select(F.inline(F.array(F.struct(*cols))))
 
 
 def tokens_exploded(lines: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -114,10 +134,12 @@ def faa_typed(lines: DataFrame, keep: list[str] | None = None, zone: str = "UTC"
               .when(lat.isNull(), F.lit("bad_lat"))
               .when(F.isnan(lon) | F.isnan(lat) | (F.abs(lon) == float("inf"))
                     | (F.abs(lat) == float("inf")), F.lit(R_NON_FINITE)))
-    ok = reason.isNull()
-    return tok.select(*keep, F.when(ok, raw[2]).alias("tn"), F.when(ok, stamp).alias("timestamp"),
-                      F.when(ok, lon).alias("lon"), F.when(ok, lat).alias("lat"),
-                      reason.alias("error"))
+    parsed = tok.select(*keep, raw[2].alias("_tn"), stamp.alias("_ts"), lon.alias("_lon"),
+                        lat.alias("_lat"), reason.alias("error"))
+    ok = F.col("error").isNull()
+    return _emit(parsed, [*keep, F.when(ok, F.col("_tn")).alias("tn"), F.when(ok, F.col("_ts")).alias("timestamp"),
+                          F.when(ok, F.col("_lon")).alias("lon"), F.when(ok, F.col("_lat")).alias("lat"),
+                          F.col("error")])
 
 
 # --------------------------------------------------------------------------

@@ -616,4 +616,10 @@ def stream_batch_stats(spark, sf_dir):
     st = _line_stream(spark, T.latency_lines(spark, sf_dir).select("event_id", "ms"), "stream-batches")
     return RUN.run_to_files(S.stream_batch_stats(st, INTERVAL_MS), "stream-batches")
 
-FLAGSHIP = "geotag"
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parse simFile records → typed columns → point-in-fence join → tag →
+    JSON document (errors as error documents), key kept."""
+    rec = K.lines_as_records(T.simfile_lines(spark, sf_dir))
+    out = R.apply("geotag", rec, fences=FS.nation_fences(spark, sf_dir), filter=False, row_key="offset")
+    return out.select(F.col("offset").alias("event_id"), "key", "value")

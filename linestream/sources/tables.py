@@ -22,10 +22,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A source with fewer input splits than task slots (one small file, one
+    row group) would run all per-row work in few tasks; spread it round-robin
+    over the slots. A large input already has enough splits and is left as is,
+    so no shuffle is added at scale."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def events_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`ev`: arrival ms, topic, partition, key and the formatted fields."""
     ensure_defaults(spark)
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"))
     return ev.select(
         "event_id",
         F.expr("unix_millis(cast(ts as timestamp))").alias("ms"),

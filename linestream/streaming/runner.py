@@ -28,7 +28,8 @@ def write_stream_files(df: DataFrame, order_col: str, chunks: int) -> str:
             part = part.where(F.col(order_col) >= lo)
         if hi is not None:
             part = part.where(F.col(order_col) < hi)
-        part.write.mode("append").parquet(path)
+        # one file per chunk: a micro-batch of the replay holds one time range
+        part.coalesce(1).write.mode("append").parquet(path)
     return path
 
 
