@@ -18,6 +18,7 @@ from ..operators import parse as P
 from ..operators import geotag as G
 from ..sources import fences as FS
 from ..sources import kafka as K
+from ..sources import text as TX
 from ..operators import registry as R
 from ..sinks import writers as W
 from ..streaming import runner as RUN
@@ -425,9 +426,9 @@ def file_preview(spark, sf_dir):
     limit comes before the transform) go through the geotag transform and
     lines with non-empty output are shown with their output."""
     path = fresh_path(spark, "preview")
-    (T.simfile_lines(spark, sf_dir).orderBy("event_id").select("value")
-     .coalesce(1).write.text(path))
-    first = spark.read.text(path).limit(PREVIEW_LINES)
+    # the lines as text, in event order over range-partitioned part files
+    T.simfile_lines(spark, sf_dir).orderBy("event_id").select("value").write.text(path)
+    first = TX.first_lines(spark, path, PREVIEW_LINES)
     first = first.withColumn("line", F.col("value"))
     typed = P.simfile_typed(first, keep=["line"])
     tagged = G.geotag(typed, FS.nation_fences(spark, sf_dir), row_key="line")

@@ -1,5 +1,9 @@
 """Run a streaming plan over file stand-ins and read its output back.
 
+The file replay stands in for a Kafka topic in queries and tests (no
+Kafka broker or connector here); on a cluster the stream comes from
+`sources.kafka.kafka_stream`, whose topic partitions give the parallelism.
+
 Input lines are written as parquet files in time order (one append per
 chunk, so file modification times follow event time and ``maxFilesPerTrigger``
 replays them as successive micro-batches). Output goes to a file sink with
