@@ -44,7 +44,7 @@ def load_fences(spark, path: str, field_name: str, multiline: bool = True):
         # document order within a file; files are independent fence sets
         feats = raw.select(F.monotonically_increasing_id().alias("pos"),
                            F.struct("geometry", "attributes").alias("f"))
-    named = feats.select("pos", F.col("f.attributes").getItem(field_name).alias("name"),
+    named = feats.select(F.col("pos").cast("long").alias("pos"), F.col("f.attributes").getItem(field_name).alias("name"),
                          F.col("f.geometry.rings").alias("rings"))
     bad = (F.col("rings").isNull() | (F.size("rings") == 0))
     err = F.when(bad, F.lit("no_polygon")).when(F.col("name").isNull(), F.lit("no_name"))

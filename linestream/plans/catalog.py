@@ -160,10 +160,10 @@ faap AS (select event_id, case when error is null then r2 end as tn,
     case when error is null then p_lat end as lat, error from faa_e)"""
 
 
-@query("tokenize", O.with_views("""select 'simfile' as format, event_id, pos, token from (
+@query("tokenize", O.with_views("""select 'simfile' as format, event_id, cast(pos as integer) as pos, token from (
   select event_id, unnest(range(len(t))) as pos, unnest(t) as token from sfp_t)
 union all
-select 'faa' as format, event_id, pos, token from (
+select 'faa' as format, event_id, cast(pos as integer) as pos, token from (
   select event_id, unnest(range(len(t))) as pos, unnest(t) as token from faa_t)""", _SF_PARSE, _FAA_PARSE))
 def tokenize(spark, sf_dir):
     sf = P.tokens_exploded(T.simfile_lines(spark, sf_dir)).select(F.lit("simfile").alias("format"), "*")
@@ -515,11 +515,13 @@ def index_json_microbatch(spark, sf_dir):
     """SNK-3: the same writer called once per micro-batch of a stream."""
     st = K.lines_as_records(_line_stream(spark, T.simfile_lines(spark, sf_dir), "index-mb"))
     root = fresh_path(spark, "index-mb")
-    target = {}
 
     def each(batch: DataFrame, batch_id: int):
+        # one folder per batch id, overwritten on replay: a batch re-run after
+        # a failure replaces its own output instead of adding duplicates
         docs = R.apply("simfile", batch).select(W.doc_id().alias("doc_id"), F.col("value").alias("doc"))
-        target["path"] = W.index_write(docs, root, "simulator", "simfile", BULK_SIZE)
+        W.index_write(docs, root, "simulator", "simfile", BULK_SIZE, mode="overwrite",
+                      batch_id=batch_id)
 
     RUN.run_foreach_batch(st, "index-mb", each)
     return _index_back(spark, f"{root}/index=simulator/type=simfile")

@@ -39,17 +39,22 @@ def bulk_lines(docs: DataFrame, doc_col: str = "doc", id_col: str = "doc_id") ->
 
 
 def index_write(docs: DataFrame, root: str, index: str, doc_type: str, bulk: int,
-                doc_col: str = "doc", id_col: str = "doc_id", mode: str = "append") -> str:
-    """SNK-2 / SNK-3: write one bulk layout; returns the folder of the type."""
+                doc_col: str = "doc", id_col: str = "doc_id", mode: str = "append",
+                batch_id: int | None = None) -> str:
+    """SNK-2 / SNK-3: write one bulk layout; returns the folder of the type.
+    With ``batch_id`` the batch goes to its own ``batch=<id>`` folder."""
     path = f"{root.rstrip('/')}/index={index}/type={doc_type}"
+    target = path if batch_id is None else f"{path}/batch={batch_id}"
     (bulk_lines(docs, doc_col, id_col).write.mode(mode)
-     .option("maxRecordsPerFile", bulk).text(path))
+     .option("maxRecordsPerFile", bulk).text(target))
     return path
 
 
 def index_read(spark, path: str, source_schema: str) -> DataFrame:
-    """Read a bulk layout back: ``_id`` and the parsed ``_source``."""
-    return spark.read.schema(f"_id string, _source struct<{source_schema}>").json(path)
+    """Read a bulk layout back: ``_id`` and the parsed ``_source`` (all
+    batch folders below the type folder)."""
+    return (spark.read.schema(f"_id string, _source struct<{source_schema}>")
+            .option("recursiveFileLookup", "true").json(path).select("_id", "_source"))
 
 
 def metrics_append(bursts: DataFrame, path: str, gap_ms: int) -> str:

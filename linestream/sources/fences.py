@@ -70,3 +70,12 @@ def write_fence_document(fences: DataFrame, path: str, field_name: str = FIELD_N
 
 def fence_document_path(spark: SparkSession, fences: DataFrame) -> str:
     return write_fence_document(fences, fresh_path(spark, "fences"))
+
+
+def write_fence_lines(fences: DataFrame, path: str, field_name: str = FIELD_NAME) -> str:
+    """The same features, one JSON object per line and many files: the form
+    for large fence sets (read with ``load_fences(..., multiline=False)``)."""
+    feat = F.struct(F.struct(F.col("rings").alias("rings")).alias("geometry"),
+                    F.struct(F.col("name").alias(field_name)).alias("attributes"))
+    fences.orderBy("pos").select(F.to_json(feat).alias("value")).write.mode("overwrite").text(path)
+    return path

@@ -200,3 +200,10 @@ def test_bulk_layout_respects_bulk_size(spark):
     assert sum(counts) == 1234 and max(counts) <= 100
     back = W.index_read(spark, path, "v: bigint")
     assert back.where(F.col("_id") == F.col("_source.v").cast("string")).count() == 1234
+
+
+def test_fence_lines_round_trip(spark):
+    from linestream.sources import fences as FS
+    path = FS.write_fence_lines(_fences(spark), fresh_path(spark, "fence-lines"))
+    good, bad = G.load_fences(spark, path, FS.FIELD_NAME, multiline=False)
+    assert sorted(r.name for r in good.collect()) == ["A", "B", "C"] and bad.count() == 0
