@@ -27,8 +27,12 @@ def spread(df: DataFrame) -> DataFrame:
     row group) would run all per-row work in few tasks; spread it round-robin
     over the slots. A large input already has enough splits and is left as is,
     so no shuffle is added at scale."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): keep the scan as is
+        return df
+    if splits < slots:
         return df.repartition(slots)
     return df
 
