@@ -24,7 +24,7 @@ def write_stream_files(df: DataFrame, order_col: str, chunks: int) -> str:
     append them one after the other into a new folder."""
     spark = df.sparkSession
     path = fresh_path(spark, "stream-in")
-    bounds = df.approxQuantile(order_col, [i / chunks for i in range(1, chunks)], 0.0) if chunks > 1 else []
+    bounds = df.approxQuantile(order_col, [i / chunks for i in range(1, chunks)], 0.001) if chunks > 1 else []
     edges = [None, *sorted(set(bounds)), None]
     for lo, hi in zip(edges[:-1], edges[1:]):
         part = df
