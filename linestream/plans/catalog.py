@@ -379,7 +379,7 @@ BULK_SIZE = 500
 def _line_stream(spark, lines: DataFrame, what: str) -> DataFrame:
     """A line view replayed as a stream of time-ordered files."""
     path = RUN.write_stream_files(lines, "event_id", STREAM_CHUNKS)
-    return RUN.file_stream(spark, path, lines.schema)
+    return RUN.spread_stream(RUN.file_stream(spark, path, lines.schema))
 
 
 @query("line_source", O.with_views(

@@ -42,6 +42,12 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int =
             .parquet(path))
 
 
+def spread_stream(stream: DataFrame) -> DataFrame:
+    """The replay holds one file per micro-batch (one task); spread each batch
+    over the task slots, as ``minPartitions`` does for a Kafka source."""
+    return stream.repartition(stream.sparkSession.sparkContext.defaultParallelism)
+
+
 def run_to_files(stream: DataFrame, what: str, output_mode: str = "append",
                  timeout_s: int = 600) -> DataFrame:
     """Drain the available input (availableNow) into a parquet sink; return
