@@ -10,7 +10,8 @@ literals, so every later evaluation of the plan slices identically). Then
 * a table with one row per ``(group, slice)`` gives each slice its offset
   (a running sum over at most ``slices`` rows per group).
 
-The position is exact; only the balance of the slices is approximate.
+The position is exact; only the balance of the slices is approximate (rows
+sharing one value of the leading order column stay in one slice).
 """
 
 from __future__ import annotations
