@@ -9,7 +9,7 @@ gap of exactly ``gap_ms`` stays inside). Exact and distributed:
    hot bucket is combined before the shuffle.
 2. On the bucket table (bounded by time span / gap per topic, not by the row
    count) a bucket starts a burst when ``lo - previous hi > gap``; the burst
-   id is the start bucket, carried forward with a running ``max``.
+   id is the start bucket, carried forward with a two-level running ``max``.
 3. Row-level facts (latency prefix, positions) join the bucket → burst map,
    broadcast only after its size is counted.
 """
@@ -36,20 +36,35 @@ def rate(n: Column, start_ms: Column, end_ms: Column) -> Column:
 
 
 def burst_buckets(rows: DataFrame, gap_ms: int, by: list[str] | None = None,
-                  extra_aggs: list[Column] | None = None) -> DataFrame:
-    """One row per non-empty ``(by, bucket)``: n, lo, hi, extras, burst."""
+                  extra_aggs: list[Column] | None = None, fan: int = 1024) -> DataFrame:
+    """One row per non-empty ``(by, bucket)``: n, lo, hi, extras, burst.
+
+    A bucket starts a burst when the bucket before it is empty (then the
+    gap is at least ``gap + 1``) or when ``lo - previous hi > gap``: an
+    equi-join with the bucket table shifted by one, no window. The burst id
+    (the latest start at or before the bucket) is a running ``max`` taken in
+    two levels, so no task orders more than ``fan`` buckets or more than
+    ``buckets / fan`` super-buckets of one topic.
+    """
     by = ["topic"] if by is None else by
     b = rows.withColumn("bucket", bucket_of(gap_ms))
     agg = b.groupBy(*by, "bucket").agg(
         F.count(F.lit(1)).alias("n"), F.min("ms").alias("lo"), F.max("ms").alias("hi"),
         *(extra_aggs or []))
-    w = Window.partitionBy(*by).orderBy("bucket")
-    prev_hi = F.lag("hi").over(w)
-    starts = prev_hi.isNull() | ((F.col("lo") - prev_hi) > gap_ms)
-    return (agg.withColumn("_start", starts)
-            .withColumn("burst", F.max(F.when(F.col("_start"), F.col("bucket")))
-                        .over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .drop("_start"))
+    prev = agg.select(*by, (F.col("bucket") + 1).alias("bucket"), F.col("hi").alias("_prev_hi"))
+    flagged = (agg.join(prev, [*by, "bucket"], "left")
+               .withColumn("_start", F.col("_prev_hi").isNull() | ((F.col("lo") - F.col("_prev_hi")) > gap_ms))
+               .withColumn("_sup", F.expr(f"(bucket - pmod(bucket, {fan})) div {fan}"))
+               .drop("_prev_hi"))
+    start_bucket = F.when(F.col("_start"), F.col("bucket"))
+    local = F.max(start_bucket).over(Window.partitionBy(*by, "_sup").orderBy("bucket")
+                                     .rowsBetween(Window.unboundedPreceding, 0))
+    sups = flagged.groupBy(*by, "_sup").agg(F.max(start_bucket).alias("_last"))
+    carry = sups.select(*by, "_sup", F.max("_last").over(
+        Window.partitionBy(*by).orderBy("_sup").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
+    return (flagged.withColumn("_local", local).join(carry, [*by, "_sup"])
+            .withColumn("burst", F.coalesce(F.col("_local"), F.col("_carry")))
+            .drop("_start", "_sup", "_local", "_carry"))
 
 
 def bursts(rows: DataFrame, gap_ms: int, by: list[str] | None = None) -> DataFrame:

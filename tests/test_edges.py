@@ -207,3 +207,13 @@ def test_fence_lines_round_trip(spark):
     path = FS.write_fence_lines(_fences(spark), fresh_path(spark, "fence-lines"))
     good, bad = G.load_fences(spark, path, FS.FIELD_NAME, multiline=False)
     assert sorted(r.name for r in good.collect()) == ["A", "B", "C"] and bad.count() == 0
+
+
+def test_bursts_across_super_buckets(spark):
+    # gap 10: buckets of width 10; fan 4 puts 4 buckets in a super-bucket, so
+    # bursts cross super-buckets and some super-buckets hold no start
+    ms = [0, 9, 18, 27, 36, 45, 54, 63, 72, 200, 205, 300]
+    df = spark.createDataFrame([(i, m, "t") for i, m in enumerate(ms)], "event_id long, ms long, topic string")
+    bb = B.burst_buckets(df, 10, fan=4)
+    got = sorted((r.bucket, r.burst) for r in bb.collect())
+    assert got == [(0, 0), (1, 0), (2, 0), (3, 0), (4, 0), (5, 0), (6, 0), (7, 0), (20, 20), (30, 30)]
