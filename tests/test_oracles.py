@@ -8,8 +8,8 @@ import __spark_entry__ as E
 from oracle_harness import compare, duck
 
 SF = os.environ.get("LINESTREAM_TEST_SF", "/root/testdata/sf0.001")
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = {k: v for k, v in E.queries().items() if k not in E.LLM_QUERIES}
+ORACLES = {k: v for k, v in E.oracle_sql().items() if k not in E.LLM_QUERIES}
 
 
 @pytest.fixture(scope="module")
