@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents
 from .exact_dedup import exact_dedup
+from .packing import best_fit_packing
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +30,10 @@ select doc_id, keep_id, group_size, (doc_id is not distinct from keep_id and cop
 """)
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
+
+
+@query("op6_best_fit_packing")
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return best_fit_packing(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
