@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents
 from .exact_dedup import exact_dedup
+from .language_id import identify
 from .packing import best_fit_packing
 
 QUERIES: dict = {}
@@ -37,3 +38,8 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return best_fit_packing(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir))
