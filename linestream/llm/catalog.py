@@ -8,6 +8,7 @@ from .common import documents
 from .exact_dedup import exact_dedup
 from .language_id import identify
 from .packing import best_fit_packing
+from .simhash import simhash_components
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -43,3 +44,8 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_language_id")
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
+
+
+@query("op2_simhash_dedup")
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(documents(spark, sf_dir), shingle=3, threshold=2)
