@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import mixing
 from .common import documents
 from .exact_dedup import exact_dedup
 from .language_id import identify
@@ -49,3 +51,49 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_simhash_dedup")
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(documents(spark, sf_dir), shingle=3, threshold=2)
+
+
+def mix_sql(targets: dict[str, int], others: int, block: int, table: str = "documents") -> str:
+    """The mix of `table` as DuckDB SQL: doc_id, lane, block, slot, position."""
+    names = sorted(targets)
+    listed = ", ".join(f"({i}, {targets[n]}, '{n}')" for i, n in enumerate(names))
+    return f"""
+with recursive listed(lane, weight, name) as (values {listed}, ({len(names)}, {others}, null)),
+d as (select t.doc_id, cast(coalesce(l.lane, {len(names)}) as int) as lane, md5(coalesce(cast(t.doc_id as varchar), 'null')) as digest
+      from {table} t left join listed l on l.name = t.source),
+r as (select doc_id, lane, row_number() over (partition by lane order by digest) - 1 as rank from d),
+lanes as (select r.lane, any_value(l.weight) as weight, count(*) as docs, (count(*) + {block - 1}) // {block} as blocks
+          from r join listed l using (lane) group by r.lane),
+firsts as (select distinct unnest([0, (blocks - 1) // weight, (blocks - 1) // weight + 1]) as first from lanes),
+member as (select first, lane, least(weight, blocks - first * weight) as c,
+                  row_number() over (partition by first order by lane) as i
+           from firsts, lanes where first <= (blocks - 1) // weight),
+kinds as (select first, sum(c) as size, list(c order by i) as cs, lead(first) over (order by first) as until
+          from member group by first),
+edf as (select first, size, cs, 0 as t, [0 for c in cs] as done, 0 as pick from kinds
+        union all
+        select first, size, cs, t + 1, [done[k] + (case when k = p then 1 else 0 end) for k in range(1, len(cs) + 1)], p
+        from (select first, size, cs, t, done,
+                     cast(list_min([case when done[k] < cs[k] and (done[k] * size) // cs[k] <= t
+                               then (((done[k] + 1) * size + cs[k] - 1) // cs[k]) * 100000 + k end
+                               for k in range(1, len(cs) + 1)]) % 100000 as bigint) as p
+              from edf where t < size) s),
+slots as (select e.first, e.t - 1 as slot, m.lane, row_number() over (partition by e.first, m.lane order by e.t) as j
+          from edf e join member m on m.first = e.first and m.i = e.pick where e.t > 0),
+before as (select first, size, coalesce(sum((until - first) * size) over (order by first
+                  rows between unbounded preceding and 1 preceding), 0) as slots_before from kinds),
+b as (select doc_id, lane, rank, rank // {block} as block, (rank // {block}) // weight as period,
+             (rank // {block}) % weight + 1 as j from r join lanes using (lane)),
+f as (select b.*, (select max(first) from firsts where first <= b.period) as first from b),
+placed as (select doc_id, lane, rank, block, slots_before + (period - first) * size + slots.slot as slot
+           from f join before using (first) join slots using (first, lane, j))
+select doc_id, lane, cast(block as bigint) as block, cast(slot as bigint) as slot,
+       row_number() over (order by slot, rank) - 1 as position
+from placed"""
+
+
+@query("op3_pfair_mix", mix_sql(mixing.TARGETS, mixing.OTHERS, mixing.BLOCK))
+def op3_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(documents(spark, sf_dir).select("doc_id", "source"))
+    return out.select("doc_id", F.col("_lane").alias("lane"), F.col("_block").alias("block"),
+                      F.col("_slot").alias("slot"), F.col("_position").alias("position"))
