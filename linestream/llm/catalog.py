@@ -9,6 +9,7 @@ from . import mixing
 from .common import documents
 from .exact_dedup import exact_dedup
 from .language_id import identify
+from .line_dedup import line_dedup
 from .packing import best_fit_packing
 from .simhash import simhash_components
 
@@ -97,3 +98,37 @@ def op3_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(documents(spark, sf_dir).select("doc_id", "source"))
     return out.select("doc_id", F.col("_lane").alias("lane"), F.col("_block").alias("block"),
                       F.col("_slot").alias("slot"), F.col("_position").alias("position"))
+
+
+def line_dedup_sql(table: str = "documents") -> str:
+    """Line dedup of `table` as DuckDB SQL: doc_id, text (cleaned), n_lines, n_removed."""
+    num = "cast('0x' || substr(md5({}), 1, {}) as bigint)"
+    return f"""
+with d as (select distinct doc_id, coalesce(text, '') as text from {table}),
+l as (select doc_id, text, unnest(string_split(text, chr(10))) as line,
+             generate_subscripts(string_split(text, chr(10)), 1) as i from d),
+h as (select *, {num.format('line', 8)} as h from l),
+e as (select *, lead(i) over w is null or (h + 31 * coalesce(lag(h) over w, 0)) % 3 = 0 as ends
+      from h window w as (partition by doc_id, text order by i)),
+n as (select *, coalesce(sum(cast(ends as int)) over (partition by doc_id, text order by i
+             rows between unbounded preceding and 1 preceding), 0) as no from e),
+c as (select doc_id, text, no, count(*) as n_lines, string_agg(line, chr(10) order by i) as chunk
+      from n group by doc_id, text, no),
+r as (select *, n_lines >= 2 and row_number() over (partition by chunk order by (n_lines < 2), doc_id nulls first,
+             {num.format('text', 15)}, no) > 1 as gone from c),
+k as (select doc_id, text, sum(n_lines) as n_lines, coalesce(sum(n_lines) filter (where gone), 0) as n_removed,
+             coalesce(string_agg(chunk, chr(10) order by no) filter (where not gone), '') as clean
+      from r group by doc_id, text)
+select t.*, k.clean, k.n_lines, k.n_removed from {table} t
+join k on t.doc_id is not distinct from k.doc_id and coalesce(t.text, '') = k.text"""
+
+
+@query("op9_line_dedup", f"""
+select doc_id, md5(case when text is not null then clean end) as text_md5,
+       cast(case when text is null then 0 else n_lines end as int) as n_lines,
+       cast(n_removed as int) as n_removed from ({line_dedup_sql()})
+""")
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", F.md5("text").alias("text_md5"), F.col("_n_lines").alias("n_lines"),
+                      F.col("_n_removed").alias("n_removed"))
