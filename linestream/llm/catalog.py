@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import mixing
 from .common import documents
 from .exact_dedup import exact_dedup
+from .katz import score_documents
 from .language_id import identify
 from .line_dedup import line_dedup
 from .packing import best_fit_packing
@@ -132,3 +133,8 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", F.md5("text").alias("text_md5"), F.col("_n_lines").alias("n_lines"),
                       F.col("_n_removed").alias("n_removed"))
+
+
+@query("op8_katz_scores")
+def op8_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(documents(spark, sf_dir))
