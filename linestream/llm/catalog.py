@@ -11,6 +11,7 @@ from .exact_dedup import exact_dedup
 from .katz import score_documents
 from .language_id import identify
 from .line_dedup import line_dedup
+from .order_minhash import edited_likeness
 from .packing import best_fit_packing
 from .simhash import simhash_components
 
@@ -138,3 +139,8 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_katz_scores")
 def op8_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(documents(spark, sf_dir))
+
+
+@query("op7_order_minhash")
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_likeness(documents(spark, sf_dir))
