@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import mixing
-from .common import documents
+from .common import documents, table
 from .exact_dedup import exact_dedup
+from .html_extract import extract
 from .katz import score_documents
 from .language_id import identify
 from .line_dedup import line_dedup
@@ -144,3 +145,8 @@ def op8_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_order_minhash")
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_likeness(documents(spark, sf_dir))
+
+
+@query("op5_html_extraction")
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
