@@ -15,6 +15,7 @@ from .line_dedup import line_dedup
 from .order_minhash import edited_likeness
 from .packing import best_fit_packing
 from .simhash import simhash_components
+from .suffix_dedup import suffix_dedup
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -150,3 +151,8 @@ def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_html_extraction")
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(documents(spark, sf_dir)).drop("kept")
