@@ -23,7 +23,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import partitions_for, written
@@ -64,16 +64,20 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (the fingerprint's 64 bits as a signed long) of every row; null text: 0."""
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text",
+                 extra: Column | None = None) -> DataFrame:
+    """doc_id, fp (the fingerprint's 64 bits as a signed long) of every row; null
+    text: 0. `extra` is a long that goes along."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [_signed(fingerprint(t or b"", shingle)) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), *batch.columns[2:]],
+                                             names=["doc_id", "fp", *batch.schema.names[2:]])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-                       F.col(f"`{text_col}`").cast("string").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+                       F.col(f"`{text_col}`").cast("string").cast("binary").alias("text"),
+                       *([] if extra is None else [extra.alias("extra")]))
+    return rows.mapInArrow(run, "doc_id long, fp long" + ("" if extra is None else ", extra long"))
 
 
 # ---------------------------------------------------------------- anchors
@@ -321,10 +325,38 @@ def simhash_components(docs: DataFrame, shingle: int = 3, threshold: int = 2, id
     """
     docs_fp = written(fingerprints(docs, shingle, id_col, text_col), "simhash-docs")
     prints = written(docs_fp.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-prints")
-    roots = components(near_links(prints, threshold, hot_homes))
-    nodes = (prints.join(roots, F.col("fp") == F.col("node"), "left")
-             .select("fp", "low", F.coalesce("root", "fp").alias("root")))
-    best = nodes.groupBy("root").agg(F.min("low").alias("component_id")).withColumnRenamed("root", "r")
-    named = nodes.join(best, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id")
+    named = _by_component(prints, F.min("low"), threshold, hot_homes).withColumnRenamed("best", "component_id")
     return (docs_fp.join(named, F.col("fp") == F.col("f"))
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+def _by_component(prints: DataFrame, best: Column, threshold: int, hot_homes: int) -> DataFrame:
+    """f, best: an aggregate of each fingerprint's component (prints: fp and what it reads)."""
+    roots = components(near_links(prints, threshold, hot_homes))
+    nodes = (prints.join(roots, F.col("fp") == F.col("node"), "left")
+             .withColumn("root", F.coalesce("root", "fp")).drop("node"))
+    found = nodes.groupBy("root").agg(best.alias("best")).withColumnRenamed("root", "r")
+    return nodes.join(found, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "best")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, threshold: int = 2, id_col: str = "doc_id", text_col: str = "text",
+             hot_homes: int = HOT_HOMES) -> DataFrame:
+    """The rows of `docs` that stay, with all their columns: of each component
+    the one with the smallest doc_id (then the smallest hash of its text; a
+    null id last); of repeated rows one."""
+    text = F.xxhash64(F.col(f"`{text_col}`").cast("string"))
+    keyed = docs.select(F.struct("*").alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("hash"))
+    fp = fingerprints(docs, shingle, id_col, text_col, text)
+    rows = written(fp.groupBy("fp", "doc_id", "extra").agg(F.count(F.lit(1)).alias("n")), "simhash-docs")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "extra", "n")
+    prints = written(rows.groupBy("fp").agg(F.min(key).alias("low")), "simhash-prints")
+    named = _by_component(prints, F.min("low"), threshold, hot_homes)
+    kept = written(named.select("best").distinct().select("best.doc_id", "best.extra", "best.n"), "simhash-kept")
+
+    def those(kept: DataFrame) -> DataFrame:
+        return keyed.join(kept, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("extra")), "left_semi")
+
+    out = those(kept.where("n = 1"))
+    if (repeated := kept.where("n > 1")).take(1):
+        out = out.unionByName(those(repeated).groupBy("id", "hash").agg(F.any_value("row").alias("row")))
+    return out.select("row.*")
