@@ -123,7 +123,7 @@ r as (select *, n_lines >= 2 and row_number() over (partition by chunk order by
 k as (select doc_id, text, sum(n_lines) as n_lines, coalesce(sum(n_lines) filter (where gone), 0) as n_removed,
              coalesce(string_agg(chunk, chr(10) order by no) filter (where not gone), '') as clean
       from r group by doc_id, text)
-select t.*, k.clean, k.n_lines, k.n_removed from {table} t
+select t.doc_id, t.text, k.clean, k.n_lines, k.n_removed from {table} t
 join k on t.doc_id is not distinct from k.doc_id and coalesce(t.text, '') = k.text"""
 
 

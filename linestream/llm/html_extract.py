@@ -69,10 +69,10 @@ _HINTS = frozenset("ad ads advert advertisement advertising adverts banner bread
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|math|iframe|object|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(?P<end2>/?)(?P<tag2>[a-z][^\s/>]*)(?P<attrs2>[^>]*)>"
-    r"|<[!?/][^>]*(?:>|\Z)",
+    r"|<(?P<raw>script|style|noscript|template|svg|math|iframe|object|title)\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    r"|<(?P<end2>/?)(?P<tag2>[a-z][^\s/>]*)(?P<attrs2>[^<>]*)>"
+    r"|<[!?/][^<>]*(?:>|\Z)",
     re.S | re.I)
 _NAMED = re.compile(r"(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _HIDDEN = re.compile(r"(?:\A|\s)hidden(?:\s|=|\Z)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)

@@ -56,7 +56,7 @@ _SHIFT = 21  # bits of a class number; a pair is context << 21 | class
 
 def pack(*columns: np.ndarray) -> bytes:
     """Columns of one length as one packed value (byte planes, zstd)."""
-    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns]
+    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns]
     return len(columns[0]).to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
 
@@ -319,7 +319,7 @@ def learn(train: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame, D
     keys, counts = _at_least(word_table, total // FREQUENT + 1)
     d1 = discounts(n1)
     freed = sum(r * n1[f"n{r}"] * (1 - d1[r]) for r in range(1, K + 1))
-    scale1 = 1.0 if freed > 0 else total / (total + 1)
+    scale1 = 1.0 if freed > 0 or not total else total / (total + 1)
     p1 = np.concatenate([[0.0], _factor(d1, counts) * counts * scale1 / max(total, 1)])
     p1[0] = max(1.0 - p1.sum(), 1e-300)  # the words that are no class, and the unknown word
     unknown = freed / total if freed > 0 else 1 / (total + 1)
@@ -446,7 +446,8 @@ def _finish(rows: pa.Table) -> pa.Table:
             docs = unpack(x, "i8", "u1", "i8", "f8", "f8", "f8")
         else:
             add.append(unpack(x, "u4", *["f8"] * (3 if kind == ASK_WORD else 1)))
-    key, missing, sizes, score, base, known = docs
+    key, missing, sizes, *sums = docs
+    score, base, known = (x.copy() for x in sums)
     # in a fixed order, so that a repeated task gives the same last digits
     for who, *sums in sorted(add, key=lambda x: (len(x), x[1].tobytes())):
         for total, part in zip((score, base, known), sums, strict=False):
