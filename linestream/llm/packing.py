@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -27,38 +28,63 @@ from pyspark.sql import functions as F
 from .common import partitions_for, text_or_empty, written
 
 CAPACITY = 2048
-#: Words a Python worker keeps with their ids; cleared when full.
-WORD_CACHE = 400_000
+#: Words a Python worker keeps with their ids, in two generations of this size:
+#: a full one becomes the old one, whose words come back when they are met again.
+WORD_CACHE = 500_000
 #: Rows of one length are ranked in buckets of about this many.
 ROWS_PER_BUCKET = 100_000
 #: Patterns of three that are listed for each length, besides the pair.
 TRIPLES_PER_LENGTH = 6
 
-_tokenizers: dict = {}
-_words: dict[str, dict[str, bytes]] = {}
+class WordIds:
+    """Ids of texts by a tokenizer that splits at white space before anything
+    else and lower-cases: a text's ids are those of its space- and
+    newline-separated words, each encoded once."""
 
-
-def _encode(text: str, path: str) -> bytes:
-    """Ids of a text as little-endian 32-bit numbers, the closing id 0 included.
-
-    The tokenizer splits at white space before anything else, so a text's ids
-    are those of its space- and newline-separated words, each encoded once.
-    """
-    tok = _tokenizers.get(path)
-    if tok is None:
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tok = _tokenizers[path] = Tokenizer.from_file(path)
-    known = _words.setdefault(path, {})
-    if len(known) > WORD_CACHE:
-        known.clear()
-    words = text.replace("\n", " ").split(" ")
-    new = [w for w in set(words) if w not in known]
-    if new:
-        for w, e in zip(new, tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, dtype="<u4").tobytes()
-    return b"".join(map(known.__getitem__, words)) + b"\0\0\0\0"
+        self.encode = Tokenizer.from_file(path).encode_batch_fast
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.encode(words, add_special_tokens=False)]
+
+    def _learn(self, words: set[bytes]) -> None:
+        new, old = self.new, self.old
+        unknown, closed = set(), []
+        for w in words:
+            if (ids := old.get(w)) is not None:
+                new[w] = ids
+                continue
+            stem, end = w.rstrip(b".,"), w[len(w.rstrip(b".,")):]
+            if end and stem.decode().lower().isalpha():  # letters and punctuation are encoded apart
+                closed.append((w, stem, end))
+                unknown.update(x for x in (stem, end) if x not in new)
+            else:
+                unknown.add(w)
+        todo = list(unknown)
+        new.update(zip(todo, self._ids([w.decode() for w in todo]), strict=True))
+        for w, stem, end in closed:
+            new[w] = new[stem] + new[end]
+
+    def of(self, text: str) -> bytes:
+        """Ids as unsigned 32-bit numbers, little-endian, the closing id 0 included."""
+        raw = text.encode()
+        if b"<|" not in raw:  # special tokens are the one thing that is not lower-cased
+            raw = raw.lower()
+        words = raw.replace(b"\n", b" ").split(b" ")
+        if len(self.new) > WORD_CACHE:
+            self.old, self.new = self.new, {}
+        missing = set(words).difference(self.new)
+        if missing:
+            self._learn(missing)
+        return b"".join(map(self.new.__getitem__, words)) + b"\0\0\0\0"
+
+
+_encoders: dict[str, WordIds] = {}
 
 
 def _pieces_of(path: str, capacity: int):
@@ -66,10 +92,13 @@ def _pieces_of(path: str, capacity: int):
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if path not in _encoders:
+            _encoders[path] = WordIds(path)
+        encoder = _encoders[path]
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = memoryview(_encode(text or "", path))
+                ids = memoryview(encoder.of(text or ""))
                 for piece, at in enumerate(range(0, len(ids), step)):
                     part = ids[at:at + step]
                     for c, v in zip(out, (doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
