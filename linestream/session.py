@@ -50,14 +50,18 @@ def ensure_defaults(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints (must be shared storage).
 
-    Read from the session; only when it is unset (local tests) a folder is
-    created and registered, so later `checkpoint()` calls find it too.
+    Read from the session; only when it is unset in local mode a folder is
+    created and registered, so later `checkpoint()` calls find it too. On a
+    cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            # a folder of this machine is shared by all tasks in local mode only
+            if not (sc.master == "local" or sc.master.startswith("local[")):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             d = tempfile.mkdtemp(prefix="linestream-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d

@@ -25,14 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """A source with fewer input splits than task slots (one small file, one
     row group) would run all per-row work in few tasks; spread it round-robin
-    over the slots. A large input already has enough splits and is left as is,
-    so no shuffle is added at scale."""
+    over the slots. An input with splits for a quarter of the slots is left as
+    is: a shuffle of every raw row costs more than the idle slots."""
     try:
         slots = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): keep the scan as is
         return df
-    if splits < slots:
+    if 4 * splits <= slots:
         return df.repartition(slots)
     return df
 

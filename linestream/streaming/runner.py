@@ -4,37 +4,45 @@ The file replay stands in for a Kafka topic in queries and tests (no
 Kafka broker or connector here); on a cluster the stream comes from
 `sources.kafka.kafka_stream`, whose topic partitions give the parallelism.
 
-Input lines are written as parquet files in time order (one append per
-chunk, so file modification times follow event time and ``maxFilesPerTrigger``
-replays them as successive micro-batches). Output goes to a file sink with
-its checkpoint in the shared folder: exactly-once, restartable after a lost
-executor or driver.
+Input lines are written once, range-partitioned by arrival time into many
+files; the files' times are then set in that order, so ``maxFilesPerTrigger``
+replays them as micro-batches of several files each. Output goes to a file
+sink with its checkpoint in the shared folder: exactly-once, restartable after
+a lost executor or driver.
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..session import fresh_path
 
 
-def write_stream_files(df: DataFrame, order_col: str, chunks: int) -> str:
-    """Split ``df`` into ``chunks`` contiguous ranges of ``order_col`` and
-    append them one after the other into a new folder."""
+def write_stream_files(df: DataFrame, order_col: str, batches: int) -> tuple[str, int]:
+    """Write ``df`` in ranges of ``order_col`` into a new folder; returns it
+    and the number of files that make up one micro-batch.
+
+    Rows with equal order values share a file, so every micro-batch holds a
+    later range than the one before it.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, "stream-in")
-    bounds = df.approxQuantile(order_col, [i / chunks for i in range(1, chunks)], 0.001) if chunks > 1 else []
-    edges = [None, *sorted(set(bounds)), None]
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        part = df
-        if lo is not None:
-            part = part.where(F.col(order_col) >= lo)
-        if hi is not None:
-            part = part.where(F.col(order_col) < hi)
-        # one file per chunk: a micro-batch of the replay holds one time range
-        part.coalesce(1).write.mode("append").parquet(path)
-    return path
+    each = max(1, -(-max(spark.sparkContext.defaultParallelism,
+                         int(spark.conf.get("spark.sql.shuffle.partitions"))) // batches))
+    df.repartitionByRange(batches * each, order_col).write.parquet(path)
+    # the file source replays in order of file times; the writers finish in any order
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = sorted((f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")),
+                   key=lambda p: p.getName())
+    for i, f in enumerate(files):
+        fs.setTimes(f, 1_000_000_000_000 + 1000 * i, -1)
+    return path, each
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
@@ -42,41 +50,56 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int =
             .parquet(path))
 
 
-def spread_stream(stream: DataFrame) -> DataFrame:
-    """The replay holds one file per micro-batch (one task); spread each batch
-    over the task slots, as ``minPartitions`` does for a Kafka source."""
-    return stream.repartition(stream.sparkSession.sparkContext.defaultParallelism)
+def _trigger(writer, interval_ms: int | None):
+    """Drain what is there, or run on at an interval (SRC-2)."""
+    if interval_ms is None:
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=f"{interval_ms} milliseconds")
 
 
-def run_to_files(stream: DataFrame, what: str, output_mode: str = "append",
-                 timeout_s: int = 600) -> DataFrame:
-    """Drain the available input (availableNow) into a parquet sink; return
-    the sink contents as a batch DataFrame."""
-    spark = stream.sparkSession
-    out = fresh_path(spark, f"{what}-out")
-    q = (stream.writeStream.format("parquet").outputMode(output_mode)
-         .option("path", out).option("checkpointLocation", out + "-ckpt")
-         .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream {what} did not finish in {timeout_s}s")
+def start(writer, checkpoint: str, interval_ms: int | None = None) -> StreamingQuery:
+    """Start a sink; ``interval_ms`` makes it a continuous run."""
+    return _trigger(writer.option("checkpointLocation", checkpoint), interval_ms).start()
+
+
+def late_rows(q: StreamingQuery) -> int:
+    """Rows that came after the watermark had passed them, as far as the
+    query's progress reports go back."""
+    return sum(s.numRowsDroppedByWatermark for p in q.recentProgress for s in p.stateOperators)
+
+
+def progress(q: StreamingQuery) -> list[tuple[int, int, float, float]]:
+    """AGG-7, live: ``(batch, records, seconds, records per second)`` of the
+    non-empty batches in the query's progress reports."""
+    out = []
+    for p in q.recentProgress:
+        seconds = p.durationMs.get("triggerExecution", 0) / 1000
+        if p.numInputRows:
+            out.append((p.batchId, p.numInputRows, seconds, p.numInputRows / seconds if seconds else float("nan")))
+    return out
+
+
+def _finish(q: StreamingQuery, what: str) -> None:
+    q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    if late := late_rows(q):
+        warnings.warn(f"stream {what}: {late} rows came later than the watermark allows and were dropped", stacklevel=3)
+
+
+def run_to_files(stream: DataFrame, what: str, output_mode: str = "append") -> DataFrame:
+    """Drain the available input into a parquet sink; return the sink
+    contents as a batch DataFrame."""
+    spark = stream.sparkSession
+    out = fresh_path(spark, f"{what}-out")
+    q = start(stream.writeStream.format("parquet").outputMode(output_mode).option("path", out), out + "-ckpt")
+    _finish(q, what)
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def run_foreach_batch(stream: DataFrame, what: str, fn, timeout_s: int = 600) -> str:
+def run_foreach_batch(stream: DataFrame, what: str, fn) -> str:
     """Drain the input through ``fn(batch_df, batch_id)``; returns the
     checkpoint folder."""
-    spark = stream.sparkSession
-    ckpt = fresh_path(spark, f"{what}-ckpt")
-    q = (stream.writeStream.foreachBatch(fn).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream {what} did not finish in {timeout_s}s")
-    if q.exception() is not None:
-        raise q.exception()
+    ckpt = fresh_path(stream.sparkSession, f"{what}-ckpt")
+    _finish(start(stream.writeStream.foreachBatch(fn), ckpt), what)
     return ckpt
