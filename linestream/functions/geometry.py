@@ -1,6 +1,6 @@
 """Geometry as column expressions: point export and point-in-polygon.
 
-A polygon is Esri-style ``rings: array<array<array<double>>>`` (outer rings
+A polygon is JSON rings, ``rings: array<array<array<double>>>`` (outer rings
 and holes, each a closed list of ``[x, y]``). It is turned once per fence
 into an edge list and a bounding box; the test for a point is then pure
 higher-order-function code (``exists`` / ``aggregate``) that stays in the JVM.

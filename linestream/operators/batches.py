@@ -2,18 +2,19 @@
 
 A micro-batch of interval ``I`` is the tumbling window ``ms div I``. Only
 non-empty windows produce rows (FLT-5). A run is a maximal chain of
-consecutive non-empty windows; it is found with gaps-and-islands over a
-range-partitioned numbering (`consecutive_islands`), so no task has to see
-every window.
+consecutive non-empty windows: a window whose predecessor is empty starts one
+(an equi-join), and the start is carried on in two levels (`running`), so no
+task has to see every window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bursts import bucket_of, rate
-from .sequence import consecutive_islands
+from .running import previous, running_max, running_sum
+from .sizing import materialize
 
 
 def batch_stats(rows: DataFrame, interval_ms: int, by: list[str] | None = None) -> DataFrame:
@@ -26,29 +27,39 @@ def batch_stats(rows: DataFrame, interval_ms: int, by: list[str] | None = None)
                     (F.lit(1000.0) * F.col("n").cast("double") / F.lit(float(interval_ms))).alias("rate"))
 
 
+def _batches(rows: DataFrame, interval_ms: int, by: list[str]) -> DataFrame:
+    """The non-empty batches ``by..., w, n``, materialised (one scan of the rows)."""
+    return materialize(rows.groupBy(*by, bucket_of(interval_ms).alias("w")).agg(F.count(F.lit(1)).alias("n")))
+
+
 def _runs(rows: DataFrame, interval_ms: int, by: list[str]) -> DataFrame:
-    w = rows.groupBy(*by, bucket_of(interval_ms).alias("w")).agg(F.count(F.lit(1)).alias("n"))
-    isl = consecutive_islands(w, "w", by, name="run")
-    return isl.groupBy(*by, "run").agg(
-        F.min("w").alias("_w0"), F.max("w").alias("_w1"), F.sum("n").alias("n"),
-        F.count(F.lit(1)).alias("batches"),
-        F.avg(F.lit(1000.0) * F.col("n").cast("double") / F.lit(float(interval_ms))).alias("avg_rate"))
+    """Runs of consecutive non-empty batches that an empty batch has ended:
+    the run of the last batch of all is still open and not reported."""
+    w = _batches(rows, interval_ms, by)
+    before = w.select(*by, (F.col("w") + 1).alias("w"), F.lit(1).alias("_joins"))
+    flagged = w.join(before, [*by, "w"], "left").withColumn("_start", F.when(F.col("_joins").isNull(), F.col("w")))
+    runs = running_max(flagged, by, "w", F.col("_start"), "run").groupBy(*by, "run").agg(
+        F.min("w").alias("_w0"), F.max("w").alias("_w1"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("batches"))
+    last = w.agg(F.max("w")).first()[0]
+    return runs.where(F.col("_w1") < F.lit(last).cast("long"))
 
 
 def run_stats(rows: DataFrame, interval_ms: int, by: list[str] | None = None) -> DataFrame:
-    """AGG-8: per run of non-empty batches: total records and the unweighted
-    mean of the batch rates (``avg_rate``); ``start_ms`` / ``end_ms`` bound
+    """AGG-8: per ended run of non-empty batches: total records and the
+    unweighted mean of the batch rates (``avg_rate``; batches are equally long,
+    so it is the total over the run's time); ``start_ms`` / ``end_ms`` bound
     the run's windows."""
     by = by or []
     r = _runs(rows, interval_ms, by)
+    mean = F.lit(1000.0) * F.col("n").cast("double") / (F.col("batches") * interval_ms).cast("double")
     return r.select(*by, (F.col("_w0") * interval_ms).alias("start_ms"),
-                    ((F.col("_w1") + 1) * interval_ms).alias("end_ms"), "n", "batches",
-                    F.round("avg_rate", 6).alias("avg_rate"))
+                    ((F.col("_w1") + 1) * interval_ms).alias("end_ms"), "n", "batches", mean.alias("avg_rate"))
 
 
 def microbatch_burst(rows: DataFrame, interval_ms: int, by: list[str] | None = None) -> DataFrame:
     """AGG-10: a burst starts at its first non-empty batch and ends at its
-    last one (batch times = window ends); rate = total / (end - start)."""
+    last one (batch times = window ends); rate = total / (end - start). It is
+    reported once an empty batch has ended it."""
     by = by or []
     r = _runs(rows, interval_ms, by)
     start = (F.col("_w0") + 1) * interval_ms
@@ -59,21 +70,30 @@ def microbatch_burst(rows: DataFrame, interval_ms: int, by: list[str] | None = N
 
 def running_burst_count(rows: DataFrame, interval_ms: int, gap_ms: int,
                         by: list[str] | None = None) -> DataFrame:
-    """AGG-9: after each non-empty batch, the running count of its burst.
-    A burst ends when the next non-empty batch comes more than ``gap_ms``
-    after the last one (batch times = window ends).
+    """AGG-9: after each non-empty batch, the running count of its burst; and
+    one row with 0 when a burst is reset.
 
-    The window below runs over the per-topic batch table (bounded by time
-    span / interval), never over raw rows.
+    A burst ends when the next non-empty batch comes more than ``gap_ms``
+    after the last one (batch times = window ends). The count goes back to 0
+    with the first empty batch more than ``gap_ms`` after the last non-empty
+    one, if there is one before the next non-empty batch or the end of all
+    input. The other idle batches, which repeat a count, are left out: they
+    grow with time and not with the input. Sums and starts run in two levels
+    over the batch table.
     """
     by = ["topic"] if by is None else by
-    w = rows.groupBy(*by, bucket_of(interval_ms).alias("w")).agg(F.count(F.lit(1)).alias("n"))
-    spec = Window.partitionBy(*by).orderBy("w")
-    prev = F.lag("w").over(spec)
-    start = prev.isNull() | ((F.col("w") - prev) * interval_ms > gap_ms)
-    b = (w.withColumn("_s", start)
-         .withColumn("burst", F.max(F.when(F.col("_s"), F.col("w"))).over(spec.rowsBetween(Window.unboundedPreceding, 0))))
-    run = F.sum("n").over(Window.partitionBy(*by, "burst").orderBy("w")
-                          .rowsBetween(Window.unboundedPreceding, 0))
-    return b.select(*by, ((F.col("w") + 1) * interval_ms).alias("batch_ms"), "n",
-                    run.alias("running_n"))
+    w = _batches(rows, interval_ms, by)
+    last = w.agg(F.max("w")).first()[0]
+    b = previous(w, by, "w", "w", "_pw")
+    b = b.withColumn("_start", F.col("_pw").isNull() | ((F.col("w") - F.col("_pw")) * interval_ms > gap_ms))
+    b = running_sum(b, by, "w", F.col("n"), "_sum")
+    b = running_max(b, by, "w", F.when(F.col("_start"), F.col("_sum") - F.col("n")), "_base")
+    counts = b.select(*by, ((F.col("w") + 1) * interval_ms).alias("batch_ms"), "n",
+                      (F.col("_sum") - F.col("_base")).alias("running_n"))
+    idle = gap_ms // interval_ms + 1  # batches from the last non-empty one to the reset
+    inner = b.where("_start and _pw is not null").select(*by, F.col("_pw").alias("_end"), F.col("w").alias("_next"))
+    ends = w.groupBy(*by).agg(F.max("w").alias("_end")).withColumn("_next", F.lit(last).cast("long") + 1)
+    reset = inner.unionByName(ends).where(F.col("_end") + idle < F.col("_next"))
+    zero = F.lit(0).cast("long")
+    return counts.unionByName(reset.select(*by, ((F.col("_end") + idle + 1) * interval_ms).alias("batch_ms"),
+                                           zero.alias("n"), zero.alias("running_n")))

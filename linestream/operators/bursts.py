@@ -6,12 +6,13 @@ gap of exactly ``gap_ms`` stays inside). Exact and distributed:
 1. Bucket rows by ``ms div gap_ms``. Two rows of one bucket are less than a
    gap apart, so a bucket never holds a burst boundary. Aggregate per
    ``(topic, bucket)`` — a partial (map-side) aggregate, so a hot topic or a
-   hot bucket is combined before the shuffle.
+   hot bucket is combined before the shuffle — and materialise: the raw rows
+   are scanned once.
 2. On the bucket table (bounded by time span / gap per topic, not by the row
    count) a bucket starts a burst when ``lo - previous hi > gap``; the burst
    id is the start bucket, carried forward with a two-level running ``max``.
-3. Row-level facts (latency prefix, positions) join the bucket → burst map,
-   broadcast only after its size is counted.
+3. Row-level facts (latency prefix, positions) come from sums per bucket or
+   cell; only what a cut or a position needs is read from the rows again.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import last_field, strict_long
-from .sequence import with_sequence
-from .sizing import checked_broadcast
+from .running import running_max, running_sum
+from .sizing import checked_broadcast, materialize
 
 
 def bucket_of(width_ms: int, ms: str = "ms") -> Column:
@@ -35,36 +36,34 @@ def rate(n: Column, start_ms: Column, end_ms: Column) -> Column:
                   (F.lit(1000.0) * n.cast("double")) / (end_ms - start_ms).cast("double"))
 
 
-def burst_buckets(rows: DataFrame, gap_ms: int, by: list[str] | None = None,
-                  extra_aggs: list[Column] | None = None, fan: int = 1024) -> DataFrame:
-    """One row per non-empty ``(by, bucket)``: n, lo, hi, extras, burst.
+def bucket_table(rows: DataFrame, gap_ms: int, by: list[str], extra_aggs: list[Column] | None = None) -> DataFrame:
+    """One row per non-empty ``(by, bucket)``: n, lo, hi, extras. The one scan
+    of the raw rows; the result is materialised, all else runs on it."""
+    agg = rows.withColumn("bucket", bucket_of(gap_ms)).groupBy(*by, "bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.min("ms").alias("lo"), F.max("ms").alias("hi"), *(extra_aggs or []))
+    return materialize(agg)
+
+
+def with_burst(buckets: DataFrame, gap_ms: int, by: list[str]) -> DataFrame:
+    """Add ``burst`` (the start bucket of its burst) to a bucket table.
 
     A bucket starts a burst when the bucket before it is empty (then the
     gap is at least ``gap + 1``) or when ``lo - previous hi > gap``: an
     equi-join with the bucket table shifted by one, no window. The burst id
-    (the latest start at or before the bucket) is a running ``max`` taken in
-    two levels, so no task orders more than ``fan`` buckets or more than
-    ``buckets / fan`` super-buckets of one topic.
+    (the latest start at or before the bucket) is a running ``max``.
     """
+    prev = buckets.select(*by, (F.col("bucket") + 1).alias("bucket"), F.col("hi").alias("_prev_hi"))
+    start = F.col("_prev_hi").isNull() | ((F.col("lo") - F.col("_prev_hi")) > gap_ms)
+    flagged = (buckets.join(prev, [*by, "bucket"], "left")
+               .withColumn("_start", F.when(start, F.col("bucket"))).drop("_prev_hi"))
+    return running_max(flagged, by, "bucket", F.col("_start"), "burst").drop("_start")
+
+
+def burst_buckets(rows: DataFrame, gap_ms: int, by: list[str] | None = None,
+                  extra_aggs: list[Column] | None = None) -> DataFrame:
+    """``by, bucket, n, lo, hi, extras, burst`` in one scan of the rows."""
     by = ["topic"] if by is None else by
-    b = rows.withColumn("bucket", bucket_of(gap_ms))
-    agg = b.groupBy(*by, "bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min("ms").alias("lo"), F.max("ms").alias("hi"),
-        *(extra_aggs or []))
-    prev = agg.select(*by, (F.col("bucket") + 1).alias("bucket"), F.col("hi").alias("_prev_hi"))
-    flagged = (agg.join(prev, [*by, "bucket"], "left")
-               .withColumn("_start", F.col("_prev_hi").isNull() | ((F.col("lo") - F.col("_prev_hi")) > gap_ms))
-               .withColumn("_sup", F.expr(f"(bucket - pmod(bucket, {fan})) div {fan}"))
-               .drop("_prev_hi"))
-    start_bucket = F.when(F.col("_start"), F.col("bucket"))
-    local = F.max(start_bucket).over(Window.partitionBy(*by, "_sup").orderBy("bucket")
-                                     .rowsBetween(Window.unboundedPreceding, 0))
-    sups = flagged.groupBy(*by, "_sup").agg(F.max(start_bucket).alias("_last"))
-    carry = sups.select(*by, "_sup", F.max("_last").over(
-        Window.partitionBy(*by).orderBy("_sup").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
-    return (flagged.withColumn("_local", local).join(carry, [*by, "_sup"])
-            .withColumn("burst", F.coalesce(F.col("_local"), F.col("_carry")))
-            .drop("_start", "_sup", "_local", "_carry"))
+    return with_burst(bucket_table(rows, gap_ms, by, extra_aggs), gap_ms, by)
 
 
 def bursts(rows: DataFrame, gap_ms: int, by: list[str] | None = None) -> DataFrame:
@@ -94,40 +93,92 @@ def burst_latency(lines: DataFrame, gap_ms: int, by: list[str] | None = None) ->
     """AGG-4. Latencies add up until the first bad line of a burst (in
     arrival order ``(ms, event_id)``); the sum is divided by the whole count.
 
-    Output: ``by..., start_ms, end_ms, n, rate, avg_latency, valid_n``.
+    Output: ``by..., start_ms, end_ms, n, rate, avg_latency, valid_n``. Whole
+    buckets before the cut count with their sums; only the bucket that holds
+    a burst's cut is read again.
     """
+    return burst_latency_of(latency_rows(lines), gap_ms, by)
+
+
+def burst_latency_of(rows: DataFrame, gap_ms: int, by: list[str] | None = None) -> DataFrame:
+    """`burst_latency` of rows that carry ``latency`` and ``bad`` already."""
     by = ["topic"] if by is None else by
-    rows = latency_rows(lines)
-    first_bad = F.min(F.when(F.col("bad"), F.struct("ms", "event_id"))).alias("first_bad")
-    bb = burst_buckets(rows, gap_ms, by, [first_bad])
-    cut = F.min("first_bad").over(Window.partitionBy(*by, "burst"))
-    bmap = bb.select(*by, "bucket", "burst", cut.alias("cut"))
-    bmap, _ = checked_broadcast(bmap)
-    tagged = (rows.withColumn("bucket", bucket_of(gap_ms))
-              .join(bmap, [*by, "bucket"]))
-    valid = F.col("cut").isNull() | (F.struct("ms", "event_id") < F.col("cut"))
-    out = tagged.groupBy(*by, "burst").agg(
-        F.min("ms").alias("start_ms"), F.max("ms").alias("end_ms"),
-        F.count(F.lit(1)).alias("n"),
-        F.count(F.when(valid, 1)).alias("valid_n"),
-        F.coalesce(F.sum(F.when(valid, F.col("latency"))), F.lit(0)).alias("_lat_sum"))
-    return (out.withColumn("rate", rate(F.col("n"), F.col("start_ms"), F.col("end_ms")))
-            .withColumn("avg_latency", F.col("_lat_sum").cast("double") / F.col("n").cast("double"))
-            .drop("_lat_sum", "burst"))
-
-
-def burst_positions(rows: DataFrame, gap_ms: int, by: list[str] | None = None) -> DataFrame:
+    bb = materialize(burst_buckets(rows, gap_ms, by, [
+        F.min(F.when(F.col("bad"), F.struct("ms", "event_id"))).alias("first_bad"),
+        F.coalesce(F.sum("latency"), F.lit(0)).alias("lat")]))
+    cuts = (bb.groupBy(*by, "burst").agg(F.min("first_bad").alias("cut")).where("cut is not null")
+            .withColumn("cut_bucket", F.expr(f"(cut.ms - pmod(cut.ms, {gap_ms})) div {gap_ms}")))
+    whole = (bb.join(cuts, [*by, "burst"], "left")
+             .withColumn("_whole", F.col("cut").isNull() | (F.col("bucket") < F.col("cut_bucket"))))
+    summed = whole.groupBy(*by, "burst").agg(
+        F.min("lo").alias("start_ms"), F.max("hi").alias("end_ms"), F.sum("n").alias("n"),
+        F.coalesce(F.sum(F.when(F.col("_whole"), F.col("n"))), F.lit(0)).alias("_valid"),
+        F.coalesce(F.sum(F.when(F.col("_whole"), F.col("lat"))), F.lit(0)).alias("_lat"))
+    side, _ = checked_broadcast(cuts.select(*by, F.col("cut_bucket").alias("bucket"), "burst", "cut"))
+    part = (rows.withColumn("bucket", bucket_of(gap_ms)).join(side, [*by, "bucket"])
+            .where(F.struct("ms", "event_id") < F.col("cut"))
+            .groupBy(*by, "burst").agg(F.count(F.lit(1)).alias("_valid2"), F.sum("latency").alias("_lat2")))
+    out = summed.join(part, [*by, "burst"], "left")
+    valid = F.col("_valid") + F.coalesce("_valid2", F.lit(0))
+    lat = F.col("_lat") + F.coalesce("_lat2", F.lit(0))
+    return out.select(*by, "start_ms", "end_ms", "n", valid.alias("valid_n"),
+                      rate(F.col("n"), F.col("start_ms"), F.col("end_ms")).alias("rate"),
+                      (lat.cast("double") / F.col("n").cast("double")).alias("avg_latency"))
+
+
+#: Time cells in a bucket, and rows of a cell beyond which it is cut further.
+CELLS = 64
+HEAVY = 1_000_000
+
+
+def burst_positions(rows: DataFrame, gap_ms: int, by: list[str] | None = None, heavy: int = HEAVY) -> DataFrame:
     """Every row with ``burst`` (start bucket) and ``idx``: its 0-based
     position inside the burst in arrival order ``(ms, event_id)``.
 
-    Positions are numbered per (burst, time slice) with slice offsets, so a
-    burst or a bucket holding a third of all rows is spread over many tasks.
+    Rows are numbered inside time cells (a bucket's 64th parts); the counts of
+    the cells, taken in the one scan that also finds the bursts, give each cell
+    its offset. A cell of more than ``heavy`` rows is cut into more, by time or
+    (all in one millisecond) by id, so no task orders a hot bucket.
     """
     by = ["topic"] if by is None else by
-    bmap, _ = checked_broadcast(burst_buckets(rows, gap_ms, by).select(*by, "bucket", "burst"))
-    tagged = (rows.withColumn("bucket", bucket_of(gap_ms))
-              .join(bmap, [*by, "bucket"]).drop("bucket"))
-    return with_sequence(tagged, ["ms", "event_id"], name="idx", group_cols=[*by, "burst"])
+    # cell numbers grow with time across buckets
+    cell = F.expr(f"((ms - pmod(ms, {gap_ms})) div {gap_ms}) * {CELLS} + pmod(ms, {gap_ms}) * {CELLS} div {gap_ms}")
+    rows = rows.withColumn("cell", cell)
+    cells = materialize(rows.groupBy(*by, "cell").agg(
+        F.count(F.lit(1)).alias("n"), F.min("ms").alias("lo"), F.max("ms").alias("hi"),
+        F.min("event_id").alias("ilo"), F.max("event_id").alias("ihi")))
+    buckets = (cells.withColumn("bucket", F.expr(f"(cell - pmod(cell, {CELLS})) div {CELLS}"))
+               .groupBy(*by, "bucket").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+    bursts_of = with_burst(buckets, gap_ms, by).select(*by, "bucket", "burst")
+    cells = (cells.withColumn("bucket", F.expr(f"(cell - pmod(cell, {CELLS})) div {CELLS}"))
+             .join(bursts_of, [*by, "bucket"]).drop("bucket"))
+    summed = running_sum(cells, by, "cell", F.col("n"), "_up_to").withColumn("_before", F.col("_up_to") - F.col("n"))
+    # the sum only grows, so the latest burst start's sum is the greatest
+    first = F.min("_before").alias("_burst_before")
+    starts = summed.groupBy(*by, "burst").agg(first)
+    offsets = materialize(summed.join(starts, [*by, "burst"])
+                          .select(*by, "cell", "burst", "n", "lo", "hi", "ilo", "ihi",
+                                  (F.col("_before") - F.col("_burst_before")).alias("off")))
+    order = ["ms", "event_id"]
+    side, _ = checked_broadcast(offsets.select(*by, "cell", "burst", "off"))
+    tagged = rows.join(side, [*by, "cell"])
+    big = offsets.where(F.col("n") > heavy).withColumn("pieces", F.ceil(F.col("n") / heavy))
+    if not big.take(1):
+        inside = F.row_number().over(Window.partitionBy(*by, "cell").orderBy(*order)) - 1
+        return tagged.withColumn("idx", F.col("off") + inside).drop("cell", "off")
+    # at most rows / heavy cells
+    cut, _ = checked_broadcast(big.select(*by, "cell", "lo", "hi", "ilo", "ihi", "pieces"))
+    piece = (F.when(F.col("pieces").isNull(), 0)
+             .when(F.col("hi") > F.col("lo"), F.expr("(ms - lo) * pieces div (hi - lo + 1)"))
+             .otherwise(F.expr("(event_id - ilo) * pieces div (ihi - ilo + 1)")))
+    tagged = tagged.join(cut, [*by, "cell"], "left").withColumn("piece", piece)
+    counts = tagged.where("pieces is not null").groupBy(*by, "cell", "piece").agg(F.count(F.lit(1)).alias("_n"))
+    more = counts.select(*by, "cell", "piece", (F.sum("_n").over(
+        Window.partitionBy(*by, "cell").orderBy("piece")) - F.col("_n")).alias("_more"))
+    inside = F.row_number().over(Window.partitionBy(*by, "cell", "piece").orderBy(*order)) - 1
+    return (tagged.withColumn("_in", inside).join(more, [*by, "cell", "piece"], "left")
+            .withColumn("idx", F.col("off") + F.coalesce("_more", F.lit(0)) + F.col("_in"))
+            .drop("cell", "off", "lo", "hi", "ilo", "ihi", "pieces", "piece", "_in", "_more"))
 
 
 def every_nth(rows: DataFrame, n_th: int, gap_ms: int, by: list[str] | None = None) -> DataFrame:
@@ -135,3 +186,8 @@ def every_nth(rows: DataFrame, n_th: int, gap_ms: int, by: list[str] | None = No
     multiple of ``n_th``; the position restarts with every burst."""
     pos = burst_positions(rows, gap_ms, by)
     return pos.where(F.pmod(F.col("idx"), F.lit(n_th)) == 0)
+
+
+def closed(bursts: DataFrame, gap_ms: int, now_ms: Column) -> DataFrame:
+    """Bursts that are over at ``now_ms``: nothing came for the gap. Adds ``closed_ms``."""
+    return bursts.withColumn("closed_ms", F.col("end_ms") + gap_ms).where(F.col("closed_ms") <= now_ms)

@@ -1,31 +1,30 @@
 """Point-in-fence join (JOIN-1, JOIN-2, AGG-5, FLT-2) as a grid-cell equi-join.
 
 The original tests every point against every fence. Here each fence is
-prepared once (edges + bounding box) and listed under every grid cell its
-box touches; a point falls in exactly one cell, so the theta join becomes an
-equi-join on the cell followed by the exact test on the few candidates of
-that cell. Nothing is capped: every fence is listed in every cell it covers.
+prepared once (edges + bounding box) and listed under the few cells of its own
+grid level that its box touches; a point falls in one cell of each level, so
+the theta join becomes an equi-join per level followed by the exact test on
+the candidates of that cell. Nothing is capped, and a fence as large as the
+world beside tiny ones costs nine rows.
 
 * ``geotag`` groups the fences of a cell into one array first, so each point
-  meets at most one row: a left join, no aggregation over points, stateless
-  on a stream (no watermark).
-* The cell table is broadcast only after its size (in edges) is counted;
-  above the bound both sides shuffle on the cell, with the point side salted
-  so that a hot cell is spread over ``salt`` tasks (and AQE skew-join
-  splitting on top).
+  meets at most one row per level: left joins, no aggregation over points,
+  stateless on a stream (no watermark).
+* The cell table is broadcast only after its size (in edges and name
+  characters) is counted; above the bound both sides shuffle on the cell, with
+  the point side salted so that a hot cell is spread over ``salt`` tasks (and
+  AQE skew-join splitting on top).
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import ring_edges, rings_bbox, within
-from .sizing import checked_broadcast
+from .sizing import checked_broadcast, materialize
 
-FEATURE_SCHEMA = ("geometry struct<rings: array<array<array<double>>>>, "
+FEATURE_SCHEMA = ("pos long, geometry struct<rings: array<array<array<double>>>>, "
                   "attributes map<string, string>")
 FENCE_SCHEMA = ("features array<struct<geometry: struct<rings: array<array<array<double>>>>, "
                 "attributes: map<string, string>>>")
@@ -34,20 +33,20 @@ FENCE_SCHEMA = ("features array<struct<geometry: struct<rings: array<array<array
 def load_fences(spark, path: str, field_name: str, multiline: bool = True):
     """SRC-6: read a fence document ``{"features": [...]}`` (or, with
     ``multiline=False``, one feature object per line, which splits across
-    tasks). Returns ``(fences, errors)``: ``pos, name, rings`` for good
-    features and ``pos, error`` for features without a polygon or name."""
+    tasks and carries its ``pos``: the form for large sets; a document is read
+    by one task). Returns ``(fences, errors)``: ``pos, name, rings`` for good
+    features and ``pos, error`` for features without polygon, name or place."""
     if multiline:
         doc = spark.read.option("multiLine", True).schema(FENCE_SCHEMA).json(path)
         feats = doc.select(F.posexplode("features").alias("pos", "f"))
     else:
-        raw = spark.read.schema(FEATURE_SCHEMA).json(path)
-        # document order within a file; files are independent fence sets
-        feats = raw.select(F.monotonically_increasing_id().alias("pos"),
-                           F.struct("geometry", "attributes").alias("f"))
+        # the order of the features across files is what they carry as `pos`
+        feats = spark.read.schema(FEATURE_SCHEMA).json(path).select("pos", F.struct("geometry", "attributes").alias("f"))
     named = feats.select(F.col("pos").cast("long").alias("pos"), F.col("f.attributes").getItem(field_name).alias("name"),
                          F.col("f.geometry.rings").alias("rings"))
     bad = (F.col("rings").isNull() | (F.size("rings") == 0))
-    err = F.when(bad, F.lit("no_polygon")).when(F.col("name").isNull(), F.lit("no_name"))
+    err = F.when(bad, F.lit("no_polygon")).when(F.col("name").isNull(), F.lit("no_name")) \
+        .when(F.col("pos").isNull(), F.lit("no_pos"))
     tagged = named.withColumn("error", err)
     return (tagged.where("error is null").drop("error"),
             tagged.where("error is not null").select("pos", "error"))
@@ -61,33 +60,39 @@ def dedupe_fences(fences: DataFrame) -> DataFrame:
 
 
 def prepare(fences: DataFrame) -> DataFrame:
-    """``name, edges, bbox`` — computed once per fence, not per point."""
-    return fences.select("name", ring_edges(F.col("rings")).alias("edges"),
-                         rings_bbox(F.col("rings")).alias("bbox"))
+    """``name, edges, bbox, level`` — once per fence, not per point; of fences
+    with one name only the last counts (JOIN-2).
+
+    The level is that of the grid whose cells are as long as the fence's box
+    (the next power of two), so a fence touches at most three cells each way,
+    whatever the other fences' sizes."""
+    last = dedupe_fences(fences).select("name", ring_edges(F.col("rings")).alias("edges"),
+                                        rings_bbox(F.col("rings")).alias("bbox"))
+    side = F.greatest(F.col("bbox.maxx") - F.col("bbox.minx"), F.col("bbox.maxy") - F.col("bbox.miny"))
+    level = F.ceil(F.log2(F.greatest(side, F.lit(2.0 ** FINEST)))).cast("int")
+    return last.withColumn("level", level).where("level is not null")
+
+
+#: Power of two of the smallest cells, in degrees.
+FINEST = -20
+
 
+def _cell(v: Column, level: Column) -> Column:
+    return F.floor(v / F.pow(F.lit(2.0), level)).cast("long")
 
-def choose_cell_size(prepared: DataFrame, per_side: int = 4) -> float:
-    """Cell edge length from the fences themselves: the median fence spans
-    about ``per_side`` cells per axis. One scalar aggregate over the fences."""
-    ext = F.greatest(F.col("bbox.maxx") - F.col("bbox.minx"), F.col("bbox.maxy") - F.col("bbox.miny"))
-    med = prepared.agg(F.percentile_approx(ext, 0.5).alias("m")).first()["m"]
-    if med is None or not math.isfinite(med) or med <= 0:
-        return 1.0
-    return float(med) / per_side
 
+def fence_cells(prepared: DataFrame) -> DataFrame:
+    """One row per (level, cell, fence): at most nine for a fence."""
+    def cells(lo: str, hi: str) -> Column:
+        return F.explode(F.sequence(_cell(F.col(f"bbox.{lo}"), F.col("level")), _cell(F.col(f"bbox.{hi}"), F.col("level"))))
 
-def _cell(v: Column, size: float) -> Column:
-    return F.floor(v / F.lit(size)).cast("long")
+    return (prepared.select("level", cells("minx", "maxx").alias("cx"), "name", "edges", "bbox")
+            .select("level", "cx", cells("miny", "maxy").alias("cy"), "name", "edges", "bbox"))
 
 
-def fence_cells(prepared: DataFrame, size: float) -> DataFrame:
-    """One row per (cell, fence): every cell the fence's box touches."""
-    return prepared.select(
-        F.explode(F.sequence(_cell(F.col("bbox.minx"), size), _cell(F.col("bbox.maxx"), size))).alias("cx"),
-        "name", "edges", "bbox",
-    ).select("cx", F.explode(F.sequence(_cell(F.col("bbox.miny"), size),
-                                        _cell(F.col("bbox.maxy"), size))).alias("cy"),
-             "name", "edges", "bbox")
+def _levels(prepared: DataFrame) -> list[int]:
+    """The grid levels in use: thirty or so at most, from FINEST to the world."""
+    return sorted(r[0] for r in prepared.select("level").distinct().collect())
 
 
 def _salted(points: DataFrame, cells: DataFrame, salt: int, key: str) -> tuple[DataFrame, DataFrame]:
@@ -98,42 +103,53 @@ def _salted(points: DataFrame, cells: DataFrame, salt: int, key: str) -> tuple[D
     return p, c
 
 
+def _at_level(points: DataFrame, side: DataFrame, small: bool, level: int, lon: str, lat: str, how: str,
+              salt: int, row_key: str) -> DataFrame:
+    """Points joined with the cell of one level they fall in."""
+    pts = points.withColumn("cx", _cell(F.col(lon), F.lit(level))).withColumn("cy", _cell(F.col(lat), F.lit(level)))
+    keys, own = ["cx", "cy"], side.where(F.col("level") == level).drop("level")
+    own = F.broadcast(own) if small else own
+    if not small and salt > 1:
+        pts, own = _salted(pts, own, salt, row_key)
+        keys = [*keys, "_salt"]
+    return pts.join(own, keys, how).drop(*keys)
+
+
 def geotag(points: DataFrame, fences: DataFrame, lon: str = "lon", lat: str = "lat",
-           cell_size: float | None = None, salt: int = 16, row_key: str = "event_id") -> DataFrame:
+           salt: int = 16, row_key: str = "event_id") -> DataFrame:
     """AGG-5: add ``geotag``: comma-joined names (sorted) of the fences that
-    strictly contain the point; ``""`` when none."""
-    prepared = prepare(fences)
-    size = cell_size or choose_cell_size(prepared)
-    per_cell = (fence_cells(prepared, size).groupBy("cx", "cy")
-                .agg(F.collect_list(F.struct("name", "edges", "bbox")).alias("fences")))
-    side, small = checked_broadcast(
-        per_cell, weight=F.aggregate("fences", F.lit(0), lambda a, f: a + F.size(f["edges"])))
-    pts = points.withColumn("cx", _cell(F.col(lon), size)).withColumn("cy", _cell(F.col(lat), size))
-    keys = ["cx", "cy"]
-    if not small and salt > 1:
-        pts, side = _salted(pts, side, salt, row_key)
-        keys = keys + ["_salt"]
-    joined = pts.join(side, keys, "left")
+    strictly contain the point; ``""`` when none. One left join per grid level
+    in use, no aggregation over points (stateless on a stream)."""
+    prepared = materialize(prepare(fences))
+    per_cell = (fence_cells(prepared).groupBy("level", "cx", "cy")
+                .agg(F.collect_list(F.struct("name", "edges", "bbox")).alias("_fences")))
+    # the weight of a cell: its edges, and the characters of its names
+    side, small = checked_broadcast(per_cell, weight=F.aggregate(
+        "_fences", F.lit(0), lambda a, f: a + F.size(f["edges"]) + F.length(f["name"])))
     px, py = F.col(lon), F.col(lat)
-    hits = F.filter(F.coalesce(F.col("fences"), F.array()), lambda f: within(px, py, f["edges"], f["bbox"]))
-    tag = F.array_join(F.array_sort(F.transform(hits, lambda f: f["name"])), ",")
-    return joined.withColumn("geotag", tag).drop("cx", "cy", "fences", "_salt")
+    names = []
+    out = points
+    for level in _levels(prepared):
+        out = _at_level(out, side, small, level, lon, lat, "left", salt, row_key)
+        hits = F.filter(F.coalesce(F.col("_fences"), F.array()), lambda f: within(px, py, f["edges"], f["bbox"]))
+        names.append(f"_names{len(names)}")
+        out = out.withColumn(names[-1], F.transform(hits, lambda f: f["name"])).drop("_fences")
+    found = F.concat(*[F.col(n) for n in names]) if names else F.array().cast("array<string>")
+    return out.withColumn("geotag", F.array_join(F.array_sort(found), ",")).drop(*names)
 
 
 def point_in_fence_pairs(points: DataFrame, fences: DataFrame, keep: list[str],
-                         lon: str = "lon", lat: str = "lat", cell_size: float | None = None,
-                         salt: int = 16, row_key: str = "event_id") -> DataFrame:
+                         lon: str = "lon", lat: str = "lat", salt: int = 16,
+                         row_key: str = "event_id") -> DataFrame:
     """JOIN-1 as pairs: ``keep..., name`` for every (point, fence) with the
-    point strictly inside. A point has one cell, so each pair appears once."""
-    prepared = prepare(fences)
-    size = cell_size or choose_cell_size(prepared)
-    cells = fence_cells(prepared, size)
-    side, small = checked_broadcast(cells, weight=F.size("edges"))
-    pts = points.select(*keep, lon, lat).withColumn("cx", _cell(F.col(lon), size)) \
-        .withColumn("cy", _cell(F.col(lat), size))
-    keys = ["cx", "cy"]
-    if not small and salt > 1:
-        pts, side = _salted(pts, side, salt, row_key)
-        keys = keys + ["_salt"]
-    joined = pts.join(side, keys)
-    return joined.where(within(F.col(lon), F.col(lat), F.col("edges"), F.col("bbox"))).select(*keep, "name")
+    point strictly inside. A point has one cell per level and a fence one
+    level, so each pair appears once."""
+    prepared = materialize(prepare(fences))
+    side, small = checked_broadcast(fence_cells(prepared), weight=F.size("edges") + F.length("name"))
+    pts = points.select(*dict.fromkeys([*keep, lon, lat]))
+    out = None
+    for level in _levels(prepared):
+        joined = _at_level(pts, side, small, level, lon, lat, "inner", salt, row_key)
+        hits = joined.where(within(F.col(lon), F.col(lat), F.col("edges"), F.col("bbox"))).select(*keep, "name")
+        out = hits if out is None else out.unionByName(hits)
+    return out if out is not None else pts.select(*keep, F.lit("").alias("name")).where("1 = 0")

@@ -63,19 +63,19 @@ def _parse_fields(df: DataFrame, tokens: Column, fields, keep: list[str],
         reason = reason.when(F.isnan(v) | (F.abs(v) == float("inf")), F.lit(R_NON_FINITE))
     judged = parsed.select(*keep, *[F.col(f"_p{i}") for i in range(n)], reason.alias("error"))
     ok = F.col("error").isNull()
-    return _emit(judged, [*keep, *[F.when(ok, F.col(f"_p{i}")).alias(name) for i, name in enumerate(names)],
-                          F.col("error")])
+    return _emit(judged, keep, [*[F.when(ok, F.col(f"_p{i}")).alias(name) for i, name in enumerate(names)],
+                                F.col("error")])
 
 
-def _emit(df: DataFrame, cols: list) -> DataFrame:
-    """Emit the parsed row through a generator (one row in, one row out).
+def _emit(df: DataFrame, keep: list[str], parsed: list[Column]) -> DataFrame:
+    """Emit the parsed values through a generator (one row in, one row out).
 
     A later filter on ``error`` (or on a parsed value) then stays above the
     parse: the optimizer does not push predicates on generator output below
     the generator, so it cannot copy the whole parse expression into a
-    filter next to the scan and evaluate it twice per row."""
-    cols = [F.col(c) if isinstance(c, str) else c for c in cols]
-    return df.select(F.inline(F.array(F.struct(*cols))))
+    filter next to the scan and evaluate it twice per row. Filters on the kept
+    columns, which the generator does not make, do go down to the scan."""
+    return df.select(*keep, F.inline(F.array(F.struct(*parsed))))
 
 
 def tokens_exploded(lines: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -137,9 +137,9 @@ def faa_typed(lines: DataFrame, keep: list[str] | None = None, zone: str = "UTC"
     parsed = tok.select(*keep, raw[2].alias("_tn"), stamp.alias("_ts"), lon.alias("_lon"),
                         lat.alias("_lat"), reason.alias("error"))
     ok = F.col("error").isNull()
-    return _emit(parsed, [*keep, F.when(ok, F.col("_tn")).alias("tn"), F.when(ok, F.col("_ts")).alias("timestamp"),
-                          F.when(ok, F.col("_lon")).alias("lon"), F.when(ok, F.col("_lat")).alias("lat"),
-                          F.col("error")])
+    return _emit(parsed, keep, [F.when(ok, F.col("_tn")).alias("tn"), F.when(ok, F.col("_ts")).alias("timestamp"),
+                                F.when(ok, F.col("_lon")).alias("lon"), F.when(ok, F.col("_lat")).alias("lat"),
+                                F.col("error")])
 
 
 # --------------------------------------------------------------------------

@@ -16,19 +16,39 @@ sharing one value of the leading order column stay in one slice).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Slices of an order; raise it with the rows (a slice is sorted in one task).
+SLICES = 256
+
+
+def slice_of(x: Column, bounds: list) -> Column:
+    """Index of the slice holding ``x``: the number of sorted bounds ``<= x``.
+
+    The bounds are array literals in two levels (about the square root of
+    their number each), so the expression stays small however many there are.
+    """
+    if not bounds:
+        return F.lit(0)
+    step = max(1, math.isqrt(len(bounds)))
+    kind = "double" if any(isinstance(b, float) for b in bounds) else "bigint"
+
+    def literal(values: list) -> Column:
+        return F.lit(values).cast(f"array<{kind}>")
+
+    groups = [bounds[i:i + step] for i in range(0, len(bounds), step)]
+    upper = literal([g[0] for g in groups])
+    below = F.lit([[float(v) if kind == "double" else v for v in g] for g in groups]).cast(f"array<array<{kind}>>")
 
-def _slice_expr(x: Column, bounds: list) -> Column:
-    """Index of the slice holding ``x``: the number of bounds ``<= x``,
-    as a balanced tree of comparisons (depth log2 of the slice count)."""
-    def tree(lo: int, hi: int) -> Column:  # bounds[lo:hi], answer offset lo
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(x < F.lit(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-    return tree(0, len(bounds))
+    def inside(g: Column) -> Column:
+        own = F.size(F.filter(F.get(below, g - 1), lambda b: b <= x))
+        return F.when(g > 0, (g - 1) * step + own).otherwise(0)
+
+    # bound once: the group's number is used in several places
+    return F.transform(F.array(F.size(F.filter(upper, lambda b: b <= x))), inside).getItem(0)
 
 
 def quantile_bounds(df: DataFrame, col: str, slices: int) -> list:
@@ -45,10 +65,9 @@ def with_sequence(df: DataFrame, order_cols: list[str], name: str = "seq",
     in ``order_cols`` order. ``order_cols[0]`` must be numeric and the
     order columns must identify a row within its group."""
     group_cols = group_cols or []
-    spark = df.sparkSession
-    n = slices or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = slices or SLICES
     bounds = quantile_bounds(df, order_cols[0], n)
-    sliced = df.withColumn("_slice", _slice_expr(F.col(order_cols[0]), bounds))
+    sliced = df.withColumn("_slice", slice_of(F.col(order_cols[0]), bounds))
     keys = [*group_cols, "_slice"]
     rn = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)) - 1
     counts = sliced.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -60,16 +79,3 @@ def with_sequence(df: DataFrame, order_cols: list[str], name: str = "seq",
             .join(offsets, keys)
             .withColumn(name, F.col("_off") + F.col("_rn"))
             .drop("_slice", "_rn", "_off"))
-
-
-def consecutive_islands(df: DataFrame, key_col: str, group_cols: list[str] | None = None,
-                        name: str = "island") -> DataFrame:
-    """Group runs of consecutive integers in ``key_col`` (unique per group).
-
-    Classic gaps-and-islands: within a group ``key - position`` is constant
-    along a run and grows from one run to the next. The position comes from
-    `with_sequence`, so no single task sees all rows.
-    """
-    group_cols = group_cols or []
-    seq = with_sequence(df, [key_col], name="_pos", group_cols=group_cols)
-    return seq.withColumn(name, F.col(key_col) - F.col("_pos")).drop("_pos")

@@ -20,6 +20,7 @@ from ..sources import fences as FS
 from ..sources import kafka as K
 from ..sources import text as TX
 from ..operators import registry as R
+from ..operators.sequence import with_sequence
 from ..sinks import writers as W
 from ..streaming import runner as RUN
 from ..streaming import streams as S
@@ -140,10 +141,13 @@ def _sql_parse_cte(name: str, src: str, tokens_sql: str, fields, finite) -> str:
 
 _SPLIT_TOKENS = "string_split(regexp_replace({v}, ',+$', ''), ',')"
 
-_SF_PARSE = _sql_parse_cte("sfp", "simfile_lines", O.TOKENS_SQL, P.SIMFILE_FIELDS,
-                           ["lon", "lat", "spd", "brg"])
-_SPLIT_PARSE = _sql_parse_cte("ssp", "simfile_lines", _SPLIT_TOKENS, P.SPLIT_FIELDS,
-                              ["lon", "lat", "speed", "bearing"])
+# The fields of the line format, spelled out apart from the parser's.
+_SF_PARSE = _sql_parse_cte("sfp", "simfile_lines", O.TOKENS_SQL, [
+    ("tm", "long"), ("id", "int"), ("dtg", "string"), ("rt", "string"), ("lon", "double"), ("lat", "double"),
+    ("spd", "double"), ("brg", "double")], ["lon", "lat", "spd", "brg"])
+_SPLIT_PARSE = _sql_parse_cte("ssp", "simfile_lines", _SPLIT_TOKENS, [
+    ("tm", "long"), ("id", "string"), ("dtg", "string"), ("rt", "string"), ("lon", "double"), ("lat", "double"),
+    ("speed", "double"), ("bearing", "double")], ["lon", "lat", "speed", "bearing"])
 _FAA_PARSE = f"""faa_t AS (select event_id, value, {O.TOKENS_SQL.format(v='value')} as t from faa_lines),
 faa_r AS (select event_id, value, t[3] as r2, t[4] as r3, t[5] as r4, t[6] as r5 from faa_t),
 faa_p AS (select *, case when regexp_full_match(r3, '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}} [0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}( [AaPp][Mm])?')
@@ -255,18 +259,18 @@ def _fence_summary(f: DataFrame) -> DataFrame:
 @query("load_fences", O.with_views(
     f"select cast(k as bigint) as pos, name, 1 + k % 2 as n_rings, {_FENCE_BOX} from fences"))
 def load_fences(spark, sf_dir):
-    path = FS.fence_document_path(spark, FS.nation_fences(spark, sf_dir))
-    good, _errors = G.load_fences(spark, path, FS.FIELD_NAME)
+    path = FS.fence_lines_path(spark, FS.nation_fences(spark, sf_dir))
+    good, _errors = G.load_fences(spark, path, FS.FIELD_NAME, multiline=False)
     return _fence_summary(good)
 
 
-@query("fence_dedupe", O.with_views(f"""select cast(case when f.k % 5 = 0 then (select count(*) from nation) + f.k // 5 else f.k end as bigint) as pos,
+@query("fence_dedupe", O.with_views(f"""select cast(case when f.k % 5 = 0 then 1002 + f.k else f.k end as bigint) as pos,
   f.name, 1 + w.k % 2 as n_rings, {_FENCE_BOX.replace('cx', 'w.cx').replace('cy', 'w.cy')}
 from fences f join fences w on w.k = case when f.k % 5 = 0 then f.k + 2 else f.k end"""))
 def fence_dedupe(spark, sf_dir):
     fences = FS.with_repeated_names(FS.nation_fences(spark, sf_dir))
-    path = FS.fence_document_path(spark, fences)
-    good, _errors = G.load_fences(spark, path, FS.FIELD_NAME)
+    path = FS.fence_lines_path(spark, fences)
+    good, _errors = G.load_fences(spark, path, FS.FIELD_NAME, multiline=False)
     return _fence_summary(G.dedupe_fences(good))
 
 
@@ -298,6 +302,20 @@ def geotag_filtered(spark, sf_dir):
     return geotag(spark, sf_dir).where(F.col("geotag") != "")
 
 
+@query("document_geotag", O.with_views("""select p.event_id, coalesce(string_agg(q.name, ',' order by q.name), '') as geotag
+from sfp p left join (select s.event_id, f.name from sfp s, fences f, fences w
+  where s.error is null and w.k = case when f.k % 5 = 0 then f.k + 2 else f.k end
+    and abs(s.lon - w.cx) + abs(s.lat - w.cy) < 30
+    and not (w.k % 2 = 1 and abs(s.lon - w.cx) + abs(s.lat - w.cy) <= 4)) q on p.event_id = q.event_id where p.error is null group by p.event_id""", _SF_PARSE))
+def document_geotag(spark, sf_dir):
+    """SRC-6, JOIN-2 and AGG-5 together: a fence document with repeated names,
+    of which the last counts, read and used for tagging."""
+    path = FS.fence_document_path(spark, FS.with_repeated_names(FS.nation_fences(spark, sf_dir)))
+    good, _errors = G.load_fences(spark, path, FS.FIELD_NAME)
+    pts = _valid_points(spark, sf_dir).select("event_id", "lon", "lat")
+    return G.geotag(pts, good).select("event_id", "geotag")
+
+
 # --------------------------------------------------------------------------
 # Sampling and batch statistics (FLT-4, SNK-5, AGG-7..10)
 # --------------------------------------------------------------------------
@@ -314,15 +332,20 @@ def every_nth(spark, sf_dir):
 
 
 @query("console_sample", O.with_views(
-    f"""select event_id, idx, concat(cast(idx as varchar), '>> ', coalesce(key, 'null'), ':', value) as line
-from li where idx % {EVERY_NTH} = 0 and length(value) > 0""", _row_bursts("simfile_lines"), _IDX))
+    f"""select li.event_id, li.idx, coalesce(li.key, 'null') as key, s.tm, s.rt, s.lon as x, s.error
+from li join sfp s on s.event_id = li.event_id where li.idx % {EVERY_NTH} = 0""",
+    _row_bursts("simfile_lines"), _IDX, _SF_PARSE))
 def console_sample(spark, sf_dir):
-    """SNK-5 as a table: ``idx>> key:line`` for sampled, non-empty lines."""
-    lines = T.simfile_lines(spark, sf_dir)
-    s = B.every_nth(lines, EVERY_NTH, GAP_MS).where(F.length("value") > 0)
-    return s.select("event_id", "idx", F.concat(F.col("idx").cast("string"), F.lit(">> "),
-                                                 F.coalesce(F.col("key"), F.lit("null")), F.lit(":"),
-                                                 F.col("value")).alias("line"))
+    """SNK-5: lines are sampled, transformed, and printed if not empty, as
+    ``idx>> key:line``; here the printed lines are read back."""
+    sampled = B.every_nth(T.simfile_lines(spark, sf_dir), EVERY_NTH, GAP_MS)
+    out = R.drop_empty(R.apply("simfile", sampled))
+    line = F.concat(F.col("idx").cast("string"), F.lit(">> "), F.coalesce(F.col("key"), F.lit("null")), F.lit(":"), F.col("value"))
+    parts = [F.regexp_extract(line, r"^([0-9]+)>> ([^:]*):([\s\S]*)$", i) for i in (1, 2, 3)]
+    doc = F.from_json(parts[2], P.doc_schema(_SF_ATTR_TYPES))
+    back = out.select("event_id", parts[0].cast("long").alias("idx"), parts[1].alias("key"), doc.alias("d"))
+    return back.select("event_id", "idx", "key", F.col("d.attr.tm").alias("tm"), F.col("d.attr.rt").alias("rt"),
+                       F.col("d.geom.x").alias("x"), F.col("d.error").alias("error"))
 
 
 _RATE_I = f"cast(1000 as double) * count(*) / cast({INTERVAL_MS} as double)"
@@ -341,8 +364,8 @@ bi AS (select *, w - row_number() over (order by w) as run from bw)"""
 
 @query("run_stats", O.with_views(f"""select min(w) * {INTERVAL_MS} as start_ms, (max(w) + 1) * {INTERVAL_MS} as end_ms,
   cast(sum(n) as bigint) as n, count(*) as batches,
-  round(avg(cast(1000 as double) * n / cast({INTERVAL_MS} as double)), 6) as avg_rate
-from bi group by run""", _BATCH_RUNS))
+  cast(1000 as double) * cast(sum(n) as double) / cast(count(*) * {INTERVAL_MS} as double) as avg_rate
+from bi group by run having max(w) < (select max(w) from bw)""", _BATCH_RUNS))
 def run_stats(spark, sf_dir):
     return BA.run_stats(T.latency_lines(spark, sf_dir), INTERVAL_MS)
 
@@ -351,7 +374,7 @@ def run_stats(spark, sf_dir):
   cast(sum(n) as bigint) as n,
   case when max(w) > min(w) then cast(1000 as double) * cast(sum(n) as double)
        / cast((max(w) - min(w)) * {INTERVAL_MS} as double) end as rate
-from bi group by run""", _BATCH_RUNS))
+from bi group by run having max(w) < (select max(w) from bw)""", _BATCH_RUNS))
 def microbatch_burst(spark, sf_dir):
     return BA.microbatch_burst(T.latency_lines(spark, sf_dir), INTERVAL_MS)
 
@@ -360,8 +383,15 @@ def microbatch_burst(spark, sf_dir):
   cast(sum(n) over (partition by topic, burst order by w rows unbounded preceding) as bigint) as running_n
 from (select *, sum(s) over (partition by topic order by w rows unbounded preceding) as burst
   from (select *, case when lag(w) over (partition by topic order by w) is null
-          or (w - lag(w) over (partition by topic order by w)) * {INTERVAL_MS} > {GAP_MS} then 1 else 0 end as s
-        from (select topic, ms // {INTERVAL_MS} as w, count(*) as n from latency_lines group by all)))"""))
+          or (w - lag(w) over (partition by topic order by w)) * {INTERVAL_MS} > {GAP_MS} then 1 else 0 end as s from tw))
+union all
+select topic, reset as batch_ms, cast(0 as bigint) as n, cast(0 as bigint) as running_n
+from (select topic, (w + 1) * {INTERVAL_MS} as at,
+        (select min(b.i + 1) * {INTERVAL_MS} from range(0, {GAP_MS // INTERVAL_MS + 3}) r(j), lateral (select tw.w + j as i) b
+         where (b.i + 1) * {INTERVAL_MS} - (tw.w + 1) * {INTERVAL_MS} > {GAP_MS}) as reset,
+        (lead(w) over (partition by topic order by w) + 1) * {INTERVAL_MS} as following from tw)
+where case when following is null then reset <= (select (max(w) + 1) * {INTERVAL_MS} from tw) else reset < following end""",
+    f"tw AS (select topic, ms // {INTERVAL_MS} as w, count(*) as n from latency_lines group by all)"))
 def running_burst_count(spark, sf_dir):
     return BA.running_burst_count(T.latency_lines(spark, sf_dir), INTERVAL_MS, GAP_MS)
 
@@ -373,20 +403,23 @@ def running_burst_count(spark, sf_dir):
 STREAM_CHUNKS = 5
 SUBSCRIPTION = ["click", "view"]
 PREVIEW_LINES = 1000
-BULK_SIZE = 500
 
 
-def _line_stream(spark, lines: DataFrame, what: str) -> DataFrame:
+#: A replay is in arrival order from one micro-batch to the next.
+NO_DELAY = "0 seconds"
+
+
+def _line_stream(spark, lines: DataFrame) -> DataFrame:
     """A line view replayed as a stream of time-ordered files."""
-    path = RUN.write_stream_files(lines, "event_id", STREAM_CHUNKS)
-    return RUN.spread_stream(RUN.file_stream(spark, path, lines.schema))
+    path, each = RUN.write_stream_files(lines, "ms", STREAM_CHUNKS)
+    return RUN.file_stream(spark, path, lines.schema, each)
 
 
 @query("line_source", O.with_views(
     "select topic, partition_id as partition, event_id as offset, key, value from simfile_lines"))
 def line_source(spark, sf_dir):
     """SRC-1 / PRJ-7: every record of every topic, through a stream."""
-    st = _line_stream(spark, T.simfile_lines(spark, sf_dir), "line-source")
+    st = _line_stream(spark, T.simfile_lines(spark, sf_dir))
     rec = K.lines_as_records(st).select("topic", "partition", "offset", "key", "value")
     return RUN.run_to_files(rec, "line-source")
 
@@ -396,7 +429,7 @@ def line_source(spark, sf_dir):
     f"where topic in ({', '.join(repr(t) for t in SUBSCRIPTION)})"))
 def multi_topic_source(spark, sf_dir):
     """SRC-2: a comma-separated topic list."""
-    st = _line_stream(spark, T.simfile_lines(spark, sf_dir), "multi-topic")
+    st = _line_stream(spark, T.simfile_lines(spark, sf_dir))
     rec = K.subscribe(K.lines_as_records(st), ",".join(SUBSCRIPTION))
     return RUN.run_to_files(rec.select("topic", "partition", "offset", "key", "value"), "multi-topic")
 
@@ -480,7 +513,10 @@ def transform_forward(spark, sf_dir):
                                row_key="offset"))
     path = W.kafka_stand_in_write(out.select("key", "value", "topic", "partition", "offset"),
                                   fresh_path(spark, "topic-out"))
-    back = spark.read.parquet(path)
+    return _forwarded(spark.read.parquet(path))
+
+
+def _forwarded(back: DataFrame) -> DataFrame:
     d = back.select("offset", "key", F.from_json("value", _FORWARD_SCHEMA).alias("d"))
     return d.select(F.col("offset").alias("event_id"), "key", F.col("d.attr.tm").alias("tm"),
                     F.col("d.attr.geotag").alias("geotag"), F.col("d.error").alias("error"))
@@ -506,22 +542,21 @@ def index_json_bulk(spark, sf_dir):
     """SNK-2: JSON documents into the bulk index layout, read back."""
     rec = K.lines_as_records(T.simfile_lines(spark, sf_dir))
     docs = R.apply("simfile", rec).select(W.doc_id().alias("doc_id"), F.col("value").alias("doc"))
-    path = W.index_write(docs, fresh_path(spark, "index"), "simulator", "simfile", BULK_SIZE)
+    path = W.index_write(docs, fresh_path(spark, "index"), "simulator", "simfile")
     return _index_back(spark, path)
 
 
 @query("index_json_microbatch", _INDEX_ORACLE)
 def index_json_microbatch(spark, sf_dir):
     """SNK-3: the same writer called once per micro-batch of a stream."""
-    st = K.lines_as_records(_line_stream(spark, T.simfile_lines(spark, sf_dir), "index-mb"))
+    st = K.lines_as_records(_line_stream(spark, T.simfile_lines(spark, sf_dir)))
     root = fresh_path(spark, "index-mb")
 
     def each(batch: DataFrame, batch_id: int):
         # one folder per batch id, overwritten on replay: a batch re-run after
         # a failure replaces its own output instead of adding duplicates
         docs = R.apply("simfile", batch).select(W.doc_id().alias("doc_id"), F.col("value").alias("doc"))
-        W.index_write(docs, root, "simulator", "simfile", BULK_SIZE, mode="overwrite",
-                      batch_id=batch_id)
+        W.index_write(docs, root, "simulator", "simfile", batch_id=batch_id)
 
     RUN.run_foreach_batch(st, "index-mb", each)
     return _index_back(spark, f"{root}/index=simulator/type=simfile")
@@ -537,12 +572,11 @@ def index_csv_typed(spark, sf_dir):
     typed = P.simfile_split_typed(rec, keep=["topic", "partition", "offset"])
     fields = [n for n, _ in P.SPLIT_FIELDS]
     root = fresh_path(spark, "index-csv")
-    good = typed.where("error is null").select(
-        W.doc_id().alias("doc_id"), F.to_json(F.struct(*fields)).alias("doc"))
-    path = W.index_write(good, root, "sink", "simfile", BULK_SIZE)
-    bad = typed.where("error is not null").select(
-        W.doc_id().alias("doc_id"), F.to_json(F.struct("error")).alias("doc"))
-    W.index_write(bad, root, "sink", "simfile_errors", BULK_SIZE)
+    ok = F.col("error").isNull()
+    docs = typed.select(W.doc_id().alias("doc_id"),
+                        F.when(ok, F.to_json(F.struct(*fields))).otherwise(F.to_json(F.struct("error"))).alias("doc"),
+                        F.when(ok, F.lit("simfile")).otherwise(F.lit("simfile_errors")).alias("type"))
+    path = W.index_write(docs, root, "sink", None) + "/type=simfile"
     schema = ", ".join(f"{n}: {t}" for n, t in [("tm", "bigint"), ("id", "string"), ("dtg", "string"),
                                                   ("rt", "string"), ("lon", "double"), ("lat", "double"),
                                                   ("speed", "double"), ("bearing", "double")])
@@ -556,12 +590,14 @@ def index_csv_typed(spark, sf_dir):
 
 _METRICS_SQL = f"""ml AS (select topic, max(ms) + {GAP_MS} as closed_ms, count(*) as count, {_RATE_SQL} as rate,
   cast(coalesce(sum(case when ok then ms - sent end), 0) as double) / cast(count(*) as double) as latency
-from lf group by topic, burst)"""
+from lf group by topic, burst having max(ms) + {GAP_MS} <= (select max(ms) from latency_lines))"""
 
 
 def _metrics_table(spark, sf_dir) -> DataFrame:
-    bursts = B.burst_latency(T.latency_lines(spark, sf_dir), GAP_MS)
-    path = W.metrics_append(bursts, fresh_path(spark, "metrics"), GAP_MS)
+    lines = T.latency_lines(spark, sf_dir)
+    now = lines.agg(F.max("ms")).first()[0]
+    bursts = B.closed(B.burst_latency(lines, GAP_MS), GAP_MS, F.lit(now).cast("long"))
+    path = W.metrics_append(bursts, fresh_path(spark, "metrics"))
     return spark.read.parquet(path)
 
 
@@ -570,20 +606,13 @@ def burst_metrics_table(spark, sf_dir):
     return _metrics_table(spark, sf_dir)
 
 
-@query("metrics_history", O.with_views("""select topic, list(count order by closed_ms) as counts,
-  list(rate order by closed_ms) as rates, list(latency order by closed_ms) as latencies,
-  max(closed_ms) as last_closed_ms
-from ml group by topic""", _ROW_BURSTS_LATENCY, _LATENCY_ROWS, _METRICS_SQL))
+@query("metrics_history", O.with_views("""select topic,
+  row_number() over (partition by topic order by closed_ms) - 1 as position, closed_ms, count, rate, latency
+from ml""", _ROW_BURSTS_LATENCY, _LATENCY_ROWS, _METRICS_SQL))
 def metrics_history(spark, sf_dir):
-    """AGG-11: per topic, the history lists in close order plus the last
-    close time (the payload of the original's count page)."""
-    m = _metrics_table(spark, sf_dir)
-    h = m.groupBy("topic").agg(
-        F.array_sort(F.collect_list(F.struct("closed_ms", "count", "rate", "latency"))).alias("h"),
-        F.max("closed_ms").alias("last_closed_ms"))
-    return h.select("topic", F.transform("h", lambda x: x["count"]).alias("counts"),
-                    F.transform("h", lambda x: x["rate"]).alias("rates"),
-                    F.transform("h", lambda x: x["latency"]).alias("latencies"), "last_closed_ms")
+    """AGG-11: the history of each topic in close order, one row an entry."""
+    m = with_sequence(_metrics_table(spark, sf_dir), ["closed_ms"], "position", ["topic"])
+    return m.select("topic", "position", "closed_ms", "count", "rate", "latency")
 
 
 # --------------------------------------------------------------------------
@@ -592,14 +621,14 @@ def metrics_history(spark, sf_dir):
 
 @query("stream_transform", ORACLES["simfile_to_doc"])
 def stream_transform(spark, sf_dir):
-    st = _line_stream(spark, T.simfile_lines(spark, sf_dir), "stream-transform")
+    st = _line_stream(spark, T.simfile_lines(spark, sf_dir))
     out = RUN.run_to_files(S.stream_documents(st), "stream-transform")
     return _reparsed(out, _SF_ATTR_TYPES)
 
 
 @query("stream_geotag", ORACLES["geotag"])
 def stream_geotag(spark, sf_dir):
-    st = _line_stream(spark, T.simfile_lines(spark, sf_dir), "stream-geotag")
+    st = _line_stream(spark, T.simfile_lines(spark, sf_dir))
     return RUN.run_to_files(S.stream_geotag(st, FS.nation_fences(spark, sf_dir)), "stream-geotag")
 
 
@@ -607,8 +636,8 @@ def stream_geotag(spark, sf_dir):
     "select topic, min(ms) as start_ms, max(ms) as end_ms, count(*) as n from lb group by topic, burst "
     f"having max(ms) + {GAP_MS} <= (select max(ms) from latency_lines)", _ROW_BURSTS_LATENCY))
 def stream_burst_count(spark, sf_dir):
-    st = _line_stream(spark, T.latency_lines(spark, sf_dir).select("event_id", "ms", "topic"), "stream-bursts")
-    return RUN.run_to_files(S.stream_bursts(st, GAP_MS), "stream-bursts")
+    st = _line_stream(spark, T.latency_lines(spark, sf_dir).select("event_id", "ms", "topic"))
+    return RUN.run_to_files(S.stream_bursts(st, GAP_MS, NO_DELAY), "stream-bursts")
 
 
 @query("stream_batch_stats", O.with_views(f"""select (ms // {INTERVAL_MS}) * {INTERVAL_MS} as window_start_ms,
@@ -616,8 +645,29 @@ def stream_burst_count(spark, sf_dir):
 from latency_lines group by ms // {INTERVAL_MS}
 having (ms // {INTERVAL_MS} + 1) * {INTERVAL_MS} <= (select max(ms) from latency_lines)"""))
 def stream_batch_stats(spark, sf_dir):
-    st = _line_stream(spark, T.latency_lines(spark, sf_dir).select("event_id", "ms"), "stream-batches")
-    return RUN.run_to_files(S.stream_batch_stats(st, INTERVAL_MS), "stream-batches")
+    st = _line_stream(spark, T.latency_lines(spark, sf_dir).select("event_id", "ms"))
+    return RUN.run_to_files(S.stream_batch_stats(st, INTERVAL_MS, NO_DELAY), "stream-batches")
+
+
+@query("stream_burst_latency", O.with_views(f"""select topic, min(ms) as start_ms, max(ms) as end_ms, count(*) as n, {_RATE_SQL} as rate,
+  cast(coalesce(sum(case when ok then ms - sent end), 0) as double) / cast(count(*) as double) as avg_latency
+from lf group by topic, burst having max(ms) + {GAP_MS} <= (select max(ms) from latency_lines)""", _ROW_BURSTS_LATENCY, _LATENCY_ROWS))
+def stream_burst_latency(spark, sf_dir):
+    """AGG-2..4 live: the records are stored batch by batch, the closed bursts
+    are taken from the store."""
+    lines = T.latency_lines(spark, sf_dir).select("event_id", "ms", "topic", "value")
+    store = fresh_path(spark, "burst-rows")
+    RUN.run_foreach_batch(_line_stream(spark, lines), "burst-rows", S.keep_lines(store))
+    return S.closed_burst_latency(spark, store, GAP_MS).drop("valid_n", "closed_ms")
+
+
+@query("stream_forward", ORACLES["transform_forward"])
+def stream_forward(spark, sf_dir):
+    """STR-6 + SNK-1: a transform picked by name between a source and a topic."""
+    st = K.lines_as_records(_line_stream(spark, T.simfile_lines(spark, sf_dir)))
+    out = S.stream_forward(st, "geotag", fences=FS.nation_fences(spark, sf_dir), filter=True, row_key="offset")
+    back = RUN.run_to_files(out.select("key", "value", "topic", "partition", "offset"), "stream-forward")
+    return _forwarded(back)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

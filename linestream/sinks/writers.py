@@ -2,14 +2,18 @@
 
 * Kafka: ``key`` kept from the input record, ``value`` = output line.
 * Bulk document index: newline-delimited JSON under ``index=<i>/type=<t>/``,
-  at most ``bulk`` documents per file (the bulk request size), each document
-  stored as given under ``_source`` with a deterministic ``_id`` built from
-  ``topic-partition-offset`` so a replayed batch overwrites, not duplicates.
+  each document stored as given under ``_source`` with a deterministic ``_id``
+  built from ``topic-partition-offset``. A run replaces its folder, a replayed
+  micro-batch its own, so nothing is stored twice. The size of a bulk request
+  is a connector's matter (`bulk_requests`), not that of the files.
 * Metrics table: append-only parquet, one row per closed burst.
 """
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterable, Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +24,13 @@ def kafka_write(df: DataFrame, brokers: str, topic: str):
      .write.format("kafka").option("kafka.bootstrap.servers", brokers).option("topic", topic).save())
 
 
+def kafka_stream(stream: DataFrame, brokers: str, topic: str):
+    """SNK-1 on a stream: a writer for `streaming.runner.start`, which adds the
+    checkpoint and the trigger. Delivery is at least once, as in the original."""
+    return (stream.select(F.col("key").cast("string"), F.col("value").cast("string"))
+            .writeStream.format("kafka").option("kafka.bootstrap.servers", brokers).option("topic", topic))
+
+
 def kafka_stand_in_write(df: DataFrame, path: str, mode: str = "append") -> str:
     """Same two columns (plus the record coordinates) as parquet."""
     df.write.mode(mode).parquet(path)
@@ -30,23 +41,54 @@ def doc_id(topic="topic", partition="partition", offset="offset"):
     return F.concat_ws("-", F.col(topic), F.col(partition).cast("string"), F.col(offset).cast("string"))
 
 
-def bulk_lines(docs: DataFrame, doc_col: str = "doc", id_col: str = "doc_id") -> DataFrame:
-    """``{"_id": "...", "_source": <document as given>}`` per line."""
-    head = docs.select(F.to_json(F.struct(F.col(id_col).alias("_id"))).alias("_h"), doc_col)
+def bulk_lines(docs: DataFrame, doc_col: str = "doc", id_col: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
+    """``{"_id": "...", "_source": <document as given>}`` per line. A document
+    that is not JSON fails the batch."""
+    head = docs.select(F.to_json(F.struct(F.col(id_col).alias("_id"))).alias("_h"), doc_col, *(keep or []))
     line = F.concat(F.expr("substring(_h, 1, length(_h) - 1)"), F.lit(',"_source":'),
                     F.col(doc_col), F.lit("}"))
-    return head.select(line.alias("value"))
-
-
-def index_write(docs: DataFrame, root: str, index: str, doc_type: str, bulk: int,
-                doc_col: str = "doc", id_col: str = "doc_id", mode: str = "append",
-                batch_id: int | None = None) -> str:
-    """SNK-2 / SNK-3: write one bulk layout; returns the folder of the type.
+    wrong = F.try_parse_json(F.col(doc_col)).isNull()
+    checked = F.when(wrong, F.raise_error(F.concat(F.lit("not a JSON document: "), F.coalesce(F.col(doc_col), F.lit("null")))))
+    return head.select(checked.otherwise(line).alias("value"), *(keep or []))
+
+
+def bulk_requests(lines: Iterable[str], actions: int, most_bytes: int = 1 << 30, most_seconds: float = 5.0,
+                  clock=time.monotonic) -> Iterator[list[str]]:
+    """Cut a task's documents into bulk requests for a connector (call it in
+    ``foreachPartition``): after ``actions`` documents, before ``most_bytes``,
+    or when a document comes ``most_seconds`` after the request's first."""
+    held: list[str] = []
+    size, since = 0, 0.0
+    for line in lines:
+        n = len(line.encode())
+        if held and (size + n > most_bytes or clock() - since >= most_seconds):
+            yield held
+            held, size = [], 0
+        if not held:
+            since = clock()
+        held.append(line)
+        size += n
+        if len(held) >= actions:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def index_write(docs: DataFrame, root: str, index: str, doc_type: str | None,
+                doc_col: str = "doc", id_col: str = "doc_id", batch_id: int | None = None) -> str:
+    """SNK-2 / SNK-3: write one bulk layout; returns its folder. Files are as
+    large as the tasks' output; a run replaces what an earlier run wrote there.
+
+    With ``doc_type`` None the documents' column ``type`` names their folders.
     With ``batch_id`` the batch goes to its own ``batch=<id>`` folder."""
-    path = f"{root.rstrip('/')}/index={index}/type={doc_type}"
+    path = f"{root.rstrip('/')}/index={index}"
+    if doc_type is None:
+        bulk_lines(docs, doc_col, id_col, ["type"]).write.mode("overwrite").partitionBy("type").text(path)
+        return path
+    path = f"{path}/type={doc_type}"
     target = path if batch_id is None else f"{path}/batch={batch_id}"
-    (bulk_lines(docs, doc_col, id_col).write.mode(mode)
-     .option("maxRecordsPerFile", bulk).text(target))
+    bulk_lines(docs, doc_col, id_col).write.mode("overwrite").text(target)
     return path
 
 
@@ -57,10 +99,9 @@ def index_read(spark, path: str, source_schema: str) -> DataFrame:
             .option("recursiveFileLookup", "true").json(path).select("_id", "_source"))
 
 
-def metrics_append(bursts: DataFrame, path: str, gap_ms: int) -> str:
-    """SNK-6: one row per closed burst; the close time is the last arrival
-    plus the idle gap that closed it."""
-    (bursts.select("topic", (F.col("end_ms") + gap_ms).alias("closed_ms"), F.col("n").alias("count"),
-                   "rate", F.col("avg_latency").alias("latency"))
+def metrics_append(closed_bursts: DataFrame, path: str) -> str:
+    """SNK-6: one row per closed burst (`operators.bursts.closed`); the close
+    time is the last arrival plus the idle gap that closed it."""
+    (closed_bursts.select("topic", "closed_ms", F.col("n").alias("count"), "rate", F.col("avg_latency").alias("latency"))
      .write.mode("append").parquet(path))
     return path

@@ -73,9 +73,13 @@ def fence_document_path(spark: SparkSession, fences: DataFrame) -> str:
 
 
 def write_fence_lines(fences: DataFrame, path: str, field_name: str = FIELD_NAME) -> str:
-    """The same features, one JSON object per line and many files: the form
-    for large fence sets (read with ``load_fences(..., multiline=False)``)."""
-    feat = F.struct(F.struct(F.col("rings").alias("rings")).alias("geometry"),
+    """The same features, one JSON object per line with its ``pos``, in many
+    files: the form for large fence sets (``load_fences(..., multiline=False)``)."""
+    line = F.struct("pos", F.struct(F.col("rings").alias("rings")).alias("geometry"),
                     F.struct(F.col("name").alias(field_name)).alias("attributes"))
-    fences.orderBy("pos").select(F.to_json(feat).alias("value")).write.mode("overwrite").text(path)
+    fences.select(F.to_json(line).alias("value")).write.mode("overwrite").text(path)
     return path
+
+
+def fence_lines_path(spark: SparkSession, fences: DataFrame) -> str:
+    return write_fence_lines(fences, fresh_path(spark, "fence-lines"))
