@@ -16,7 +16,6 @@ of letters.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import text_or_empty
 
@@ -35,7 +35,7 @@ SWITCH = 6.0
 #: A language keeps a script that holds at least this share of its letters.
 SCRIPT_SHARE = 0.01
 #: Words a Python worker keeps scores for; distinct words a task counts before it emits.
-WORD_CACHE = 300_000
+WORD_CACHE = 500_000
 #: A text without letters, or null.
 UNKNOWN = "und"
 
@@ -61,6 +61,9 @@ _LETTER = r"[^\W\d_]"
 #: A word: letters (and the marks inside the block) of one script.
 WORDS = re.compile("|".join(f"(?=[{r}]){_LETTER}[{r}]*" for r in SCRIPTS.values())
                    + "|" + f"(?:(?![{''.join(SCRIPTS.values())}]){_LETTER})+")
+#: In a text without any other characters, words are plain runs of letters.
+_PLAIN_TEXT = re.compile("[\x00-\x7fÀ-ɏ¡¿«»–—‘’“”…]*")
+_PLAIN_WORDS = re.compile(f"{_LETTER}+")
 _SCRIPT_OF = [(i, re.compile(f"[{r}]")) for i, r in enumerate(SCRIPTS.values())]
 
 
@@ -69,10 +72,23 @@ def script_of_char(c: str) -> int:
     return next((i for i, p in _SCRIPT_OF if p.match(c)), len(SCRIPT_NAMES) - 1)
 
 
-def trigrams(word: str) -> list[int]:
-    """Hashed character trigrams of a lower-cased word with its borders."""
-    w = f"^{word}$"
-    return [zlib.crc32(w[i:i + 3].encode("utf-8", "surrogatepass")) % TABLE for i in range(len(w) - 2)]
+def words_of(text: str) -> list[str]:
+    text = text.lower()
+    return (_PLAIN_WORDS if _PLAIN_TEXT.fullmatch(text) else WORDS).findall(text)
+
+
+def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed character trigrams of the words with their borders, one after the
+    other, and where each word's begin (a word has as many as letters)."""
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    code = np.frombuffer(("\2" + "\3\2".join(words) + "\3").encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    h = code[:-2] * np.uint64(0x9E3779B97F4A7C15) + code[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + code[2:] * np.uint64(0x165667B19E3779F9)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    inside = np.ones(len(code), bool)
+    ends = np.cumsum(size + 2)
+    inside[ends - 1] = inside[ends - 2] = False
+    return (h >> np.uint64(40))[inside[:-2]].astype(np.int64) % TABLE, np.cumsum(size) - size
 
 
 # ---------------------------------------------------------------- learning
@@ -81,26 +97,30 @@ def trigrams(word: str) -> list[int]:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words per language in this task, reduced to trigram and script counts."""
     seen: dict[str, Counter] = {}
-    slots: Counter = Counter()  # (language, slot) -> count; slots >= TABLE are scripts
+    slots: dict[str, np.ndarray] = {}  # slots from TABLE on are scripts
 
     def fold() -> None:
-        for lang, words in seen.items():
-            for w, n in words.items():
-                slots[lang, TABLE + script_of_char(w[0])] += n * len(w)
-                for s in trigrams(w):
-                    slots[lang, s] += n
+        for lang, counter in seen.items():
+            words = list(counter)
+            n = np.fromiter(counter.values(), np.int64, len(words))
+            size = np.fromiter(map(len, words), np.int64, len(words))
+            total = slots.setdefault(lang, np.zeros(TABLE + len(SCRIPT_NAMES), np.int64))
+            total[:TABLE] += np.bincount(trigrams(words)[0], weights=np.repeat(n, size), minlength=TABLE).astype(np.int64)
+            script = np.fromiter((script_of_char(w[0]) for w in words), np.int64, len(words))
+            total[TABLE:] += np.bincount(script, weights=n * size, minlength=len(SCRIPT_NAMES)).astype(np.int64)
         seen.clear()
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            seen.setdefault(lang, Counter()).update(WORDS.findall(text.lower()))
+            if words := words_of(text):
+                seen.setdefault(lang, Counter()).update(words)
         if sum(map(len, seen.values())) > WORD_CACHE:
             fold()
     fold()
-    if slots:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in slots], pa.string()), pa.array([k[1] for k in slots], pa.int32()),
-             pa.array(list(slots.values()), pa.int64())], names=["lang", "slot", "n"])
+    for lang, total in slots.items():
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()),
+                                          pa.array(total[at], pa.int64())], names=["lang", "slot", "n"])
 
 
 def learn(train: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict | None:
@@ -140,21 +160,25 @@ class Scorer:
         self.table = np.zeros((1024, self.k), np.float32)
         self.size = np.zeros(1024, np.int32)
 
-    def _score(self, word: str) -> np.ndarray:
-        s = self.model["logs"][trigrams(word)].sum(0)
-        ok = self.model["allowed"][script_of_char(word[0])]
-        s = s - s[ok].max()
+    def _scores(self, words: list[str]) -> np.ndarray:
+        slots, starts = trigrams(words)
+        s = np.add.reduceat(self.model["logs"][slots], starts, axis=0)
+        ok = self.model["allowed"][np.fromiter((script_of_char(w[0]) for w in words), np.int64, len(words))]
+        s = s - np.where(ok, s, -np.inf).max(1, keepdims=True)
         # one word never outweighs a span: its evidence is held to twice a switch
         return np.where(ok, np.maximum(s, -2 * SWITCH), _OUT)
 
     def numbers(self, words: list[str]) -> np.ndarray:
         rows = self.rows
-        for w in set(words).difference(rows):
-            n = len(rows)
-            if n == len(self.table):
+        new = list(set(words).difference(rows))
+        if new:
+            first, last = len(rows), len(rows) + len(new)
+            while last > len(self.table):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
                 self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-            rows[w], self.table[n], self.size[n] = n, self._score(w), len(w)
+            self.table[first:last] = self._scores(new)
+            self.size[first:last] = np.fromiter(map(len, new), np.int32, len(new))
+            rows.update(zip(new, range(first, last), strict=True))
         return np.fromiter(map(rows.__getitem__, words), np.int32, len(words))
 
     def trim(self) -> None:
@@ -162,6 +186,16 @@ class Scorer:
             self.rows.clear()
 
 
+def one_language(scores: np.ndarray, switch: float = SWITCH) -> int | None:
+    """The language of a text whose best path never switches, if that can be
+    told at once: no run of words favours another language by more than half
+    of what a switch costs (m runs in other languages need m - 1 switches)."""
+    best = int(scores.sum(0).argmax())
+    lead = np.cumsum(scores - scores[:, best:best + 1], axis=0, dtype=np.float64)
+    low = np.minimum(np.minimum.accumulate(np.vstack([np.zeros((1, lead.shape[1])), lead[:-1]]), axis=0), 0)
+    return best if (lead - low).max() <= switch / 2 else None
+
+
 def viterbi(texts: list[np.ndarray], table: np.ndarray, switch: float = SWITCH) -> list[np.ndarray]:
     """Best language of every word of every text (texts: rows of `table`).
 
@@ -223,13 +257,16 @@ def _labelled(model_of, batches: Iterator[pa.RecordBatch], finish, schema: list[
         size = 0
 
         def work() -> None:
-            for (i, rows), labels in zip(held, viterbi([r for _, r in held], scorer.table), strict=True):
-                values[i] = finish(texts[i], labels.astype(np.int64), scorer.size[rows], model["langs"])
+            one = [one_language(scorer.table[r]) for _, r in held]
+            paths = iter(viterbi([r for (_, r), lang in zip(held, one, strict=True) if lang is None], scorer.table))
+            for (i, rows), lang in zip(held, one, strict=True):
+                labels = next(paths).astype(np.int64) if lang is None else np.full(len(rows), lang)
+                values[i] = finish(texts[i], labels, scorer.size[rows], model["langs"])
             held.clear()
             scorer.trim()
 
         for i, text in enumerate(texts):
-            words = WORDS.findall(text.lower()) if text else []
+            words = words_of(text) if text else []
             if not words:
                 values[i] = finish(text, np.zeros(0, np.int64), np.zeros(0, np.int32), model["langs"])
                 continue
@@ -253,7 +290,8 @@ def _verdict(text, labels: np.ndarray, sizes: np.ndarray, langs: list[str]) -> t
 
 def _spans(text: str | None, labels: np.ndarray, sizes: np.ndarray, langs: list[str]) -> tuple:
     spans = []
-    for i, m in enumerate(WORDS.finditer(text.lower()) if text else ()):
+    lower = (text or "").lower()
+    for i, m in enumerate((_PLAIN_WORDS if _PLAIN_TEXT.fullmatch(lower) else WORDS).finditer(lower)):
         lang = langs[labels[i]]
         if spans and spans[-1]["lang"] == lang:
             spans[-1]["end"] = m.end()
@@ -262,16 +300,18 @@ def _spans(text: str | None, labels: np.ndarray, sizes: np.ndarray, langs: list[
     return (spans,)
 
 
-def _run(docs: DataFrame, model: dict, key: Column, text_col: str, finish, fields: list[tuple[str, pa.DataType]],
-         schema: str) -> DataFrame:
+def _run(docs: DataFrame, model: dict, key: Column, key_type, text_col: str, finish,
+         fields: list[tuple[str, pa.DataType]], schema: str) -> DataFrame:
+    schema = T.StructType([T.StructField("key", T.DataType.fromDDL(key_type) if isinstance(key_type, str) else key_type),
+                           *T.StructType.fromDDL(schema)])
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(key.alias("key"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return rows.mapInArrow(lambda batches: _labelled(shared, batches, finish, fields), schema)
 
 
-def predict(docs: DataFrame, model: dict | None, key: Column, key_type: str = "long",
+def predict(docs: DataFrame, model: dict | None, key: Column, key_type: str | T.DataType = "long",
             text_col: str = "text") -> DataFrame:
-    """key, lang_pred, score, n_spans of every row.
+    """key, lang_pred, score, n_spans of every row (a key may be a whole row).
 
     `und` with score 0 if the text is null or has no letter, or if nothing was
     learned. A text in a script nobody was learned with still gets the learned
@@ -281,17 +321,16 @@ def predict(docs: DataFrame, model: dict | None, key: Column, key_type: str = "l
         return docs.select(key.alias("key"), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
                            F.lit(0).cast("long").alias("n_spans"))
     fields = [("lang_pred", pa.string()), ("score", pa.float64()), ("n_spans", pa.int64())]
-    return _run(docs, model, key, text_col, _verdict, fields,
-                f"key {key_type}, lang_pred string, score double, n_spans long")
+    return _run(docs, model, key, key_type, text_col, _verdict, fields, "lang_pred string, score double, n_spans long")
 
 
-def label_spans(docs: DataFrame, model: dict, key: Column, key_type: str = "long",
+def label_spans(docs: DataFrame, model: dict, key: Column, key_type: str | T.DataType = "long",
                 text_col: str = "text") -> DataFrame:
     """key, spans: the spans of one language each (lang, start, end in code
     points of the lower-cased text), in text order; empty if there is no letter."""
     kind = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-    return _run(docs, model, key, text_col, _spans, [("spans", kind)],
-                f"key {key_type}, spans array<struct<lang:string,start:long,end:long>>")
+    return _run(docs, model, key, key_type, text_col, _spans, [("spans", kind)],
+                "spans array<struct<lang:string,start:long,end:long>>")
 
 
 # ---------------------------------------------------------------- the query's split
