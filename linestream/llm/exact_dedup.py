@@ -2,10 +2,11 @@
 
 Every text is reduced to a 64-bit digest; the index holds the digests of the
 rows that currently stay ("live"). A row whose digest is not in the filter is
-inserted. On a filter hit the content record stored beside the matching slot
-(SHA-256 and byte length of the whole text) is compared, so neither a 16-bit
-fingerprint clash nor a digest clash merges two texts. A verified hit with a
-larger id deletes the live entry and inserts the new one. When an insertion
+inserted. On a filter hit the record stored beside the matching slot (SHA-256
+and byte length of the whole text) is compared, so neither a 16-bit fingerprint
+clash nor a digest clash merges two texts; then the bytes of every copy are
+compared with those of the row that stays, bucketed by key. A verified hit with
+a larger id deletes the live entry and inserts the new one. When an insertion
 cannot be placed, the table doubles and is rebuilt from its stored keys.
 
 On Spark: rows are reduced per (content, salt) before the shuffle, so a text
@@ -20,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import partitions_for, text_or_empty, written
@@ -124,7 +125,11 @@ class CuckooIndex:
         return (r for r in self.records if r is not None)
 
 
-_INDEX_SCHEMA = "sha string, n_bytes long, keep_id long, group_size long"
+_INDEX_SCHEMA = "key string, n_bytes long, keep_id long, group_size long"
+
+
+def _sha(text: Column) -> Column:
+    return F.sha2(text, 256)
 
 
 def _index_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +151,7 @@ def _index_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     def flush() -> pa.RecordBatch:
         types = (pa.string(), pa.int64(), pa.int64(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)],
-                                          names=["sha", "n_bytes", "keep_id", "group_size"])
+                                          names=["key", "n_bytes", "keep_id", "group_size"])
 
     for _, (sha, n_bytes), (keep, size) in index.live():
         for c, v in zip(out, (sha, n_bytes, keep, size), strict=True):
@@ -158,29 +163,47 @@ def _index_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield flush()
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_of=_sha) -> DataFrame:
     """One row per input row: `id_col`, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after no change; of equal texts the row
     with the largest id stays. Null text counts as empty (and equals it). A
     null id sorts below every other; if a group has only null ids, keep_id is
     null and one row stays. Of repeated rows (same id, same text) exactly one
-    is kept. Other columns of the input are not read.
+    is kept. Other columns of the input are not read. `key_of` makes the stored
+    key of a text; a weak one costs time, not correctness.
     """
     spark = docs.sparkSession
     text = text_or_empty(text_col)
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.sha2(text, 256).alias("sha"),
-                       F.xxhash64(text).alias("digest"), F.octet_length(text).cast("long").alias("n_bytes"))
-    members = written(rows.groupBy("id", "sha", "digest", "n_bytes").agg(F.count(F.lit(1)).alias("n")), "op4-members")
-    partial = (members.groupBy("sha", "digest", "n_bytes", F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), key_of(text).alias("key"), _sha(text).alias("sha"),
+                       F.xxhash64(key_of(text), F.octet_length(text)).alias("digest"), F.octet_length(text).cast("long").alias("n_bytes"),
+                       text.alias("text"))
+    members = written(rows.groupBy("id", "key", "sha", "digest", "n_bytes").agg(F.count(F.lit(1)).alias("n")), "op4-members")
+    partial = (members.groupBy("key", "digest", "n_bytes", F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"))
                .agg(F.max("id").alias("id"), F.sum("n").alias("n"))
-               .select("digest", "sha", "n_bytes", "id", "n"))
+               .select("digest", "key", "n_bytes", "id", "n"))
     parts = partitions_for(spark, members.count(), KEYS_PER_PARTITION)
-    index = partial.repartition(parts, "digest").mapInArrow(_index_partition, _INDEX_SCHEMA)
-    index = index.select(F.col("sha").alias("i_sha"), F.col("n_bytes").alias("i_bytes"), "keep_id", "group_size")
-    joined = members.join(index, (F.col("sha") == F.col("i_sha")) & (F.col("n_bytes") == F.col("i_bytes")))
+    index = written(partial.repartition(parts, "digest").mapInArrow(_index_partition, _INDEX_SCHEMA), "op4-index")
+    index = index.select(F.col("key").alias("i_key"), F.col("n_bytes").alias("i_bytes"), "keep_id", "group_size")
+    same = (F.col("key") == F.col("i_key")) & (F.col("n_bytes") == F.col("i_bytes"))
+    found = members.join(index, same).select("id", "key", "n_bytes", "sha", "n", "keep_id", "group_size")
+
+    # the bytes of every copy against those of the row that stays
+    copies = written(rows.join(index.where("group_size > 1"), same)
+                     .select("key", "n_bytes", "id", "sha", "text", F.col("id").eqNullSafe(F.col("keep_id")).alias("stays")), "op4-copies")
+    stays = (copies.where("stays").groupBy(F.col("key").alias("s_key"), F.col("n_bytes").alias("s_bytes"))
+             .agg(F.any_value("text").alias("s_text")))
+    differ = written(copies.join(stays, (F.col("key") == F.col("s_key")) & (F.col("n_bytes") == F.col("s_bytes")))
+                     .where(F.col("text") != F.col("s_text")).select("key", "n_bytes").distinct(), "op4-differ")
+    if differ.take(1):  # one key, several texts: these groups go by the text itself
+        own = copies.join(differ, ["key", "n_bytes"])
+        groups = (own.groupBy("text").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+                  .withColumnRenamed("text", "g_text"))
+        again = (own.groupBy("id", "key", "n_bytes", "sha", "text").agg(F.count(F.lit(1)).alias("n"))
+                 .join(groups, F.col("text") == F.col("g_text")).drop("text", "g_text"))
+        found = found.join(differ, ["key", "n_bytes"], "left_anti").unionByName(again)
     copy = F.posexplode(F.sequence(F.lit(1), F.col("n")))
-    return (joined.select("id", "keep_id", "group_size", "sha", copy.alias("copy", "_c"))
+    return (found.select("id", "keep_id", "group_size", "sha", copy.alias("copy", "_c"))
             .select(F.col("id").alias(id_col), "keep_id", "group_size",
                     (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 0)).alias("kept"),
                     F.col("sha").alias("text_sha256")))

@@ -201,6 +201,16 @@ def test_cuckoo_hit_is_checked_against_the_content():
     assert index.payload(index.find(5, "a")) == 1 and index.payload(index.find(5, "b")) == 2
 
 
+@pytest.mark.parametrize("digits", [0, 1, 64])
+def test_copies_are_compared_byte_by_byte(spark, digits):
+    """A weak stored key gives many clashes and the same result."""
+    from pyspark.sql import functions as F
+
+    df = edge_docs(spark).unionByName(edge_docs(spark).withColumn("doc_id", F.col("doc_id") + 50))
+    weak = exact_dedup.exact_dedup(df, key_of=lambda t: F.substring(F.sha2(t, 256), 1, digits))
+    assert rows(weak) == rows(exact_dedup.exact_dedup(df))
+
+
 def test_line_dedup_keeps_all_columns_and_one_copy(spark):
     df = edge_docs(spark)
     out = line_dedup.line_dedup(df)
