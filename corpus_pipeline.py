@@ -15,8 +15,8 @@ from linestream.llm import language_id, line_dedup, mixing, packing, simhash
 from linestream.llm.common import documents, ship_code, written
 from linestream.session import ensure_defaults
 
-#: A text is rejected if its main language holds less than this share of its letters.
-LEAST_SHARE = 0.5
+#: A text is rejected if no language holds this share of its letters (texts in two or three languages stay).
+LEAST_SHARE = 0.25
 SHINGLE, BITS = 3, 2
 
 
