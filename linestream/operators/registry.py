@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from . import parse as P
 from .geotag import geotag as geotag_op
+from .geotag import load_fences
 
 Transform = Callable[..., DataFrame]
 _REGISTRY: dict[str, Transform] = {}
@@ -57,10 +58,17 @@ def faa_doc(lines: DataFrame, zone: str = "UTC", honor_marker: bool = False, **_
     return typed.select(*keep, P.document(typed, P.FAA_ATTRS).alias("value"))
 
 
-def geotag_doc(lines: DataFrame, fences: DataFrame, filter: bool = True, **kw) -> DataFrame:
-    """The geotagging transform: settings ``fences`` (name, rings) and
-    ``filter``. With ``filter`` a valid point in no fence gives ``""``;
-    error rows are never filtered (they skip FLT-2)."""
+def geotag_doc(lines: DataFrame, fences: DataFrame | None = None, filter: bool = True, fence_path: str | None = None,
+               field_name: str | None = None, multiline: bool = True, **kw) -> DataFrame:
+    """The geotagging transform. Settings: the fences, as a table (pos, name,
+    rings) or as the path of a fence document with the name of the attribute
+    that names a fence (``multiline=False``: one feature per line); and
+    ``filter``, with which a valid point in no fence gives ``""`` (error rows
+    are never filtered, they skip FLT-2)."""
+    if fences is None:
+        if fence_path is None or field_name is None:
+            raise ValueError("geotag needs fences, or fence_path and field_name")
+        fences, _errors = load_fences(lines.sparkSession, fence_path, field_name, multiline)
     keep = _others(lines)
     typed = P.simfile_typed(lines, keep=keep)
     tagged = geotag_op(typed, fences, **kw)

@@ -436,6 +436,24 @@ def test_fence_lines_round_trip(spark):
     assert sorted(r.name for r in good.collect()) == ["A", "B", "C"] and bad.count() == 0
 
 
+def test_geotag_transform_with_its_settings(spark):
+    from linestream.operators import registry as R
+    from linestream.sources import fences as FS
+
+    lines = spark.createDataFrame([(1, "1,2,d,r,6.5,6.5,1.0,2.0"), (2, "1,2,d,r,50.0,50.0,1.0,2.0"), (3, "bad")], "event_id long, value string")
+    document = FS.write_fence_document(_fences(spark), fresh_path(spark, "doc"))
+    by_line = FS.write_fence_lines(_fences(spark), fresh_path(spark, "lines"))
+    want = {r.event_id: r.value for r in R.apply("GeoTag", lines, fences=_fences(spark)).collect()}
+    assert '"geotag":"A,B"' in want[1] and want[2] == "" and "error" in want[3]
+    for settings in ({"fence_path": document}, {"fence_path": by_line, "multiline": False}):
+        out = R.apply("geotag", lines, field_name=FS.FIELD_NAME, **settings)
+        assert {r.event_id: r.value for r in out.collect()} == want
+    kept = R.apply("geotag", lines, fences=_fences(spark), filter=False).where("event_id = 2").first().value
+    assert '"geotag":""' in kept
+    with pytest.raises(ValueError, match="fence_path"):
+        R.apply("geotag", lines)
+
+
 def test_bursts_across_super_buckets(spark):
     # gap 10: buckets of width 10; fan 4 puts 4 buckets in a super-bucket, so
     # bursts cross super-buckets and some super-buckets hold no start
