@@ -18,6 +18,7 @@ import zlib
 from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -36,6 +37,12 @@ ROWS_PER_BUCKET = 100_000
 #: Patterns of three that are listed for each length, besides the pair.
 TRIPLES_PER_LENGTH = 6
 
+#: Byte-level tokenizers write a byte that prints as itself, and the others, in
+#: order, as the characters from 256 on (the public byte-level alphabet).
+_PRINTS = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTS)}
+
+
 class WordIds:
     """Ids of texts by a tokenizer that splits at white space before anything
     else and lower-cases: a text's ids are those of its space- and
@@ -45,12 +52,25 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode_batch_fast
+        tokenizer = Tokenizer.from_file(path)
+        self.encode, self.merge = tokenizer.encode_batch_fast, tokenizer.model.tokenize
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def _ids(self, words: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.encode(words, add_special_tokens=False)]
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        out: list = [None] * len(words)
+        rest: list[tuple[int, str]] = []
+        for i, raw in enumerate(words):
+            w = raw.decode()
+            if w.isalpha() and w.islower() and (w.isascii() or is_normalized("NFC", w)):
+                # nothing to normalise and nothing to split: straight to the merges
+                text = w if w.isascii() else raw.decode("latin-1").translate(_BYTE_LETTERS)
+                out[i] = array("I", [t.id for t in self.merge(text)]).tobytes()
+            else:
+                rest.append((i, w))
+        for (i, _), e in zip(rest, self.encode([w for _, w in rest], add_special_tokens=False), strict=True):
+            out[i] = array("I", e.ids).tobytes()
+        return out
 
     def _learn(self, words: set[bytes]) -> None:
         new, old = self.new, self.old
@@ -66,7 +86,7 @@ class WordIds:
             else:
                 unknown.add(w)
         todo = list(unknown)
-        new.update(zip(todo, self._ids([w.decode() for w in todo]), strict=True))
+        new.update(zip(todo, self._ids(todo), strict=True))
         for w, stem, end in closed:
             new[w] = new[stem] + new[end]
 
