@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.sequence import slice_of
 from .common import let, text_or_empty
 
 #: Components of a signature: the residue classes of an item's hash are named
@@ -160,7 +161,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     slices = min(MOST_SLICES, SLICES_EACH * int(spark.conf.get("spark.sql.shuffle.partitions")))
     at = [i / slices for i in range(1, slices)]
     bounds = sorted(set(rows.agg(F.percentile_approx("doc_id", at, 10 * slices)).first()[0] or []))
-    number = _above(bounds)  # the highest ids are slice 0
+    above = len(bounds) - slice_of(F.col("doc_id"), bounds)  # the highest ids are slice 0
+    number = F.coalesce(F.when(F.col("doc_id").isNotNull(), above), F.lit(len(bounds)))
     rows = rows.withColumn("slice", number)
     order = [F.col("doc_id").desc_nulls_last(), F.col("text")]
     first = (rows.groupBy("slice").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), (-F.col("doc_id")).alias("low"), "text"))
@@ -180,18 +182,6 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                     F.coalesce("lead_sig", "turn_sig").alias("next_signature")))
 
 
-def _above(bounds: list[int]) -> Column:
-    """How many of the sorted bounds are greater than doc_id (a binary search
-    written as a balanced tree of comparisons); a null id gets the last slice."""
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(len(bounds) - lo)
-        mid = (lo + hi) // 2
-        return F.when(F.col("doc_id") < F.lit(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    return F.when(F.col("doc_id").isNull(), F.lit(len(bounds))).otherwise(tree(0, len(bounds)))
-
-
 def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next of every row.
