@@ -41,8 +41,8 @@ FREQUENT = 1 << 20
 #: Good-Turing discounts counts up to this one.
 K = 5
 #: Tokens or words a task holds before it deals them out.
-TOKENS_AT_ONCE = 2_000_000
-WORDS_AT_ONCE = 400_000
+TOKENS_AT_ONCE = 1_000_000
+WORDS_AT_ONCE = 300_000
 #: Parts of a table for each shuffle partition.
 PARTS_EACH = 3
 
