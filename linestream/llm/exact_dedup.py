@@ -191,11 +191,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # the bytes of every copy against those of the row that stays
     copies = written(rows.join(index.where("group_size > 1"), same)
                      .select("key", "n_bytes", "id", "sha", "text", F.col("id").eqNullSafe(F.col("keep_id")).alias("stays")), "op4-copies")
-    stays = (copies.where("stays").groupBy(F.col("key").alias("s_key"), F.col("n_bytes").alias("s_bytes"))
-             .agg(F.any_value("text").alias("s_text")))
+    stays = written(copies.where("stays").groupBy(F.col("key").alias("s_key"), F.col("n_bytes").alias("s_bytes"))
+                    .agg(F.any_value("text").alias("s_text")), "op4-stays")
+    # both written: a grouping right before or behind the join would keep AQE from splitting a large group
     differ = written(copies.join(stays, (F.col("key") == F.col("s_key")) & (F.col("n_bytes") == F.col("s_bytes")))
-                     .where(F.col("text") != F.col("s_text")).select("key", "n_bytes").distinct(), "op4-differ")
+                     .where(F.col("text") != F.col("s_text")).select("key", "n_bytes"), "op4-differ")
     if differ.take(1):  # one key, several texts: these groups go by the text itself
+        differ = differ.distinct()
         own = copies.join(differ, ["key", "n_bytes"])
         groups = (own.groupBy("text").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
                   .withColumnRenamed("text", "g_text"))
