@@ -7,17 +7,21 @@ a context goes to the tokens not seen there, in proportion to their unigrams,
 with weights that make every context sum to exactly one. The unigram level
 gives its mass to one event for all unknown words.
 
-Words counted at least N / 2**20 times (so at most 2**20 of them, and the end)
-are classes of their own in pairs; the rest share class 0 there, and keep
-their own unigram inside it: P(w | v) = P(0 | v) P(w) / P(0). Every table over
-classes is thus bounded, the pair and word tables grow with the corpus.
+A word is named by 63 bits of its hash and a pair by 64 bits of its two words'
+names, so every word has its own pairs, however rare it is and however large
+the corpus. Counts of words and of pairs are stored tables. A context's weight
+needs the unigrams of all that followed it: the pair table asks the word table
+for the counts of its followers, sums by context, and its weights are stored.
+
+Words counted at least N / 2**20 times (so at most 2**20 of them) are only
+cached: their numbers, unigrams and weights, and the pairs counted that often,
+are sent to every task, so no part of a table holds a frequent key's rows. The
+pairs of a frequent context are dealt by the pair, all others by the context.
 
 Tables are dealt by a hash of the key; a row holds one task's sorted keys and
 values of one part, packed in numpy and zstd, so a part is merged and looked
 up with array operations. Counts are summed per task before they are dealt.
-Scoring sends each lookup once per document; pairs counted at least N / 2**20
-times are sent to the tasks instead (at most 2**20), so no part holds a
-frequent key's documents.
+Scoring sends each lookup once per document.
 """
 
 from __future__ import annotations
@@ -36,20 +40,21 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-#: Bound on the word classes, and on the pairs, that are sent to every task.
+#: Bound on the words, and on the pairs, that are sent to every task.
 FREQUENT = 1 << 20
 #: Good-Turing discounts counts up to this one.
 K = 5
 #: Tokens or words a task holds before it deals them out.
 TOKENS_AT_ONCE = 1_000_000
 WORDS_AT_ONCE = 300_000
-#: Parts of a table for each shuffle partition.
+#: Parts of a table for each shuffle partition; tokens for each part of the pair table, at most.
 PARTS_EACH = 3
+TOKENS_EACH = 2_000_000
 
 END = b"\n"  # not a possible word
 _WORD = np.uint64(1 << 63)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_SHIFT = 21  # bits of a class number; a pair is context << 21 | class
+_MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
 # ---------------------------------------------------------------- packed rows
 
@@ -126,14 +131,21 @@ class Numbers:
         return out
 
 
-def classes(numbers: np.ndarray) -> np.ndarray:
-    return np.where(numbers < _WORD, numbers, np.uint64(0))
+def contexts_of(numbers: np.ndarray, start: int) -> np.ndarray:
+    """The number of what stands before every token of a text."""
+    return np.concatenate([[np.uint64(start)], numbers[:-1]])
+
+
+def pair_key(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    h = (v ^ v >> np.uint64(31)) * _MIX
+    h = (h ^ h >> np.uint64(29)) * _MIX2 + w
+    h = (h ^ h >> np.uint64(32)) * _MIX
+    return h ^ h >> np.uint64(29)
 
 
-def pairs_of(numbers: np.ndarray, start: int) -> np.ndarray:
-    """context << 21 | class of every token of a text."""
-    c = classes(numbers)
-    return np.concatenate([[np.uint64(start)], c[:-1]]) << np.uint64(_SHIFT) | c
+def place_of(v: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """What a pair is dealt by: its context, or the pair itself if the context is frequent."""
+    return np.where(v < _WORD, pair, v)
 
 
 # ---------------------------------------------------------------- counting
@@ -153,35 +165,47 @@ def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return key, np.bincount(inverse, weights=np.concatenate(counts), minlength=len(key)).astype(np.int64)
 
 
-def _merge_part(key: tuple, rows: pa.Table) -> pa.Table:
-    got = [unpack_keys(x, "i8") for x in rows.column("packed").to_pylist()]
-    keys, counts = _merge([g[0] for g in got], [g[1] for g in got])
+def _stored(part, keys: int, counts: np.ndarray, packed: bytes) -> pa.Table:
     small = np.bincount(counts[counts <= K + 1], minlength=K + 2)[1:]
-    stats = [int(counts.sum()), len(keys), *small.tolist()]
-    return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "packed": pa.array([pack_keys(keys, counts)], pa.binary()),
+    stats = [int(counts.sum()), keys, *small.tolist()]
+    return pa.table({"part": pa.array([part], pa.int32()), "packed": pa.array([packed], pa.binary()),
                      **{n: pa.array([v], pa.int64()) for n, v in zip(_STATS, stats, strict=True)}})
 
 
-def _summed(rows: DataFrame, what: str) -> tuple[DataFrame, dict]:
+def _merge_words(key: tuple, rows: pa.Table) -> pa.Table:
+    got = [unpack_keys(x, "i8") for x in rows.column("packed").to_pylist()]
+    keys, counts = _merge([g[0] for g in got], [g[1] for g in got])
+    return _stored(key[0].as_py(), len(keys), counts, pack_keys(keys, counts))
+
+
+def _merge_pairs(key: tuple, rows: pa.Table) -> pa.Table:
+    v, w, n = (np.concatenate(x) for x in zip(*(unpack_keys(x, "u8", "i8") for x in rows.column("packed").to_pylist()), strict=True))
+    pair, at, inverse = np.unique(pair_key(v, w), return_index=True, return_inverse=True)
+    n = np.bincount(inverse, weights=n, minlength=len(pair)).astype(np.int64)
+    v, w = v[at], w[at]
+    order = np.argsort(v, kind="stable")
+    return _stored(key[0].as_py(), len(n), n, pack_keys(v[order], w[order], n[order]))
+
+
+def _summed(rows: DataFrame, merge, what: str) -> tuple[DataFrame, dict]:
     """Merge dealt counts into the stored table; its totals and counts of counts."""
     schema = "part int, packed binary, " + ", ".join(f"{n} long" for n in _STATS)
-    table = written(rows.groupBy("part").applyInArrow(_merge_part, schema), what)
+    table = written(rows.groupBy("part").applyInArrow(merge, schema), what)
     return table, table.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in _STATS]).first().asDict()
 
 
-def _at_least(table: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys counted at least `least` times, sorted, with their counts (at most total / least)."""
+def _at_least(table: DataFrame, least: int, names: list[str]) -> list[np.ndarray]:
+    """Keys (the columns `names`) counted at least `least` times, with their counts (at most total / least)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x in batch.column(0).to_pylist():
-                keys, counts = unpack_keys(x, "i8")
+                *keys, counts = unpack_keys(x, *["u8"] * (len(names) - 1), "i8")
                 own = counts >= least
-                yield pa.RecordBatch.from_arrays([pa.array(keys[own].view(np.int64)), pa.array(counts[own])], names=["key", "n"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(k[own].view(np.int64)) for k in keys), pa.array(counts[own])],
+                                                 names=[*names, "n"])
 
-    got = table.select("packed").mapInArrow(run, "key long, n long").toPandas()
-    keys = got["key"].to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], got["n"].to_numpy().astype(np.int64)[order]
+    got = table.select("packed").mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "n"])).toPandas()
+    return [*(got[c].to_numpy().astype(np.int64).view(np.uint64) for c in names), got["n"].to_numpy().astype(np.int64)]
 
 
 def discounts(n: dict, k: int = K) -> np.ndarray:
@@ -207,21 +231,21 @@ def _factor(d: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """What every task needs; all arrays are bounded by FREQUENT."""
+    """What every task has at hand; all arrays are bounded by FREQUENT. The rest is in the tables."""
 
     tokens: int  # N
     words: int  # V
     keys: np.ndarray  # frequent words
-    counts: np.ndarray  # of classes (class 0: not used)
+    counts: np.ndarray  # of frequent words by number (0: not used)
     d1: np.ndarray
     d2: np.ndarray
     scale1: float  # below 1 only if the discounts free no mass
     log_unknown: float
-    log_p1: np.ndarray  # by class
-    log_alpha: np.ndarray  # by context
+    log_p1: np.ndarray  # by number; at 0 that of all other words together
+    log_alpha: np.ndarray  # by number of the context (the last: a text's start)
     log_norm: np.ndarray  # log10 of what a discounted pair count is multiplied by
-    hot: np.ndarray  # pairs counted very often
-    hot_counts: np.ndarray
+    hot: np.ndarray  # pairs counted very often, sorted
+    hot_gain: np.ndarray
 
     @property
     def start(self) -> int:
@@ -235,12 +259,17 @@ class Model:
         c = np.maximum(counts, 1)
         return np.where(counts > 0, np.log10(_factor(self.d1, c) * c * self.scale1 / max(self.tokens, 1)), self.log_unknown)
 
-    def gain(self, pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """What a seen pair's log10 P exceeds its backed-off value by; 0 if not seen."""
-        v, w = (pairs >> np.uint64(_SHIFT)).astype(np.int64), (pairs & np.uint64((1 << _SHIFT) - 1)).astype(np.int64)
-        c = np.maximum(counts, 1)
-        seen = np.log10(_factor(self.d2, c) * c) + self.log_norm[v] - self.log_alpha[v] - self.log_p1[w]
-        return np.where(counts > 0, seen, 0.0)
+    def seen(self, counts: np.ndarray) -> np.ndarray:
+        """log10 of discounted pair counts."""
+        return np.log10(_factor(self.d2, counts) * counts)
+
+
+def weights(n: np.ndarray, kept: np.ndarray, mass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log10 of a context's backoff weight and of what its discounted counts
+    are multiplied by, from its count, its discounted counts and the unigram
+    mass of its followers. The unknown word never followed, so some is left."""
+    norm = np.where(kept < n * (1 - 1e-12), 1 / n, 1 / (n + 1))  # no count was discounted: as if one more were unseen
+    return np.log10(np.maximum(1 - kept * norm, 1e-300) / np.maximum(1 - mass, 1e-300)), np.log10(norm)
 
 
 def _text_rows(docs: DataFrame, key: Column, text_col: str) -> DataFrame:
@@ -278,14 +307,18 @@ def _count_pairs(parts: int, shared):
         size = 0
 
         def deal() -> pa.RecordBatch:
-            pair, n = np.unique(np.concatenate(held), return_counts=True)
-            return _row_batch([(p, 0, 0, pack_keys(pair[i], n[i].astype(np.int64))) for p, i in dealt(pair, parts)])
+            v, w = np.concatenate([contexts_of(x, start) for x in held]), np.concatenate(held)
+            _, at, n = np.unique(pair_key(v, w), return_index=True, return_counts=True)
+            at, n = at[order := np.argsort(v[at], kind="stable")], n[order]
+            v, w = v[at], w[at]
+            return _row_batch([(p, 0, 0, pack_keys(v[i], w[i], n[i].astype(np.int64)))
+                               for p, i in dealt(place_of(v, pair_key(v, w)), parts)])
 
         for batch in batches:
             texts = [words_of(t) for t in batch.column(1).to_pylist()]
             numbers.learn(texts)
             for words in texts:
-                held.append(pairs_of(numbers.of(words), start))
+                held.append(numbers.of(words))
                 size += len(held[-1])
                 if size > TOKENS_AT_ONCE:
                     yield deal()
@@ -295,66 +328,157 @@ def _count_pairs(parts: int, shared):
     return run
 
 
-def _contexts(shared):
-    """Per part and context: pairs' counts, discounted counts, unigram mass and number."""
+#: Kinds of rows: lookups of words and pairs, the tables' own rows, a unit's documents, and sums by frequent context.
+ASK_WORD, ASK_PAIR, WORDS, PAIRS, DOCS, SUMS, FOLLOWERS, ALPHAS = range(8)
+
+
+def _as(table: DataFrame, kind: int, part: Column | str = "part") -> DataFrame:
+    return table.select(F.col(part) if isinstance(part, str) else part, F.lit(kind).alias("kind"),
+                        F.lit(0).cast("long").alias("unit"), "packed")
+
+
+def _rare(w: np.ndarray) -> np.ndarray:
+    return np.unique(w[w >= _WORD])
+
+
+def _found(keys: np.ndarray, table: list[np.ndarray] | None, missing) -> np.ndarray:
+    """Values of the keys in a table of sorted keys."""
+    if table is None or not len(table[0]):
+        return np.full(len(keys), missing)
+    at = np.minimum(np.searchsorted(table[0], keys), len(table[0]) - 1)
+    return np.where(table[0][at] == keys, table[1][at], missing)
+
+
+def _ask_followers(word_parts: int):
+    """Each part of the pair table asks for the counts of its rare followers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p1, d2 = shared.value
         for batch in batches:
-            for x in batch.column(0).to_pylist():
-                pair, n = unpack_keys(x, "i8")
-                v, inverse = np.unique((pair >> np.uint64(_SHIFT)).astype(np.int64), return_inverse=True)
-                w = (pair & np.uint64((1 << _SHIFT) - 1)).astype(np.int64)
-                sums = [np.bincount(inverse, weights=x, minlength=len(v)) for x in (n, _factor(d2, n) * n, p1[w], np.ones(len(n)))]
-                yield pa.RecordBatch.from_arrays([pa.array(v), *map(pa.array, sums)], names=["v", "n", "kept", "mass", "kinds"])
+            for part, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                rare = _rare(unpack_keys(x, "u8", "i8")[1])
+                if len(rare):
+                    yield _row_batch([(p, FOLLOWERS, part, pack_keys(rare[i])) for p, i in dealt(rare, word_parts)])
     return run
 
 
-def learn(train: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame, DataFrame, int]:
-    """The model, the stored word and pair tables, and their number of parts."""
+def _answer_followers(rows: pa.Table) -> pa.Table:
+    packed, asks, table = rows.column("packed"), [], None
+    for i, kind in enumerate(rows.column("kind").to_pylist()):
+        if kind == WORDS:
+            table = unpack_keys(packed[i].as_py(), "i8")
+        else:
+            asks.append(i)
+    out = []
+    for i in asks:
+        keys, = unpack_keys(packed[i].as_py())
+        out.append((rows.column("unit")[i].as_py(), FOLLOWERS, 0, pack_keys(keys, _found(keys, table, 0).astype(np.int64))))
+    return _table(out)
+
+
+def _table(rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_batches([_row_batch(rows)] if rows else [], _row_batch([(0, 0, 0, b"")]).schema)
+
+
+def _part_of_pairs(rows: pa.Table, m: Model) -> tuple[np.ndarray, ...] | None:
+    """One part of the pair table: contexts, counts, unigrams (log10) of the followers, pair keys."""
+    pairs, got = None, []
+    for kind, x in zip(rows.column("kind").to_pylist(), rows.column("packed"), strict=True):
+        if kind == PAIRS:
+            pairs = unpack_keys(x.as_py(), "u8", "i8")
+        elif kind == FOLLOWERS:
+            got.append(unpack_keys(x.as_py(), "i8"))
+    if pairs is None:
+        return None
+    v, w, n = pairs
+    rare = w >= _WORD
+    log_p1 = np.empty(len(w))
+    log_p1[~rare] = m.log_p1[w[~rare].astype(np.int64)]
+    if got:
+        keys, counts = (np.concatenate(x) for x in zip(*got, strict=True))
+        order = np.argsort(keys)
+        log_p1[rare] = m.unigram(_found(w[rare], [keys[order], counts[order]], 0))
+    return v, n, log_p1, pair_key(v, w)
+
+
+def _context_sums(v: np.ndarray, n: np.ndarray, log_p1: np.ndarray, d2: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
+    """Contexts, each row's place among them, and their counts, discounted counts and unigram mass."""
+    who, inverse = np.unique(v, return_inverse=True)
+    return who, inverse, [np.bincount(inverse, weights=x, minlength=len(who)) for x in (n, _factor(d2, n) * n, 10.0 ** log_p1)]
+
+
+def _contexts(word_parts: int, shared):
+    """Weights of a part's rare contexts, for the word table, and sums of its frequent ones."""
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        m: Model = shared.value
+        if (part := _part_of_pairs(rows, m)) is None:
+            return _table([])
+        v, n, log_p1, _ = part
+        who, _, sums = _context_sums(v, n, log_p1, m.d2)
+        rare = who >= _WORD
+        log_alpha, _ = weights(*(x[rare] for x in sums))
+        return _table([(key[0].as_py() % word_parts, ALPHAS, 0, pack_keys(who[rare], log_alpha)),
+                       (0, SUMS, 0, pack_keys(who[~rare], *(x[~rare] for x in sums)))])
+    return run
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for x in batch.column(0).to_pylist():
+            v, *sums = unpack_keys(x, "f8", "f8", "f8")
+            yield pa.RecordBatch.from_arrays([pa.array(v.astype(np.int64)), *map(pa.array, sums)], names=["v", "n", "kept", "mass"])
+
+
+def learn(train: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame, int, int]:
+    """The model, its stored rows (words, pairs, followers' counts, contexts'
+    weights) by part, and the numbers of parts of words and of pairs (which
+    are numbered after those of words)."""
     spark = train.sparkSession
-    parts = PARTS_EACH * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    word_parts = PARTS_EACH * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = _text_rows(train, F.lit(0).cast("long"), text_col)
-    word_table, n1 = _summed(rows.mapInArrow(_count_words(parts), _COUNT_ROWS), "katz-words")
+    word_table, n1 = _summed(rows.mapInArrow(_count_words(word_parts), _COUNT_ROWS), _merge_words, "katz-words")
     total = n1["total"]
-    keys, counts = _at_least(word_table, total // FREQUENT + 1)
+    pair_parts = word_parts * max(1, -(-total // (word_parts * TOKENS_EACH)))  # a multiple: a context's part tells its word's
+    keys, counts = _at_least(word_table, total // FREQUENT + 1, ["key"])
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
     d1 = discounts(n1)
     freed = sum(r * n1[f"n{r}"] * (1 - d1[r]) for r in range(1, K + 1))
     scale1 = 1.0 if freed > 0 or not total else total / (total + 1)
     p1 = np.concatenate([[0.0], _factor(d1, counts) * counts * scale1 / max(total, 1)])
-    p1[0] = max(1.0 - p1.sum(), 1e-300)  # the words that are no class, and the unknown word
+    p1[0] = max(1.0 - p1.sum(), 1e-300)  # the words that are not frequent, and the unknown word
     unknown = freed / total if freed > 0 else 1 / (total + 1)
     if len(counts) == n1["kinds"]:
-        p1[0] = unknown  # class 0 holds nothing else
-
-    pair_rows = rows.mapInArrow(_count_pairs(parts, spark.sparkContext.broadcast(keys)), _COUNT_ROWS)
-    pair_table, n2 = _summed(pair_rows, "katz-pairs")
-    d2 = discounts(n2)
-    hot, hot_counts = _at_least(pair_table, total // FREQUENT + 1)
-    sums = (pair_table.select("packed")
-            .mapInArrow(_contexts(spark.sparkContext.broadcast((p1, d2))), "v long, n double, kept double, mass double, kinds double")
-            .groupBy("v").agg(*[F.sum(c).alias(c) for c in ("n", "kept", "mass", "kinds")]).toPandas())  # a row a class
-    log_alpha, log_norm = np.zeros(len(p1) + 1), np.zeros(len(p1) + 1)
+        p1[0] = unknown
+
+    pair_rows = rows.mapInArrow(_count_pairs(pair_parts, spark.sparkContext.broadcast(keys)), _COUNT_ROWS)
+    pair_table, n2 = _summed(pair_rows, _merge_pairs, "katz-pairs")
+    model = Model(total, n1["kinds"], keys, np.concatenate([[0], counts]), d1, discounts(n2), scale1, float(np.log10(unknown)),
+                  np.log10(p1), np.zeros(len(p1) + 1), np.zeros(len(p1) + 1), np.zeros(0, np.uint64), np.zeros(0))
+    asks = pair_table.select("part", "packed").mapInArrow(_ask_followers(word_parts), _COUNT_ROWS)
+    followers = written(asks.unionByName(_as(word_table, WORDS)).groupBy("part").applyInArrow(_answer_followers, _COUNT_ROWS),
+                        "katz-followers")
+    found = written(_as(pair_table, PAIRS).unionByName(followers).groupBy("part").applyInArrow(
+        _contexts(word_parts, spark.sparkContext.broadcast(model)), _COUNT_ROWS), "katz-contexts")
+    sums = (found.where(F.col("kind") == SUMS).select("packed").mapInArrow(_sums, "v long, n double, kept double, mass double")
+            .groupBy("v").agg(*[F.sum(c).alias(c) for c in ("n", "kept", "mass")]).toPandas())  # a row a frequent word
     if len(sums):
-        n, kept, mass, kinds = (sums[c].to_numpy(float) for c in ("n", "kept", "mass", "kinds"))
-        norm = np.where(kept < n * (1 - 1e-12), 1 / n, 1 / (n + 1))  # no count was discounted: as if one more were unseen
-        full = kinds >= len(p1)  # every class was seen: nothing to back off to
-        norm = np.where(full, 1 / kept, norm)
-        rest = np.maximum(1 - mass, 1e-300)
         v = sums["v"].to_numpy(np.int64)
-        log_norm[v] = np.log10(norm)
-        log_alpha[v] = np.log10(np.where(full, 1.0, np.maximum(1 - kept * norm, 1e-300) / rest))
-    model = Model(total, n1["kinds"], keys, np.concatenate([[0], counts]), d1, d2, scale1, float(np.log10(unknown)),
-                  np.log10(p1), log_alpha, log_norm, hot, hot_counts)
-    return model, word_table, pair_table, parts
+        model.log_alpha[v], model.log_norm[v] = weights(*(sums[c].to_numpy(float) for c in ("n", "kept", "mass")))
+    # both words of such a pair are frequent
+    hot_v, hot_w, hot_n = _at_least(pair_table, total // FREQUENT + 1, ["v", "w"])
+    hot = pair_key(hot_v, hot_w)
+    order = np.argsort(hot)
+    v, w = hot_v[order].astype(np.int64), hot_w[order].astype(np.int64)
+    model.hot = hot[order]
+    model.hot_gain = model.seen(hot_n[order]) + model.log_norm[v] - model.log_alpha[v] - model.log_p1[w]
+    after = F.col("part") + word_parts
+    stored = (_as(word_table, WORDS).unionByName(found.where(F.col("kind") == ALPHAS))
+              .unionByName(_as(pair_table, PAIRS, after.alias("part"))).unionByName(followers.withColumn("part", after)))
+    return model, stored, word_parts, pair_parts
 
 
 # ---------------------------------------------------------------- scoring
 
-#: Kinds of rows: lookups of words and pairs, the tables' own rows, a unit's documents, and sums.
-ASK_WORD, ASK_PAIR, WORDS, PAIRS, DOCS, SUMS = range(6)
-
-
-def _ask(parts: int, shared):
+def _ask(word_parts: int, pair_parts: int, shared):
     """Score a unit of documents as far as the model goes, deal out the lookups."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
@@ -370,29 +494,32 @@ def _ask(parts: int, shared):
             sizes = np.array([len(x) for _, x in held])
             number = np.concatenate([x for _, x in held])
             doc = np.repeat(np.arange(len(held), dtype=np.uint32), sizes)
-            pair = np.concatenate([pairs_of(x, m.start) for _, x in held])
-            cls = classes(number).astype(np.int64)
-            context = (pair >> np.uint64(_SHIFT)).astype(np.int64)
-            score = np.bincount(doc, weights=m.log_alpha[context] + m.log_p1[cls], minlength=len(held))
-            common = cls > 0
-            base = np.bincount(doc[common], weights=base_of[cls[common]], minlength=len(held))
+            v = np.concatenate([contexts_of(x, m.start) for _, x in held])
+            pair = pair_key(v, number)
+            place = place_of(v, pair)
+            # a rare word's unigram, and its weight as a context, are looked up with the word
+            common, context = number < _WORD, v[v < _WORD].astype(np.int64)
+            cls = number[common].astype(np.int64)
+            score = (np.bincount(doc[v < _WORD], weights=m.log_alpha[context], minlength=len(held))
+                     + np.bincount(doc[common], weights=m.log_p1[cls], minlength=len(held)))
+            base = np.bincount(doc[common], weights=base_of[cls], minlength=len(held))
             known = np.bincount(doc[common], minlength=len(held)).astype(np.float64)
             rows = []
             order = np.argsort(pair, kind="stable")
-            pair, pair_doc = pair[order], doc[order]
+            pair, pair_doc, place = pair[order], doc[order], place[order]
             if len(m.hot):
                 at = np.minimum(np.searchsorted(m.hot, pair), len(m.hot) - 1)
                 hot = m.hot[at] == pair
-                score += np.bincount(pair_doc[hot], weights=m.gain(pair[hot], m.hot_counts[at[hot]]), minlength=len(held))
-                pair, pair_doc = pair[~hot], pair_doc[~hot]
-            rows += [(p, ASK_PAIR, unit, pack_keys(pair[i], pair_doc[i])) for p, i in dealt(pair, parts)]
+                score += np.bincount(pair_doc[hot], weights=m.hot_gain[at[hot]], minlength=len(held))
+                pair, pair_doc, place = pair[~hot], pair_doc[~hot], place[~hot]
+            rows += [(word_parts + p, ASK_PAIR, unit, pack_keys(pair[i], pair_doc[i])) for p, i in dealt(place, pair_parts)]
             word, word_doc = number[~common], doc[~common]
             order = np.argsort(word, kind="stable")
             word, word_doc = word[order], word_doc[order]
-            rows += [(p, ASK_WORD, unit, pack_keys(word[i], word_doc[i])) for p, i in dealt(word, parts)]
+            rows += [(p, ASK_WORD, unit, pack_keys(word[i], word_doc[i])) for p, i in dealt(word, word_parts)]
             missing = np.array([k is None for k, _ in held], np.uint8)
             key = np.array([k or 0 for k, _ in held], np.int64)
-            rows.append((unit % parts, DOCS, unit, pack(key, missing, sizes.astype(np.int64), score, base, known)))
+            rows.append((unit % word_parts, DOCS, unit, pack(key, missing, sizes.astype(np.int64), score, base, known)))
             return _row_batch(rows)
 
         for batch in batches:
@@ -413,11 +540,28 @@ def _answer(shared):
     """Look up one part's questions; sums by unit and document go on."""
     def run(rows: pa.Table) -> pa.Table:
         m: Model = shared.value
-        tables, out = {}, []
+        out, words, alphas, gains = [], None, [], None
         kinds, packed = rows.column("kind").to_pylist(), rows.column("packed")
         for i, kind in enumerate(kinds):
-            if kind in (WORDS, PAIRS):
-                tables[kind] = unpack_keys(packed[i].as_py(), "i8")
+            if kind == WORDS:
+                words = unpack_keys(packed[i].as_py(), "i8")
+            elif kind == ALPHAS:
+                alphas.append(unpack_keys(packed[i].as_py(), "f8"))
+        if ASK_PAIR in kinds and (part := _part_of_pairs(rows, m)) is not None:
+            v, n, log_p1, pair = part
+            who, inverse, sums = _context_sums(v, n, log_p1, m.d2)
+            rare = who >= _WORD
+            known = who[~rare].astype(np.int64)
+            more = np.empty(len(who))
+            more[~rare] = m.log_norm[known] - m.log_alpha[known]
+            log_alpha, log_norm = weights(*(x[rare] for x in sums))
+            more[rare] = log_norm - log_alpha
+            order = np.argsort(pair)
+            gains = [pair[order], (m.seen(n) + more[inverse] - log_p1)[order]]
+        if alphas:
+            keys, values = (np.concatenate(x) for x in zip(*alphas, strict=True))
+            order = np.argsort(keys)
+            alphas = [keys[order], values[order]]
         for i, kind in enumerate(kinds):
             unit = rows.column("unit")[i].as_py()
             if kind == DOCS:
@@ -425,16 +569,14 @@ def _answer(shared):
             if kind not in (ASK_WORD, ASK_PAIR):
                 continue
             key, doc = unpack_keys(packed[i].as_py(), "u4")
-            n = np.zeros(len(key), np.int64)
-            if (table := tables.get(WORDS if kind == ASK_WORD else PAIRS)) is not None and len(table[0]):
-                at = np.minimum(np.searchsorted(table[0], key), len(table[0]) - 1)
-                n = np.where(table[0][at] == key, table[1][at], 0)
             who, inverse = np.unique(doc, return_inverse=True)
-            gain = m.unigram(n) - m.log_p1[0] if kind == ASK_WORD else m.gain(key, n)
-            sums = [np.bincount(inverse, weights=gain, minlength=len(who))]
-            sums += [np.bincount(inverse, weights=x, minlength=len(who)) for x in ((m.base(n), n > 0) if kind == ASK_WORD else ())]
-            out.append((0, kind, unit, pack(who, *sums)))
-        return pa.Table.from_batches([_row_batch(out)]) if out else pa.Table.from_batches([], _row_batch([(0, 0, 0, b"")]).schema)
+            if kind == ASK_WORD:
+                n = _found(key, words, 0)
+                values = (m.unigram(n) + _found(key, alphas or None, 0.0), m.base(n), n > 0)
+            else:
+                values = (_found(key, gains, 0.0),)
+            out.append((0, kind, unit, pack(who, *[np.bincount(inverse, weights=x, minlength=len(who)) for x in values])))
+        return _table(out)
     return run
 
 
@@ -464,13 +606,10 @@ def katz_scores(train: DataFrame, docs: DataFrame, key: Column, text_col: str =
     is the unknown word (score 0). Repeated rows count and are scored each.
     `key` is a long and may be null. Other columns are not read.
     """
-    model, words, pairs, parts = learn(train, text_col)
+    model, stored, word_parts, pair_parts = learn(train, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    asked = _text_rows(docs, key.cast("long"), text_col).mapInArrow(_ask(parts, shared), _COUNT_ROWS)
-    stored = [t.select("part", F.lit(k).alias("kind"), F.lit(0).cast("long").alias("unit"), "packed")
-              for t, k in ((words, WORDS), (pairs, PAIRS))]
-    answers = (asked.unionByName(stored[0]).unionByName(stored[1])
-               .groupBy("part").applyInArrow(_answer(shared), _COUNT_ROWS))
+    asked = _text_rows(docs, key.cast("long"), text_col).mapInArrow(_ask(word_parts, pair_parts, shared), _COUNT_ROWS)
+    answers = asked.unionByName(stored).groupBy("part").applyInArrow(_answer(shared), _COUNT_ROWS)
     out = answers.groupBy("unit").applyInArrow(
         _finish, "key long, n_tokens long, n_known long, base_score double, score double")
     return out.withColumn("train_tokens", F.lit(model.tokens).cast("long"))

@@ -321,6 +321,22 @@ def test_katz_with_few_classes_is_still_a_distribution(spark, monkeypatch):
     assert p0 + sum(10 ** model.log_p1[1:]) == pytest.approx(1, abs=1e-9)
 
 
+@pytest.mark.parametrize("tokens_each", [katz.TOKENS_EACH, 200])
+def test_katz_gives_rare_words_their_own_pairs(spark, tokens_each, monkeypatch):
+    """With hardly any word sent to the tasks, the model is the same: no word shares its pairs with others."""
+    monkeypatch.setattr(katz, "FREQUENT", 30)
+    monkeypatch.setattr(katz, "TOKENS_EACH", tokens_each)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(80)
+    texts = [r["text"] for r in docs.select("text").collect()]
+    train = spark.createDataFrame([(t,) for t in texts[:60]], "text string")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert len(katz.learn(train)[0].keys) < 40
+    got = sorted(map(tuple, katz.katz_scores(train, df, F.col("doc_id")).select(
+        "key", "n_tokens", "n_known", "train_tokens", "base_score", "score").collect()))
+    for g, w in zip(got, brute_katz(texts[:60], texts), strict=True):
+        assert g[1:] == pytest.approx(w, rel=1e-9)
+
+
 def test_katz_with_nothing_to_learn(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     got = katz.katz_scores(df.where("1 = 0"), df, F.col("doc_id")).collect()
