@@ -8,7 +8,7 @@ columns of `documents`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linestream.llm import language_id, line_dedup, mixing, packing, simhash
@@ -48,11 +48,21 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).orderBy("_position").select(*docs.columns)
 
 
+def in_file_order(docs: DataFrame) -> DataFrame:
+    """text, doc_id and `_position` (gapless from 0): the order of a written table's files and of the rows in them."""
+    rows = docs.select("doc_id", "text", F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long").alias("_file"),
+                       F.col("_metadata.row_index").alias("_row"))
+    before = (rows.groupBy("_file").agg(F.count(F.lit(1)).alias("n"))
+              .select("_file", F.coalesce(F.sum("n").over(Window.orderBy("_file").rowsBetween(
+                  Window.unboundedPreceding, -1)), F.lit(0)).alias("_before")))  # a row a file
+    return rows.join(F.broadcast(before), "_file").select("doc_id", "text", (F.col("_before") + F.col("_row")).alias("_position"))
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Best-fit packing of all that is left."""
+    """Best-fit packing of all that is left; the sequences follow the mixed order, which is that of the files."""
     import public_tokenizers
 
-    return packing.best_fit_packing(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.best_fit_packing(in_file_order(docs), public_tokenizers.path("word_bpe_49k.json"), position_col="_position")
 
 
 STAGES = [

@@ -9,6 +9,9 @@ in bulk (equal bins move together). The plan says, for each length, which run
 of ranks fills which slot; the rows get their rank within their length in two
 levels (count per bucket, then row number inside a bucket) and look up their
 sequence and offset in the plan.
+
+Documents that come in an order (a mix) are packed stretch by stretch of it,
+each with a plan of its own, so the sequences follow the order.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ CAPACITY = 2048
 WORD_CACHE = 500_000
 #: Rows of one length are ranked in buckets of about this many.
 ROWS_PER_BUCKET = 100_000
+#: Documents of an order that are packed together.
+STRETCH = 4096
 #: Patterns of three that are listed for each length, besides the pair.
 TRIPLES_PER_LENGTH = 6
 
@@ -117,23 +122,29 @@ def _pieces_of(path: str, capacity: int):
         encoder = _encoders[path]
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            position: list[int] = []
+            for row, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
                 ids = memoryview(encoder.of(text or ""))
                 for piece, at in enumerate(range(0, len(ids), step)):
                     part = ids[at:at + step]
                     for c, v in zip(out, (doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
                         c.append(v)
+                    position.append(row)
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=names)
+            columns = [pa.array(c, t) for c, t in zip(out, types, strict=True)]
+            if batch.num_columns > 2:
+                columns.append(batch.column(2).take(pa.array(position, pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, names=names + ["position"] * (batch.num_columns > 2))
     return run
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every document (null text: empty)."""
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return rows.mapInArrow(_pieces_of(tokenizer, capacity),
-                           "doc_id long, piece int, start long, length long, ids_crc32 long")
+                 text_col: str = "text", position_col: str | None = None) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of every document (null text: empty), and position if it has one."""
+    place = [F.col(f"`{position_col}`").cast("long").alias("position")] if position_col else []
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"), *place)
+    return rows.mapInArrow(_pieces_of(tokenizer, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long"
+                           + ", position long" * bool(place))
 
 
 # ---------------------------------------------------------------- the plan
@@ -302,14 +313,60 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             .select("doc_id", "piece", "start", "length", "ids_crc32", "_at.sequence_id", "_at.offset"))
 
 
+def place_stretch(pieces: pd.DataFrame, capacity: int) -> pd.DataFrame:
+    """Sequences (from 0) and offsets of one stretch's pieces, the sequences by the mean position of their tokens."""
+    pieces = pieces.sort_values(["position", "piece"], kind="stable", ignore_index=True)
+    lengths = pieces["length"].to_numpy()
+    rank = pieces.groupby("length").cumcount().to_numpy()
+    table = lookup_of(make_plan(np.bincount(lengths, minlength=capacity + 1), capacity))
+    seq, off = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int64)
+    for length, at in pieces.groupby("length").indices.items():
+        first, base, offset = table[int(length)]
+        i = np.searchsorted(first, rank[at], side="right") - 1
+        seq[at], off[at] = base[i] + rank[at] - first[i], offset[i]
+    position = pieces["position"].to_numpy() - pieces["position"].iloc[0]
+    mean = np.bincount(seq, weights=position * lengths) / np.bincount(seq, weights=lengths)
+    number = np.empty(len(mean), np.int64)
+    number[np.argsort(mean, kind="stable")] = np.arange(len(mean))
+    return pieces.assign(sequence_id=number[seq], offset=off)
+
+
+def pack_in_order(pieces: DataFrame, capacity: int = CAPACITY, stretch: int | None = None) -> DataFrame:
+    """`pack` for pieces with a position (gapless numbers of the documents):
+    the sequences of a stretch of positions come before those of the next."""
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    rows = pieces.withColumn("stretch", F.floor(F.col("position") / (stretch or STRETCH)))
+    schema = ("doc_id long, piece int, start long, length long, ids_crc32 long, position long, stretch long, "
+              "sequence_id long, offset long")
+
+    def place(group: pa.Table) -> pa.Table:
+        # ids stay in Arrow, so that a null id does not turn the others into floats
+        order = group.select(["position", "piece", "length"]).to_pandas()
+        order["row"] = np.arange(len(order))
+        done = place_stretch(order, capacity)
+        out = group.take(pa.array(done["row"].to_numpy()))
+        return out.append_column("sequence_id", pa.array(done["sequence_id"].to_numpy())).append_column(
+            "offset", pa.array(done["offset"].to_numpy()))
+
+    placed = written(rows.groupBy("stretch").applyInArrow(place, schema), "pack-stretches")
+    before = (placed.groupBy("stretch").agg((F.max("sequence_id") + 1).alias("n"))
+              .select("stretch", F.coalesce(F.sum("n").over(Window.orderBy("stretch").rowsBetween(
+                  Window.unboundedPreceding, -1)), F.lit(0)).alias("before")))  # a row a stretch
+    return placed.join(F.broadcast(before), "stretch").select(
+        *names, (F.col("before") + F.col("sequence_id")).alias("sequence_id"), "offset")
+
+
 def best_fit_packing(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id",
-                     text_col: str = "text") -> DataFrame:
+                     text_col: str = "text", position_col: str | None = None) -> DataFrame:
     """Pack all documents into as few sequences of `capacity` tokens as it can.
 
     One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id,
     offset. A document is its ids and a closing 0; only longer ones are cut,
     into full pieces and a last shorter one. Null and empty text: one piece of
     length 1. A null id stays null; repeated rows are packed each. An empty
-    table gives no rows. Other columns of the input are not read.
+    table gives no rows. Other columns of the input are not read. With
+    `position_col` (gapless numbers from 0) the sequences follow that order.
     """
+    if position_col:
+        return pack_in_order(token_pieces(docs, tokenizer, capacity, id_col, text_col, position_col), capacity)
     return pack(token_pieces(docs, tokenizer, capacity, id_col, text_col), capacity)

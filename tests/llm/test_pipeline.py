@@ -72,3 +72,21 @@ def test_pipeline_empty_table(spark, tmp_path):
 
 def test_stage_list():
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_sequences_follow_the_mix(spark, monkeypatch):
+    """A prefix of the sequences holds the target shares, not the natural ones."""
+    monkeypatch.setattr(corpus_pipeline.packing, "STRETCH", 300)
+    docs = [(i, " ".join(f"w{(i * 7 + j) % 997}" for j in range(20 + i * 37 % 300)), f"src{min(i % 8, 2)}") for i in range(2400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    mixed = written(corpus_pipeline.mix_sources(spark, df, SF), "test")
+    packed = written(corpus_pipeline.pack_sequences(spark, mixed, SF), "test").collect()
+    check_packing(packed, 2048)
+    assert Counter(r["doc_id"] for r in packed if r["piece"] == 0) == Counter(range(2400))
+    source = {i: s for i, _, s in docs}
+    last = max(r["sequence_id"] for r in packed)
+    assert len({r["sequence_id"] for r in packed}) == last + 1
+    # src0 5, src1 1 and src2 1 slots of 7; src0 has 300 rows, an eighth of all, all of them in the first 420 of the mix
+    head = Counter(source[r["doc_id"]] for r in packed if r["sequence_id"] < last // 12)
+    assert abs(head["src0"] / sum(head.values()) - 5 / 7) < 0.1
+    assert not any(source[r["doc_id"]] == "src0" for r in packed if r["sequence_id"] > last // 2)
