@@ -14,8 +14,10 @@ from .language_id import identify
 from .line_dedup import line_dedup
 from .order_minhash import edited_likeness
 from .packing import best_fit_packing
+from .repair import repair_damaged
 from .simhash import simhash_components
 from .suffix_dedup import suffix_dedup
+from .toxicity import toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -156,3 +158,13 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_suffix_dedup")
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(documents(spark, sf_dir)).drop("kept")
+
+
+@query("op11_toxicity")
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@query("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(table(spark, sf_dir, "conversations"))
