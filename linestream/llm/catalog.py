@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import mixing
+from .alignment import align
 from .common import documents, table
 from .exact_dedup import exact_dedup
 from .html_extract import extract
@@ -168,3 +169,10 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_conversation_repair")
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_tokenizer_alignment")
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
