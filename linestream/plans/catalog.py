@@ -22,6 +22,7 @@ from ..sources import text as TX
 from ..operators import registry as R
 from ..operators.sequence import with_sequence
 from ..sinks import writers as W
+from ..streaming import live as L
 from ..streaming import runner as RUN
 from ..streaming import streams as S
 from ..session import fresh_path
@@ -661,6 +662,40 @@ def stream_burst_latency(spark, sf_dir):
     return S.closed_burst_latency(spark, store, GAP_MS).drop("valid_n", "closed_ms")
 
 
+#: Silence of the wall clock that ends a burst in a replay, triggers, and empty ones that end the run.
+IDLE_MS, TRIGGER_MS, EMPTY_POLLS = 1000, 250, 10
+
+
+@query("stream_burst_close", ORACLES["burst_latency"])
+def stream_burst_close(spark, sf_dir):
+    """STR-2 with AGG-2..4: every burst with count, rate and average latency, the
+    last one of each topic too: closed by the wall clock when the input stops."""
+    lines = T.latency_lines(spark, sf_dir).select("event_id", "ms", "topic", "value")
+    with L.rocksdb_state(spark):
+        return RUN.run_until_idle(L.closed_bursts(_line_stream(spark, lines), GAP_MS, IDLE_MS), "burst-close", TRIGGER_MS, EMPTY_POLLS)
+
+
+@query("stream_bounded_count", ORACLES["bounded_partition_count"])
+def stream_bounded_count(spark, sf_dir):
+    """SRC-3 + AGG-6: a continuous read of partition 0 that ends after ten empty polls, counted."""
+    rec = K.lines_as_records(_line_stream(spark, T.latency_lines(spark, sf_dir))).where("partition = 0").select("topic", "offset")
+    return RUN.run_until_idle(rec, "bounded-read", TRIGGER_MS, EMPTY_POLLS).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
+DAY_MS = 86_400_000
+
+
+@query("stream_batch_progress", O.with_views(f"""select row_number() over (order by ms // {DAY_MS}) - 1 as batch,
+  count(*) as records, cast(0 as bigint) as late_rows from latency_lines group by ms // {DAY_MS}"""))
+def stream_batch_progress(spark, sf_dir):
+    """AGG-7 live, STR-1: a replay with a day's arrivals in each micro-batch; what
+    the listener has written of each batch."""
+    lines = T.latency_lines(spark, sf_dir).select("event_id", "ms", "topic", F.expr(f"ms div {DAY_MS}").alias("day"))
+    st = RUN.file_stream(spark, RUN.write_stream_slices(lines, "day"), lines.schema)
+    _out, log = RUN.run_logged(S.stream_batch_stats(st, INTERVAL_MS, NO_DELAY), "batch-progress")
+    return log.read().select("batch", "records", "late_rows")
+
+
 @query("stream_forward", ORACLES["transform_forward"])
 def stream_forward(spark, sf_dir):
     """STR-6 + SNK-1: a transform picked by name between a source and a topic."""

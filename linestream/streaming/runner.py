@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import fresh_path
+from .listeners import ProgressLog, finish, idle_reports, logged, stop_when_idle
 
 
 def write_stream_files(df: DataFrame, order_col: str, batches: int) -> tuple[str, int]:
@@ -34,15 +35,30 @@ def write_stream_files(df: DataFrame, order_col: str, batches: int) -> tuple[str
     each = max(1, -(-max(spark.sparkContext.defaultParallelism,
                          int(spark.conf.get("spark.sql.shuffle.partitions"))) // batches))
     df.repartitionByRange(batches * each, order_col).write.parquet(path)
-    # the file source replays in order of file times; the writers finish in any order
+    _in_order_of_names(spark, path)
+    return path, each
+
+
+def _in_order_of_names(spark: SparkSession, path: str) -> None:
+    """The file source replays in order of file times; the writers finish in any order."""
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files = sorted((f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")),
-                   key=lambda p: p.getName())
-    for i, f in enumerate(files):
+    found, files = fs.listFiles(folder, True), []
+    while found.hasNext():
+        files.append(found.next().getPath())
+    for i, f in enumerate(sorted((f for f in files if f.getName().startswith("part-")), key=lambda f: f.toString())):
         fs.setTimes(f, 1_000_000_000_000 + 1000 * i, -1)
-    return path, each
+
+
+def write_stream_slices(df: DataFrame, slice_col: str) -> str:
+    """Write one file per value of ``slice_col`` (numbers below 10^9, kept as a
+    column), to be replayed a file at a time: micro-batches known beforehand."""
+    path = fresh_path(df.sparkSession, "stream-slices")
+    named = df.withColumn("_slice", F.format_string("%09d", F.col(slice_col).cast("long")))
+    named.repartition("_slice").write.partitionBy("_slice").parquet(path)
+    _in_order_of_names(df.sparkSession, path)
+    return path
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
@@ -62,15 +78,9 @@ def start(writer, checkpoint: str, interval_ms: int | None = None) -> StreamingQ
     return _trigger(writer.option("checkpointLocation", checkpoint), interval_ms).start()
 
 
-def late_rows(q: StreamingQuery) -> int:
-    """Rows that came after the watermark had passed them, as far as the
-    query's progress reports go back."""
-    return sum(s.numRowsDroppedByWatermark for p in q.recentProgress for s in p.stateOperators)
-
-
 def progress(q: StreamingQuery) -> list[tuple[int, int, float, float]]:
-    """AGG-7, live: ``(batch, records, seconds, records per second)`` of the
-    non-empty batches in the query's progress reports."""
+    """``(batch, records, seconds, records per second)`` of the non-empty batches
+    that Spark still remembers (the last hundred reports); a log has them all."""
     out = []
     for p in q.recentProgress:
         seconds = p.durationMs.get("triggerExecution", 0) / 1000
@@ -79,27 +89,46 @@ def progress(q: StreamingQuery) -> list[tuple[int, int, float, float]]:
     return out
 
 
-def _finish(q: StreamingQuery, what: str) -> None:
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    if late := late_rows(q):
-        warnings.warn(f"stream {what}: {late} rows came later than the watermark allows and were dropped", stacklevel=3)
+def _finish(q: StreamingQuery, log: ProgressLog, what: str) -> None:
+    finish(q, log)
+    if log.late:
+        warnings.warn(f"stream {what}: {log.late} rows came later than the watermark allows and were dropped", stacklevel=3)
 
 
-def run_to_files(stream: DataFrame, what: str, output_mode: str = "append") -> DataFrame:
-    """Drain the available input into a parquet sink; return the sink
-    contents as a batch DataFrame."""
+def run_logged(stream: DataFrame, what: str, output_mode: str = "append") -> tuple[DataFrame, ProgressLog]:
+    """Drain the available input into a parquet sink; its contents as a batch
+    DataFrame, and the log with a row per micro-batch (AGG-7 live)."""
     spark = stream.sparkSession
     out = fresh_path(spark, f"{what}-out")
-    q = start(stream.writeStream.format("parquet").outputMode(output_mode).option("path", out), out + "-ckpt")
-    _finish(q, what)
+    q, log = logged(lambda: start(stream.writeStream.format("parquet").outputMode(output_mode).option("path", out), out + "-ckpt"),
+                    spark, out + "-progress")
+    _finish(q, log, what)
+    return spark.read.schema(stream.schema).parquet(out), log
+
+
+def run_until_idle(stream: DataFrame, what: str, interval_ms: int, polls: int = 10) -> DataFrame:
+    """SRC-3: a continuous run into a parquet sink that ends by itself after
+    ``polls`` triggers in a row without a record; returns the sink's contents."""
+    spark = stream.sparkSession
+    out = fresh_path(spark, f"{what}-out")
+    with idle_reports(spark, interval_ms):
+        q, log = logged(lambda: start(stream.writeStream.format("parquet").option("path", out), out + "-ckpt", interval_ms),
+                        spark, out + "-progress")
+    stop_when_idle(q, log, polls)
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def run_to_files(stream: DataFrame, what: str, output_mode: str = "append") -> DataFrame:
+    """Drain the available input into a parquet sink; return the sink
+    contents as a batch DataFrame."""
+    return run_logged(stream, what, output_mode)[0]
+
+
 def run_foreach_batch(stream: DataFrame, what: str, fn) -> str:
     """Drain the input through ``fn(batch_df, batch_id)``; returns the
     checkpoint folder."""
-    ckpt = fresh_path(stream.sparkSession, f"{what}-ckpt")
-    _finish(start(stream.writeStream.foreachBatch(fn), ckpt), what)
+    spark = stream.sparkSession
+    ckpt = fresh_path(spark, f"{what}-ckpt")
+    q, log = logged(lambda: start(stream.writeStream.foreachBatch(fn), ckpt), spark, ckpt + "-progress")
+    _finish(q, log, what)
     return ckpt
