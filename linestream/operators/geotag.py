@@ -1,19 +1,22 @@
-"""Point-in-fence join (JOIN-1, JOIN-2, AGG-5, FLT-2) as a grid-cell equi-join.
-
-The original tests every point against every fence. Here each fence is
-prepared once (edges + bounding box) and listed under the few cells of its own
-grid level that its box touches; a point falls in one cell of each level, so
-the theta join becomes an equi-join per level followed by the exact test on
-the candidates of that cell. Nothing is capped, and a fence as large as the
-world beside tiny ones costs nine rows.
-
-* ``geotag`` groups the fences of a cell into one array first, so each point
-  meets at most one row per level: left joins, no aggregation over points,
-  stateless on a stream (no watermark).
-* The cell table is broadcast only after its size (in edges and name
-  characters) is counted; above the bound both sides shuffle on the cell, with
-  the point side salted so that a hot cell is spread over ``salt`` tasks (and
-  AQE skew-join splitting on top).
+"""Point-in-fence join (JOIN-1, JOIN-2, AGG-5, FLT-2) as an equi-join on quadtree cells.
+
+The original tests every point against every fence. Here each fence is cut
+once into quadtree leaves (`quadtree`): a leaf carries the few edges near it,
+so a fence of 100,000 edges tests a few of them per point. Leaves lie on a
+handful of grid levels; a point falls in one cell of each level in use.
+
+* ``point_in_fence_pairs`` lists a point's cells of all levels once and joins
+  them with the leaves: one scan, one join, whatever the number of levels.
+* ``geotag`` with leaves small enough to broadcast (their size, in edges and
+  name characters, is counted first) groups the leaves of a cell into one
+  array and looks a point up once per level: left joins without a shuffle or
+  an aggregation over points, so the same plan is stateless on a stream.
+* Beyond the bound, ``geotag`` sends only the coordinates to the cells of all
+  levels (one join), groups the names by coordinate, and joins the points
+  with that: the points are read twice and their side is exchanged three
+  times, whatever the number of levels.
+* A hot cell of a shuffled join is spread over ``salt`` tasks, and AQE splits
+  what is still too large.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import ring_edges, rings_bbox, within
+from .quadtree import cell_of, fence_leaves, inside_leaf
 from .sizing import checked_broadcast, materialize
 
 FEATURE_SCHEMA = ("pos long, geometry struct<rings: array<array<array<double>>>>, "
@@ -60,81 +63,90 @@ def dedupe_fences(fences: DataFrame) -> DataFrame:
 
 
 def prepare(fences: DataFrame) -> DataFrame:
-    """``name, edges, bbox, level`` — once per fence, not per point; of fences
-    with one name only the last counts (JOIN-2).
+    """``name, rings``: of fences with one name only the last counts (JOIN-2)."""
+    return dedupe_fences(fences).select("name", "rings")
 
-    The level is that of the grid whose cells are as long as the fence's box
-    (the next power of two), so a fence touches at most three cells each way,
-    whatever the other fences' sizes."""
-    last = dedupe_fences(fences).select("name", ring_edges(F.col("rings")).alias("edges"),
-                                        rings_bbox(F.col("rings")).alias("bbox"))
-    side = F.greatest(F.col("bbox.maxx") - F.col("bbox.minx"), F.col("bbox.maxy") - F.col("bbox.miny"))
-    level = F.ceil(F.log2(F.greatest(side, F.lit(2.0 ** FINEST)))).cast("int")
-    return last.withColumn("level", level).where("level is not null")
 
+def fence_cells(prepared: DataFrame) -> DataFrame:
+    """The quadtree leaves ``lx, ly, cx, cy, name, edges, ends, bit``; at most nine for a small fence."""
+    return fence_leaves(prepared)
 
-#: Power of two of the smallest cells, in degrees.
-FINEST = -20
 
+def _weight() -> Column:
+    """The size of a leaf, for the broadcast's check: its edges, and the characters of its name."""
+    return F.size("edges") + F.size("ends") + F.length("name") + 1
 
-def _cell(v: Column, level: Column) -> Column:
-    return F.floor(v / F.pow(F.lit(2.0), level)).cast("long")
 
+def _levels(cells: DataFrame) -> list[tuple[int, int]]:
+    """The grid levels (of x and y) in use: a few for small fences, two for each cut of a large one."""
+    return sorted(tuple(r) for r in cells.select("lx", "ly").distinct().collect())
 
-def fence_cells(prepared: DataFrame) -> DataFrame:
-    """One row per (level, cell, fence): at most nine for a fence."""
-    def cells(lo: str, hi: str) -> Column:
-        return F.explode(F.sequence(_cell(F.col(f"bbox.{lo}"), F.col("level")), _cell(F.col(f"bbox.{hi}"), F.col("level"))))
 
-    return (prepared.select("level", cells("minx", "maxx").alias("cx"), "name", "edges", "bbox")
-            .select("level", "cx", cells("miny", "maxy").alias("cy"), "name", "edges", "bbox"))
+def _cells_of_points(points: DataFrame, levels: list[tuple[int, int]], lon: str, lat: str) -> DataFrame:
+    """A row for each level: the cell the point is in."""
+    keys = F.array(*[F.struct(F.lit(lx).alias("lx"), F.lit(ly).alias("ly"), cell_of(F.col(lon), F.lit(lx)).alias("cx"),
+                              cell_of(F.col(lat), F.lit(ly)).alias("cy")) for lx, ly in levels])
+    return points.select("*", F.inline(keys))
 
 
-def _levels(prepared: DataFrame) -> list[int]:
-    """The grid levels in use: thirty or so at most, from FINEST to the world."""
-    return sorted(r[0] for r in prepared.select("level").distinct().collect())
+def _meet(points: DataFrame, cells: DataFrame, small: bool, salt: int) -> DataFrame:
+    """Join points (with their cells) and leaves; a shuffled hot cell goes to ``salt`` tasks."""
+    keys = ["lx", "ly", "cx", "cy"]
+    if small:
+        return points.join(F.broadcast(cells), keys)
+    if salt > 1:
+        points = points.withColumn("_salt", F.pmod(F.xxhash64(*[c for c in points.columns if c not in keys]), F.lit(salt)))
+        cells = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        keys = [*keys, "_salt"]
+    return points.join(cells, keys)
 
 
-def _salted(points: DataFrame, cells: DataFrame, salt: int, key: str) -> tuple[DataFrame, DataFrame]:
-    """Spread a hot cell of the point side over ``salt`` tasks; the (small)
-    cell side is repeated once per salt value."""
-    p = points.withColumn("_salt", F.pmod(F.xxhash64(F.col(key)), F.lit(salt)))
-    c = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    return p, c
+def _in_leaf(x: str, y: str) -> Column:
+    return inside_leaf(F.col(x), F.col(y), F.struct("edges", "ends", "bit"))
 
 
-def _at_level(points: DataFrame, side: DataFrame, small: bool, level: int, lon: str, lat: str, how: str,
-              salt: int, row_key: str) -> DataFrame:
-    """Points joined with the cell of one level they fall in."""
-    pts = points.withColumn("cx", _cell(F.col(lon), F.lit(level))).withColumn("cy", _cell(F.col(lat), F.lit(level)))
-    keys, own = ["cx", "cy"], side.where(F.col("level") == level).drop("level")
-    own = F.broadcast(own) if small else own
-    if not small and salt > 1:
-        pts, own = _salted(pts, own, salt, row_key)
-        keys = [*keys, "_salt"]
-    return pts.join(own, keys, how).drop(*keys)
+def _is_place(x: Column, y: Column) -> Column:
+    return x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)
 
 
 def geotag(points: DataFrame, fences: DataFrame, lon: str = "lon", lat: str = "lat",
            salt: int = 16, row_key: str = "event_id") -> DataFrame:
     """AGG-5: add ``geotag``: comma-joined names (sorted) of the fences that
-    strictly contain the point; ``""`` when none. One left join per grid level
-    in use, no aggregation over points (stateless on a stream)."""
-    prepared = materialize(prepare(fences))
-    per_cell = (fence_cells(prepared).groupBy("level", "cx", "cy")
-                .agg(F.collect_list(F.struct("name", "edges", "bbox")).alias("_fences")))
-    # the weight of a cell: its edges, and the characters of its names
-    side, small = checked_broadcast(per_cell, weight=F.aggregate(
-        "_fences", F.lit(0), lambda a, f: a + F.size(f["edges"]) + F.length(f["name"])))
+    strictly contain the point; ``""`` when none (or a coordinate is missing)."""
+    cells, small = checked_broadcast(fence_cells(prepare(fences)), weight=_weight())
+    levels = _levels(cells)
+    if not levels:
+        return points.withColumn("geotag", F.lit(""))
+    if small or points.isStreaming:
+        return _tag_by_level(points, cells, small, levels, lon, lat, salt, row_key)
+    places = points.select(F.col(lon).alias("_x"), F.col(lat).alias("_y")).where(_is_place(F.col("_x"), F.col("_y")))
+    met = _meet(_cells_of_points(places, levels, "_x", "_y"), cells, False, salt)
+    names = met.where(_in_leaf("_x", "_y")).groupBy("_x", "_y").agg(F.collect_set("name").alias("_names"))
+    out = points.join(names, (F.col(lon) == F.col("_x")) & (F.col(lat) == F.col("_y")), "left")
+    found = F.coalesce(F.col("_names"), F.array().cast("array<string>"))
+    return out.withColumn("geotag", F.array_join(F.array_sort(found), ",")).drop("_x", "_y", "_names")
+
+
+def _tag_by_level(points: DataFrame, cells: DataFrame, small: bool, levels: list[tuple[int, int]], lon: str, lat: str, salt: int,
+                  row_key: str) -> DataFrame:
     px, py = F.col(lon), F.col(lat)
-    names = []
-    out = points
-    for level in _levels(prepared):
-        out = _at_level(out, side, small, level, lon, lat, "left", salt, row_key)
-        hits = F.filter(F.coalesce(F.col("_fences"), F.array()), lambda f: within(px, py, f["edges"], f["bbox"]))
+    side = cells.groupBy("lx", "ly", "cx", "cy").agg(F.collect_list(F.struct("name", "edges", "ends", "bit")).alias("_fences"))
+    side = materialize(side)
+    names, out = [], points
+    for lx, ly in levels:
+        keys, own = ["_cx", "_cy"], side.where((F.col("lx") == lx) & (F.col("ly") == ly)).select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), "_fences")
+        out = out.withColumn("_cx", F.when(_is_place(px, py), cell_of(px, F.lit(lx)))).withColumn("_cy", cell_of(py, F.lit(ly)))
+        if small:
+            own = F.broadcast(own)
+        elif salt > 1:
+            out = out.withColumn("_salt", F.pmod(F.xxhash64(F.col(row_key)), F.lit(salt)))
+            own = own.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+            keys = [*keys, "_salt"]
+        out = out.join(own, keys, "left").drop(*keys)
+        hits = F.filter(F.coalesce(F.col("_fences"), F.array()), lambda f: inside_leaf(px, py, f))
         names.append(f"_names{len(names)}")
         out = out.withColumn(names[-1], F.transform(hits, lambda f: f["name"])).drop("_fences")
-    found = F.concat(*[F.col(n) for n in names]) if names else F.array().cast("array<string>")
+    found = F.concat(*[F.col(n) for n in names])
     return out.withColumn("geotag", F.array_join(F.array_sort(found), ",")).drop(*names)
 
 
@@ -142,14 +154,12 @@ def point_in_fence_pairs(points: DataFrame, fences: DataFrame, keep: list[str],
                          lon: str = "lon", lat: str = "lat", salt: int = 16,
                          row_key: str = "event_id") -> DataFrame:
     """JOIN-1 as pairs: ``keep..., name`` for every (point, fence) with the
-    point strictly inside. A point has one cell per level and a fence one
-    level, so each pair appears once."""
-    prepared = materialize(prepare(fences))
-    side, small = checked_broadcast(fence_cells(prepared), weight=F.size("edges") + F.length("name"))
-    pts = points.select(*dict.fromkeys([*keep, lon, lat]))
-    out = None
-    for level in _levels(prepared):
-        joined = _at_level(pts, side, small, level, lon, lat, "inner", salt, row_key)
-        hits = joined.where(within(F.col(lon), F.col(lat), F.col("edges"), F.col("bbox"))).select(*keep, "name")
-        out = hits if out is None else out.unionByName(hits)
-    return out if out is not None else pts.select(*keep, F.lit("").alias("name")).where("1 = 0")
+    point strictly inside. A fence's leaves do not overlap, so each pair
+    appears once."""
+    cells, small = checked_broadcast(fence_cells(prepare(fences)), weight=_weight())
+    pts = points.select(*keep, F.col(lon).alias("_x"), F.col(lat).alias("_y")).where(_is_place(F.col("_x"), F.col("_y")))
+    levels = _levels(cells)
+    if not levels:
+        return pts.select(*keep, F.lit("").alias("name")).where("1 = 0")
+    met = _meet(_cells_of_points(pts, levels, "_x", "_y"), cells.withColumnRenamed("name", "_name"), small, salt)
+    return met.where(_in_leaf("_x", "_y")).select(*keep, F.col("_name").alias("name"))
