@@ -12,8 +12,8 @@ per word (cached by word) and never builds a vector.
 
 Sizes: a task keeps words until `WORD_CACHE` and then folds them into its
 slots; the summed table has `TABLE` rows at most, the sample 2 x `SAMPLE` rows,
-whatever the input. Labels meet their texts in a join that Spark broadcasts
-only below its own size threshold.
+whatever the input. The labels (id and label) are broadcast to the texts only
+up to a checked number of rows; beyond it both sides are shuffled by id.
 """
 
 from __future__ import annotations
@@ -28,13 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.sizing import checked_broadcast
 from .common import text_or_empty, written
 
 #: Slots for hashed n-grams, and the lengths of the n-grams.
 TABLE = 1 << 18
 ORDERS = (3, 4, 5)
 #: Labelled rows of each label that the regression is fitted to, at most.
-SAMPLE = 2000
+SAMPLE = 1000
 #: Smoothing of the log-count ratios (pseudo-counts, shared out as the labels are).
 ALPHA = 2.0
 #: Weight of the squared coefficients, and steps of the fit.
@@ -112,7 +113,7 @@ def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [features(t) for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array([s.astype("<i4").tobytes() for s, _ in found], pa.binary()),
-             pa.array([n.astype("<i4").tobytes() for _, n in found], pa.binary())], names=["label", "slots", "counts"])
+             pa.array([np.minimum(n, 0xFFFF).astype("<u2").tobytes() for _, n in found], pa.binary())], names=["label", "slots", "counts"])
 
 
 def log_count_ratios(toxic: np.ndarray, clean: np.ndarray) -> np.ndarray:
@@ -127,35 +128,32 @@ def log_count_ratios(toxic: np.ndarray, clean: np.ndarray) -> np.ndarray:
 def fit(slots: list[np.ndarray], counts: list[np.ndarray], label: np.ndarray, weight: np.ndarray,
         ratios: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights by slot (coefficient times ratio) and the constant, by gradient steps with momentum."""
-    used, at = np.unique(np.concatenate(slots), return_inverse=True)
     row = np.repeat(np.arange(len(label), dtype=np.int32), [len(s) for s in slots])
-    x = np.concatenate(counts).astype(np.float32) * ratios[used][at]
-    at = at.astype(np.int32)
+    at = np.concatenate(slots)
+    x = np.concatenate(counts).astype(np.float32) * ratios[at]
     weight = weight / weight.sum()
     rate = float((weight * label).sum())
-    beta = np.zeros(len(used))
+    beta = np.zeros(len(ratios))
     constant = np.log(rate / (1 - rate))
-    m, v, m0, v0 = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
+    m, v, m0, v0 = np.zeros(len(ratios)), np.zeros(len(ratios)), 0.0, 0.0
     for t in range(1, STEPS + 1):
         z = np.bincount(row, weights=x * beta.astype(np.float32)[at], minlength=len(label)) + constant
         error = weight * (sigmoid(z) - label)
-        g = np.bincount(at, weights=x * error.astype(np.float32)[row], minlength=len(used)) + RIDGE * beta
+        g = np.bincount(at, weights=x * error.astype(np.float32)[row], minlength=len(ratios)) + RIDGE * beta
         g0 = error.sum()
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         m0, v0 = 0.9 * m0 + 0.1 * g0, 0.99 * v0 + 0.01 * g0 * g0
         step, a, b = 0.1 * (1 - 0.9 * t / STEPS), 1 - 0.9 ** t, 1 - 0.99 ** t
         beta -= step * (m / a) / (np.sqrt(v / b) + 1e-6)
         constant -= step * (m0 / a) / (np.sqrt(v0 / b) + 1e-6)
-    weights = np.zeros(len(ratios), np.float32)
-    weights[used] = beta * ratios[used]
-    return weights, float(constant)
+    return (beta * ratios).astype(np.float32), float(constant)
 
 
 def sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic") -> DataFrame:
+def labelled(labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic") -> DataFrame:
     """_id, _toxic of every id that has a label: 1 if any of its label rows says 1."""
     rows = labels.where(F.col(f"`{id_col}`").isNotNull() & F.col(f"`{label_col}`").isNotNull())
     return (rows.groupBy(F.col(f"`{id_col}`").cast("long").alias("_id"))
@@ -167,7 +165,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Model from all rows of `docs` whose id has a label. None without any
     labelled row; with one label only, the constant answer."""
     spark = docs.sparkSession
-    marked = labelled(docs, labels, id_col, label_col)
+    # ids and labels only; beyond the checked size the texts meet them in a shuffle
+    marked, _small = checked_broadcast(labelled(labels, id_col, label_col))
     ids = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id")).join(marked, "_id")
     # a row each for the labels: how many rows, and the hash below which SAMPLE ids lie
     sizes = {r["_toxic"]: r["n"] for r in ids.groupBy("_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -190,7 +189,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     got = texts.mapInArrow(_featurize, "label int, slots binary, counts binary").limit(4 * SAMPLE).toArrow()
     label = np.array(got["label"].to_pylist(), np.float64)
     slots = [np.frombuffer(b, "<i4") for b in got["slots"].to_pylist()]
-    counts = [np.frombuffer(b, "<i4") for b in got["counts"].to_pylist()]
+    counts = [np.frombuffer(b, "<u2") for b in got["counts"].to_pylist()]
     if not any(len(s) for s in slots):
         return {"weights": None, "constant": float(np.log((sizes[1] + 0.5) / (sizes[0] + 0.5)))}
     per = {y: sizes[y] / max((label == y).sum(), 1) for y in (0, 1)}
