@@ -25,8 +25,10 @@ pair that all blocks hold. A block's sums are two numbers a document.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -53,21 +55,51 @@ _PRINTS = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = {chr(b): b for b in _PRINTS} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in _PRINTS)}
 
 
+#: The pattern that cuts text before the merges of a byte-level file (public, fixed value).
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
 class ByteTokens:
-    """Ids and token bytes of a byte-level BPE file; special tokens' strings are plain text."""
+    """Ids and token bytes of a byte-level BPE file; special tokens' strings are plain text.
+
+    Where the file's ids follow its merges (a token of a lower id is merged
+    first) and its cutting pattern is the usual one, the ids come from tiktoken
+    over the file's own vocabulary, which is the same and several times as fast."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.bytes = [b""] * (max(vocabulary.values(), default=-1) + 1)
-        for token, i in vocabulary.items():
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        vocabulary, special = spec["model"]["vocab"], {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        self.bytes = [b""] * (max([*vocabulary.values(), *special.values()], default=-1) + 1)
+        for token, i in (vocabulary | special).items():
             self.bytes[i] = bytes(_BYTES[c] for c in token) if all(c in _BYTES for c in token) else token.encode()
+        self.tokenizer = self.ranked = None
+        if self._ids_follow_merges(spec, vocabulary, special):
+            import tiktoken
+
+            ranks = {self.bytes[i]: i for token, i in vocabulary.items() if token not in special}
+            self.ranked = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        else:
+            self.tokenizer = Tokenizer.from_file(path)
+            self.tokenizer.encode_special_tokens = True
+
+    @staticmethod
+    def _ids_follow_merges(spec: dict, vocabulary: dict, special: dict) -> bool:
+        cut, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        plain = (spec.get("normalizer") is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
+                 and not cut.get("add_prefix_space") and not any(model.get(k) for k in (
+                     "dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")))
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+        made = [vocabulary.get("".join(p)) for p in pairs]
+        bytes_first = sorted(vocabulary.get(c, -1) for c in _BYTES) == list(range(256))
+        return plain and bytes_first and made == list(range(256, 256 + len(made))) and len(vocabulary) - len(special) <= 256 + len(made)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
+        if self.ranked is not None:
+            return [self.ranked.encode_ordinary(" " + t) for t in texts]
         return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
 
@@ -259,7 +291,7 @@ class Aligner:
         if not good:
             return out, (np.zeros(0, np.int64), np.zeros(0, np.int64))
         len_a, len_b = (np.fromiter(map(len, x), np.int64, len(good)) for x in (all_a, all_b))
-        ids_a, ids_b = (np.fromiter((y for x in ids for y in x), np.int64, int(n.sum())) for ids, n in ((all_a, len_a), (all_b, len_b)))
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())) for ids, n in ((all_a, len_a), (all_b, len_b)))
         group_a, group_b = groups_of(np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b]))
         n = int(group_a[-1]) + 1
         na, nb = np.bincount(group_a, minlength=n), np.bincount(group_b, minlength=n)

@@ -98,6 +98,25 @@ def test_awkward_texts_equal_brute_force(spark, tokenizers):
     assert brute(tokenizers, ["▁"]) == [(0, 0, 0, 0, 0, 0, "")]  # not given back byte for byte
 
 
+def test_ids_of_the_file(spark, tokenizers, tmp_path):
+    """Ranks and the file's own library agree; a file whose ids do not follow its merges goes by the library."""
+    import json
+
+    texts = [r[1] for r in ROWS if r[1]] + HARD + [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if r["text"]]
+    fast = alignment.ByteTokens(A)
+    assert fast.ranked is not None
+    assert fast.encode(texts) == [e.ids for e in tokenizers[0].encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    spec = json.load(open(A, encoding="utf-8"))
+    v = spec["model"]["vocab"]
+    first, second = (next(t for t, i in v.items() if i == n) for n in (300, 301))
+    v[first], v[second] = 301, 300
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec))
+    other = alignment.ByteTokens(str(path))
+    assert other.ranked is None
+    assert all(b"".join(other.bytes[i] for i in ids) == (" " + t).encode() for t, ids in zip(texts, other.encode(texts), strict=True))
+
+
 def test_awkward_columns(spark):
     got = alignment.align(edge_docs(spark), A, B)
     assert Counter(r["doc_id"] for r in got.collect()) == Counter(r[0] for r in ROWS)
