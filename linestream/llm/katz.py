@@ -18,8 +18,9 @@ cached: their numbers, unigrams and weights, and the pairs counted that often,
 are sent to every task, so no part of a table holds a frequent key's rows. The
 pairs of a frequent context are dealt by the pair, all others by the context.
 
-Tables are dealt by a hash of the key; a row holds one task's sorted keys and
-values of one part, packed in numpy and zstd, so a part is merged and looked
+Tables are dealt by a hash of the key into parts whose number follows the bytes
+of text, not the session's partitions; a row holds one task's sorted keys and
+values of one part (empty ones are not sent, so rows are never more than keys), packed in numpy and zstd, so a part is merged and looked
 up with array operations. Counts are summed per task before they are dealt.
 Scoring sends each lookup once per document.
 """
@@ -47,8 +48,10 @@ K = 5
 #: Tokens or words a task holds before it deals them out.
 TOKENS_AT_ONCE = 1_000_000
 WORDS_AT_ONCE = 300_000
-#: Parts of a table for each shuffle partition; tokens for each part of the pair table, at most.
-PARTS_EACH = 3
+#: Parts of a table: one for about so many bytes of text, so that they follow the input alone, and so many at least.
+BYTES_EACH = 12_000_000
+LEAST_PARTS = 64
+#: Tokens for each part of the pair table, at most.
 TOKENS_EACH = 2_000_000
 
 END = b"\n"  # not a possible word
@@ -432,8 +435,9 @@ def learn(train: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame, i
     weights) by part, and the numbers of parts of words and of pairs (which
     are numbered after those of words)."""
     spark = train.sparkSession
-    word_parts = PARTS_EACH * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = _text_rows(train, F.lit(0).cast("long"), text_col)
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    word_parts = max(LEAST_PARTS, -(-size // BYTES_EACH))
     word_table, n1 = _summed(rows.mapInArrow(_count_words(word_parts), _COUNT_ROWS), _merge_words, "katz-words")
     total = n1["total"]
     pair_parts = word_parts * max(1, -(-total // (word_parts * TOKENS_EACH)))  # a multiple: a context's part tells its word's
