@@ -21,6 +21,7 @@ from ..sources import kafka as K
 from ..sources import text as TX
 from ..operators import registry as R
 from ..operators.sequence import with_sequence
+from ..sinks import index_source as IX
 from ..sinks import writers as W
 from ..streaming import live as L
 from ..streaming import runner as RUN
@@ -547,6 +548,32 @@ def index_json_bulk(spark, sf_dir):
     return _index_back(spark, path)
 
 
+#: Documents of a bulk request.
+ACTIONS = 1000
+
+
+@query("index_bulk_requests", _INDEX_ORACLE)
+def index_bulk_requests(spark, sf_dir):
+    """SNK-2 through the bulk data source: requests of ACTIONS documents, two runs into one
+    index (the documents of even offsets, then all), read back."""
+    rec = K.lines_as_records(T.simfile_lines(spark, sf_dir))
+    root = fresh_path(spark, "index-bulk")
+    for some in (rec.where("offset % 2 = 0"), rec):
+        docs = R.apply("simfile", some).select(W.doc_id().alias("doc_id"), F.col("value").alias("doc"))
+        path = IX.bulk_write(W.bulk_lines(docs), root, "simulator", "simfile", ACTIONS)
+    return _index_back(spark, path)
+
+
+@query("stream_index_bulk", _INDEX_ORACLE)
+def stream_index_bulk(spark, sf_dir):
+    """SNK-2 on a stream: every epoch's bulk requests become visible with its commit."""
+    st = K.lines_as_records(_line_stream(spark, T.simfile_lines(spark, sf_dir)))
+    docs = R.apply("simfile", st).select(W.doc_id().alias("doc_id"), F.col("value").alias("doc"))
+    root = fresh_path(spark, "index-bulk-stream")
+    RUN.run_writer(IX.bulk_stream(W.bulk_lines(docs), root, "simulator", "simfile", "replay", ACTIONS), spark, "index-bulk-stream")
+    return _index_back(spark, f"{root}/index=simulator/type=simfile")
+
+
 @query("index_json_microbatch", _INDEX_ORACLE)
 def index_json_microbatch(spark, sf_dir):
     """SNK-3: the same writer called once per micro-batch of a stream."""

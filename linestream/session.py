@@ -8,6 +8,7 @@ find the shared folder for materialised intermediates.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -44,9 +45,27 @@ def ensure_defaults(spark: SparkSession) -> SparkSession:
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     shared_dir(spark)
+    ship_code(spark)
     return spark
 
 
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Let the session hand this package to its Python workers, unless they
+    find it anyway (on PYTHONPATH, or started in its folder)."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    root, app = os.path.dirname(package), spark.sparkContext.applicationId
+    known = [os.path.abspath(p) for p in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)) if p]
+    if root in known or app in _shipped:
+        return
+    folder = tempfile.TemporaryDirectory()  # the driver serves the archive from here while it lives
+    _shipped[app] = folder
+    spark.sparkContext.addPyFile(shutil.make_archive(
+        os.path.join(folder.name, os.path.basename(package)), "zip", root, os.path.basename(package)))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints (must be shared storage).
 

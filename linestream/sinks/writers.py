@@ -3,15 +3,18 @@
 * Kafka: ``key`` kept from the input record, ``value`` = output line.
 * Bulk document index: newline-delimited JSON under ``index=<i>/type=<t>/``,
   each document stored as given under ``_source`` with a deterministic ``_id``
-  built from ``topic-partition-offset``. A run replaces its folder, a replayed
-  micro-batch its own, so nothing is stored twice. The size of a bulk request
-  is a connector's matter (`bulk_requests`), not that of the files.
+  built from ``topic-partition-offset``. An index is only added to: every run
+  has a folder of its own below the type, a micro-batch one named by its
+  number, which alone a replay overwrites. Of documents with one ``_id`` the
+  one written last is read. `index_source` sends bulk requests of bounded
+  number, bytes and time; `index_write` leaves files to Spark's text writer.
 * Metrics table: append-only parquet, one row per closed burst.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
@@ -75,28 +78,33 @@ def bulk_requests(lines: Iterable[str], actions: int, most_bytes: int = 1 << 30,
         yield held
 
 
-def index_write(docs: DataFrame, root: str, index: str, doc_type: str | None,
-                doc_col: str = "doc", id_col: str = "doc_id", batch_id: int | None = None) -> str:
-    """SNK-2 / SNK-3: write one bulk layout; returns its folder. Files are as
-    large as the tasks' output; a run replaces what an earlier run wrote there.
+def index_write(docs: DataFrame, root: str, index: str, doc_type: str | None, doc_col: str = "doc", id_col: str = "doc_id",
+                batch_id: int | None = None, run: str | None = None) -> str:
+    """SNK-2 / SNK-3 / SNK-4: add documents to an index; returns its folder, or the type's.
 
-    With ``doc_type`` None the documents' column ``type`` names their folders.
-    With ``batch_id`` the batch goes to its own ``batch=<id>`` folder."""
+    With ``doc_type`` None the documents' column ``type`` names their types.
+    The run's folder is ``run=<run>`` (a new one by default), with ``batch_id``
+    ``batch=<id>``; only that is overwritten, in the types that are written."""
     path = f"{root.rstrip('/')}/index={index}"
+    kind, value = ("run", run or f"{time.time_ns() // 1_000_000:013d}-{uuid.uuid4().hex[:8]}") if batch_id is None else ("batch", str(batch_id))
     if doc_type is None:
-        bulk_lines(docs, doc_col, id_col, ["type"]).write.mode("overwrite").partitionBy("type").text(path)
+        (bulk_lines(docs, doc_col, id_col, ["type"]).withColumn(kind, F.lit(value)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("type", kind).text(path))
         return path
-    path = f"{path}/type={doc_type}"
-    target = path if batch_id is None else f"{path}/batch={batch_id}"
-    bulk_lines(docs, doc_col, id_col).write.mode("overwrite").text(target)
-    return path
-
-
-def index_read(spark, path: str, source_schema: str) -> DataFrame:
-    """Read a bulk layout back: ``_id`` and the parsed ``_source`` (all
-    batch folders below the type folder)."""
-    return (spark.read.schema(f"_id string, _source struct<{source_schema}>")
-            .option("recursiveFileLookup", "true").json(path).select("_id", "_source"))
+    bulk_lines(docs, doc_col, id_col).write.mode("overwrite").text(f"{path}/type={doc_type}/{kind}={value}")
+    return f"{path}/type={doc_type}"
+
+
+def index_read(spark, path: str, source_schema: str, latest: bool = True) -> DataFrame:
+    """Read a bulk layout back: ``_id`` and the parsed ``_source`` of all runs
+    and batches below the type's folder; of several documents with one ``_id``
+    the one in the file written last (``latest=False``: all of them)."""
+    rows = spark.read.schema(f"_id string, _source struct<{source_schema}>").option("recursiveFileLookup", "true").json(path)
+    if not latest:
+        return rows.select("_id", "_source")
+    written = F.struct(F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("file"))
+    return (rows.select("_id", "_source", written.alias("_written")).groupBy("_id")
+            .agg(F.max_by("_source", "_written").alias("_source")))
 
 
 def metrics_append(closed_bursts: DataFrame, path: str) -> str:

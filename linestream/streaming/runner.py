@@ -124,6 +124,14 @@ def run_to_files(stream: DataFrame, what: str, output_mode: str = "append") -> D
     return run_logged(stream, what, output_mode)[0]
 
 
+def run_writer(writer, spark: SparkSession, what: str, checkpoint: str | None = None) -> ProgressLog:
+    """Drain the available input through any sink's writer."""
+    ckpt = checkpoint or fresh_path(spark, f"{what}-ckpt")
+    q, log = logged(lambda: start(writer, ckpt), spark, fresh_path(spark, f"{what}-progress"))
+    _finish(q, log, what)
+    return log
+
+
 def run_foreach_batch(stream: DataFrame, what: str, fn) -> str:
     """Drain the input through ``fn(batch_df, batch_id)``; returns the
     checkpoint folder."""

@@ -109,3 +109,167 @@ def test_a_bounded_read_of_nothing_ends(spark):
     df = spark.createDataFrame([(1, 1, "t", "v")], LINES)
     st = _stream(spark, df, F.lit(0)).where("topic = 'none'")
     assert RUN.run_until_idle(st, "nothing", 100, 3).count() == 0
+
+
+# ---------------------------------------------------------------- the index as a data source
+
+
+def _docs(spark, ids):
+    return spark.createDataFrame([(str(i), '{"v": %d}' % i) for i in ids], "doc_id string, doc string")
+
+
+def _visible(path):
+    import glob
+    import os
+
+    return sorted(f for f in glob.glob(path.replace("file:", "") + "/**/*.txt", recursive=True)
+                  if not any(p.startswith("_") for p in f.split(os.sep)))
+
+
+def test_bulk_requests_through_the_sink(spark):
+    from linestream.sinks import index_source as IX
+    from linestream.sinks import writers as W
+
+    root = fresh_path(spark, "bulk")
+    lines = W.bulk_lines(_docs(spark, range(100))).coalesce(1)
+    path = IX.bulk_write(lines, root, "i", "by-number", actions=30)
+    assert [sum(1 for _ in open(f)) for f in _visible(path)] == [30, 30, 30, 10]
+    path = IX.bulk_write(lines, root, "i", "by-bytes", actions=1000, bytes=300)
+    files = _visible(path)
+    assert len(files) > 10 and all(len(open(f).read()) - open(f).read().count("\n") <= 300 for f in files)
+    path = IX.bulk_write(lines, root, "i", "by-time", actions=1000, seconds=0)
+    assert len(_visible(path)) == 100  # each document comes later than no seconds
+
+
+def test_a_second_run_adds_to_the_index(spark):
+    from linestream.sinks import index_source as IX
+    from linestream.sinks import writers as W
+
+    root = fresh_path(spark, "adds")
+    for write in (lambda d, t: W.index_write(d, root, "i", t), lambda d, t: IX.bulk_write(W.bulk_lines(d), root, "i", t)):
+        for ids in (range(0, 60), range(40, 100)):
+            path = write(_docs(spark, ids), "t")
+        back = W.index_read(spark, path, "v: bigint")
+        assert sorted(int(r._id) for r in back.collect()) == list(range(100))
+        assert back.where("_id <> cast(_source.v as string)").count() == 0
+    assert W.index_read(spark, path, "v: bigint", latest=False).count() == 240
+    # other types stay when documents name their types
+    typed = _docs(spark, range(5)).selectExpr("*", "'u' as type")
+    W.index_write(typed, root, "i", None)
+    W.index_write(typed.where("doc_id > '2'"), root, "i", None)
+    assert W.index_read(spark, f"{root}/index=i/type=u", "v: bigint").count() == 5
+    assert W.index_read(spark, path, "v: bigint").count() == 100
+
+
+def test_the_latest_document_of_an_id_is_read(spark):
+    import time
+
+    from linestream.sinks import writers as W
+
+    root = fresh_path(spark, "latest")
+    for v in (1, 2):
+        path = W.index_write(spark.createDataFrame([("a", '{"v": %d}' % v)], "doc_id string, doc string"), root, "i", "t")
+        time.sleep(1.1)
+    assert [tuple(r) for r in W.index_read(spark, path, "v: bigint").selectExpr("_id", "_source.v").collect()] == [("a", 2)]
+
+
+def test_a_failed_run_leaves_nothing_visible(spark):
+    from linestream.sinks import index_source as IX
+    from linestream.sinks import writers as W
+
+    root = fresh_path(spark, "fails")
+    path = IX.bulk_write(W.bulk_lines(_docs(spark, range(10))), root, "i", "t")
+    before = _visible(path)
+    docs = _docs(spark, range(10, 2000)).repartition(4).withColumn("doc", F.when(F.col("doc_id") == "1500", F.lit("{")).otherwise(F.col("doc")))
+    with pytest.raises(Exception, match="not a JSON document"):
+        IX.bulk_write(W.bulk_lines(docs), root, "i", "t", actions=10)
+    assert _visible(path) == before and W.index_read(spark, path, "v: bigint").count() == 10
+    with pytest.raises(Exception, match="append"):
+        W.bulk_lines(_docs(spark, [1])).write.format(IX.FORMAT).options(**IX.options(root, "i", "t", 10)).mode("overwrite").save()
+
+
+# ---------------------------------------------------------------- what a failure leaves behind (STR-5)
+
+
+def _forget_last_commit(spark, checkpoint):
+    """As if the driver had died between the sink's write and the commit of the last batch."""
+    import glob
+    import os
+
+    folder = checkpoint.replace("file:", "") + "/commits"
+    last = max(int(os.path.basename(f)) for f in glob.glob(folder + "/[0-9]*"))
+    for f in (f"{folder}/{last}", f"{folder}/.{last}.crc"):
+        if os.path.exists(f):
+            os.remove(f)
+    return last
+
+
+def _records(spark, n=90):
+    df = spark.createDataFrame([(i, 100 * i, "t", f"x,{100 * i}") for i in range(n)], LINES)
+    return df, _stream(spark, df, F.expr("ms div 3000"))
+
+
+def test_an_epoch_of_the_index_that_is_replayed_adds_nothing(spark):
+    from linestream.sinks import index_source as IX
+    from linestream.sinks import writers as W
+
+    df, st = _records(spark)
+    root, ckpt = fresh_path(spark, "replayed"), fresh_path(spark, "replayed-ckpt")
+    docs = st.selectExpr("cast(event_id as string) as doc_id", "concat('{\"v\": ', event_id, '}') as doc")
+
+    def run():
+        RUN.run_writer(IX.bulk_stream(W.bulk_lines(docs), root, "i", "t", "s", 10), spark, "replayed", ckpt)
+
+    run()
+    path = f"{root}/index=i/type=t"
+    assert W.index_read(spark, path, "v: bigint", latest=False).count() == 90
+    assert _forget_last_commit(spark, ckpt) == 2
+    run()
+    assert W.index_read(spark, path, "v: bigint", latest=False).count() == 90
+
+
+def test_a_file_sink_is_exactly_once_and_a_topic_at_least_once(spark):
+    from linestream.sinks import writers as W
+
+    df, st = _records(spark)
+    out, ckpt = fresh_path(spark, "once"), fresh_path(spark, "once-ckpt")
+    for _ in range(2):
+        RUN.run_writer(st.writeStream.format("parquet").option("path", out), spark, "once", ckpt)
+        _forget_last_commit(spark, ckpt)
+    RUN.run_writer(st.writeStream.format("parquet").option("path", out), spark, "once", ckpt)
+    assert spark.read.schema(df.schema).parquet(out).count() == 90
+
+    topic, ckpt = fresh_path(spark, "topic"), fresh_path(spark, "topic-ckpt")
+    fail = {"at": 1}
+
+    def send(batch, batch_id):
+        W.kafka_stand_in_write(batch, topic)
+        if batch_id == fail["at"]:
+            fail["at"] = None
+            raise RuntimeError("died after the sink's write")
+
+    with pytest.raises(Exception, match="died after"):
+        RUN.run_writer(st.writeStream.foreachBatch(send), spark, "topic", ckpt)
+    RUN.run_writer(st.writeStream.foreachBatch(send), spark, "topic", ckpt)
+    back = spark.read.parquet(topic)
+    assert back.select("event_id").distinct().count() == 90 and back.count() == 120  # one batch of 30 came twice
+
+
+def test_bursts_go_on_after_a_failure(spark):
+    """State and timers come back with the checkpoint: each burst once, with all its records."""
+    gap = 1000
+    df = spark.createDataFrame(_random_lines(900, topics=("a", "b", "c")), LINES)
+    st = _stream(spark, df, F.expr("ms div 9000"))
+    out, ckpt = fresh_path(spark, "after"), fresh_path(spark, "after-ckpt")
+    for last in (False, True):
+        with L.rocksdb_state(spark):
+            writer = L.closed_bursts(st, gap, 700).writeStream.format("parquet").option("path", out)
+            q, log = LI.logged(lambda w=writer: RUN.start(w, ckpt, 100), spark, fresh_path(spark, "after-log"))
+        while q.isActive and not last and log.batches < 1:
+            pass
+        if not last:
+            q.stop()
+            LI.finish(q, log)
+    LI.stop_when_idle(q, log, 12)
+    got = spark.read.schema(L.BURST_SCHEMA).parquet(out)
+    assert sorted(map(repr, map(tuple, got.collect()))) == _batch_bursts(df, gap)
