@@ -8,31 +8,11 @@ costs a re-read and never a recomputation with other results.
 from __future__ import annotations
 
 import math
-import os
-import shutil
-import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_defaults, fresh_path
-
-
-_shipped: dict[str, tempfile.TemporaryDirectory] = {}
-
-
-def ship_code(spark: SparkSession) -> None:
-    """Let the session hand this package to its Python workers, unless they
-    find it anyway (on PYTHONPATH, or started in its folder)."""
-    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    root, app = os.path.dirname(package), spark.sparkContext.applicationId
-    known = [os.path.abspath(p) for p in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)) if p]
-    if root in known or app in _shipped:
-        return
-    folder = tempfile.TemporaryDirectory()  # the driver serves the archive from here while it lives
-    _shipped[app] = folder
-    spark.sparkContext.addPyFile(shutil.make_archive(
-        os.path.join(folder.name, os.path.basename(package)), "zip", root, os.path.basename(package)))
+from ..session import ensure_defaults, fresh_path, ship_code
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
