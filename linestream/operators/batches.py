@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bursts import bucket_of, rate
-from .running import previous, running_max, running_sum
+from .running import running_max
+from .scan import segments
 from .sizing import materialize
 
 
@@ -78,22 +79,21 @@ def running_burst_count(rows: DataFrame, interval_ms: int, gap_ms: int,
     with the first empty batch more than ``gap_ms`` after the last non-empty
     one, if there is one before the next non-empty batch or the end of all
     input. The other idle batches, which repeat a count, are left out: they
-    grow with time and not with the input. Sums and starts run in two levels
-    over the batch table.
+    grow with time and not with the input. Starts and sums come from one scan
+    over the batch table (`scan`), resets from the same rows: a burst's reset is
+    told by the batch that starts the next one, a group's last by its last batch.
     """
     by = ["topic"] if by is None else by
     w = _batches(rows, interval_ms, by)
-    last = w.agg(F.max("w")).first()[0]
-    b = previous(w, by, "w", "w", "_pw")
-    b = b.withColumn("_start", F.col("_pw").isNull() | ((F.col("w") - F.col("_pw")) * interval_ms > gap_ms))
-    b = running_sum(b, by, "w", F.col("n"), "_sum")
-    b = running_max(b, by, "w", F.when(F.col("_start"), F.col("_sum") - F.col("n")), "_base")
-    counts = b.select(*by, ((F.col("w") + 1) * interval_ms).alias("batch_ms"), "n",
-                      (F.col("_sum") - F.col("_base")).alias("running_n"))
+    b = segments(w, by, "w", "n", gap_ms // interval_ms)
+    ends = w.groupBy(*by).agg(F.max("w").alias("_w"))  # a row a group
+    last = ends.agg(F.max("_w")).first()[0]
     idle = gap_ms // interval_ms + 1  # batches from the last non-empty one to the reset
-    inner = b.where("_start and _pw is not null").select(*by, F.col("_pw").alias("_end"), F.col("w").alias("_next"))
-    ends = w.groupBy(*by).agg(F.max("w").alias("_end")).withColumn("_next", F.lit(last).cast("long") + 1)
-    reset = inner.unionByName(ends).where(F.col("_end") + idle < F.col("_next"))
-    zero = F.lit(0).cast("long")
-    return counts.unionByName(reset.select(*by, ((F.col("_end") + idle + 1) * interval_ms).alias("batch_ms"),
-                                           zero.alias("n"), zero.alias("running_n")))
+    batch_ms, zero = (F.col("w") + 1) * interval_ms, F.lit(0).cast("long")
+    count = F.struct(batch_ms.alias("batch_ms"), F.col("n").alias("n"), F.col("running").alias("running_n"))
+    reset = F.struct(((F.col("previous") + idle + 1) * interval_ms).alias("batch_ms"), zero.alias("n"), zero.alias("running_n"))
+    both = F.when(F.col("previous") + idle < F.col("w"), F.array(reset, count)).otherwise(F.array(count))
+    counts = b.select(*by, F.inline(both))
+    open_ends = ends.where(F.col("_w") + idle <= F.lit(last).cast("long"))
+    return counts.unionByName(open_ends.select(*by, ((F.col("_w") + idle + 1) * interval_ms).alias("batch_ms"),
+                                               zero.alias("n"), zero.alias("running_n")))

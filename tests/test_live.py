@@ -273,3 +273,43 @@ def test_bursts_go_on_after_a_failure(spark):
     LI.stop_when_idle(q, log, 12)
     got = spark.read.schema(L.BURST_SCHEMA).parquet(out)
     assert sorted(map(repr, map(tuple, got.collect()))) == _batch_bursts(df, gap)
+
+
+# ---------------------------------------------------------------- segmented prefix scan (AGG-9)
+
+
+@pytest.mark.parametrize("fan", [1, 3, 16, 1024])
+def test_segments_in_one_pass(spark, fan):
+    from linestream.operators.scan import segments
+
+    rnd = random.Random(fan)
+    want, rows = {}, []
+    for g in ("a", "b", None):
+        k, before, total = -40, None, 0
+        for _ in range(120):
+            k += rnd.choice([1, 1, 2, 5, 40])
+            v = rnd.randrange(9)
+            starts = before is None or k - before > 4
+            total = v if starts else total + v
+            rows.append((g, k, v))
+            want[g, k] = (before, starts, total)
+            before = k
+    df = spark.createDataFrame(rows, "g string, k long, v long").repartition(5)
+    got = {(r.g, r.k): (r.previous, r.starts, r.running) for r in segments(df, ["g"], "k", "v", 4, fan).collect()}
+    assert got == want
+    one = spark.createDataFrame([r for r in rows if r[0] == "a"], "g string, k long, v long")
+    got = {r.k: (r.previous, r.starts, r.running) for r in segments(one, [], "k", "v", 4, fan).collect()}
+    assert got == {k: v for (g, k), v in want.items() if g == "a"}
+
+
+def test_running_count_reads_its_batches_once(spark):
+    from linestream.operators.batches import running_burst_count
+    from linestream.sources import tables as T
+
+    out = running_burst_count(T.latency_lines(spark, "/root/testdata/sf0.001"), 60_000, 900_000)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    # the scan, and the groups' last batches beside it; both sides of the scan's join share one exchange
+    assert final.count("Exchange hashpartitioning") - final.count("ReusedExchange") <= 5
+    assert final.count("Scan ExistingRDD") <= 3
