@@ -49,7 +49,7 @@ K = 5
 TOKENS_AT_ONCE = 1_000_000
 WORDS_AT_ONCE = 300_000
 #: Parts of a table: one for about so many bytes of text, so that they follow the input alone, and so many at least.
-BYTES_EACH = 12_000_000
+BYTES_EACH = 5_000_000
 LEAST_PARTS = 64
 #: Tokens for each part of the pair table, at most.
 TOKENS_EACH = 2_000_000
@@ -197,6 +197,14 @@ def _summed(rows: DataFrame, merge, what: str) -> tuple[DataFrame, dict]:
     return table, table.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in _STATS]).first().asDict()
 
 
+def _remove(table: DataFrame) -> None:
+    """Delete the files of a table of our own (see `written`)."""
+    spark, jvm = table.sparkSession, table.sparkSession.sparkContext._jvm
+    for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _at_least(table: DataFrame, least: int, names: list[str]) -> list[np.ndarray]:
     """Keys (the columns `names`) counted at least `least` times, with their counts (at most total / least)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,8 +339,8 @@ def _count_pairs(parts: int, shared):
     return run
 
 
-#: Kinds of rows: lookups of words and pairs, the tables' own rows, a unit's documents, and sums by frequent context.
-ASK_WORD, ASK_PAIR, WORDS, PAIRS, DOCS, SUMS, FOLLOWERS, ALPHAS = range(8)
+#: Kinds of rows: lookups of words and pairs, the tables' own rows, a unit's documents, sums by frequent context, and what scoring looks up.
+ASK_WORD, ASK_PAIR, WORDS, PAIRS, DOCS, SUMS, FOLLOWERS, ALPHAS, GAINS, CONTEXTS = range(10)
 
 
 def _as(table: DataFrame, kind: int, part: Column | str = "part") -> DataFrame:
@@ -382,7 +390,7 @@ def _table(rows: list[tuple]) -> pa.Table:
 
 
 def _part_of_pairs(rows: pa.Table, m: Model) -> tuple[np.ndarray, ...] | None:
-    """One part of the pair table: contexts, counts, unigrams (log10) of the followers, pair keys."""
+    """One part of the pair table: contexts, counts, the followers' own counts, pair keys."""
     pairs, got = None, []
     for kind, x in zip(rows.column("kind").to_pylist(), rows.column("packed"), strict=True):
         if kind == PAIRS:
@@ -393,13 +401,13 @@ def _part_of_pairs(rows: pa.Table, m: Model) -> tuple[np.ndarray, ...] | None:
         return None
     v, w, n = pairs
     rare = w >= _WORD
-    log_p1 = np.empty(len(w))
-    log_p1[~rare] = m.log_p1[w[~rare].astype(np.int64)]
+    count = np.zeros(len(w), np.int64)
+    count[~rare] = m.counts[w[~rare].astype(np.int64)]
     if got:
         keys, counts = (np.concatenate(x) for x in zip(*got, strict=True))
         order = np.argsort(keys)
-        log_p1[rare] = m.unigram(_found(w[rare], [keys[order], counts[order]], 0))
-    return v, n, log_p1, pair_key(v, w)
+        count[rare] = _found(w[rare], [keys[order], counts[order]], 0)
+    return v, n, count, pair_key(v, w)
 
 
 def _context_sums(v: np.ndarray, n: np.ndarray, log_p1: np.ndarray, d2: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
@@ -409,17 +417,26 @@ def _context_sums(v: np.ndarray, n: np.ndarray, log_p1: np.ndarray, d2: np.ndarr
 
 
 def _contexts(word_parts: int, shared):
-    """Weights of a part's rare contexts, for the word table, and sums of its frequent ones."""
+    """Weights of a part's rare contexts, for the word table, sums of its frequent
+    ones, and what scoring needs of the part's pairs: key, count, the follower's
+    count and the context's place, and for each context what its pairs gain
+    (for a frequent one its number, as its sums are spread over the parts)."""
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         m: Model = shared.value
         if (part := _part_of_pairs(rows, m)) is None:
             return _table([])
-        v, n, log_p1, _ = part
-        who, _, sums = _context_sums(v, n, log_p1, m.d2)
+        v, n, count, pair = part
+        who, inverse, sums = _context_sums(v, n, m.unigram(count), m.d2)
         rare = who >= _WORD
-        log_alpha, _ = weights(*(x[rare] for x in sums))
-        return _table([(key[0].as_py() % word_parts, ALPHAS, 0, pack_keys(who[rare], log_alpha)),
-                       (0, SUMS, 0, pack_keys(who[~rare], *(x[~rare] for x in sums)))])
+        log_alpha, log_norm = weights(*(x[rare] for x in sums))
+        gain = np.zeros(len(who))
+        gain[rare] = log_norm - log_alpha
+        order = np.argsort(pair)
+        at = key[0].as_py()
+        return _table([(at % word_parts, ALPHAS, 0, pack_keys(who[rare], log_alpha)),
+                       (0, SUMS, 0, pack_keys(who[~rare], *(x[~rare] for x in sums))),
+                       (word_parts + at, GAINS, 0, pack_keys(pair[order], n[order], count[order], inverse[order].astype(np.uint32))),
+                       (word_parts + at, CONTEXTS, 0, pack(np.where(rare, 0, who).astype(np.uint32), gain))])
     return run
 
 
@@ -431,8 +448,8 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(train: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame, int, int]:
-    """The model, its stored rows (words, pairs, followers' counts, contexts'
-    weights) by part, and the numbers of parts of words and of pairs (which
+    """The model, its stored rows (words, contexts' weights, what pairs gain) by
+    part, and the numbers of parts of words and of pairs (which
     are numbered after those of words)."""
     spark = train.sparkSession
     rows = _text_rows(train, F.lit(0).cast("long"), text_col)
@@ -474,9 +491,9 @@ def learn(train: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame, i
     v, w = hot_v[order].astype(np.int64), hot_w[order].astype(np.int64)
     model.hot = hot[order]
     model.hot_gain = model.seen(hot_n[order]) + model.log_norm[v] - model.log_alpha[v] - model.log_p1[w]
-    after = F.col("part") + word_parts
-    stored = (_as(word_table, WORDS).unionByName(found.where(F.col("kind") == ALPHAS))
-              .unionByName(_as(pair_table, PAIRS, after.alias("part"))).unionByName(followers.withColumn("part", after)))
+    stored = _as(word_table, WORDS).unionByName(found.where(F.col("kind").isin(ALPHAS, GAINS, CONTEXTS)))
+    for table in (pair_table, followers):  # nothing reads them from here on
+        _remove(table)
     return model, stored, word_parts, pair_parts
 
 
@@ -544,24 +561,22 @@ def _answer(shared):
     """Look up one part's questions; sums by unit and document go on."""
     def run(rows: pa.Table) -> pa.Table:
         m: Model = shared.value
-        out, words, alphas, gains = [], None, [], None
+        out, words, alphas, gains, pairs, contexts = [], None, [], None, None, None
         kinds, packed = rows.column("kind").to_pylist(), rows.column("packed")
         for i, kind in enumerate(kinds):
             if kind == WORDS:
                 words = unpack_keys(packed[i].as_py(), "i8")
             elif kind == ALPHAS:
                 alphas.append(unpack_keys(packed[i].as_py(), "f8"))
-        if ASK_PAIR in kinds and (part := _part_of_pairs(rows, m)) is not None:
-            v, n, log_p1, pair = part
-            who, inverse, sums = _context_sums(v, n, log_p1, m.d2)
-            rare = who >= _WORD
-            known = who[~rare].astype(np.int64)
-            more = np.empty(len(who))
-            more[~rare] = m.log_norm[known] - m.log_alpha[known]
-            log_alpha, log_norm = weights(*(x[rare] for x in sums))
-            more[rare] = log_norm - log_alpha
-            order = np.argsort(pair)
-            gains = [pair[order], (m.seen(n) + more[inverse] - log_p1)[order]]
+            elif kind == GAINS:
+                pairs = unpack_keys(packed[i].as_py(), "i8", "i8", "u4")
+            elif kind == CONTEXTS:
+                contexts = unpack(packed[i].as_py(), "u4", "f8")
+        if pairs is not None and ASK_PAIR in kinds:
+            pair, n, count, who = pairs
+            number, gain = contexts
+            gain = np.where(number > 0, (m.log_norm - m.log_alpha)[number.astype(np.int64)], gain)
+            gains = [pair, m.seen(n) + gain[who] - m.unigram(count)]
         if alphas:
             keys, values = (np.concatenate(x) for x in zip(*alphas, strict=True))
             order = np.argsort(keys)
