@@ -36,6 +36,30 @@ def tokenize(line) -> Column:
     return F.when(line.contains('"'), unquote).otherwise(raw)
 
 
+#: Stand in for a comma outside quotes, and for the first character of that, while a line is cut.
+_CUT, _ESCAPE = "\x01,", "\x01"
+
+
+def strict_csv(line) -> Column:
+    """Fields of a quoted CSV line: ``array<string>``; NULL if a quote is left open
+    or stands anywhere but around a field or doubled inside one.
+
+    Whether a comma separates follows from the quotes before it: each one turns
+    the state, and a doubled quote turns it twice. The pieces between quotes
+    are folded with that state; only commas in pieces outside quotes cut. Empty
+    fields are kept (``a,,b`` has three), a doubled quote is one quote."""
+    line = _col(line)
+    pieces = F.split(F.replace(line, F.lit(_ESCAPE), F.lit(_ESCAPE + "e")), '"', -1)
+    marked = F.array_join(F.transform(pieces, lambda p, i: F.when(i % 2 == 0, F.replace(p, F.lit(","), F.lit(_CUT))).otherwise(p)), '"')
+    raw = F.split(marked, _CUT, -1)
+    whole = F.forall(raw, lambda t: ~t.contains('"') | t.rlike('^"([^"]|"")*"\\z'))
+    fields = F.transform(raw, lambda t: F.replace(
+        F.when(t.startswith('"'), F.replace(t.substr(F.lit(2), F.length(t) - 2), F.lit('""'), F.lit('"'))).otherwise(t),
+        F.lit(_ESCAPE + "e"), F.lit(_ESCAPE)))
+    # a line without a quote is cut at every comma
+    return F.when(~line.contains('"'), F.split(line, ",", -1)).when(whole, fields)
+
+
 def token(tokens, i: int) -> Column:
     """0-based token access; NULL when the line has too few tokens."""
     return F.get(_col(tokens), i)

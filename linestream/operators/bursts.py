@@ -191,3 +191,11 @@ def every_nth(rows: DataFrame, n_th: int, gap_ms: int, by: list[str] | None = No
 def closed(bursts: DataFrame, gap_ms: int, now_ms: Column) -> DataFrame:
     """Bursts that are over at ``now_ms``: nothing came for the gap. Adds ``closed_ms``."""
     return bursts.withColumn("closed_ms", F.col("end_ms") + gap_ms).where(F.col("closed_ms") <= now_ms)
+
+
+def closed_by_arrivals(bursts: DataFrame, gap_ms: int) -> DataFrame:
+    """Bursts that the latest arrival has closed. Every record is in a burst, so
+    that arrival is the latest end: the records are not read for it."""
+    bursts = materialize(bursts)
+    now = bursts.agg(F.max("end_ms")).first()[0]
+    return closed(bursts, gap_ms, F.lit(now).cast("long"))

@@ -20,6 +20,7 @@ R_NULL_LINE = "null_line"
 R_MISSING = "missing_field"
 R_NON_FINITE = "non_finite"
 R_BAD_DATE = "bad_date"
+R_BAD_QUOTES = "bad_quotes"
 
 # simFile layout (positions 0-7) and the kind of parse each field needs.
 SIMFILE_FIELDS = [("tm", "long"), ("id", "int"), ("dtg", "string"), ("rt", "string"),
@@ -40,19 +41,22 @@ def _typed(raw: Column, kind: str) -> Column:
 
 
 def _parse_fields(df: DataFrame, tokens: Column, fields, keep: list[str],
-                  finite: list[str]) -> DataFrame:
+                  finite: list[str], uncut: str | None = None) -> DataFrame:
     """Typed columns + ``error`` from an array of tokens.
 
     Three projections: raw tokens, then each field parsed once, then the
     reason; the optimizer keeps them apart because the parsed values are
     referenced many times, so nothing is evaluated twice per row."""
     n = len(fields)
+    none = [F.col("_t").isNull().alias("_none")] if uncut else []
     raw = df.select(*keep, F.col("value"), tokens.alias("_t")).select(
-        *keep, F.col("value"), *[X.token(F.col("_t"), i).alias(f"_r{i}") for i in range(n)])
-    parsed = raw.select(*keep, F.col("value"), *[F.col(f"_r{i}") for i in range(n)],
+        *keep, F.col("value"), *none, *[X.token(F.col("_t"), i).alias(f"_r{i}") for i in range(n)])
+    parsed = raw.select(*keep, F.col("value"), *(["_none"] if uncut else []), *[F.col(f"_r{i}") for i in range(n)],
                         *[_typed(F.col(f"_r{i}"), kind).alias(f"_p{i}")
                           for i, (_, kind) in enumerate(fields)])
     reason = F.when(F.col("value").isNull(), F.lit(R_NULL_LINE))
+    if uncut:  # no tokens at all: the reason the tokenizer has
+        reason = reason.when(F.col("_none"), F.lit(uncut))
     for i, (name, kind) in enumerate(fields):
         reason = reason.when(F.col(f"_r{i}").isNull(), F.lit(R_MISSING))
         if kind != "string":
@@ -78,15 +82,20 @@ def _emit(df: DataFrame, keep: list[str], parsed: list[Column]) -> DataFrame:
     return df.select(*keep, F.inline(F.array(F.struct(*parsed))))
 
 
-def tokens_exploded(lines: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """PRJ-1 as rows: ``keep..., pos, token`` (0-based positions)."""
+def tokens_exploded(lines: DataFrame, keep: list[str] | None = None, strict: bool = False) -> DataFrame:
+    """PRJ-1 as rows: ``keep..., pos, token`` (0-based positions); with ``strict``
+    by the rules of quoted CSV (`functions.text.strict_csv`), lines with bad quotes left out."""
     keep = keep or ["event_id"]
-    return lines.select(*keep, F.posexplode(X.tokenize(F.col("value"))).alias("pos", "token"))
+    tokens = (X.strict_csv if strict else X.tokenize)(F.col("value"))
+    return lines.select(*keep, F.posexplode(tokens).alias("pos", "token"))
 
 
-def simfile_typed(lines: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """PRJ-2: quote-aware tokens → tm long, id int, dtg, rt, lon, lat, spd, brg."""
+def simfile_typed(lines: DataFrame, keep: list[str] | None = None, strict: bool = False) -> DataFrame:
+    """PRJ-2: quote-aware tokens → tm long, id int, dtg, rt, lon, lat, spd, brg;
+    with ``strict`` the line is quoted CSV and bad quotes are an error."""
     keep = keep or ["event_id"]
+    if strict:
+        return _parse_fields(lines, X.strict_csv(F.col("value")), SIMFILE_FIELDS, keep, ["lon", "lat", "spd", "brg"], R_BAD_QUOTES)
     return _parse_fields(lines, X.tokenize(F.col("value")), SIMFILE_FIELDS, keep,
                          ["lon", "lat", "spd", "brg"])
 

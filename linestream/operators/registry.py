@@ -5,11 +5,22 @@ input and replaces ``value`` with the output line (a JSON document, an
 error document, the line itself, or ``""`` for a filtered line). Names match
 ignoring case; an unknown name is an error. User transforms may be
 registered, including ones built on a ``pandas_udf``.
+
+A name with a dot that is not registered is a path, ``module.attribute`` (the
+original loads a class by its name): a class whose objects have ``transform(line)
+-> line``, a plain function of a line, or, marked by `of_frames`, a DataFrame
+transform. Functions of a line run in Arrow batches on the workers, to which
+the module's code is sent with the plan, so they need not have it; a line they
+fail on becomes an error document.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import importlib
+import inspect
+import json
+import sys
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,11 +37,71 @@ def register(name: str, fn: Transform) -> None:
     _REGISTRY[name.lower()] = fn
 
 
-def get(name: str) -> Transform:
+def of_frames(fn: Transform) -> Transform:
+    """Mark a function as a DataFrame transform, for loading by path."""
+    fn.of_frames = True
+    return fn
+
+
+def of_lines(make: Callable[..., Callable[[str], str]]) -> Transform:
+    """A transform from a plain ``str -> str``: ``make(**settings)`` is called once a
+    task and returns the function. A null line, or an exception, gives an error
+    document with its reason; a None is a filtered line (``""``)."""
+    null_line = P.R_NULL_LINE
+
+    def transform(lines: DataFrame, **settings) -> DataFrame:
+        import pandas as pd
+
+        def run(batches):
+            fn = make(**settings)
+
+            def one(line):
+                if line is None:
+                    return json.dumps({"error": null_line})
+                try:
+                    out = fn(line)
+                except Exception as e:  # noqa: BLE001 - the line's own error document
+                    return json.dumps({"error": f"{type(e).__name__}: {e}"})
+                return "" if out is None else str(out)
+
+            for values in batches:
+                yield pd.Series([one(v) for v in values], dtype="object")
+
+        run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+        out = F.pandas_udf(run, "string")(F.col("value"))
+        return lines.select(*[out.alias(c) if c == "value" else F.col(c) for c in lines.columns])
+    return transform
+
+
+def load(path: str) -> Transform:
+    """The transform at ``module.attribute``."""
+    module_name, _, attribute = path.rpartition(".")
     try:
+        module = importlib.import_module(module_name)
+        found = getattr(module, attribute)
+    except (ImportError, AttributeError) as e:
+        raise ValueError(f"no transform at {path!r}: {e}") from None
+    if getattr(found, "of_frames", False):
+        return found
+    if module_name.partition(".")[0] not in sys.stdlib_module_names:
+        from pyspark import cloudpickle
+
+        cloudpickle.register_pickle_by_value(module)  # the workers need not have it
+    if inspect.isclass(found):
+        if not callable(getattr(found, "transform", None)):
+            raise ValueError(f"{path!r} has no method transform(line)")
+        return of_lines(lambda **settings: found(**settings).transform)
+    if not callable(found):
+        raise ValueError(f"{path!r} is not callable")
+    return of_lines(lambda **settings: (lambda line: found(line, **settings)))
+
+
+def get(name: str) -> Transform:
+    if name.lower() in _REGISTRY:
         return _REGISTRY[name.lower()]
-    except KeyError:
-        raise ValueError(f"unknown transform {name!r}; known: {sorted(_REGISTRY)}") from None
+    if "." in name:
+        return load(name)
+    raise ValueError(f"unknown transform {name!r}; known: {sorted(_REGISTRY)}, or module.attribute")
 
 
 def apply(name: str, lines: DataFrame, **settings) -> DataFrame:

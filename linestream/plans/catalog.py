@@ -21,9 +21,11 @@ from ..sources import kafka as K
 from ..sources import text as TX
 from ..operators import registry as R
 from ..operators.sequence import with_sequence
+from ..operators.sizing import materialize
 from ..sinks import index_source as IX
 from ..sinks import writers as W
 from ..streaming import live as L
+from ..streaming import positions as PO
 from ..streaming import runner as RUN
 from ..streaming import streams as S
 from ..session import fresh_path
@@ -177,6 +179,25 @@ def tokenize(spark, sf_dir):
     return sf.unionByName(fa)
 
 
+# quoted CSV by pattern: fields that are wholly quoted or hold no quote, to the end of the line
+_STRICT_T = """{n}_x AS (select event_id, case when regexp_full_match(value, '("([^"]|"")*"|[^",]*)(,("([^"]|"")*"|[^",]*))*')
+    then list_transform(regexp_extract_all(value || ',', '("(?:[^"]|"")*"|[^",]*),', 1),
+      lambda t: case when starts_with(t, '"') then replace(substr(t, 2, length(t) - 2), '""', '"') else t end) end as t from {src})"""
+
+
+@query("strict_tokenize", O.with_views("""select 'simfile' as format, event_id, cast(pos as integer) as pos, token from (
+  select event_id, unnest(range(len(t))) as pos, unnest(t) as token from sf_x)
+union all
+select 'faa' as format, event_id, cast(pos as integer) as pos, token from (
+  select event_id, unnest(range(len(t))) as pos, unnest(t) as token from fa_x)""",
+    _STRICT_T.format(n="sf", src="simfile_lines"), _STRICT_T.format(n="fa", src="faa_lines")))
+def strict_tokenize(spark, sf_dir):
+    """PRJ-1 with ``strict``: the lines as quoted CSV."""
+    sf = P.tokens_exploded(T.simfile_lines(spark, sf_dir), strict=True).select(F.lit("simfile").alias("format"), "*")
+    fa = P.tokens_exploded(T.faa_lines(spark, sf_dir), strict=True).select(F.lit("faa").alias("format"), "*")
+    return sf.unionByName(fa)
+
+
 @query("simfile_parse", O.with_views(
     "select event_id, tm, id, dtg, rt, lon, lat, spd, brg from sfp where error is null", _SF_PARSE))
 def simfile_parse(spark, sf_dir):
@@ -340,12 +361,19 @@ from li join sfp s on s.event_id = li.event_id where li.idx % {EVERY_NTH} = 0"""
 def console_sample(spark, sf_dir):
     """SNK-5: lines are sampled, transformed, and printed if not empty, as
     ``idx>> key:line``; here the printed lines are read back."""
-    sampled = B.every_nth(T.simfile_lines(spark, sf_dir), EVERY_NTH, GAP_MS)
+    return _console_back(_console_lines(B.every_nth(T.simfile_lines(spark, sf_dir), EVERY_NTH, GAP_MS)))
+
+
+def _console_lines(sampled: DataFrame) -> DataFrame:
     out = R.drop_empty(R.apply("simfile", sampled))
     line = F.concat(F.col("idx").cast("string"), F.lit(">> "), F.coalesce(F.col("key"), F.lit("null")), F.lit(":"), F.col("value"))
-    parts = [F.regexp_extract(line, r"^([0-9]+)>> ([^:]*):([\s\S]*)$", i) for i in (1, 2, 3)]
+    return out.select("event_id", line.alias("line"))
+
+
+def _console_back(printed: DataFrame) -> DataFrame:
+    parts = [F.regexp_extract("line", r"^([0-9]+)>> ([^:]*):([\s\S]*)$", i) for i in (1, 2, 3)]
     doc = F.from_json(parts[2], P.doc_schema(_SF_ATTR_TYPES))
-    back = out.select("event_id", parts[0].cast("long").alias("idx"), parts[1].alias("key"), doc.alias("d"))
+    back = printed.select("event_id", parts[0].cast("long").alias("idx"), parts[1].alias("key"), doc.alias("d"))
     return back.select("event_id", "idx", "key", F.col("d.attr.tm").alias("tm"), F.col("d.attr.rt").alias("rt"),
                        F.col("d.geom.x").alias("x"), F.col("d.error").alias("error"))
 
@@ -500,6 +528,13 @@ def transform_registry(spark, sf_dir):
     return outs[0].unionByName(outs[1])
 
 
+@query("transform_by_path", O.with_views("""select event_id, replace(replace(replace(replace(replace(value,
+  '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#x27;') as value from simfile_lines"""))
+def transform_by_path(spark, sf_dir):
+    """UDF-1: a plain function of a line, loaded by its path and run in Arrow batches."""
+    return R.apply("html.escape", T.simfile_lines(spark, sf_dir)).select("event_id", "value")
+
+
 _FORWARD_SCHEMA = ("attr struct<tm: bigint, id: int, dtg: string, rt: string, spd: double, brg: double, "
                    "geotag: string>, error string")
 
@@ -623,10 +658,8 @@ from lf group by topic, burst having max(ms) + {GAP_MS} <= (select max(ms) from
 
 def _metrics_table(spark, sf_dir) -> DataFrame:
     lines = T.latency_lines(spark, sf_dir)
-    now = lines.agg(F.max("ms")).first()[0]
-    bursts = B.closed(B.burst_latency(lines, GAP_MS), GAP_MS, F.lit(now).cast("long"))
-    path = W.metrics_append(bursts, fresh_path(spark, "metrics"))
-    return spark.read.parquet(path)
+    bursts = B.closed_by_arrivals(B.burst_latency(lines, GAP_MS), GAP_MS)
+    return W.metrics_read(spark, W.metrics_write(bursts, fresh_path(spark, "metrics")))
 
 
 @query("burst_metrics_table", O.with_views("select * from ml", _ROW_BURSTS_LATENCY, _LATENCY_ROWS, _METRICS_SQL))
@@ -639,8 +672,19 @@ def burst_metrics_table(spark, sf_dir):
 from ml""", _ROW_BURSTS_LATENCY, _LATENCY_ROWS, _METRICS_SQL))
 def metrics_history(spark, sf_dir):
     """AGG-11: the history of each topic in close order, one row an entry."""
-    m = with_sequence(_metrics_table(spark, sf_dir), ["closed_ms"], "position", ["topic"])
-    return m.select("topic", "position", "closed_ms", "count", "rate", "latency")
+    return _history(_metrics_table(spark, sf_dir)).drop("last_closed_ms")
+
+
+#: Entries of the history that one task orders.
+ENTRIES_EACH = 100_000
+
+
+def _history(metrics: DataFrame) -> DataFrame:
+    metrics = materialize(metrics)
+    m = with_sequence(metrics, ["closed_ms"], "position", ["topic"], slices=1 + metrics.count() // ENTRIES_EACH)
+    last = metrics.groupBy(F.col("topic").alias("_t")).agg(F.max("closed_ms").alias("last_closed_ms"))  # a row a topic
+    m = m.join(last, F.col("topic").eqNullSafe(F.col("_t")))
+    return m.select("topic", "position", "closed_ms", "count", "rate", "latency", "last_closed_ms")
 
 
 # --------------------------------------------------------------------------
@@ -702,6 +746,23 @@ def stream_burst_close(spark, sf_dir):
         return RUN.run_until_idle(L.closed_bursts(_line_stream(spark, lines), GAP_MS, IDLE_MS), "burst-close", TRIGGER_MS, EMPTY_POLLS)
 
 
+@query("stream_metrics_history", O.with_views(f"""select topic, row_number() over (partition by topic order by max(ms)) - 1 as position,
+  max(ms) + {GAP_MS} as closed_ms, count(*) as count, {_RATE_SQL} as rate,
+  cast(coalesce(sum(case when ok then ms - sent end), 0) as double) / cast(count(*) as double) as latency,
+  max(max(ms) + {GAP_MS}) over (partition by topic) as last_closed_ms
+from lf group by topic, burst""", _ROW_BURSTS_LATENCY, _LATENCY_ROWS))
+def stream_metrics_history(spark, sf_dir):
+    """SNK-6 and AGG-11 live: each epoch's closed bursts as its entry of the ledger, the
+    ledger compacted, the history with its last close time read back."""
+    lines = T.latency_lines(spark, sf_dir).select("event_id", "ms", "topic", "value")
+    ledger = fresh_path(spark, "ledger")
+    with L.rocksdb_state(spark):
+        bursts = L.closed_bursts(_line_stream(spark, lines), GAP_MS, IDLE_MS)
+        RUN.run_writer_until_idle(bursts.writeStream.foreachBatch(S.keep_metrics(ledger, "bursts", GAP_MS)), spark, "ledger", TRIGGER_MS, EMPTY_POLLS)
+    W.metrics_compact(spark, ledger)
+    return _history(W.metrics_read(spark, ledger))
+
+
 @query("stream_bounded_count", ORACLES["bounded_partition_count"])
 def stream_bounded_count(spark, sf_dir):
     """SRC-3 + AGG-6: a continuous read of partition 0 that ends after ten empty polls, counted."""
@@ -709,6 +770,24 @@ def stream_bounded_count(spark, sf_dir):
     return RUN.run_until_idle(rec, "bounded-read", TRIGGER_MS, EMPTY_POLLS).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("stream_every_nth", ORACLES["every_nth"])
+def stream_every_nth(spark, sf_dir):
+    """FLT-4 live: positions go on from one micro-batch to the next."""
+    folder = fresh_path(spark, "every-nth")
+    st = _line_stream(spark, T.simfile_lines(spark, sf_dir).select("event_id", "ms", "topic"))
+    RUN.run_foreach_batch(st, "every-nth", PO.every_nth(EVERY_NTH, GAP_MS, folder))
+    return PO.read(spark, folder).select("topic", "event_id", "idx")
+
+
+@query("stream_console_sample", ORACLES["console_sample"])
+def stream_console_sample(spark, sf_dir):
+    """SNK-5 live: the sampled lines of each micro-batch transformed and printed, read back."""
+    folder = fresh_path(spark, "console")
+    st = _line_stream(spark, T.simfile_lines(spark, sf_dir))
+    RUN.run_foreach_batch(st, "console", PO.every_nth(EVERY_NTH, GAP_MS, folder, _console_lines))
+    return _console_back(PO.read(spark, folder))
+
+
 DAY_MS = 86_400_000
 
 

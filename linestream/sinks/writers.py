@@ -8,7 +8,8 @@
   number, which alone a replay overwrites. Of documents with one ``_id`` the
   one written last is read. `index_source` sends bulk requests of bounded
   number, bytes and time; `index_write` leaves files to Spark's text writer.
-* Metrics table: append-only parquet, one row per closed burst.
+* Metrics table: a ledger with a folder per query and epoch, which a replay
+  overwrites; read, it has one row per closed burst.
 """
 
 from __future__ import annotations
@@ -107,9 +108,38 @@ def index_read(spark, path: str, source_schema: str, latest: bool = True) -> Dat
             .agg(F.max_by("_source", "_written").alias("_source")))
 
 
-def metrics_append(closed_bursts: DataFrame, path: str) -> str:
-    """SNK-6: one row per closed burst (`operators.bursts.closed`); the close
-    time is the last arrival plus the idle gap that closed it."""
+METRICS = "topic string, closed_ms long, count long, rate double, latency double"
+
+
+def metrics_write(closed_bursts: DataFrame, path: str, query: str = "batch", epoch: int = 0) -> str:
+    """SNK-6: one row per closed burst (`operators.bursts.closed`), as the entry of
+    one epoch of one query, which it overwrites; the close time is the last
+    arrival plus the idle gap that closed it."""
     (closed_bursts.select("topic", "closed_ms", F.col("n").alias("count"), "rate", F.col("avg_latency").alias("latency"))
-     .write.mode("append").parquet(path))
+     .write.mode("overwrite").parquet(f"{path}/query={query}/epoch={epoch}"))
     return path
+
+
+def metrics_read(spark, path: str) -> DataFrame:
+    """The table: ``topic, closed_ms, count, rate, latency``, one row per topic and
+    close time however often it was reported (of several the fullest)."""
+    rows = spark.read.schema(METRICS).option("recursiveFileLookup", "true").parquet(path)
+    return (rows.groupBy("topic", "closed_ms").agg(F.max(F.struct("count", "rate", "latency")).alias("b"))
+            .select("topic", "closed_ms", "b.count", "b.rate", "b.latency"))
+
+
+def metrics_compact(spark, path: str, name: str = "compacted") -> int:
+    """Merge all entries into one and remove them; returns how many there were. The
+    merged entry is written first, so one that dies in between leaves rows that
+    reading merges; an epoch replayed later is merged with it in the same way."""
+    jvm = spark.sparkContext._jvm
+    to_path = jvm.org.apache.hadoop.fs.Path
+    fs = to_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = [e.getPath().toString() for q in fs.listStatus(to_path(path)) if q.isDirectory() for e in fs.listStatus(q.getPath()) if e.isDirectory()]
+    if not old:
+        return 0
+    into = f"{path}/query={name}/epoch={time.time_ns() // 1_000_000}"
+    metrics_read(spark, path).write.parquet(into)
+    for folder in old:
+        fs.delete(to_path(folder), True)
+    return len(old)

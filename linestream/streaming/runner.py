@@ -132,6 +132,14 @@ def run_writer(writer, spark: SparkSession, what: str, checkpoint: str | None =
     return log
 
 
+def run_writer_until_idle(writer, spark: SparkSession, what: str, interval_ms: int, polls: int = 10) -> ProgressLog:
+    """`run_until_idle` for any sink's writer."""
+    with idle_reports(spark, interval_ms):
+        q, log = logged(lambda: start(writer, fresh_path(spark, f"{what}-ckpt"), interval_ms), spark, fresh_path(spark, f"{what}-progress"))
+    stop_when_idle(q, log, polls)
+    return log
+
+
 def run_foreach_batch(stream: DataFrame, what: str, fn) -> str:
     """Drain the input through ``fn(batch_df, batch_id)``; returns the
     checkpoint folder."""

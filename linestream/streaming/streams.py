@@ -19,6 +19,7 @@ from ..operators import bursts as B
 from ..operators import parse as P
 from ..operators import registry as R
 from ..operators.geotag import geotag
+from ..sinks import writers as W
 
 
 def arrival(df: DataFrame, delay: str, ms: str = "ms") -> DataFrame:
@@ -74,5 +75,12 @@ def closed_burst_latency(spark, path: str, gap_ms: int) -> DataFrame:
     """AGG-2..4 over what `keep_lines` has stored so far: the bursts that the
     arrivals up to now have closed, with count, rate and average latency."""
     rows = spark.read.parquet(path).drop("batch")
-    now = rows.agg(F.max("ms")).first()[0]
-    return B.closed(B.burst_latency_of(rows, gap_ms), gap_ms, F.lit(now).cast("long"))
+    return B.closed_by_arrivals(B.burst_latency_of(rows, gap_ms), gap_ms)
+
+
+def keep_metrics(path: str, query: str, gap_ms: int):
+    """For ``foreachBatch`` over `live.closed_bursts`: the bursts that an epoch
+    closed, as its entry in the metrics ledger."""
+    def each(bursts: DataFrame, epoch: int) -> None:
+        W.metrics_write(bursts.withColumn("closed_ms", F.col("end_ms") + gap_ms), path, query, epoch)
+    return each

@@ -313,3 +313,57 @@ def test_running_count_reads_its_batches_once(spark):
     # the scan, and the groups' last batches beside it; both sides of the scan's join share one exchange
     assert final.count("Exchange hashpartitioning") - final.count("ReusedExchange") <= 5
     assert final.count("Scan ExistingRDD") <= 3
+
+
+# ---------------------------------------------------------------- positions over micro-batches (FLT-4)
+
+
+@pytest.mark.parametrize("slices", ["ms div 1000000", "ms div 7000", "ms div 900"])
+def test_positions_go_on_for_any_cut_into_batches(spark, slices):
+    from linestream.streaming import positions as PO
+
+    df = spark.createDataFrame(_random_lines(400, topics=("a", "b", "c")), LINES).select("event_id", "ms", "topic")
+    folder = fresh_path(spark, "nth")
+    RUN.run_foreach_batch(_stream(spark, df, F.expr(slices)), "nth", PO.every_nth(3, 1000, folder))
+    got = sorted((repr(r.topic), r.event_id, r.idx) for r in PO.read(spark, folder).collect())
+    burst, idx, last, want = {}, {}, {}, []
+    for i, ms, topic in sorted(df.collect(), key=lambda r: (r[1], r[0])):
+        idx[topic] = idx[topic] + 1 if topic in last and ms - last[topic] <= 1000 else 0
+        last[topic] = ms
+        if idx[topic] % 3 == 0:
+            want.append((repr(topic), i, idx[topic]))
+    assert got == sorted(want)
+
+
+def test_a_numbered_batch_that_runs_again_gives_the_same(spark):
+    from linestream.streaming import positions as PO
+
+    folder = fresh_path(spark, "nth-again")
+    each = PO.every_nth(2, 100, folder)
+    batches = [spark.createDataFrame([(10 * b + i, 10 * (10 * b + i), "t") for i in range(5)], "event_id long, ms long, topic string")
+               for b in range(3)]
+    for b in (0, 1, 1, 2, 2):
+        each(batches[b], b)
+    assert sorted((r.event_id, r.idx) for r in PO.read(spark, folder).collect()) == \
+        [(0, 0), (2, 2), (4, 4), (11, 6), (13, 8), (20, 10), (22, 12), (24, 14)]
+
+
+# ---------------------------------------------------------------- metrics ledger (SNK-6, AGG-11)
+
+
+def test_an_epoch_told_twice_is_one_row_per_burst(spark):
+    from linestream.sinks import writers as W
+
+    bursts = spark.createDataFrame([("a", 100, 5, 1.5, 2.0), ("b", 90, 1, None, 0.0)],
+                                   "topic string, closed_ms long, n long, rate double, avg_latency double")
+    path = fresh_path(spark, "ledger")
+    for query, epoch in (("q", 0), ("q", 0), ("other", 0)):  # a replay, and a second query that saw the same
+        W.metrics_write(bursts, path, query, epoch)
+    W.metrics_write(bursts.where("topic = 'a'").withColumn("closed_ms", F.lit(300).cast("long")), path, "q", 1)
+    want = [("a", 100, 5, 1.5, 2.0), ("a", 300, 5, 1.5, 2.0), ("b", 90, 1, None, 0.0)]
+    assert sorted(map(tuple, W.metrics_read(spark, path).collect())) == want
+    assert W.metrics_compact(spark, path) == 3
+    assert sorted(map(tuple, W.metrics_read(spark, path).collect())) == want
+    W.metrics_write(bursts, path, "q", 0)  # a replay after the compaction
+    assert sorted(map(tuple, W.metrics_read(spark, path).collect())) == want
+    assert W.metrics_compact(spark, path) == 2 and W.metrics_read(spark, path).count() == 3
