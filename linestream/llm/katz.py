@@ -33,6 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -48,6 +49,8 @@ K = 5
 #: Tokens or words a task holds before it deals them out.
 TOKENS_AT_ONCE = 1_000_000
 WORDS_AT_ONCE = 300_000
+#: Bytes of text that are cut into words at once.
+BYTES_AT_ONCE = 2_000_000
 #: Parts of a table: one for about so many bytes of text, so that they follow the input alone, and so many at least.
 BYTES_EACH = 5_000_000
 LEAST_PARTS = 64
@@ -310,6 +313,19 @@ def _count_words(parts: int):
     return run
 
 
+def _worded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[list[bytes]]]]:
+    """Keys and words of some texts at a time: words take many times a text's bytes."""
+    for batch in batches:
+        begin, size = 0, 0
+        lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+        for i, n in enumerate(lengths):
+            size += n
+            if size >= BYTES_AT_ONCE or i + 1 == len(lengths):
+                rows = batch.slice(begin, i + 1 - begin)
+                yield rows.column(0).to_pylist(), [words_of(t) for t in rows.column(1).to_pylist()]
+                begin, size = i + 1, 0
+
+
 def _count_pairs(parts: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = shared.value
@@ -325,8 +341,7 @@ def _count_pairs(parts: int, shared):
             return _row_batch([(p, 0, 0, pack_keys(v[i], w[i], n[i].astype(np.int64)))
                                for p, i in dealt(place_of(v, pair_key(v, w)), parts)])
 
-        for batch in batches:
-            texts = [words_of(t) for t in batch.column(1).to_pylist()]
+        for _, texts in _worded(batches):
             numbers.learn(texts)
             for words in texts:
                 held.append(numbers.of(words))
@@ -543,10 +558,9 @@ def _ask(word_parts: int, pair_parts: int, shared):
             rows.append((unit % word_parts, DOCS, unit, pack(key, missing, sizes.astype(np.int64), score, base, known)))
             return _row_batch(rows)
 
-        for batch in batches:
-            texts = [words_of(t) for t in batch.column(1).to_pylist()]
+        for keys, texts in _worded(batches):
             numbers.learn(texts)
-            for key, words in zip(batch.column(0).to_pylist(), texts, strict=True):
+            for key, words in zip(keys, texts, strict=True):
                 held.append((key, numbers.of(words)))
                 size += len(held[-1][1])
                 if size > TOKENS_AT_ONCE:
