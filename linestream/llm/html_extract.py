@@ -4,8 +4,15 @@ A page is cut into blocks at block-level tags. Pass 1 looks at each block
 alone: what stands in a boilerplate element, or is mostly link text, is bad; a
 long block with enough stop words of the page's language is good; what is long
 and has few of them is bad, unless it stands in an article; the rest, short
-blocks above all, is undecided. Pass 2 gives an undecided block the label of
+blocks above all, is undecided. A page in none of the known languages is judged
+by length and link density alone. Pass 2 gives an undecided block the label of
 the nearest decided block, of its own container first.
+
+Boilerplate is told by the element, by names of its class, id or role (each
+name as a whole: `site-footer` and `comment-list` are hints, `no-sidebar` and
+`page-with-footer` are not), or by a heading over reader comments. A named
+container that holds most of the page's own text, with no article elsewhere, is
+the page itself and no boilerplate, whatever its name.
 """
 
 from __future__ import annotations
@@ -23,6 +30,10 @@ from pyspark.sql import functions as F
 LINK_DENSITY = 0.34
 #: Characters from which a block is judged by its stop words.
 LONG = 70
+#: A letter of a script that writes no spaces counts as so many characters.
+DENSE_LETTER = 3
+#: Share of stop words of any one language below which a page's language is unknown.
+KNOWN = 0.08
 #: Share of stop words from which a long block is good, and below which it is bad.
 STOP_HIGH, STOP_LOW = 0.15, 0.05
 
@@ -61,11 +72,20 @@ _CONTAINER = frozenset("article aside body details dialog div dl fieldset footer
 _BOILERPLATE = frozenset("aside button dialog fieldset footer form menu nav select textarea".split())
 _MAIN = frozenset(("article", "main"))
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-#: Words of class, id and role that mark boilerplate.
-_HINTS = frozenset("ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments complementary "
-                   "consent contentinfo cookie cookies copyright disqus footer header login masthead menu modal nav navbar "
-                   "navigation newsletter notice notices overlay pager pagination popup promo promotion related respond search "
-                   "share sharing sidebar social sponsor sponsored subscribe toolbar widget widgets".split())
+#: Words of class, id and role that mark boilerplate, at the end of a name or alone; the first ones always.
+_NEVER_MAIN = frozenset("comment comments disqus respond".split())
+_HINTS = _NEVER_MAIN | frozenset(
+    "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs complementary consent contentinfo cookie "
+    "cookies copyright footer header login masthead menu modal nav navbar navigation newsletter notice notices overlay pager "
+    "pagination popup promo promotion related search share sharing sidebar social sponsor sponsored subscribe toolbar widget "
+    "widgets".split())
+#: Words that may follow a hint in a name, and words that turn its meaning.
+_PARTS = frozenset("area bar block body bottom box button buttons container content form group inner item items left link links list "
+                   "outer panel right section slot thread title top unit wrap wrapper".split())
+_TURNED = frozenset("has no non not off with without".split())
+#: Headings over reader comments.
+_COMMENTS = re.compile(r"(?:\d+\s+)?(?:reader |readers' |user )?(?:comments?|responses?|replies|kommentare?|commentaires?|comentarios?|commenti|"
+                       r"reacties|comentários)(?:\s*\(?\d+\)?)?:?|(?:leave|post|write) a (?:comment|reply)", re.I)
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -77,6 +97,7 @@ _TOKEN = re.compile(
 _NAMED = re.compile(r"(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _HIDDEN = re.compile(r"(?:\A|\s)hidden(?:\s|=|\Z)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+_DENSE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u3040-\u30ff\u3400-\u9fff\U00020000-\U0002fa1f]")
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„‘’…–—¿¡·©"
 
 
@@ -87,6 +108,7 @@ class _Block:
     container: int
     bad: bool  # in a boilerplate element
     main: bool  # in an article
+    named: int = 0  # the outermost container (its number) that is boilerplate by its name only
     label: bool | None = None
     words: list[int] = field(default_factory=list)  # stop-word languages, a bit each
 
@@ -97,24 +119,45 @@ class _Open:
     number: int
     bad: bool
     main: bool
+    named: int = 0
+
 
+def _hint(name: str) -> str | None:
+    """The hint in one name of a class, id or role."""
+    parts = [p for p in map(str.lower, _PART.findall(name)) if not p.isdigit()]
+    if not parts or not _TURNED.isdisjoint(parts):
+        return None
+    while len(parts) > 1 and parts[-1] in _PARTS:
+        parts.pop()
+    return parts[-1] if parts[-1] in _HINTS else None
 
-def _hinted(attrs: str) -> bool:
-    return any(p.lower() in _HINTS for m in _NAMED.finditer(attrs) for p in _PART.findall(m[1])) or bool(_HIDDEN.search(attrs))
+
+def _hints(attrs: str) -> list[str]:
+    found = (_hint(name) for m in _NAMED.finditer(attrs) for name in m[1].strip("\"'").split())
+    return [h for h in found if h]
 
 
 def blocks_of(html: str) -> list[_Block]:
     """The page's blocks of text, in page order."""
     blocks: list[_Block] = []
     stack = [_Open("", 0, False, False)]
+    opened: dict[str, int] = {}  # containers open, by tag
     numbers, pieces, links, in_link = 1, [], 0, 0
+    own_bad = False  # the block's own element is boilerplate by its name
+    heading = 0  # level of the heading the block is in
+    comments: tuple[int, int] | None = None  # level of a heading over comments, and the container it stands in
 
     def close() -> None:
-        nonlocal pieces, links
+        nonlocal pieces, links, comments
         text = " ".join("".join(pieces).split())
         if text:
             top = stack[-1]
-            blocks.append(_Block(text, links, top.number, top.bad, top.main))
+            if heading:
+                if comments and heading <= comments[0]:
+                    comments = None
+                if _COMMENTS.fullmatch(text):
+                    comments = (heading, top.number)
+            blocks.append(_Block(text, links, top.number, top.bad or own_bad or comments is not None, top.main, top.named))
         pieces, links = [], 0
 
     def add(raw: str) -> None:
@@ -148,38 +191,68 @@ def blocks_of(html: str) -> list[_Block]:
         if tag in _BLOCK:
             close()
             in_link = 0
+            heading = int(tag[1]) if not ends and len(tag) == 2 and tag[0] == "h" and tag[1].isdigit() else 0
+            own_bad = not ends and tag not in _CONTAINER and bool(_HIDDEN.search(attrs) or _hints(attrs))
         if tag not in _CONTAINER or tag in _VOID:
             continue
         if ends:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+            if opened.get(tag):
+                while stack[-1].tag != tag:
+                    opened[stack.pop().tag] -= 1
+                closed = stack.pop()
+                opened[tag] -= 1
+                if comments and comments[1] >= closed.number:
+                    comments = None
         else:
             top = stack[-1]
             main = top.main or tag in _MAIN
-            bad = top.bad or tag in _BOILERPLATE or (tag == "header" and not top.main)
+            bad, named = top.bad or tag in _BOILERPLATE or (tag == "header" and not top.main), top.named
             if tag not in _MAIN and tag != "body":
-                bad = bad or _hinted(attrs)
-            stack.append(_Open(tag, numbers, bad, main))
+                found = _hints(attrs)
+                if _HIDDEN.search(attrs) or not _NEVER_MAIN.isdisjoint(found):
+                    bad = True
+                elif found:
+                    named = named or numbers
+            stack.append(_Open(tag, numbers, bad, main, named))
+            opened[tag] = opened.get(tag, 0) + 1
             numbers += 1
     if not head:
         add(html[at:])
     close()
+    _by_name(blocks)
     return blocks
 
 
+def _by_name(blocks: list[_Block]) -> None:
+    """Containers with a boilerplate name are bad, but for one that holds most
+    of what is not bad anyway and not in links, if no article stands outside."""
+    own = {i: len(b.text) - min(b.link, len(b.text)) for i, b in enumerate(blocks) if not b.bad}
+    total, held, main = sum(own.values()), {}, False
+    for i, n in own.items():
+        held[blocks[i].named] = held.get(blocks[i].named, 0) + n
+        main = main or (blocks[i].main and not blocks[i].named)
+    for b in blocks:
+        b.bad = b.bad or bool(b.named and (main or 2 * held.get(b.named, 0) <= total))
+
+
+def _length(text: str) -> int:
+    """Characters, those of a script without spaces counted for the words they stand for."""
+    return len(text) if text.isascii() else len(text) + (DENSE_LETTER - 1) * len(_DENSE.findall(text))
+
+
 def _decide(blocks: list[_Block]) -> None:
     """Pass 1: label what can be told from the block alone."""
     for b in blocks:
         b.words = [_STOP.get(w.strip(_EDGE).lower(), 0) for w in b.text.split()]
-    hits = [sum(w >> i & 1 for b in blocks if not b.bad for w in b.words) for i in range(len(_LANGS))]
+    spoken = [b for b in blocks if not b.bad and b.link <= LINK_DENSITY * len(b.text)]
+    hits = [sum(w >> i & 1 for b in spoken for w in b.words) for i in range(len(_LANGS))]
     lang = max(range(len(_LANGS)), key=hits.__getitem__)
+    known = hits[lang] >= KNOWN * sum(len(b.words) for b in spoken)
     for b in blocks:
         density = sum(w >> lang & 1 for w in b.words) / len(b.words)
         if b.bad or b.link > LINK_DENSITY * len(b.text) or ("©" in b.text and not b.main):
             b.label = False
-        elif len(b.text) >= LONG and density >= STOP_HIGH:
+        elif _length(b.text) >= LONG and (density >= STOP_HIGH or not known):
             b.label = True
         elif len(b.text) >= LONG and density < STOP_LOW and not b.main:
             b.label = False
@@ -227,7 +300,7 @@ def main_text(html: str | None) -> str:
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of every page.
 
-    Null html: empty. Null ids and urls stay null; repeated rows give repeated
+    Null html, and a page without text: empty. Null ids and urls stay null; repeated rows give repeated
     results; an empty table gives no rows; other columns are not read. The
     work is one pass over each page, linear in its length.
     """
