@@ -1,12 +1,19 @@
 """Document fingerprints by Order MinHash.
 
-A text's symbols are its runs between spaces, long runs cut into pieces of
-`PIECE` characters. Its k-mers of `KMER` symbols are numbered by occurrence
-(the second time a k-mer appears it is a different item), each item is hashed,
-and every component of the signature takes the `TUPLE` items with the smallest
-hashes among those its residue class holds, puts them back in text order and
-hashes the tuple of their k-mers. Swapping, inserting or deleting text changes
-the tuples, so the share of equal components falls with edit distance.
+A text's symbols are its runs between spaces; a run of more than `RUN`
+characters (a script without spaces, encoded data) counts as its characters,
+so an edit stays local. The k-mers of `KMER` symbols are numbered by occurrence
+(the second time a k-mer appears it is a different item). Every component of
+the signature has a hash of its own over all items, takes the `TUPLE` items
+with the smallest values, puts them back in text order and hashes the tuple of
+their k-mers. Swapping, inserting or deleting text changes the tuples, so the
+share of equal components falls with edit distance.
+
+The hashes are `RINGS` independent ones, each read from `STARTS` equally spaced
+points of its ring: h_c(x) = h(x) - c modulo 2**64. So a ring's items are sorted
+once, and a component's smallest items are those that follow its point, around
+the ring. A component is an Order MinHash component for any number of items;
+components of one ring share items when a text has few.
 
 DataFrame functions only: each document is one row's arrays of numbers, sorted
 as primitive arrays, so nothing is shuffled for a fingerprint.
@@ -20,20 +27,21 @@ from pyspark.sql import functions as F
 from ..operators.sequence import slice_of
 from .common import let, text_or_empty
 
-#: Components of a signature: the residue classes of an item's hash are named
-#: by its upper bits, read as a signed number.
-CLASS_BITS = 6
-COMPONENTS = 1 << CLASS_BITS
+#: Independent hashes, and components that start at points of each.
+RINGS, START_BITS = 4, 4
+STARTS = 1 << START_BITS
+COMPONENTS = RINGS * STARTS
 #: Items in a component's tuple.
 TUPLE = 2
 #: Symbols in a k-mer.
 KMER = 3
-#: Characters of a symbol, at most.
-PIECE = 32
+#: Characters from which a run between spaces counts as its characters.
+RUN = 32
 
-#: Low bits of a packed number that hold a place in the text.
+#: Low bits of a packed number that hold a place in the text; the others hold a
+#: hash. (Two k-mers of a text that agree in those 36 bits share their numbers.)
 _PLACE = 28
-_PLACES = (1 << _PLACE) - 1
+_PLACES = (1 << _PLACE) - 1  # no place: marks a component's point
 
 
 def _place(x: Column) -> Column:
@@ -43,9 +51,8 @@ def _place(x: Column) -> Column:
 def kmer_hashes(text: Column) -> Column:
     """Hashes of the k-mers in text order; a shorter text is one k-mer, an empty one has none."""
     def cut(s: Column) -> Column:
-        pieces = F.transform(s, lambda x: F.when(F.char_length(x) > PIECE, F.regexp_extract_all(
-            x, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))).otherwise(F.array(x)))
-        return F.when(F.exists(s, lambda x: F.char_length(x) > PIECE), F.flatten(pieces)).otherwise(s)
+        long = F.exists(s, lambda x: F.char_length(x) > RUN)
+        return F.when(long, F.flatten(F.transform(s, lambda x: F.when(F.char_length(x) > RUN, F.split(x, "")).otherwise(F.array(x))))).otherwise(s)
 
     symbols = F.when(text != "", let(F.split(text, " "), cut)).otherwise(F.array().cast("array<string>"))
 
@@ -85,34 +92,33 @@ def _numbered(h: Column) -> Column:
     return let(F.sort_array(packed), runs)
 
 
-def signature(text: Column) -> Column:
-    """Array of `COMPONENTS` longs; a component without items is null."""
-    def components(h: Column) -> Column:
-        return F.when(F.size(h) > 0, let(F.sort_array(_numbered(h)), lambda q: tuples(h, smallest(q)))).otherwise(
-            F.array_repeat(F.lit(None).cast("bigint"), COMPONENTS))
-
-    def class_of(x: Column) -> Column:
-        return F.shiftright(x, 64 - CLASS_BITS)
+def _ring(items: Column, ring: int) -> Column:
+    """The items (hash, place) by their hash on one ring, and the points of its components."""
+    def seeded(x: Column) -> Column:
+        h = F.xxhash64(F.shiftright(x, _PLACE), F.lit(ring)) if ring else x
+        return h.bitwiseAND(F.lit(~_PLACES)).bitwiseOR(_place(x))
 
-    def smallest(q: Column) -> Column:
-        return F.filter(q, lambda x, i: (i < TUPLE) | (class_of(F.get(q, i - TUPLE)) != class_of(x)))
+    first = -(1 << 63)
+    points = [first + c * (1 << 64 - START_BITS) + _PLACES for c in range(STARTS)]
+    return F.sort_array(F.concat(F.transform(items, seeded), F.lit(points).cast("array<bigint>")))
 
-    def tuples(h: Column, taken: Column) -> Column:
-        # (class, place) sorted: a class's items stand in text order
-        ordered = F.sort_array(F.transform(taken, lambda x: F.shiftleft(class_of(x), _PLACE).bitwiseOR(_place(x))))
-        return let(ordered, lambda o: let(
-            F.transform(o, lambda x: F.shiftright(x, _PLACE)), lambda classes: per_class(h, o, classes)))
 
-    def per_class(h: Column, o: Column, classes: Column) -> Column:
-        def kmer(at: Column, c: Column) -> Column:
-            return F.when(F.get(classes, at) == c, F.get(h, _place(F.get(o, at)).cast("int")))
+def signature(text: Column) -> Column:
+    """Array of `COMPONENTS` longs; null each for a text without items."""
+    def components(h: Column) -> Column:
+        rings = let(_numbered(h), lambda items: F.concat(*[let(_ring(items, r), lambda q: of_ring(h, q)) for r in range(RINGS)]))
+        return F.when(F.size(h) > 0, rings).otherwise(F.array_repeat(F.lit(None).cast("bigint"), COMPONENTS))
 
-        def value(c: Column) -> Column:
-            return let(F.array_position(classes, c).cast("int") - 1, lambda at: F.when(at >= 0, F.xxhash64(
-                *[F.coalesce(kmer(at + k, c), F.lit(0).cast("bigint")) for k in range(TUPLE)])))
+    def of_ring(h: Column, q: Column) -> Column:
+        places = F.filter(F.transform(q, _place), lambda p: p != _PLACES)
+        at = F.filter(F.transform(q, lambda x, i: F.when(_place(x) == _PLACES, i)), lambda i: i.isNotNull())
+        before = F.transform(at, lambda i, c: i - c)  # items before a component's point
+        return let(places, lambda p: F.transform(before, lambda b: tuple_of(h, p, b)))
 
-        half = COMPONENTS // 2
-        return F.transform(F.sequence(F.lit(-half).cast("bigint"), F.lit(half - 1).cast("bigint")), value)
+    def tuple_of(h: Column, p: Column, b: Column) -> Column:
+        n = F.size(p)
+        taken = F.transform(F.sequence(F.lit(0), F.least(F.lit(TUPLE), n) - 1), lambda k: F.get(p, (b + k) % n))
+        return F.xxhash64(F.transform(F.sort_array(taken), lambda x: F.get(h, x.cast("int"))))
 
     return let(kmer_hashes(text), components)
 
@@ -136,16 +142,16 @@ def as_text(sig: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and signature of every row (null text: empty)."""
+    """doc_id and signature of every row (null text: empty). A text is one row's
+    work, however long: its symbols are held as an array, up to 2**28 of them."""
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), signature(text_or_empty(text_col)).alias("signature"))
 
 
 # ---------------------------------------------------------------- edited texts
 
-#: Slices of the id order, for each shuffle partition.
+#: Slices of the id order, for each shuffle partition; bytes of text for a slice (their bounds are literals of the plan).
 SLICES_EACH = 4
-#: Slices at most (their bounds are literals of the plan).
-MOST_SLICES = 2000
+BYTES_EACH = 256 << 20
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -158,7 +164,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    slices = min(MOST_SLICES, SLICES_EACH * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    slices = max(SLICES_EACH * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BYTES_EACH))
     at = [i / slices for i in range(1, slices)]
     bounds = sorted(set(rows.agg(F.percentile_approx("doc_id", at, 10 * slices)).first()[0] or []))
     above = len(bounds) - slice_of(F.col("doc_id"), bounds)  # the highest ids are slice 0

@@ -169,26 +169,47 @@ def spark_hash(*values):
     return signed(seed)
 
 
-def brute_signature(text):
+def kmers_of(text):
     o = order_minhash
     symbols = []
     for s in text.split(" ") if text else []:
-        symbols += [s[i:i + o.PIECE] for i in range(0, len(s), o.PIECE)] or [""]
-    if not symbols:
-        return [None] * o.COMPONENTS
+        symbols += list(s) if len(s) > o.RUN else [s]
     n = len(symbols) - o.KMER + 1
-    h = [spark_hash(*symbols[i:i + o.KMER]) for i in range(n)] if n > 0 else [spark_hash(" ".join(symbols))]
-    seen, classes = Counter(), defaultdict(list)
+    return [symbols[i:i + o.KMER] for i in range(n)] if n > 0 else [symbols] if symbols else []
+
+
+def brute_signature(text):
+    """Every component by its definition: its own hash of every item, the smallest ones in text order."""
+    o = order_minhash
+    h = [spark_hash(*k) if len(k) == o.KMER else spark_hash(" ".join(k)) for k in kmers_of(text)]
+    if not h:
+        return [None] * o.COMPONENTS
+    seen, items = Counter(), []
     for at, x in enumerate(h):
         kmer = x >> o._PLACE
         seen[kmer] += 1
-        item = spark_hash((kmer, 8), (seen[kmer], 4))
-        classes[item >> (64 - o.CLASS_BITS)].append((item >> o._PLACE, at))
+        items.append((spark_hash((kmer, 8), (seen[kmer], 4)), at))
     out = []
-    for c in range(-o.COMPONENTS // 2, o.COMPONENTS // 2):
-        taken = sorted(at for _, at in sorted(classes[c])[:o.TUPLE])
-        values = [(h[at], 8) for at in taken] + [(0, 8)] * (o.TUPLE - len(taken))
-        out.append(spark_hash(*values) if taken else None)
+    for ring in range(o.RINGS):
+        hashed = [(spark_hash((x >> o._PLACE, 8), (ring, 4)) if ring else x, at) for x, at in items]
+        packed = [(x & ~o._PLACES | at, at) for x, at in hashed]
+        for c in range(o.STARTS):
+            point = -(1 << 63) + (c << (64 - o.START_BITS)) + o._PLACES
+            least = sorted(((x - point) % (1 << 64), at) for x, at in packed)[:o.TUPLE]
+            out.append(spark_hash(*[(h[at], 8) for at in sorted(at for _, at in least)]))
+    return out
+
+
+def plain_order_minhash(text, components=64):
+    """An Order MinHash of another make: independent hashes of occurrence-numbered k-mers."""
+    seen, items = Counter(), []
+    for k in map(tuple, kmers_of(text)):
+        seen[k] += 1
+        items.append(repr((k, seen[k])).encode())
+    out = []
+    for c in range(components):
+        least = sorted((xxhash.xxh64_intdigest(x, c), at) for at, x in enumerate(items))[:2]
+        out.append(tuple(items[at].rsplit(b", ", 1)[0] for at in sorted(at for _, at in least)))
     return out
 
 
@@ -213,6 +234,30 @@ def test_order_minhash_feels_order(spark):
     assert like[0] == 1 and like[1] > 0.9 > like[2] > 0.3 > like[4] == 0 and like[3] < 0.2
 
 
+@pytest.mark.parametrize("n", [10, 20, 40, 80, 160, 640])
+def test_order_minhash_sees_order_at_any_length(spark, n):
+    """Texts against themselves with their halves swapped: as an independent Order MinHash has it, on average."""
+    rng = np.random.default_rng(n)
+    pairs = []
+    for _ in range(40 if n < 200 else 8):
+        words = [f"w{i}" for i in rng.permutation(10 * n)[:n]]
+        pairs.append((" ".join(words), " ".join(words[n // 2:] + words[:n // 2])))
+    df = spark.createDataFrame([(i, t) for i, p in enumerate(pairs) for t in p], "doc_id long, text string").coalesce(4)
+    got = df.select("doc_id", order_minhash.signature(F.col("text")).alias("signature")).groupBy("doc_id").agg(
+        F.collect_list("signature").alias("s")).select(order_minhash.likeness(F.col("s")[0], F.col("s")[1]).alias("x")).collect()
+    want = [np.mean([x == y for x, y in zip(*map(plain_order_minhash, p), strict=True)]) for p in pairs]
+    assert abs(np.mean([r["x"] for r in got]) - np.mean(want)) < 0.1
+    assert np.mean([r["x"] for r in got]) < 0.6
+
+
+def test_an_edit_in_a_long_run_stays_local(spark):
+    rng = np.random.default_rng(1)
+    run = "".join(chr(0x4e00 + i) for i in rng.integers(0, 3000, 900))
+    df = spark.createDataFrame([(1, run), (2, run[:300] + "X" + run[300:])], "doc_id long, text string")
+    s = {r[0]: r[1] for r in order_minhash.fingerprints(df).collect()}
+    assert sum(x == y for x, y in zip(s[1], s[2], strict=True)) / len(s[1]) > 0.9
+
+
 def edits(pairs):
     order = sorted(pairs, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
     for k, (i, text) in enumerate(order):
