@@ -112,20 +112,17 @@ def line_dedup_sql(table: str = "documents") -> str:
     num = "cast('0x' || substr(md5({}), 1, {}) as bigint)"
     return f"""
 with d as (select distinct doc_id, coalesce(text, '') as text from {table}),
-l as (select doc_id, text, unnest(string_split(text, chr(10))) as line,
+l as (select doc_id, text, {num.format('text', 15)} as tk, unnest(string_split(text, chr(10))) as line,
              generate_subscripts(string_split(text, chr(10)), 1) as i from d),
-h as (select *, {num.format('line', 8)} as h from l),
-e as (select *, lead(i) over w is null or (h + 31 * coalesce(lag(h) over w, 0)) % 3 = 0 as ends
-      from h window w as (partition by doc_id, text order by i)),
-n as (select *, coalesce(sum(cast(ends as int)) over (partition by doc_id, text order by i
-             rows between unbounded preceding and 1 preceding), 0) as no from e),
-c as (select doc_id, text, no, count(*) as n_lines, string_agg(line, chr(10) order by i) as chunk
-      from n group by doc_id, text, no),
-r as (select *, n_lines >= 2 and row_number() over (partition by chunk order by (n_lines < 2), doc_id nulls first,
-             {num.format('text', 15)}, no) > 1 as gone from c),
-k as (select doc_id, text, sum(n_lines) as n_lines, coalesce(sum(n_lines) filter (where gone), 0) as n_removed,
-             coalesce(string_agg(chunk, chr(10) order by no) filter (where not gone), '') as clean
-      from r group by doc_id, text)
+c as (select doc_id, text, tk, i, line || chr(10) || lead(line) over (partition by doc_id, text order by i) as chunk from l),
+f as (select *, first_value({{'doc_id': doc_id, 'tk': tk, 'i': i}}) over
+             (partition by chunk order by doc_id nulls first, tk, i) as first from c where chunk is not null),
+r as (select *, first.doc_id is not distinct from doc_id and first.tk = tk as here from f),
+g as (select distinct doc_id, text, unnest(case when here and i = first.i then []
+             when here and i = first.i + 1 then [i + 1] else [i, i + 1] end) as i from r),
+k as (select l.doc_id, l.text, count(*) as n_lines, count(g.i) as n_removed,
+             coalesce(string_agg(line, chr(10) order by l.i) filter (where g.i is null), '') as clean
+      from l left join g on l.doc_id is not distinct from g.doc_id and l.text = g.text and l.i = g.i group by l.doc_id, l.text)
 select t.doc_id, t.text, k.clean, k.n_lines, k.n_removed from {table} t
 join k on t.doc_id is not distinct from k.doc_id and coalesce(t.text, '') = k.text"""
 

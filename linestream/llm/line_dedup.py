@@ -1,15 +1,21 @@
 """Line dedup by content-defined chunks of lines.
 
-A document is split at newlines. A rolling hash over the hashes of the last
-`WINDOW` lines ends a chunk where it is divisible by `DIVISOR`, so the same run
-of lines is cut alike wherever it stands. Chunks of at least two lines that
-occur more than once in the whole table are looked up by MD5, compared byte by
-byte with the first occurrence (smallest id, then text key, then place), and
-removed everywhere else.
-
-DataFrame functions only. Counting reduces per task before the shuffle; the
-comparison joins members with their group's first text, and AQE splits the
-partition of a chunk that very many documents share.
+A document is split at newlines. A rolling hash over the hashes of two lines
+decides whether a chunk begins at the first of them (where it is divisible by
+`DIVISOR`); the chunk is those two lines. Where a chunk begins depends on its
+own lines alone, so the same run of lines is cut alike wherever it stands. At
+the default divisor of one every line begins a chunk: repeated passages are
+short (two lines for most), and any pair of lines that occurs twice is found;
+a longer passage is the union of its overlapping chunks.
+
+Chunks that occur more than once in the whole table are looked up by 128 bits
+of hashes, compared byte by byte with the first occurrence (smallest id, then
+text key, then place), and removed everywhere else. A run of one repeated line
+keeps its first two lines.
+
+DataFrame functions only. Counting moves hashes and places, reduced per task;
+texts of chunks move for repeated ones only, and AQE splits the partition of a
+chunk that very many documents share.
 """
 
 from __future__ import annotations
@@ -19,13 +25,10 @@ from pyspark.sql import functions as F
 
 from .common import let, text_or_empty, written
 
-#: Lines under the rolling hash.
-WINDOW = 2
-#: A chunk ends where the rolling hash is divisible by this (so 3 lines on average).
-DIVISOR = 3
-#: Lines a chunk must have to be removed.
-LEAST_LINES = 2
-BASE = 31
+#: A chunk begins where the rolling hash is divisible by this; more than one trades recall for work.
+DIVISOR = 1
+#: Lines of a chunk.
+LINES = 2
 
 
 def number_of(text: Column, digits: int) -> Column:
@@ -33,43 +36,53 @@ def number_of(text: Column, digits: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("long")
 
 
-def chunks_of(text: Column) -> Column:
-    """Array of (no, n_lines, text) of a text's chunks."""
-    def cut(lines: Column) -> Column:
-        return let(F.transform(lines, lambda x: number_of(x, 8)), lambda h: ends(lines, h))
+def lines_of(text: Column) -> Column:
+    return F.split(text, "\n", -1)
 
-    def ends(lines: Column, h: Column) -> Column:
-        def rolling(i: Column) -> Column:
-            return sum((F.when(i >= k, F.get(h, i - k)).otherwise(0) * BASE ** k for k in range(1, WINDOW)), F.get(h, i))
 
-        last = F.size(h) - 1
-        found = F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | (rolling(i) % DIVISOR == 0))
-        return let(found, lambda e: F.transform(e, lambda end, k: piece(lines, F.when(k == 0, -1).otherwise(F.get(e, k - 1)), end, k)))
+def chunk_keys(text: Column) -> Column:
+    """Array of (no, a, b): the first line's number and two hashes of every chunk of a text."""
+    def rolled(h: Column) -> Column:
+        whole = F.transform(F.sequence(F.lit(0), F.size(h) - LINES), lambda i: F.struct(
+            i.alias("no"), F.xxhash64(*[F.get(h, i + k) for k in range(LINES)]).alias("a"),
+            F.xxhash64(F.lit(7), *[F.get(h, i + k) for k in range(LINES)]).alias("b")))
+        return F.filter(whole, lambda c: F.pmod(c["a"], F.lit(DIVISOR)) == 0)
 
-    def piece(lines: Column, before: Column, end: Column, k: Column) -> Column:
-        return F.struct(k.alias("no"), (end - before).alias("n_lines"),
-                        F.array_join(F.slice(lines, before + 2, end - before), "\n").alias("text"))
+    none = F.array().cast("array<struct<no:int,a:bigint,b:bigint>>")
+    return let(F.transform(lines_of(text), lambda x: F.xxhash64(x)), lambda h: F.when(F.size(h) >= LINES, rolled(h)).otherwise(none))
 
-    return let(F.split(text, "\n", -1), cut)
+
+def chunk_text(lines: Column, no: Column) -> Column:
+    return F.array_join(F.slice(lines, no + 1, F.lit(LINES)), "\n")
 
 
 def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_key, gone: the chunk numbers to remove from each document
+    """doc_id, text_key, gone: the lines (from 0, rising) to remove from each document
     that has any (documents are named by id and text key)."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    chunks = (rows.select("doc_id", number_of(F.col("text"), 15).alias("text_key"),
-                          F.explode(chunks_of(F.col("text"))).alias("c"))
-              .select("doc_id", "text_key", "c.no", "c.n_lines", F.col("c.text").alias("chunk"))
-              .where(F.col("n_lines") >= LEAST_LINES).withColumn("key", F.md5("chunk")))
+    keyed = rows.select("doc_id", number_of(F.col("text"), 15).alias("text_key"), F.inline(chunk_keys(F.col("text"))))
     place = F.struct("doc_id", "text_key", "no")
-    repeated = written(chunks.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
-                       .where("n > 1").select(F.col("key").alias("k"), "first"), "line-repeated")
-    members = written(chunks.join(repeated, F.col("key") == F.col("k"))
-                      .select("key", "doc_id", "text_key", "no", "chunk", place.eqNullSafe(F.col("first")).alias("is_first")),
-                      "line-members")
-    firsts = (members.where("is_first").groupBy(F.col("key").alias("k")).agg(F.any_value("chunk").alias("first_chunk")))
-    return (members.where("not is_first").join(firsts, (F.col("key") == F.col("k")) & (F.col("chunk") == F.col("first_chunk")))
-            .groupBy("doc_id", "text_key").agg(F.collect_set("no").alias("gone")))
+    repeated = written(keyed.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
+                       .where("n > 1").select(F.col("a").alias("ka"), F.col("b").alias("kb"), "first"), "line-repeated")
+    # repeated chunks by document: hashes and places only; equal rows are one document
+    found = keyed.join(repeated, (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb")))
+    own = (found.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("no", "a", "b", "first")).alias("chunks"))
+           .select(F.col("doc_id").alias("id"), F.col("text_key").alias("tk"), "chunks"))
+    texts = rows.select("doc_id", number_of(F.col("text"), 15).alias("text_key"), "text")
+    members = (texts.join(own, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("tk")))
+               .select("doc_id", "text_key", lines_of(F.col("text")).alias("lines"), "chunks")
+               .select("doc_id", "text_key", "lines", F.explode("chunks").alias("c"))
+               .select("doc_id", "text_key", "c.no", "c.a", "c.b", "c.first", chunk_text(F.col("lines"), F.col("c.no")).alias("chunk")))
+    members = written(members.withColumn("is_first", place.eqNullSafe(F.col("first"))), "line-members")
+    firsts = (members.where("is_first").groupBy(F.col("a").alias("ka"), F.col("b").alias("kb"))
+              .agg(F.any_value("chunk").alias("first_chunk")))
+    same = (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb")) & (F.col("chunk") == F.col("first_chunk"))
+    # the line that a chunk shares with the first occurrence itself stays
+    beside = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+    kept = F.when(beside & (F.col("no") < F.col("first.no") + LINES), F.col("first.no") + LINES - F.col("no")).otherwise(0)
+    gone = F.explode(F.sequence(F.col("no") + kept, F.col("no") + LINES - 1))
+    return (members.where("not is_first").join(firsts, same).select("doc_id", "text_key", gone.alias("line"))
+            .groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("line")).alias("gone")))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -79,20 +92,24 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     document may end up empty. Rows with the same id and the same text are
     judged as one document and get the same result. A null id sorts first. An
     empty table gives no rows. All columns are kept, whatever their names.
+    Texts are read whole: a document's lines are one row's array, and the lines to
+    remove are turned into flags beside it, so the work is linear in its length.
     """
     text = text_or_empty(text_col)
     gone = removals(docs, id_col, text_col).select(F.col("doc_id").alias("g_id"), F.col("text_key").alias("g_key"), "gone")
     rows = docs.select(F.struct("*").alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"),
                        F.when(F.col(f"`{text_col}`").isNotNull(), text).alias("t"), number_of(text, 15).alias("key"))
     joined = rows.join(gone, F.col("id").eqNullSafe(F.col("g_id")) & (F.col("key") == F.col("g_key")), "left")
-
-    def clean(chunks: Column) -> Column:
-        kept = F.filter(chunks, lambda c: ~F.array_contains(F.col("gone"), c["no"]))
-        lost = F.filter(chunks, lambda c: F.array_contains(F.col("gone"), c["no"]))
-        return F.struct(F.array_join(F.transform(kept, lambda c: c["text"]), "\n").alias("text"),
-                        F.aggregate(lost, F.lit(0), lambda n, c: n + c["n_lines"]).alias("lines"))
-
-    done = joined.withColumn("clean", F.when(F.col("gone").isNotNull(), let(chunks_of(F.col("t")), clean)))
-    columns = [F.coalesce("clean.text", "t").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
-    lines = F.when(F.col("t").isNull(), 0).otherwise(F.size(F.split("t", "\n", -1)))
-    return done.select(*columns, lines.alias("_n_lines"), F.coalesce("clean.lines", F.lit(0)).alias("_n_removed"))
+    kept = F.filter(lines_of(F.col("t")), lambda _, i: F.get(F.col("flags"), i) == 0)
+    done = joined.withColumn("flags", F.when(F.col("gone").isNotNull(), _flags(F.col("gone"), F.size(lines_of(F.col("t"))))))
+    done = done.withColumn("clean", F.when(F.col("gone").isNotNull(), F.array_join(kept, "\n")))
+    columns = [F.coalesce("clean", "t").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
+    lines = F.when(F.col("t").isNull(), 0).otherwise(F.size(lines_of(F.col("t"))))
+    return done.select(*columns, lines.alias("_n_lines"), F.when(F.col("gone").isNotNull(), F.size("gone")).otherwise(0).alias("_n_removed"))
+
+
+def _flags(gone: Column, n: Column) -> Column:
+    """An array of n zeros with ones at the places in `gone` (rising): the stretches between them, joined."""
+    zeros = F.transform(gone, lambda g, i: F.concat(
+        F.array_repeat(F.lit(0), g - F.coalesce(F.get(gone, i - 1), F.lit(-1)) - 1), F.array(F.lit(1))))
+    return F.concat(F.flatten(zeros), F.array_repeat(F.lit(0), n - 1 - F.coalesce(F.element_at(gone, -1), F.lit(-1))))

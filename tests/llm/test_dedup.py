@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from helpers import edge_docs, empty_docs, rows
 from linestream.llm import exact_dedup, line_dedup, simhash, suffix_dedup
@@ -222,13 +223,41 @@ def test_line_dedup_keeps_all_columns_and_one_copy(spark):
     assert line_dedup.line_dedup(empty_docs(spark)).count() == 0
 
 
-def test_chunks_are_cut_alike_wherever_they_stand(spark):
-    from pyspark.sql import functions as F
-
-    lines = [f"line number {i}" for i in range(60)]
-    df = spark.createDataFrame([("\n".join(lines),), ("\n".join(["new", *lines]),), ("\n".join(lines[7:]),)], "t string")
-    chunks = [{c["text"] for c in r[0]} for r in df.select(line_dedup.chunks_of(F.col("t"))).collect()]
-    assert len(chunks[0] & chunks[1]) >= len(chunks[0]) - 1
-    assert len(chunks[0] & chunks[2]) >= len(chunks[2]) - 1
-    for r in df.select("t", line_dedup.chunks_of(F.col("t")).alias("c")).collect():
-        assert "\n".join(c["text"] for c in r["c"]) == r["t"]
+def test_chunks_are_cut_alike_wherever_they_stand(spark, monkeypatch):
+    """With a divisor above one: where a chunk begins follows from its own lines."""
+    monkeypatch.setattr(line_dedup, "DIVISOR", 3)
+    lines = [f"line {i * 7919 % 1000}" for i in range(400)]
+    texts = ["\n".join(lines), "\n".join(["x"] + lines), "\n".join(["x", "y", "z"] + lines[:200] + ["new"] + lines[200:])]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = [{(c["a"], c["b"]) for c in r[0]} for r in df.select(line_dedup.chunk_keys(F.col("t"))).collect()]
+    assert 80 < len(found[0]) < 190
+    assert found[0] <= found[1] and len(found[0] - found[2]) <= 1
+
+
+def test_repeated_passages_are_found(spark):
+    """Recall by lines against brute force: lines of passages (two lines or more) met in an earlier,
+    different document; texts that are whole copies are left out."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows, seen = [], set()
+    for r in docs.orderBy("doc_id").collect():
+        if r["text"] not in seen:
+            seen.add(r["text"])
+            rows.append((r["doc_id"], r["text"]))
+    got = {r["doc_id"]: r["text"] for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    pairs, met, left = set(), 0, 0
+    for doc_id, text in rows:
+        lines = text.split("\n")
+        own = [(a, b) for a, b in zip(lines, lines[1:])]
+        repeated = {k for i, p in enumerate(own) if p in pairs for k in (i, i + 1)}
+        kept = Counter(got[doc_id].split("\n"))
+        met += len(repeated)
+        left += sum(min(kept[line], n) for line, n in Counter(lines[k] for k in repeated).items())
+        pairs.update(own)
+    assert met > 100 and 1 - left / met >= 0.9
+
+
+def test_a_run_of_one_line_keeps_its_first_two(spark):
+    df = spark.createDataFrame([(1, "a\n" + "same\n" * 90 + "b"), (2, "same\nsame\nc"), (3, "c\nd")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["text"], r["_n_removed"]) for r in line_dedup.line_dedup(df).collect()}
+    assert got == {1: ("a\nsame\nsame\nb", 88), 2: ("c", 2), 3: ("c\nd", 0)}
