@@ -36,6 +36,8 @@ SWITCH = 6.0
 SCRIPT_SHARE = 0.01
 #: Words a Python worker keeps scores for; distinct words a task counts before it emits.
 WORD_CACHE = 500_000
+#: Log score of a trigram in a text of no language at all: all slots alike.
+BACKGROUND = -float(np.log(TABLE))
 #: A text without letters, or null.
 UNKNOWN = "und"
 
@@ -142,7 +144,8 @@ def learn(train: DataFrame, lang_col: str = "lang", text_col: str = "text") -> d
     logs = np.log((grams + 0.1) / (grams.sum(1, keepdims=True) + 0.1 * TABLE))
     allowed = scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(1, keepdims=True), 1)
     allowed[:, ~allowed.any(0)] = True  # a script nobody was learned with narrows nothing
-    return {"langs": langs, "logs": np.ascontiguousarray(logs.T.astype(np.float32)), "allowed": allowed.T}
+    return {"langs": langs, "logs": np.ascontiguousarray(logs.T.astype(np.float32)), "allowed": allowed.T,
+            "typical": (np.exp(logs) * logs).sum(1) - BACKGROUND}
 
 
 # ---------------------------------------------------------------- predicting
@@ -158,15 +161,17 @@ class Scorer:
         self.model, self.k = model, len(model["langs"])
         self.rows: dict[str, int] = {}
         self.table = np.zeros((1024, self.k), np.float32)
+        self.best = np.zeros(1024, np.float32)  # log score of a word in its best language, over the background
         self.size = np.zeros(1024, np.int32)
 
-    def _scores(self, words: list[str]) -> np.ndarray:
+    def _scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         slots, starts = trigrams(words)
         s = np.add.reduceat(self.model["logs"][slots], starts, axis=0)
         ok = self.model["allowed"][np.fromiter((script_of_char(w[0]) for w in words), np.int64, len(words))]
-        s = s - np.where(ok, s, -np.inf).max(1, keepdims=True)
+        best = np.where(ok, s, -np.inf).max(1, keepdims=True)
+        s = s - best
         # one word never outweighs a span: its evidence is held to twice a switch
-        return np.where(ok, np.maximum(s, -2 * SWITCH), _OUT)
+        return np.where(ok, np.maximum(s, -2 * SWITCH), _OUT), best[:, 0]
 
     def numbers(self, words: list[str]) -> np.ndarray:
         rows = self.rows
@@ -175,9 +180,11 @@ class Scorer:
             first, last = len(rows), len(rows) + len(new)
             while last > len(self.table):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+                self.best = np.concatenate([self.best, np.zeros_like(self.best)])
                 self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-            self.table[first:last] = self._scores(new)
             self.size[first:last] = np.fromiter(map(len, new), np.int32, len(new))
+            self.table[first:last], best = self._scores(new)
+            self.best[first:last] = best - BACKGROUND * self.size[first:last]
             rows.update(zip(new, range(first, last), strict=True))
         return np.fromiter(map(rows.__getitem__, words), np.int32, len(words))
 
@@ -261,14 +268,15 @@ def _labelled(model_of, batches: Iterator[pa.RecordBatch], finish, schema: list[
             paths = iter(viterbi([r for (_, r), lang in zip(held, one, strict=True) if lang is None], scorer.table))
             for (i, rows), lang in zip(held, one, strict=True):
                 labels = next(paths).astype(np.int64) if lang is None else np.full(len(rows), lang)
-                values[i] = finish(texts[i], labels, scorer.size[rows], model["langs"])
+                over = scorer.best[rows] + np.maximum(scorer.table[rows, labels], -2 * SWITCH)
+                values[i] = finish(texts[i], labels, scorer.size[rows], model, over)
             held.clear()
             scorer.trim()
 
         for i, text in enumerate(texts):
             words = words_of(text) if text else []
             if not words:
-                values[i] = finish(text, np.zeros(0, np.int64), np.zeros(0, np.int32), model["langs"])
+                values[i] = finish(text, np.zeros(0, np.int64), np.zeros(0, np.int32), model, np.zeros(0))
                 continue
             held.append((i, scorer.numbers(words)))
             size += len(words)
@@ -280,15 +288,20 @@ def _labelled(model_of, batches: Iterator[pa.RecordBatch], finish, schema: list[
         yield pa.RecordBatch.from_arrays([ids, *cols], names=["key", *(n for n, _ in schema)])
 
 
-def _verdict(text, labels: np.ndarray, sizes: np.ndarray, langs: list[str]) -> tuple:
+def _verdict(text, labels: np.ndarray, sizes: np.ndarray, model: dict, over: np.ndarray) -> tuple:
+    langs = model["langs"]
     if not len(labels):
-        return UNKNOWN, 0.0, 0
+        return UNKNOWN, 0.0, 0, 0.0
     letters = np.bincount(labels, weights=sizes, minlength=len(langs))
     best = int(letters.argmax())
-    return langs[best], float(letters[best] / letters.sum()), 1 + int((labels[1:] != labels[:-1]).sum())
+    # what the text's letters are over the background, to what text of these languages is on average
+    typical = float((letters * model["typical"]).sum())
+    evidence = float(over.sum()) / typical if typical > 0 else 0.0
+    return langs[best], float(letters[best] / letters.sum()), 1 + int((labels[1:] != labels[:-1]).sum()), evidence
 
 
-def _spans(text: str | None, labels: np.ndarray, sizes: np.ndarray, langs: list[str]) -> tuple:
+def _spans(text: str | None, labels: np.ndarray, sizes: np.ndarray, model: dict, over: np.ndarray) -> tuple:
+    langs = model["langs"]
     spans = []
     lower = (text or "").lower()
     for i, m in enumerate((_PLAIN_WORDS if _PLAIN_TEXT.fullmatch(lower) else WORDS).finditer(lower)):
@@ -311,7 +324,11 @@ def _run(docs: DataFrame, model: dict, key: Column, key_type, text_col: str, fin
 
 def predict(docs: DataFrame, model: dict | None, key: Column, key_type: str | T.DataType = "long",
             text_col: str = "text") -> DataFrame:
-    """key, lang_pred, score, n_spans of every row (a key may be a whole row).
+    """key, lang_pred, score, n_spans, evidence of every row (a key may be a whole row).
+
+    The evidence is the log score of the text's letters, in the languages they
+    are labelled with, over that of a text of no language; 1 is what text of
+    those languages has on average, 0 or less is junk or another language.
 
     `und` with score 0 if the text is null or has no letter, or if nothing was
     learned. A text in a script nobody was learned with still gets the learned
@@ -319,9 +336,9 @@ def predict(docs: DataFrame, model: dict | None, key: Column, key_type: str | T.
     """
     if model is None:
         return docs.select(key.alias("key"), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
-                           F.lit(0).cast("long").alias("n_spans"))
-    fields = [("lang_pred", pa.string()), ("score", pa.float64()), ("n_spans", pa.int64())]
-    return _run(docs, model, key, key_type, text_col, _verdict, fields, "lang_pred string, score double, n_spans long")
+                           F.lit(0).cast("long").alias("n_spans"), F.lit(0.0).alias("evidence"))
+    fields = [("lang_pred", pa.string()), ("score", pa.float64()), ("n_spans", pa.int64()), ("evidence", pa.float64())]
+    return _run(docs, model, key, key_type, text_col, _verdict, fields, "lang_pred string, score double, n_spans long, evidence double")
 
 
 def label_spans(docs: DataFrame, model: dict, key: Column, key_type: str | T.DataType = "long",

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.running import running_sum
+from ..operators.sizing import checked_broadcast
 from .common import partitions_for, text_or_empty, written
 
 CAPACITY = 2048
@@ -331,9 +333,12 @@ def place_stretch(pieces: pd.DataFrame, capacity: int) -> pd.DataFrame:
     return pieces.assign(sequence_id=number[seq], offset=off)
 
 
-def pack_in_order(pieces: DataFrame, capacity: int = CAPACITY, stretch: int | None = None) -> DataFrame:
+def pack_in_order(pieces: DataFrame, capacity: int = CAPACITY, stretch: int | None = None, documents: int = 0) -> DataFrame:
     """`pack` for pieces with a position (gapless numbers of the documents):
-    the sequences of a stretch of positions come before those of the next."""
+    the sequences of a stretch of positions come before those of the next.
+    A task gets one stretch or a few, by the number of documents: the work is
+    in the plans, not in the bytes that partitions are otherwise merged by."""
+    tasks = partitions_for(pieces.sparkSession, documents, stretch or STRETCH)
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
     rows = pieces.withColumn("stretch", F.floor(F.col("position") / (stretch or STRETCH)))
     schema = ("doc_id long, piece int, start long, length long, ids_crc32 long, position long, stretch long, "
@@ -348,11 +353,11 @@ def pack_in_order(pieces: DataFrame, capacity: int = CAPACITY, stretch: int | No
         return out.append_column("sequence_id", pa.array(done["sequence_id"].to_numpy())).append_column(
             "offset", pa.array(done["offset"].to_numpy()))
 
-    placed = written(rows.groupBy("stretch").applyInArrow(place, schema), "pack-stretches")
-    before = (placed.groupBy("stretch").agg((F.max("sequence_id") + 1).alias("n"))
-              .select("stretch", F.coalesce(F.sum("n").over(Window.orderBy("stretch").rowsBetween(
-                  Window.unboundedPreceding, -1)), F.lit(0)).alias("before")))  # a row a stretch
-    return placed.join(F.broadcast(before), "stretch").select(
+    placed = written(rows.repartition(tasks, "stretch").groupBy("stretch").applyInArrow(place, schema), "pack-stretches")
+    sizes = placed.groupBy("stretch").agg((F.max("sequence_id") + 1).alias("n"))  # a row a stretch
+    upto = running_sum(sizes, [], "stretch", F.col("n"), "upto")
+    before, _small = checked_broadcast(upto.select("stretch", (F.col("upto") - F.col("n")).alias("before")))
+    return placed.join(before, "stretch").select(
         *names, (F.col("before") + F.col("sequence_id")).alias("sequence_id"), "offset")
 
 
@@ -368,5 +373,5 @@ def best_fit_packing(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
     `position_col` (gapless numbers from 0) the sequences follow that order.
     """
     if position_col:
-        return pack_in_order(token_pieces(docs, tokenizer, capacity, id_col, text_col, position_col), capacity)
+        return pack_in_order(token_pieces(docs, tokenizer, capacity, id_col, text_col, position_col), capacity, documents=docs.count())
     return pack(token_pieces(docs, tokenizer, capacity, id_col, text_col), capacity)

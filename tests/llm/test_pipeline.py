@@ -90,3 +90,37 @@ def test_sequences_follow_the_mix(spark, monkeypatch):
     head = Counter(source[r["doc_id"]] for r in packed if r["sequence_id"] < last // 12)
     assert abs(head["src0"] / sum(head.values()) - 5 / 7) < 0.1
     assert not any(source[r["doc_id"]] == "src0" for r in packed if r["sequence_id"] > last // 2)
+
+
+JUNK = {
+    "letters": "qzxv wkpt bnmq jjxz vvkw pqzt xxwv kkjq zzpt mwqx " * 8, "base64": "U2FsdGVkX1+9kZQw3hT7vYx0QmJ6bE5PcGxxUmZzZ3RoanVr" * 4,
+    "polish": "W środę rano wszyscy mieszkańcy miasteczka zebrali się na rynku, żeby posłuchać przemówienia burmistrza o nowej szkole i drodze.",
+    "japanese": "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+    "russian": "Все люди рождаются свободными и равными в своем достоинстве и правах.", "digits": "12345 !!! ...", "empty": "", "null": None}
+
+
+def test_language_stage_rejects_junk_and_unlearned_languages_and_keeps_clean_texts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    clean = docs.count()
+    texts = [r["text"] for r in docs.where("lang = 'de'").limit(3).collect()] + [r["text"] for r in docs.where("lang = 'fr'").limit(3).collect()]
+    mixed = [(2_000_000 + i, a[:400] + "\n" + b[:400]) for i, (a, b) in enumerate(zip(texts[:3], texts[3:], strict=True))]
+    rows = [(1_000_000 + i, t, None, "src0", None) for i, t in enumerate(JUNK.values())] + [(i, t, None, "src0", len(t)) for i, t in mixed]
+    more = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, more, SF).select("doc_id").collect()}
+    assert len([i for i in kept if i < 1_000_000]) >= 0.99 * clean
+    assert not [list(JUNK)[i - 1_000_000] for i in kept if 1_000_000 <= i < 2_000_000]
+    assert {i for i, _ in mixed} <= kept
+
+
+def test_packing_runs_in_as_many_tasks_as_stretches(spark, monkeypatch):
+    from linestream.llm import packing
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(packing, "STRETCH", 10)
+    docs = spark.range(200).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"), F.col("id").alias("_p"))
+    out = packing.best_fit_packing(docs, TOKENIZER, position_col="_p")
+    assert check_packing(out.collect(), 2048) == 20
+    n = packing.partitions_for(spark, 200, 10)
+    assert n == 20
+    first = {r["doc_id"]: r["sequence_id"] for r in out.collect()}
+    assert all(first[i] <= first[i + 10] for i in range(190))
