@@ -22,17 +22,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Input splits that are spread over the slots, at most.
+FEW_SPLITS = 4
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """A source with fewer input splits than task slots (one small file, one
-    row group) would run all per-row work in few tasks; spread it round-robin
-    over the slots. An input with splits for a quarter of the slots is left as
-    is: a shuffle of every raw row costs more than the idle slots."""
+    """A source of very few input splits (a small file or two, of one row group
+    each) would run all per-row work in as many tasks; spread it round-robin
+    over the slots. Any other input is left as it is, however many slots there
+    are: a shuffle of every raw row costs more than idle slots."""
     try:
         slots = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): keep the scan as is
         return df
-    if 4 * splits <= slots:
+    if splits <= FEW_SPLITS and 4 * splits <= slots:
         return df.repartition(slots)
     return df
 

@@ -21,7 +21,12 @@ def text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def first_lines(spark: SparkSession, path: str, n: int) -> DataFrame:
     """LIM-1: the first ``n`` lines. The files are taken in name order, twice
     as many each time, until they hold ``n`` lines; the rest is not read."""
-    files = sorted(r[0] for r in spark.read.format("binaryFile").load(path).select("path").where("length > 0").collect())
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    listed = fs.listStatus(folder)  # the listing that a read of the folder needs as well; no file is opened
+    files = sorted(f.getPath().toString() for f in listed
+                   if f.isFile() and f.getLen() > 0 and not f.getPath().getName().startswith(("_", ".")))
     if not files:
         return spark.read.schema("value string").text(path).limit(n)
     take = 1
