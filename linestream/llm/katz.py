@@ -13,8 +13,8 @@ the corpus. Counts of words and of pairs are stored tables. A context's weight
 needs the unigrams of all that followed it: the pair table asks the word table
 for the counts of its followers, sums by context, and its weights are stored.
 
-Words counted at least N / 2**20 times (so at most 2**20 of them) are only
-cached: their numbers, unigrams and weights, and the pairs counted that often,
+Words counted at least N / 2**20 times (so at most 2**20 of them; and more, up to
+a quarter of that number) are only cached: their numbers, unigrams and weights, and the pairs counted that often,
 are sent to every task, so no part of a table holds a frequent key's rows. The
 pairs of a frequent context are dealt by the pair, all others by the context.
 
@@ -48,7 +48,7 @@ FREQUENT = 1 << 20
 K = 5
 #: Tokens or words a task holds before it deals them out.
 TOKENS_AT_ONCE = 1_000_000
-WORDS_AT_ONCE = 300_000
+WORDS_AT_ONCE = 200_000
 #: Bytes of text that are cut into words at once.
 BYTES_AT_ONCE = 2_000_000
 #: Parts of a table: one for about so many bytes of text, so that they follow the input alone, and so many at least.
@@ -225,6 +225,26 @@ def _at_least(table: DataFrame, least: int, names: list[str]) -> list[np.ndarray
     return [*(got[c].to_numpy().astype(np.int64).view(np.uint64) for c in names), got["n"].to_numpy().astype(np.int64)]
 
 
+def _least(table: DataFrame, keys: int, total: int) -> int:
+    """From which count on rows are sent to every task: total / FREQUENT, so there are FREQUENT of
+    them at most, or less, as long as a quarter of that is not passed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(64, np.int64)
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                found += np.bincount(np.log2(unpack_keys(x, *["u8"] * (keys - 1), "i8")[-1]).astype(np.int64), minlength=64)
+        yield pa.RecordBatch.from_arrays([pa.array(range(64), pa.int32()), pa.array(found)], names=["power", "n"])
+
+    rows = table.select("packed").mapInArrow(run, "power int, n long").groupBy("power").agg(F.sum("n").alias("n")).collect()
+    above, least = 0, total // FREQUENT + 1
+    for power, n in sorted(((r["power"], r["n"]) for r in rows), reverse=True):
+        above += n
+        if above > FREQUENT // 4:
+            break
+        least = min(least, 1 << power)
+    return least
+
+
 def discounts(n: dict, k: int = K) -> np.ndarray:
     """Good-Turing factors for counts 0..k (Katz's form, which leaves counts
     over k as they are). With too few counts of counts a smaller k is taken,
@@ -437,8 +457,8 @@ def _context_sums(v: np.ndarray, n: np.ndarray, log_p1: np.ndarray, d2: np.ndarr
 def _contexts(word_parts: int, shared):
     """Weights of a part's rare contexts, for the word table, sums of its frequent
     ones, and what scoring needs of the part's pairs: key, count, the follower's
-    count and the context's place, and for each context what its pairs gain
-    (for a frequent one its number, as its sums are spread over the parts)."""
+    count and the context's place, and the numbers of the frequent contexts
+    (0 for the others, whose sums are all in this part)."""
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         m: Model = shared.value
         if (part := _part_of_pairs(rows, m)) is None:
@@ -446,15 +466,13 @@ def _contexts(word_parts: int, shared):
         v, n, count, pair = part
         who, inverse, sums = _context_sums(v, n, m.unigram(count), m.d2)
         rare = who >= _WORD
-        log_alpha, log_norm = weights(*(x[rare] for x in sums))
-        gain = np.zeros(len(who))
-        gain[rare] = log_norm - log_alpha
+        log_alpha, _ = weights(*(x[rare] for x in sums))
         order = np.argsort(pair)
         at = key[0].as_py()
         return _table([(at % word_parts, ALPHAS, 0, pack_keys(who[rare], log_alpha)),
                        (0, SUMS, 0, pack_keys(who[~rare], *(x[~rare] for x in sums))),
                        (word_parts + at, GAINS, 0, pack_keys(pair[order], n[order], count[order], inverse[order].astype(np.uint32))),
-                       (word_parts + at, CONTEXTS, 0, pack(np.where(rare, 0, who).astype(np.uint32), gain))])
+                       (word_parts + at, CONTEXTS, 0, pack(np.where(rare, 0, who).astype(np.uint32)))])
     return run
 
 
@@ -476,7 +494,8 @@ def learn(train: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame, i
     word_table, n1 = _summed(rows.mapInArrow(_count_words(word_parts), _COUNT_ROWS), _merge_words, "katz-words")
     total = n1["total"]
     pair_parts = word_parts * max(1, -(-total // (word_parts * TOKENS_EACH)))  # a multiple: a context's part tells its word's
-    keys, counts = _at_least(word_table, total // FREQUENT + 1, ["key"])
+    frequent = _least(word_table, 1, total)
+    keys, counts = _at_least(word_table, frequent, ["key"])
     order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     d1 = discounts(n1)
@@ -503,7 +522,7 @@ def learn(train: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame, i
         v = sums["v"].to_numpy(np.int64)
         model.log_alpha[v], model.log_norm[v] = weights(*(sums[c].to_numpy(float) for c in ("n", "kept", "mass")))
     # both words of such a pair are frequent
-    hot_v, hot_w, hot_n = _at_least(pair_table, total // FREQUENT + 1, ["v", "w"])
+    hot_v, hot_w, hot_n = _at_least(pair_table, max(frequent, _least(pair_table, 2, total)), ["v", "w"])
     hot = pair_key(hot_v, hot_w)
     order = np.argsort(hot)
     v, w = hot_v[order].astype(np.int64), hot_w[order].astype(np.int64)
@@ -588,12 +607,14 @@ def _answer(shared):
             elif kind == GAINS:
                 pairs = unpack_keys(packed[i].as_py(), "i8", "i8", "u4")
             elif kind == CONTEXTS:
-                contexts = unpack(packed[i].as_py(), "u4", "f8")
+                contexts, = unpack(packed[i].as_py(), "u4")
         if pairs is not None and ASK_PAIR in kinds:
             pair, n, count, who = pairs
-            number, gain = contexts
-            gain = np.where(number > 0, (m.log_norm - m.log_alpha)[number.astype(np.int64)], gain)
-            gains = [pair, m.seen(n) + gain[who] - m.unigram(count)]
+            log_p1 = m.unigram(count)
+            log_alpha, log_norm = weights(*(np.bincount(who, weights=x, minlength=len(contexts))
+                                            for x in (n, _factor(m.d2, n) * n, 10.0 ** log_p1)))
+            of_frequent = (m.log_norm - m.log_alpha)[contexts.astype(np.int64)]
+            gains = [pair, m.seen(n) + np.where(contexts > 0, of_frequent, log_norm - log_alpha)[who] - log_p1]
         if alphas:
             keys, values = (np.concatenate(x) for x in zip(*alphas, strict=True))
             order = np.argsort(keys)
@@ -645,7 +666,9 @@ def katz_scores(train: DataFrame, docs: DataFrame, key: Column, text_col: str =
     model, stored, word_parts, pair_parts = learn(train, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     asked = _text_rows(docs, key.cast("long"), text_col).mapInArrow(_ask(word_parts, pair_parts, shared), _COUNT_ROWS)
-    answers = asked.unionByName(stored).groupBy("part").applyInArrow(_answer(shared), _COUNT_ROWS)
+    # a task has a part or a few, however many partitions the session merges
+    dealt_out = asked.unionByName(stored).repartition(word_parts + pair_parts, "part")
+    answers = dealt_out.groupBy("part").applyInArrow(_answer(shared), _COUNT_ROWS)
     out = answers.groupBy("unit").applyInArrow(
         _finish, "key long, n_tokens long, n_known long, base_score double, score double")
     return out.withColumn("train_tokens", F.lit(model.tokens).cast("long"))
