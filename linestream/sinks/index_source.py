@@ -57,7 +57,7 @@ class _Requests:
         self.actions = int(options.get("actions", 1000))
         self.most_bytes = int(options.get("bytes", MOST_BYTES))
         self.most_seconds = float(options.get("seconds", MOST_SECONDS))
-        self.staged = f"{self.folder}/_run={uuid.uuid4().hex}"
+        self.staged = f"{self.folder}/_staged-{uuid.uuid4().hex}"  # Spark reads folders with "=" even if they begin with "_"
 
     def _open(self, path: str) -> tuple[pafs.FileSystem, str]:
         return pafs.FileSystem.from_uri(path)

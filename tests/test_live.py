@@ -1,6 +1,7 @@
 """Live operators: wall-clock bursts, listeners, bounded reads, positions and
 sinks that go on over micro-batches, and what a failure leaves behind."""
 
+import os
 import random
 from types import SimpleNamespace
 
@@ -184,6 +185,11 @@ def test_a_failed_run_leaves_nothing_visible(spark):
     with pytest.raises(Exception, match="not a JSON document"):
         IX.bulk_write(W.bulk_lines(docs), root, "i", "t", actions=10)
     assert _visible(path) == before and W.index_read(spark, path, "v: bigint").count() == 10
+    staged = IX.IndexWriter(IX.options(root, "i", "t", 10)).staged.replace("file:", "")  # as a driver that died leaves it
+    os.makedirs(staged)
+    with open(f"{staged}/part-00000-x-000000.txt", "w") as f:
+        f.write('{"_id":"99","_source":{"v": 99}}\n')
+    assert W.index_read(spark, path, "v: bigint").count() == 10
     with pytest.raises(Exception, match="append"):
         W.bulk_lines(_docs(spark, [1])).write.format(IX.FORMAT).options(**IX.options(root, "i", "t", 10)).mode("overwrite").save()
 
