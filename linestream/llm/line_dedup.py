@@ -43,10 +43,10 @@ def lines_of(text: Column) -> Column:
 def chunk_keys(text: Column) -> Column:
     """Array of (no, a, b): the first line's number and two hashes of every chunk of a text."""
     def rolled(h: Column) -> Column:
+        # the rolled hash of both lines, and the first line's own beside it
         whole = F.transform(F.sequence(F.lit(0), F.size(h) - LINES), lambda i: F.struct(
-            i.alias("no"), F.xxhash64(*[F.get(h, i + k) for k in range(LINES)]).alias("a"),
-            F.xxhash64(F.lit(7), *[F.get(h, i + k) for k in range(LINES)]).alias("b")))
-        return F.filter(whole, lambda c: F.pmod(c["a"], F.lit(DIVISOR)) == 0)
+            i.alias("no"), F.xxhash64(*[F.get(h, i + k) for k in range(LINES)]).alias("a"), F.get(h, i).alias("b")))
+        return whole if DIVISOR == 1 else F.filter(whole, lambda c: F.pmod(c["a"], F.lit(DIVISOR)) == 0)
 
     none = F.array().cast("array<struct<no:int,a:bigint,b:bigint>>")
     return let(F.transform(lines_of(text), lambda x: F.xxhash64(x)), lambda h: F.when(F.size(h) >= LINES, rolled(h)).otherwise(none))
@@ -69,10 +69,11 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     own = (found.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("no", "a", "b", "first")).alias("chunks"))
            .select(F.col("doc_id").alias("id"), F.col("text_key").alias("tk"), "chunks"))
     texts = rows.select("doc_id", number_of(F.col("text"), 15).alias("text_key"), "text")
+    # a text is cut into lines once, whatever the number of its chunks
+    with_text = let(lines_of(F.col("text")), lambda lines: F.transform("chunks", lambda c: F.struct(
+        c["no"].alias("no"), c["a"].alias("a"), c["b"].alias("b"), c["first"].alias("first"), chunk_text(lines, c["no"]).alias("chunk"))))
     members = (texts.join(own, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("tk")))
-               .select("doc_id", "text_key", lines_of(F.col("text")).alias("lines"), "chunks")
-               .select("doc_id", "text_key", "lines", F.explode("chunks").alias("c"))
-               .select("doc_id", "text_key", "c.no", "c.a", "c.b", "c.first", chunk_text(F.col("lines"), F.col("c.no")).alias("chunk")))
+               .select("doc_id", "text_key", F.inline(with_text)))
     members = written(members.withColumn("is_first", place.eqNullSafe(F.col("first"))), "line-members")
     firsts = (members.where("is_first").groupBy(F.col("a").alias("ka"), F.col("b").alias("kb"))
               .agg(F.any_value("chunk").alias("first_chunk")))
@@ -100,11 +101,13 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = docs.select(F.struct("*").alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"),
                        F.when(F.col(f"`{text_col}`").isNotNull(), text).alias("t"), number_of(text, 15).alias("key"))
     joined = rows.join(gone, F.col("id").eqNullSafe(F.col("g_id")) & (F.col("key") == F.col("g_key")), "left")
-    kept = F.filter(lines_of(F.col("t")), lambda _, i: F.get(F.col("flags"), i) == 0)
-    done = joined.withColumn("flags", F.when(F.col("gone").isNotNull(), _flags(F.col("gone"), F.size(lines_of(F.col("t"))))))
-    done = done.withColumn("clean", F.when(F.col("gone").isNotNull(), F.array_join(kept, "\n")))
+    # lines and flags are bound once, not evaluated for each line
+    clean = let(lines_of(F.col("t")), lambda lines: let(_flags(F.col("gone"), F.size(lines)), lambda flags: F.array_join(
+        F.filter(lines, lambda _, i: F.get(flags, i) == 0), "\n")))
+    done = joined.withColumn("clean", F.when(F.col("gone").isNotNull(), clean))
     columns = [F.coalesce("clean", "t").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
-    lines = F.when(F.col("t").isNull(), 0).otherwise(F.size(lines_of(F.col("t"))))
+    breaks = F.octet_length("t") - F.octet_length(F.replace(F.col("t"), F.lit("\n"), F.lit("")))
+    lines = F.when(F.col("t").isNull(), 0).otherwise(breaks + 1)
     return done.select(*columns, lines.alias("_n_lines"), F.when(F.col("gone").isNotNull(), F.size("gone")).otherwise(0).alias("_n_removed"))
 
 
