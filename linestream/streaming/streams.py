@@ -73,7 +73,9 @@ def keep_lines(path: str):
 
 def closed_burst_latency(spark, path: str, gap_ms: int) -> DataFrame:
     """AGG-2..4 over what `keep_lines` has stored so far: the bursts that the
-    arrivals up to now have closed, with count, rate and average latency."""
+    arrivals up to now have closed, with count, rate and average latency. Every
+    report reads the whole store: the form for a stored stream of known length.
+    For one that runs on, `live.closed_bursts` keeps a state of constant size."""
     rows = spark.read.parquet(path).drop("batch")
     return B.closed_by_arrivals(B.burst_latency_of(rows, gap_ms), gap_ms)
 
