@@ -47,8 +47,8 @@ FREQUENT = 1 << 20
 #: Good-Turing discounts counts up to this one.
 K = 5
 #: Tokens or words a task holds before it deals them out.
-TOKENS_AT_ONCE = 1_000_000
-WORDS_AT_ONCE = 200_000
+TOKENS_AT_ONCE = 1_500_000
+WORDS_AT_ONCE = 300_000
 #: Bytes of text that are cut into words at once.
 BYTES_AT_ONCE = 2_000_000
 #: Parts of a table: one for about so many bytes of text, so that they follow the input alone, and so many at least.
@@ -94,6 +94,20 @@ def unpack_keys(value: bytes, *dtypes: str) -> list[np.ndarray]:
     return [np.cumsum(keys, dtype=np.uint64), *values]
 
 
+def pack_weights(keys: np.ndarray, values: np.ndarray) -> bytes:
+    """Sorted keys with values that repeat (most contexts had one follower): each value once, and its number for every key."""
+    own, number = np.unique(values, return_inverse=True)
+    first = pack_keys(keys, number.astype(np.uint32))
+    return len(first).to_bytes(8, "little") + first + pack(own)
+
+
+def unpack_weights(value: bytes) -> list[np.ndarray]:
+    end = 8 + int.from_bytes(value[:8], "little")
+    keys, number = unpack_keys(value[8:end], "u4")
+    own, = unpack(value[end:], "f8")
+    return [keys, own[number]]
+
+
 def dealt(keys: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
     """(part, indices) of sorted keys, their order kept."""
     part = ((keys * _MIX >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
@@ -469,7 +483,7 @@ def _contexts(word_parts: int, shared):
         log_alpha, _ = weights(*(x[rare] for x in sums))
         order = np.argsort(pair)
         at = key[0].as_py()
-        return _table([(at % word_parts, ALPHAS, 0, pack_keys(who[rare], log_alpha)),
+        return _table([(at % word_parts, ALPHAS, 0, pack_weights(who[rare], log_alpha)),
                        (0, SUMS, 0, pack_keys(who[~rare], *(x[~rare] for x in sums))),
                        (word_parts + at, GAINS, 0, pack_keys(pair[order], n[order], count[order], inverse[order].astype(np.uint32))),
                        (word_parts + at, CONTEXTS, 0, pack(np.where(rare, 0, who).astype(np.uint32)))])
@@ -603,7 +617,7 @@ def _answer(shared):
             if kind == WORDS:
                 words = unpack_keys(packed[i].as_py(), "i8")
             elif kind == ALPHAS:
-                alphas.append(unpack_keys(packed[i].as_py(), "f8"))
+                alphas.append(unpack_weights(packed[i].as_py()))
             elif kind == GAINS:
                 pairs = unpack_keys(packed[i].as_py(), "i8", "i8", "u4")
             elif kind == CONTEXTS:
