@@ -7,7 +7,7 @@ a context goes to the tokens not seen there, in proportion to their unigrams,
 with weights that make every context sum to exactly one. The unigram level
 gives its mass to one event for all unknown words.
 
-A word is named by 63 bits of its hash and a pair by 56 bits of its two words'
+A word is named by 63 bits of its hash and a pair by 53 bits of its two words'
 names, so every word has its own pairs, however rare it is and however large
 the corpus. Counts of words and of pairs are stored tables. A context's weight
 needs the unigrams of all that followed it: the pair table asks the word table
@@ -57,8 +57,8 @@ LEAST_PARTS = 64
 #: Tokens for each part of the pair table, at most.
 TOKENS_EACH = 2_000_000
 
-#: Bits of a pair's key. Keys meet only inside a part of bounded size, so a lookup finds a wrong pair once in about 10**11.
-PAIR_BITS = 56
+#: Bits of a pair's key. Keys meet only inside a part of bounded size, so a lookup finds a wrong pair once in about 10**10.
+PAIR_BITS = 53
 
 END = b"\n"  # not a possible word
 _WORD = np.uint64(1 << 63)
