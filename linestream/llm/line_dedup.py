@@ -13,13 +13,16 @@ of hashes, compared byte by byte with the first occurrence (smallest id, then
 text key, then place), and removed everywhere else. A run of one repeated line
 keeps its first two lines.
 
-DataFrame functions only. Counting moves hashes and places, reduced per task;
-texts of chunks move for repeated ones only, and AQE splits the partition of a
-chunk that very many documents share.
+DataFrame functions only. Counting moves hashes and places, reduced per task.
+Whole texts are moved once, to get their lines removed; before that, only those
+that a broadcast bitmap says may have a repeated chunk. AQE splits the partition
+of a chunk that very many documents share.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +32,11 @@ from .common import let, text_or_empty, written
 DIVISOR = 1
 #: Lines of a chunk.
 LINES = 2
+#: Bits of a bitmap of Spark's bitmap functions (as a power of two).
+PIECE = 15
+#: Bits for each row that a filter stands for, and the most bitmaps it has (16 MB):
+#: with more rows it lets more of the others pass.
+FILTER_BITS, FILTER_PIECES = 16, 4096
 
 
 def number_of(text: Column, digits: int) -> Column:
@@ -56,6 +64,18 @@ def chunk_text(lines: Column, no: Column) -> Column:
     return F.array_join(F.slice(lines, no + 1, F.lit(LINES)), "\n")
 
 
+def maybe_in(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """All rows whose keys are in `wanted` (null like any value), and few others: those whose
+    hash has its bit set in a broadcast bitmap. For a join to come, which moves fewer rows then."""
+    pieces = min(max(1, math.ceil(wanted.count() * FILTER_BITS / 2**PIECE)), FILTER_PIECES)
+    at = F.pmod(F.xxhash64(*keys), F.lit(pieces * 2**PIECE))
+    piece, bit = F.shiftright(at, PIECE), at.bitwiseAND(F.lit(2**PIECE - 1))
+    bits = wanted.groupBy(piece.alias("_piece")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    own = rows.withColumns({"_of": piece, "_bit": bit}).join(F.broadcast(bits), F.col("_of") == F.col("_piece"))
+    byte = F.substring(F.col("_bits"), F.shiftright("_bit", 3).cast("int") + 1, F.lit(1))
+    return own.where(F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), F.col("_bit") % 8) == 1).select(*rows.columns)
+
+
 def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_key, gone: the lines (from 0, rising) to remove from each document
     that has any (documents are named by id and text key)."""
@@ -66,9 +86,10 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                        .where("n > 1").select(F.col("a").alias("ka"), F.col("b").alias("kb"), "first"), "line-repeated")
     # repeated chunks by document: hashes and places only; equal rows are one document
     found = keyed.join(repeated, (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb")))
-    own = (found.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("no", "a", "b", "first")).alias("chunks"))
-           .select(F.col("doc_id").alias("id"), F.col("text_key").alias("tk"), "chunks"))
-    texts = rows.select("doc_id", number_of(F.col("text"), 15).alias("text_key"), "text")
+    chunks = written(found.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("no", "a", "b", "first")).alias("chunks")),
+                     "line-chunks")
+    own = chunks.select(F.col("doc_id").alias("id"), F.col("text_key").alias("tk"), "chunks")
+    texts = maybe_in(rows.select("doc_id", number_of(F.col("text"), 15).alias("text_key"), "text"), chunks, ["doc_id", "text_key"])
     # a text is cut into lines once, whatever the number of its chunks
     with_text = let(lines_of(F.col("text")), lambda lines: F.transform("chunks", lambda c: F.struct(
         c["no"].alias("no"), c["a"].alias("a"), c["b"].alias("b"), c["first"].alias("first"), chunk_text(lines, c["no"]).alias("chunk"))))
@@ -96,11 +117,12 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Texts are read whole: a document's lines are one row's array, and the lines to
     remove are turned into flags beside it, so the work is linear in its length.
     """
-    text = text_or_empty(text_col)
     gone = removals(docs, id_col, text_col).select(F.col("doc_id").alias("g_id"), F.col("text_key").alias("g_key"), "gone")
     rows = docs.select(F.struct("*").alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"),
-                       F.when(F.col(f"`{text_col}`").isNotNull(), text).alias("t"), number_of(text, 15).alias("key"))
-    joined = rows.join(gone, F.col("id").eqNullSafe(F.col("g_id")) & (F.col("key") == F.col("g_key")), "left")
+                       number_of(text_or_empty(text_col), 15).alias("key"))
+    # the text is moved inside its row alone
+    joined = (rows.join(gone, F.col("id").eqNullSafe(F.col("g_id")) & (F.col("key") == F.col("g_key")), "left")
+              .withColumn("t", F.col("row")[text_col].cast("string")))
     # lines and flags are bound once, not evaluated for each line
     clean = let(lines_of(F.col("t")), lambda lines: let(_flags(F.col("gone"), F.size(lines)), lambda flags: F.array_join(
         F.filter(lines, lambda _, i: F.get(flags, i) == 0), "\n")))

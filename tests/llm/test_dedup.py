@@ -261,3 +261,16 @@ def test_a_run_of_one_line_keeps_its_first_two(spark):
     df = spark.createDataFrame([(1, "a\n" + "same\n" * 90 + "b"), (2, "same\nsame\nc"), (3, "c\nd")], "doc_id long, text string")
     got = {r["doc_id"]: (r["text"], r["_n_removed"]) for r in line_dedup.line_dedup(df).collect()}
     assert got == {1: ("a\nsame\nsame\nb", 88), 2: ("c", 2), 3: ("c\nd", 0)}
+
+
+def test_texts_without_repeated_chunks_are_not_moved_for_comparison(spark, monkeypatch):
+    wanted = spark.createDataFrame([(i, 7 * i) for i in range(0, 4000, 20)] + [(None, 5), (3, None)], "doc_id long, text_key long")
+    rows = spark.createDataFrame([(i, 7 * i, "x") for i in range(4000)] + [(None, 5, "y"), (3, None, "z")], "doc_id long, text_key long, text string")
+    for pieces in (4096, 1):  # the bitmap at its full size, and one that is too small for its rows
+        monkeypatch.setattr(line_dedup, "FILTER_PIECES", pieces)
+        monkeypatch.setattr(line_dedup, "FILTER_BITS", 16 if pieces > 1 else 10**6)
+        out = line_dedup.maybe_in(rows, wanted, ["doc_id", "text_key"])
+        got = {(r["doc_id"], r["text_key"]) for r in out.collect()}
+        assert out.columns == rows.columns and {tuple(r) for r in wanted.collect()} <= got
+        assert len(got) < 400
+    assert line_dedup.maybe_in(rows, wanted.where("1 = 0"), ["doc_id", "text_key"]).count() == 0
