@@ -37,6 +37,10 @@ CAPACITY = 2048
 #: Words a Python worker keeps with their ids, in two generations of this size:
 #: a full one becomes the old one, whose words come back when they are met again.
 WORD_CACHE = 500_000
+#: Bytes of words and ids that fill a generation too: what has no spaces is one word, however long.
+CACHE_BYTES = 2**25
+#: Rows of a batch that are Python objects at once.
+ROWS_AT_ONCE = 200
 #: Rows of one length are ranked in buckets of about this many.
 ROWS_PER_BUCKET = 100_000
 #: Documents of an order that are packed together.
@@ -63,6 +67,7 @@ class WordIds:
         self.encode, self.merge = tokenizer.encode_batch_fast, tokenizer.model.tokenize
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.new_bytes = 0
 
     def _ids(self, words: list[bytes]) -> list[bytes]:
         out: list = [None] * len(words)
@@ -85,6 +90,7 @@ class WordIds:
         for w in words:
             if (ids := old.get(w)) is not None:
                 new[w] = ids
+                self.new_bytes += len(w) + len(ids)
                 continue
             stem, end = w.rstrip(b".,"), w[len(w.rstrip(b".,")):]
             if end and stem.decode().lower().isalpha():  # letters and punctuation are encoded apart
@@ -96,6 +102,7 @@ class WordIds:
         new.update(zip(todo, self._ids(todo), strict=True))
         for w, stem, end in closed:
             new[w] = new[stem] + new[end]
+        self.new_bytes += sum(len(w) + len(new[w]) for w in todo) + sum(len(w) + len(new[w]) for w, _, _ in closed)
 
     def of(self, text: str) -> bytes:
         """Ids as unsigned 32-bit numbers, little-endian, the closing id 0 included."""
@@ -103,8 +110,8 @@ class WordIds:
         if b"<|" not in raw:  # special tokens are the one thing that is not lower-cased
             raw = raw.lower()
         words = raw.replace(b"\n", b" ").split(b" ")
-        if len(self.new) > WORD_CACHE:
-            self.old, self.new = self.new, {}
+        if len(self.new) > WORD_CACHE or self.new_bytes > CACHE_BYTES:
+            self.old, self.new, self.new_bytes = self.new, {}, 0
         missing = set(words).difference(self.new)
         if missing:
             self._learn(missing)
@@ -125,7 +132,8 @@ def _pieces_of(path: str, capacity: int):
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             position: list[int] = []
-            for row, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+            few = (batch.slice(at, ROWS_AT_ONCE) for at in range(0, batch.num_rows, ROWS_AT_ONCE))
+            for row, (doc_id, text) in enumerate(x for b in few for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)):
                 ids = memoryview(encoder.of(text or ""))
                 for piece, at in enumerate(range(0, len(ids), step)):
                     part = ids[at:at + step]

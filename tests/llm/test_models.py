@@ -123,6 +123,18 @@ def test_words_are_encoded_as_the_whole_text(monkeypatch):
         assert encoder.of(text) == token_ids(text).tobytes(), text
 
 
+def test_words_kept_are_bounded_in_bytes(monkeypatch):
+    """Texts without spaces are one word each: the words kept are bounded by their bytes, not by their number alone."""
+    monkeypatch.setattr(packing, "CACHE_BYTES", 20_000)
+    encoder = packing.WordIds(TOKENIZER)
+    for i in range(60):
+        text = f"{i}語の文章は空白がない。" * 40
+        assert encoder.of(text) == token_ids(text).tobytes()
+        kept = sum(len(w) + len(ids) for g in (encoder.new, encoder.old) for w, ids in g.items())
+        assert kept < 2 * (20_000 + 10_000)
+    assert encoder.of("the cat. " * 9) == token_ids("the cat. " * 9).tobytes()
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_plan_uses_up_any_histogram(seed):
     rng = np.random.default_rng(seed)
